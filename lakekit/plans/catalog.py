@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakekit.plans import analytics, oracle
+from lakekit.plans import analytics, checks, oracle
 from lakekit.plans.trips import StarBuild
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -60,3 +60,16 @@ def q3(spark, sf_dir):
 def q4(spark, sf_dir):
     s = star(spark, sf_dir)
     return analytics.q4_fare_efficiency_by_borough(s.trip_fact(), s.dim_zone())
+
+
+# --- data-quality gates (C38–C45, Appendix A) --------------------------------------------------------------
+
+def _gate_query(gate_name: str):
+    def run(spark, sf_dir):
+        s = star(spark, sf_dir)
+        return checks.GATES[gate_name]().run(checks.gate_tables(s))
+    return run
+
+
+for _g in checks.GATES:
+    register(f"dq_gate_{_g}", checks.GATES[_g]().sql(oracle.STAR))(_gate_query(_g))

@@ -60,7 +60,9 @@ raw_trips AS (
          CAST(round(l.l_tax * 100) AS INTEGER) AS passenger_count,
          CAST(l.l_quantity AS DECIMAL(18,3)) AS trip_distance_miles,
          CAST(c.c_acctbal AS DECIMAL(18,2)) AS fare_amount_usd,
-         CAST(l.l_extendedprice AS DECIMAL(18,2)) AS total_amount_usd
+         CAST(l.l_extendedprice AS DECIMAL(18,2)) AS total_amount_usd,
+         l.l_quantity AS trip_distance_raw, c.c_acctbal AS fare_amount_raw, l.l_extendedprice AS total_amount_raw,
+         'tpch_lineitem' AS source_system
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
   LEFT JOIN customer c ON o.o_custkey = c.c_custkey
@@ -85,11 +87,26 @@ decided AS (
   FROM typed
 ),
 clean AS (SELECT * EXCLUDE (collision_count) FROM decided WHERE collision_count = 1),
-quarantine AS (SELECT * FROM decided WHERE collision_count > 1),
+quarantine AS (SELECT *, ['duplicate_hash_collision'] AS quarantine_reasons FROM decided WHERE collision_count > 1),
+quarantine_keys AS (SELECT trip_hash AS trip_key FROM quarantine),
+bronze_trips AS (
+  SELECT l_orderkey, l_linenumber, vendor_id AS vendor_id_raw, pickup_datetime_local AS pickup_datetime_raw,
+         dropoff_datetime_local AS dropoff_datetime_raw, pickup_location_id AS pickup_location_raw,
+         dropoff_location_id AS dropoff_location_raw, CAST(passenger_count AS BIGINT) AS passenger_count_raw,
+         trip_distance_raw, fare_amount_raw, total_amount_raw, source_system
+  FROM raw_trips
+),
+bronze_collisions AS (SELECT trip_hash, COUNT(*) AS n FROM typed GROUP BY trip_hash HAVING COUNT(*) > 1),
+bronze_zones AS (
+  SELECT n.n_nationkey AS location_id, r.r_name AS borough, n.n_name AS zone, r.r_name AS service_zone,
+         'tpch_nation' AS source_system
+  FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+),
 zones AS (
   SELECT CAST(n.n_nationkey AS INTEGER) AS location_id, trim(r.r_name) AS borough, trim(n.n_name) AS zone_name,
          CASE WHEN r.r_name = 'N/A' THEN 'na' ELSE lower(trim(r.r_name)) END AS service_zone,
-         {_zone_case('n.n_nationkey', 'r.r_name', False)} AS zone_classification
+         {_zone_case('n.n_nationkey', 'r.r_name', False)} AS zone_classification,
+         'tpch_nation' AS source_system
   FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
 ),
 dim_zone AS (
@@ -120,7 +137,8 @@ weather AS (
          CAST(temperature AS DECIMAL(8,3)) AS temperature_2m_c,
          CAST(precipitation AS DECIMAL(10,3)) AS precipitation_mm,
          CAST(weather_code AS INTEGER) AS weather_code,
-         {_wmo_case('weather_code')} AS weather_condition_category
+         {_wmo_case('weather_code')} AS weather_condition_category,
+         'tpch_events' AS source_system
   FROM ev_hours
 ),
 known_codes AS (SELECT * FROM (VALUES {WMO_VALUES}) AS t(weather_code, weather_condition)),

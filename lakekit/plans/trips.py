@@ -172,7 +172,7 @@ class StarBuild:
 
     def _table(self, name, build):
         from lakekit.session import cut_lineage
-        return self._get(name, lambda: cut_lineage(build()))
+        return self._get(name, lambda: cut_lineage(build(), name))
 
     # Bronze-shaped sources
     def raw_trips(self):
