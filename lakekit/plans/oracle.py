@@ -287,8 +287,7 @@ AVERAGES = f"""
     {ratio('total_trip_distance_miles', 'trips_with_eligible_distance', 3)} AS avg_trip_distance_miles,
     {ratio('total_fare_amount_usd', 'trips_with_eligible_fare', 2)} AS avg_fare_amount_usd"""
 
-Q1 = with_star(f""",
-q1 AS (
+Q1_AGG = f"""
   SELECT d.full_date AS pickup_date, d.day_of_week_name AS pickup_day_of_week, d.weekend_flag AS pickup_is_weekend,
          h.hour_of_day AS pickup_hour, h.time_of_day_band AS pickup_time_of_day_band,
          z.zone_name AS pickup_zone_name, z.borough AS pickup_borough, z.service_zone AS pickup_service_zone,
@@ -299,7 +298,10 @@ q1 AS (
   JOIN dim_hour h ON t.pickup_hour_key = h.hour_key
   LEFT JOIN dim_zone z ON t.pickup_zone_key = z.zone_key
   GROUP BY ALL
-)
+"""
+
+Q1 = with_star(f""",
+q1 AS ({Q1_AGG})
 SELECT *, {AVERAGES},
   CAST(DENSE_RANK() OVER (ORDER BY trip_count DESC) AS BIGINT) AS activity_rank_overall,
   CAST(DENSE_RANK() OVER (PARTITION BY pickup_hour ORDER BY trip_count DESC) AS BIGINT) AS activity_rank_within_hour
