@@ -17,21 +17,32 @@ from pyspark.sql import functions as F
 DUPLICATE_REASON = "duplicate_hash_collision"
 
 
-def collision_counts(df: DataFrame, key: str) -> DataFrame:
-    """``(key, collision_count)`` for keys that occur more than once."""
-    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("collision_count"))
+def collision_counts(df: DataFrame, key) -> DataFrame:
+    """``(key…, collision_count)`` for keys that occur more than once."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("collision_count"))
               .filter(F.col("collision_count") > 1))
 
 
-def with_collision_count(df: DataFrame, key: str) -> DataFrame:
+def with_collision_count(df: DataFrame, key) -> DataFrame:
     """Every row with ``collision_count`` = size of its key group (1 for singletons); null keys count as one
-    group, like ``COUNT(*) OVER (PARTITION BY key)``."""
-    dups = collision_counts(df, key).withColumnRenamed(key, "__dup_key")
-    joined = df.join(dups, df[key].eqNullSafe(dups["__dup_key"]), "left").drop("__dup_key")
+    group, like ``COUNT(*) OVER (PARTITION BY key)``.
+
+    ``key`` may be the identity hash or, cheaper to shuffle, the identity columns it is computed from (the same
+    groups, since the hash is a function of exactly those columns).
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    dups = collision_counts(df, keys)
+    dups = dups.select(*[F.col(k).alias(f"__dup_{k}") for k in keys], "collision_count")
+    cond = None
+    for k in keys:
+        c = df[k].eqNullSafe(dups[f"__dup_{k}"])
+        cond = c if cond is None else cond & c
+    joined = df.join(dups, cond, "left").drop(*[f"__dup_{k}" for k in keys])
     return joined.withColumn("collision_count", F.coalesce(F.col("collision_count"), F.lit(1)).cast("long"))
 
 
-def collision_split(df: DataFrame, key: str, reason: str = DUPLICATE_REASON) -> tuple[DataFrame, DataFrame]:
+def collision_split(df: DataFrame, key, reason: str = DUPLICATE_REASON) -> tuple[DataFrame, DataFrame]:
     """Split into (clean, quarantine). Clean rows are unique on ``key`` and drop the count; quarantine rows keep
     ``collision_count`` and get ``quarantine_reasons = [reason]``."""
     decided = with_collision_count(df, key)
@@ -41,7 +52,7 @@ def collision_split(df: DataFrame, key: str, reason: str = DUPLICATE_REASON) ->
     return clean, quarantine
 
 
-def expected_quarantine_rows(df: DataFrame, key: str) -> DataFrame:
+def expected_quarantine_rows(df: DataFrame, key) -> DataFrame:
     """Independent recomputation: one row ``(duplicate_groups, expected_quarantine_rows, excess_rows)``."""
     return (collision_counts(df, key)
             .agg(F.count(F.lit(1)).cast("long").alias("duplicate_groups"),

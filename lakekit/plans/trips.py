@@ -46,7 +46,7 @@ def silver_typed_trips(raw: DataFrame) -> DataFrame:
 def silver_trips(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(clean, quarantine): flags on every row, ambiguous identity groups quarantined with no survivor."""
     flagged = with_flags(silver_typed_trips(raw), trip_quality_flags())
-    return dedup.collision_split(flagged, "trip_hash")
+    return dedup.collision_split(flagged, TRIP_IDENTITY)
 
 
 def silver_zones(raw: DataFrame) -> DataFrame:
@@ -174,9 +174,9 @@ class StarBuild:
         from lakekit.session import cut_lineage
         return self._get(name, lambda: cut_lineage(build(), name))
 
-    # Bronze-shaped sources
+    # Bronze: the landed trip rows are a persisted table, as in the reference
     def raw_trips(self):
-        return self._get("raw_trips", lambda: raw_trips(self.t))
+        return self._table("raw_trips", lambda: raw_trips(self.t))
 
     def raw_zones(self):
         return self._get("raw_zones", lambda: raw_zones(self.t))
@@ -187,7 +187,7 @@ class StarBuild:
     # Silver
     def decided(self):
         return self._table("decided", lambda: dedup.with_collision_count(
-            with_flags(silver_typed_trips(self.raw_trips()), trip_quality_flags()), "trip_hash"))
+            with_flags(silver_typed_trips(self.raw_trips()), trip_quality_flags()), TRIP_IDENTITY))
 
     def clean(self):
         return self.decided().filter(F.col("collision_count") == 1).drop("collision_count")
