@@ -70,7 +70,7 @@ class LandingRun:
     def load(self) -> DataFrame:
         """One incremental run; returns the reconciliation report (one row per new file)."""
         # the new-file list is materialised once per run: it must not be re-derived after the run's own events
-        new = cut_lineage(ingest.one_file_per_content(self.discover()), "new_files")
+        new = cut_lineage(ingest.one_file_per_content(self.discover(), "raw_uri"), "new_files")
         self.store.append("ingestion_batches", control.batch_events(new.withColumn("target_table", F.lit(None)),
                                                                     "DISCOVERED", target_table="bronze_lineitem"))
         self.store.append("ingestion_batches", control.batch_events(new, "STARTED", target_table="bronze_lineitem"))
