@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakekit.functions.digest import version_id
 from lakekit.operators import ingest
 from lakekit.plans.tables import Tables
 from lakekit.session import cut_lineage, scratch_path
@@ -42,6 +43,14 @@ class LandingRun:
         (li.withColumn("period", F.date_format("l_shipdate", "yyyy-MM"))
          .repartition("period").write.partitionBy("period").parquet(self.landing))
 
+    def redeliver(self, period: str, keep) -> None:
+        """Deliver a revised version of one month's file (same object, new content): rows matching ``keep``."""
+        li = Tables(self.spark, self.sf_dir).lineitem.select(*LINE_COLS)
+        rows = li.withColumn("period", F.date_format("l_shipdate", "yyyy-MM")).filter(
+            (F.col("period") == period) & keep)
+        (rows.repartition(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("period").parquet(self.landing))
+
     def scan(self) -> DataFrame:
         rows = scan_parquet_folder(self.spark, self.landing)
         return rows.drop("period")
@@ -63,7 +72,9 @@ class LandingRun:
         rows = self.scan()
         files = ingest.file_fingerprints(rows, LINE_COLS, "raw_uri", ["source_object"])
         files = files.withColumn("source_period", F.regexp_extract("raw_uri", PERIOD_PATTERN, 1)) \
+            .withColumn("source_object", F.concat(F.lit("lineitem_"), F.col("source_period"), F.lit(".parquet"))) \
             .withColumn("source_system", F.lit(SOURCE_SYSTEM)) \
+            .withColumn("source_version_id", version_id("lineitem_", "content_sha256")) \
             .withColumn("batch_id", control.batch_id_for("source_system", "content_sha256"))
         return ingest.discover_new(files, self.batch_state(), self.target_contents(), SOURCE_SYSTEM)
 
@@ -71,6 +82,13 @@ class LandingRun:
         """One incremental run; returns the reconciliation report (one row per new file)."""
         # the new-file list is materialised once per run: it must not be re-derived after the run's own events
         new = cut_lineage(ingest.one_file_per_content(self.discover(), "raw_uri"), "new_files")
+        # a revised delivery of an object replaces it: supersede the old batch and drop its rows
+        # (matched by source object, not by the new content hash)
+        superseded = cut_lineage(control.supersede(self.batch_state(), new), "superseded")
+        old = [r["content_sha256"] for r in superseded.select("content_sha256").distinct().collect()]
+        if old:
+            self.store.drop_partitions("bronze_lineitem", "content_sha256", old)
+            self.store.append("ingestion_batches", superseded)
         self.store.append("ingestion_batches", control.batch_events(new.withColumn("target_table", F.lit(None)),
                                                                     "DISCOVERED", target_table="bronze_lineitem"))
         self.store.append("ingestion_batches", control.batch_events(new, "STARTED", target_table="bronze_lineitem"))
@@ -112,3 +130,19 @@ def streamed_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream_landing_folder(spark, run.landing, schema, LINE_COLS, target, f"{run.root}/stream_checkpoint",
                           PERIOD_PATTERN, max_files_per_trigger=16)
     return spark.read.parquet(target)
+
+
+def revised_delivery_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load all months, then re-deliver the latest month without its returned lines and load again.
+
+    Expected: the old batch of that month is SUPERSEDED, the revised one is SUCCESS with the smaller count, and
+    the target holds only the revised rows for that month.
+    """
+    run = LandingRun(spark, sf_dir)
+    run.deliver()
+    run.load()
+    latest = (Tables(spark, sf_dir).lineitem.agg(F.max(F.date_format("l_shipdate", "yyyy-MM")).alias("p"))
+              .first()["p"])  # one scalar
+    run.redeliver(latest, F.col("l_returnflag") != "R")
+    run.load()
+    return run

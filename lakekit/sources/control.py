@@ -64,11 +64,13 @@ def close_with_counts(started: DataFrame, landed_counts: DataFrame, key: str = "
 def supersede(current: DataFrame, new_batches: DataFrame) -> DataFrame:
     """SUPERSEDED events for live SUCCESS batches whose source object was delivered again with other content."""
     live = current.filter(F.col("status") == "SUCCESS").alias("o")
-    n = new_batches.alias("n")
+    n = new_batches.select("source_object", "source_system", F.col("content_sha256").alias("__new"),
+                           F.col("batch_id").alias("__by")).alias("n")
     j = live.join(n, (F.col("o.source_object") == F.col("n.source_object"))
                   & (F.col("o.source_system") == F.col("n.source_system"))
-                  & (F.col("o.content_sha256") != F.col("n.content_sha256")), "left_semi")
-    return batch_events(j.drop("event_at"), "SUPERSEDED")
+                  & (F.col("o.content_sha256") != F.col("n.__new")))
+    j = j.select("o.*").drop("event_at")
+    return batch_events(j, "SUPERSEDED")
 
 
 def run_events(run_id: str, layer: str, status: str, code_revision: str | None = None) -> str:

@@ -103,5 +103,12 @@ class SnapshotStore:
         df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy(*partition_by).parquet(f"{self._table(name)}/data")
 
+    def drop_partitions(self, name: str, column: str, values: list[str]) -> None:
+        """``DELETE WHERE column IN values`` for a partition column: remove those partition folders."""
+        for v in values:
+            p = self._Path(f"{self._table(name)}/data/{column}={v}")
+            if self._fs.exists(p):
+                self._fs.delete(p, True)
+
     def read_partitioned(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self._table(name)}/data")
