@@ -12,7 +12,7 @@ from lakekit.operators import dedup, dq, fingerprint, profile
 from lakekit.plans import checks, landing, oracle
 from lakekit.plans.catalog import register, star
 from lakekit.plans.catalog_ingest import MONTHS_SQL, _period
-from lakekit.plans.catalog_ops import TYPE_MAP_SQL, _fingerprint_sql
+from lakekit.plans.catalog_ops import TYPE_MAP_SQL, ZONE_ROW_SQL, _fingerprint_sql
 from lakekit.plans.oracle import sround, with_star
 from lakekit.plans.tables import Tables
 from lakekit.session import scratch_path
@@ -92,7 +92,7 @@ def s3_csv(spark, d):
 
 
 @register("s5_csv_reread_identity", f"""WITH rows AS (
-  SELECT 1 AS g, sha256({ 'concat_ws(' + "'|'" + ', coalesce(CAST(n.n_nationkey AS VARCHAR), ' + "'<null>'" + '), coalesce(r.r_name, ' + "'<null>'" + '), coalesce(n.n_name, ' + "'<null>'" + '), coalesce(r.r_name, ' + "'<null>'" + '))' }) AS digest
+  SELECT 1 AS g, sha256({ZONE_ROW_SQL}) AS digest
   FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
 ), {_fingerprint_sql('rows', 'g')}
 SELECT content_sha256, row_count FROM f""")
