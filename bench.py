@@ -2,10 +2,11 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
-Runs the job the reference schedules as 30 tasks — Silver (typed, flagged, de-duplicated trips; zones; hourly
-weather), the dimensions and both facts (written as tables), the four analytical questions plus the coverage
-report, and the data-quality gates — and prints one JSON line with the wall time of each stage and the total.
-Every stage is executed completely (results written to the ``noop`` sink or materialised), none is sampled.
+Runs the job the reference schedules as 30 tasks (``lakekit.plans.job.Job``) — Bronze, the gates of every layer,
+Silver (typed, flagged, de-duplicated trips; zones; hourly weather), the key maps, the dimensions and both facts
+(written as tables), the four analytical questions plus the coverage report — and prints one JSON line with the
+wall time of each step (steps of one layer run concurrently, so they overlap) and the total.  Every step is
+executed completely (results written to the ``noop`` sink or materialised), none is sampled.
 """
 
 from __future__ import annotations
@@ -13,55 +14,27 @@ from __future__ import annotations
 import json
 import os
 import sys
-import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from lakekit.plans import analytics, checks  # noqa: E402
-from lakekit.plans.trips import StarBuild  # noqa: E402
+from lakekit.plans.job import Job  # noqa: E402
 from lakekit.session import get_spark  # noqa: E402
 
 
-def run(df):
-    df.write.format("noop").mode("overwrite").save()
-
-
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = get_spark(f"local[{cpus}]", app="lakekit-bench", shuffle_partitions=int(cpus) * 2,
                       conf={"spark.driver.memory": "8g"})
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    times: dict[str, float] = {}
-
-    def stage(name, fn):
-        t0 = time.perf_counter()
-        out = fn()
-        times[name] = round(time.perf_counter() - t0, 3)
-        return out
-
-    t_all = time.perf_counter()
-    s = StarBuild(spark, sf_dir)
-    stage("bronze_trips", s.raw_trips)
-    stage("silver_trips", s.decided)
-    stage("silver_zones_weather", lambda: (s.zones(), s.weather()))
-    stage("dimensions", lambda: (s.dim_date(), s.dim_zone(), s.dim_weather_classification()))
-    stage("weather_fact", s.weather_fact)
-    stage("trip_fact", s.materialise)
-    f = s.trip_fact()
-    stage("q1_activity_by_time_and_zone", lambda: run(analytics.q1_activity_by_time_and_zone(
-        f, s.dim_date(), s.dim_hour(), s.dim_zone())))
-    stage("q2_trip_behavior_by_weather", lambda: run(analytics.q2_trip_behavior_by_weather(
-        f, s.weather_fact(), s.dim_weather_classification())))
-    stage("q2_coverage", lambda: run(analytics.trip_weather_coverage(f)))
-    stage("q3_mobility_patterns_by_zone", lambda: run(analytics.q3_mobility_patterns_by_zone(f, s.dim_zone())))
-    stage("q4_fare_efficiency_by_borough", lambda: run(analytics.q4_fare_efficiency_by_borough(f, s.dim_zone())))
-    tables = checks.gate_tables(s)
-    for name, make in checks.GATES.items():
-        stage(f"gate_{name}", lambda make=make: make().run(tables).collect())
-    total = round(time.perf_counter() - t_all, 3)
-    print(json.dumps({"metric": "full_job_wall_time", "value": total, "unit": "sec", "queries": times,
-                      "sf": float(sf) if sf.replace(".", "").isdigit() else sf, "cpus": int(cpus)}))
+    # gates are evaluated but do not stop the benchmark: on the driver tables the 0.1 % drop-off-before-pickup
+    # tolerance is exceeded by design of the data, and the job must still run every step to be timed
+    job = Job(spark, sf_dir, workers=4, enforce_gates=False).run()
+    blocked = sorted({r["layer"] + "." + r["dataset"] for r in job.gate_results().filter("status = 'FAIL'")
+                      .select("layer", "dataset").collect()})
+    print(json.dumps({"metric": "full_job_wall_time", "value": job.total, "unit": "sec", "queries": job.times,
+                      "sf": float(sf) if sf.replace(".", "").isdigit() else sf, "cpus": int(cpus),
+                      "gates_that_would_block": blocked}))
     spark.stop()
 
 
