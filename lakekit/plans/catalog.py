@@ -72,4 +72,5 @@ def _gate_query(gate_name: str):
 
 
 for _g in checks.GATES:
-    register(f"dq_gate_{_g}", checks.GATES[_g]().sql(oracle.STAR))(_gate_query(_g))
+    _ctes = oracle.ANALYTICS_CTES if _g == "analytics" else oracle.STAR
+    register(f"dq_gate_{_g}", checks.GATES[_g]().sql(_ctes))(_gate_query(_g))

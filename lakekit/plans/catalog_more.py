@@ -233,7 +233,9 @@ def _all_gate_results(spark, d):
     return dq.union_results(*[make().run(tables) for make in checks.GATES.values()])
 
 
-ALL_GATES_SQL = "\nUNION ALL\n".join(f"SELECT * FROM ({make().sql(oracle.STAR)})" for make in checks.GATES.values())
+ALL_GATES_SQL = "\nUNION ALL\n".join(
+    f"SELECT * FROM ({make().sql(oracle.ANALYTICS_CTES if name == 'analytics' else oracle.STAR)})"
+    for name, make in checks.GATES.items())
 
 
 @register("d2_gate_status_latest_run", f"""WITH r AS ({ALL_GATES_SQL})

@@ -78,7 +78,7 @@ class Job:
         t_all = time.perf_counter()
         self._parallel({"bronze_trips": s.raw_trips, "bronze_zones": lambda: _run(s.raw_zones()),
                         "weather_documents": lambda: _run(s.weather_documents())})
-        self._gates(["bronze_trips"])
+        self._gates(["bronze_trips", "bronze_zones"])
         self._parallel({"silver_trips": s.decided, "silver_zones": s.zones, "silver_weather": s.weather})
         self._gates(["silver_trips", "silver_zones", "silver_weather"])
         self._parallel({"trip_zone_map": lambda: _run(s.zone_map()),
@@ -99,6 +99,7 @@ class Job:
             "q3_mobility_patterns_by_zone": lambda: _run(analytics.q3_mobility_patterns_by_zone(f, s.dim_zone())),
             "q4_fare_efficiency_by_borough": lambda: _run(analytics.q4_fare_efficiency_by_borough(f, s.dim_zone())),
         })
+        self._gates(["analytics"])
         self.total = round(time.perf_counter() - t_all, 3)
         self.store.append("pipeline_runs", self.run_log())
         self.store.append("data_quality_results", dq.with_run(self.gate_results(), self.run_id))

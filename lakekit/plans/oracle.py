@@ -402,3 +402,15 @@ SELECT pickup_borough, trip_count, total_fare_amount_usd, total_trip_distance_mi
   CAST(DENSE_RANK() OVER (ORDER BY {ratio('total_fare_amount_usd', 'total_trip_distance_miles')} DESC NULLS LAST)
        AS BIGINT) AS fare_per_mile_rank
 FROM q4""")
+
+
+def as_cte(name: str, query: str) -> str:
+    """Turn one of the star queries above into a named CTE (nested WITH over the star CTEs)."""
+    rest = query[len("WITH " + STAR):].lstrip()
+    if rest.startswith(","):
+        return f"{name} AS (WITH {rest[1:].lstrip()})"
+    return f"{name} AS ({rest})"
+
+
+ANALYTICS_CTES = STAR + ",\n" + ",\n".join(
+    [as_cte("q1_result", Q1), as_cte("q2_result", Q2), as_cte("q3_result", Q3)])
