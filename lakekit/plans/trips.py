@@ -237,6 +237,30 @@ class StarBuild:
                                                         self.dim_zone(), self.weather_fact(), self.dim_date(),
                                                         self.dim_hour(), self.tz))
 
+    # Published analytical results (tables, as in the reference; the analytics gate reads these)
+    def q1_result(self):
+        from lakekit.plans import analytics
+        return self._table("q1_result", lambda: analytics.q1_activity_by_time_and_zone(
+            self.trip_fact(), self.dim_date(), self.dim_hour(), self.dim_zone()))
+
+    def q2_result(self):
+        from lakekit.plans import analytics
+        return self._table("q2_result", lambda: analytics.q2_trip_behavior_by_weather(
+            self.trip_fact(), self.weather_fact(), self.dim_weather_classification()))
+
+    def q2_coverage(self):
+        from lakekit.plans import analytics
+        return self._table("q2_coverage", lambda: analytics.trip_weather_coverage(self.trip_fact()))
+
+    def q3_result(self):
+        from lakekit.plans import analytics
+        return self._table("q3_result", lambda: analytics.q3_mobility_patterns_by_zone(self.trip_fact(), self.dim_zone()))
+
+    def q4_result(self):
+        from lakekit.plans import analytics
+        return self._table("q4_result", lambda: analytics.q4_fare_efficiency_by_borough(self.trip_fact(),
+                                                                                        self.dim_zone()))
+
     def materialise(self):
         """Checkpoint the trip fact too (the analytics all read it)."""
         from lakekit.session import cut_lineage
