@@ -35,6 +35,9 @@ ZONE_SPECIAL_BOROUGHS = {"EWR": "ewr"}
 ZONE_REGULAR_BOROUGHS = ["Bronx", "Brooklyn", "Manhattan", "Queens", "Staten Island"]
 ZONE_REGULAR_LABEL = "nyc_borough"
 ZONE_OTHER_LABEL = "other_special"
+# Plausible air temperature in degrees C: Bronze -50..60; Silver -90..60 (a null value also fails in Silver).
+BRONZE_TEMPERATURE_RANGE_C = (-50, 60)
+SILVER_TEMPERATURE_RANGE_C = (-90, 60)
 # DQ statuses and severities.
 DQ_STATUSES = ["PASS", "WARN", "FAIL", "INFO"]
 # ---------------------------------------------------------------------------------------------------------

@@ -16,10 +16,10 @@ from lakekit.functions.timeops import seconds_between
 def explode_parallel_arrays(df: DataFrame, arrays: dict[str, str], keep=(), position: str | None = None) -> DataFrame:
     """Zip N parallel arrays by position and explode into one row per position.
 
-    ``arrays`` maps output column → array column path.  A shorter array pads with null (gate alignment first);
-    ``position`` optionally names a 0-based position column (``posexplode``).
+    ``arrays`` maps output column → array column path (or an array Column).  A shorter array pads with null (gate
+    alignment first); ``position`` optionally names a 0-based position column (``posexplode``).
     """
-    zipped = F.arrays_zip(*[F.col(src).alias(dst) for dst, src in arrays.items()])
+    zipped = F.arrays_zip(*[(F.col(src) if isinstance(src, str) else src).alias(dst) for dst, src in arrays.items()])
     if position:
         ex = df.select(*keep, F.posexplode(zipped).alias(position, "__row"))
     else:

@@ -77,8 +77,8 @@ class Job:
         s = self.s
         t_all = time.perf_counter()
         self._parallel({"bronze_trips": s.raw_trips, "bronze_zones": lambda: _run(s.raw_zones()),
-                        "weather_documents": lambda: _run(s.weather_documents())})
-        self._gates(["bronze_trips", "bronze_zones"])
+                        "weather_documents": s.weather_documents})
+        self._gates(["bronze_trips", "bronze_zones", "bronze_weather"])
         self._parallel({"silver_trips": s.decided, "silver_zones": s.zones, "silver_weather": s.weather})
         self._gates(["silver_trips", "silver_zones", "silver_weather"])
         self._parallel({"trip_zone_map": lambda: _run(s.zone_map()),

@@ -126,6 +126,33 @@ ev_hours AS (
          CAST(arg_max(k, (ts, event_id)) AS BIGINT) AS weather_code
   FROM ev GROUP BY hour_utc
 ),
+bronze_weather AS (
+  SELECT 'events_city' AS coordinate_id, 'events_hourly' AS weather_model,
+         CAST(hour_utc AS DATE) AS requested_start_date, CAST(hour_utc AS DATE) AS requested_end_date,
+         {{'time': list(strftime(hour_utc, '%Y-%m-%dT%H:%M') ORDER BY hour_utc),
+          'temperature_2m': list(temperature ORDER BY hour_utc),
+          'precipitation': list(precipitation ORDER BY hour_utc),
+          'weather_code': list(weather_code ORDER BY hour_utc)}} AS hourly,
+         'tpch_events' AS source_system
+  FROM ev_hours GROUP BY CAST(hour_utc AS DATE)
+),
+bronze_weather_obs AS (
+  SELECT 'events_city' AS coordinate_id, 'events_hourly' AS weather_model,
+         CAST(hour_utc AS DATE) AS requested_start_date, CAST(hour_utc AS DATE) AS requested_end_date,
+         strftime(hour_utc, '%Y-%m-%dT%H:%M') AS observation_time, temperature AS temperature_2m, precipitation,
+         weather_code, hour_utc AS observation_ts,
+         ROW_NUMBER() OVER (PARTITION BY CAST(hour_utc AS DATE) ORDER BY hour_utc) - 1 AS pos
+  FROM ev_hours
+),
+bronze_weather_rows AS (
+  SELECT *,
+         LAG(observation_ts) OVER (PARTITION BY coordinate_id, weather_model, requested_start_date,
+                                                requested_end_date ORDER BY pos) AS previous_ts,
+         concat_ws('|', coalesce(coordinate_id, '<null>'), coalesce(weather_model, '<null>'),
+                   coalesce(observation_time, '<null>')) AS observation_key
+  FROM bronze_weather_obs
+),
+source_events AS (SELECT ts FROM events),
 weather AS (
   SELECT sha256(concat_ws('|', 'events_city', CAST(hour_utc AS VARCHAR), 'events_hourly')) AS weather_observation_key,
          'events_city' AS coordinate_id,

@@ -53,6 +53,32 @@ def silver_zones(raw: DataFrame) -> DataFrame:
     return star.standardise_zones(raw, **ZONE_RULE)
 
 
+WEATHER_RESPONSE_KEY = ["coordinate_id", "weather_model", "requested_start_date", "requested_end_date"]
+
+
+def bronze_weather_observations(docs: DataFrame) -> DataFrame:
+    """Bronze responses flattened by position of the time array; sibling values and the previous timestamp are
+    read from the same document by index (null when a sibling is short or missing).
+
+    Each output row only reads its own document, so the order / continuity checks need no window and no
+    shuffle.  ``observation_key`` renders the series key with explicit null tokens, so null timestamps still
+    collide as duplicates.
+    """
+    rows = docs.select(*WEATHER_RESPONSE_KEY, "hourly", F.posexplode("hourly.time").alias("pos", "observation_time"))
+    fmt = F.lit("yyyy-MM-dd'T'HH:mm")
+    pos = F.col("pos")
+    return rows.select(
+        *WEATHER_RESPONSE_KEY, "pos", "observation_time",
+        F.get("hourly.temperature_2m", pos).alias("temperature_2m"),
+        F.get("hourly.precipitation", pos).alias("precipitation"),
+        F.get("hourly.weather_code", pos).alias("weather_code"),
+        F.to_timestamp_ntz("observation_time", fmt).alias("observation_ts"),
+        F.to_timestamp_ntz(F.when(pos > 0, F.get("hourly.time", pos - 1)), fmt).alias("previous_ts"),
+        F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("<null>"))
+                           for c in ("coordinate_id", "weather_model", "observation_time")]).alias("observation_key"),
+    )
+
+
 def silver_weather(docs: DataFrame, tz: str = LOCAL_TZ) -> DataFrame:
     """Zip the parallel hourly arrays by position and explode; key = hash(coordinate, UTC hour, model)."""
     rows = explode_parallel_arrays(
@@ -182,7 +208,8 @@ class StarBuild:
         return self._get("raw_zones", lambda: raw_zones(self.t))
 
     def weather_documents(self):
-        return self._get("weather_documents", lambda: weather_documents(self.t))
+        # Bronze responses are a persisted table: the hourly aggregation of the source runs once
+        return self._table("weather_documents", lambda: weather_documents(self.t))
 
     # Silver
     def decided(self):
