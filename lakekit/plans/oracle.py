@@ -62,7 +62,7 @@ raw_trips AS (
          CAST(c.c_acctbal AS DECIMAL(18,2)) AS fare_amount_usd,
          CAST(l.l_extendedprice AS DECIMAL(18,2)) AS total_amount_usd,
          l.l_quantity AS trip_distance_raw, c.c_acctbal AS fare_amount_raw, l.l_extendedprice AS total_amount_raw,
-         'tpch_lineitem' AS source_system
+         'tpch_lineitem' AS source_system, 'lineitem.parquet' AS source_file  -- one file per driver table
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
   LEFT JOIN customer c ON o.o_custkey = c.c_custkey
@@ -168,6 +168,26 @@ weather AS (
          'tpch_events' AS source_system
   FROM ev_hours
 ),
+weather_ordered AS (
+  SELECT observation_timestamp_utc, observation_timestamp_local,
+         LAG(observation_timestamp_utc) OVER s AS prev_utc, LAG(observation_timestamp_local) OVER s AS prev_local,
+         date_diff('second', LAG(observation_timestamp_utc) OVER s, observation_timestamp_utc) AS step_seconds
+  FROM weather WINDOW s AS (PARTITION BY coordinate_id, weather_model ORDER BY observation_timestamp_utc)
+),
+weather_local_dates AS (
+  SELECT coordinate_id, weather_model, observation_date_local AS local_date,
+         COUNT(DISTINCT observation_hour_local) AS distinct_hours
+  FROM weather GROUP BY coordinate_id, weather_model, observation_date_local
+),
+weather_interior_dates AS (
+  SELECT h.* FROM weather_local_dates h
+  JOIN (SELECT coordinate_id, weather_model, MIN(local_date) AS lo, MAX(local_date) AS hi
+        FROM weather_local_dates GROUP BY coordinate_id, weather_model) b
+    ON h.coordinate_id = b.coordinate_id AND h.weather_model = b.weather_model
+  WHERE h.local_date > b.lo AND h.local_date < b.hi
+),
+source_nation AS (SELECT n_nationkey FROM nation),
+source_lineitem AS (SELECT l_orderkey FROM lineitem),
 known_codes AS (SELECT * FROM (VALUES {WMO_VALUES}) AS t(weather_code, weather_condition)),
 all_codes AS (
   SELECT weather_code, weather_condition FROM known_codes
@@ -267,7 +287,8 @@ fact AS (
     COALESCE(t.passenger_count = 0, false) AS passenger_count_zero_flag,
     COALESCE(t.passenger_count > 8, false) AS passenger_count_over_8_flag,
     zm.pickup_zone_match_status, zm.dropoff_zone_match_status,
-    wm.pickup_weather_match_status AS weather_match_status
+    wm.pickup_weather_match_status AS weather_match_status,
+    t.source_system, t.source_file
   FROM clean t
   JOIN zone_map zm ON zm.trip_hash = t.trip_hash
   JOIN weather_map wm ON wm.trip_hash = t.trip_hash
