@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakekit.operators import ingest
-from lakekit.plans import landing
+from lakekit.plans import checks, landing
 from lakekit.plans.catalog import register, star
 from lakekit.plans.catalog_ops import TYPE_MAP_SQL, TABLE_LIST_SQL
 from lakekit.plans.tables import TABLES, Tables
@@ -86,6 +86,26 @@ def c53_checks(spark, d):
     return control.control_checks_frame(control.latest_state(ev), ev)
 
 
+CONTROL_CTES = f"""m AS ({MONTHS_SQL}),
+batch_state AS (
+  SELECT 'batch_' || source_period AS batch_id, 'tpch_lineitem' AS source_system, 'c_' || source_period AS content_sha256,
+         'SUCCESS' AS status, n AS row_count, now() AS discovered_at, now() AS started_at, now() AS completed_at
+  FROM m),
+batch_registrations AS (SELECT batch_id FROM batch_state),
+success_per_content AS (
+  SELECT source_system, content_sha256, COUNT_IF(status = 'SUCCESS') AS success_count
+  FROM batch_state GROUP BY source_system, content_sha256)"""
+
+
+@register("dq_gate_control", checks.control_gate().sql(CONTROL_CTES))
+def dq_gate_control(spark, d):
+    run = landing.LandingRun(spark, d)
+    run.deliver()
+    run.load()
+    ev = run.store.read_log("ingestion_batches", control.BATCH_EVENT_SCHEMA)
+    return checks.control_gate().run(checks.control_tables(ev))
+
+
 @register("c55_lineage_trace_rows_to_batches", f"""WITH m AS ({MONTHS_SQL})
 SELECT source_period, 'SUCCESS' AS status, CAST(n AS BIGINT) AS rows FROM m""")
 def c55_lineage(spark, d):

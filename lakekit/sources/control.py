@@ -55,6 +55,28 @@ def latest_state(events: DataFrame, key: str = "batch_id", ts: str = "event_at")
     return events.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
 
 
+def batch_lifecycle(events: DataFrame, key: str = "batch_id", ts: str = "event_at") -> DataFrame:
+    """One row per batch with its lifecycle timestamps: latest status, content, landed row count, and when it was
+    discovered, started and completed (the columns a mutable batch table would hold).
+
+    A grouped aggregate per batch (a handful of events each), partially aggregated before the shuffle.
+    """
+    order = F.create_map(*[x for k, v in STATUS_ORDER.items() for x in (F.lit(k), F.lit(v))])
+    latest = F.struct(F.col(ts), order[F.col("status")])
+
+    def first_at(*statuses):
+        return F.min(F.when(F.col("status").isin(*statuses), F.col(ts)))
+
+    return events.groupBy(key).agg(
+        F.max_by("status", latest).alias("status"),
+        F.max_by("source_system", latest).alias("source_system"),
+        F.max_by("content_sha256", latest).alias("content_sha256"),
+        F.max_by("row_count", F.when(F.col("row_count").isNotNull(), latest)).alias("row_count"),
+        first_at("DISCOVERED").alias("discovered_at"),
+        first_at("STARTED").alias("started_at"),
+        F.max(F.when(F.col("status").isin("SUCCESS", "FAILED"), F.col(ts))).alias("completed_at"))
+
+
 def close_with_counts(started: DataFrame, landed_counts: DataFrame, key: str = "batch_id") -> DataFrame:
     """SUCCESS events for started batches, carrying the landed row count (aggregate merged back per batch)."""
     j = started.drop("row_count").join(landed_counts, key, "left")

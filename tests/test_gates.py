@@ -51,3 +51,41 @@ def test_bronze_weather_gate_planted_anomalies(spark):
     assert got["timestamp_not_null"][1] == 33  # observations = positions of the time arrays
     assert got["weather_model_not_null"][2] == "FAIL"  # WARN with a 0 % tolerance
     assert got["observation_count_measurement"][2] == "INFO"
+
+
+def test_control_gate_planted_lifecycle_anomalies(spark):
+    from lakekit.sources import control
+    now = dt.datetime.now(dt.timezone.utc)
+    t, m = now - dt.timedelta(hours=1), dt.timedelta(minutes=1)
+
+    def ev(batch, content, status, at, rows=None):
+        return (batch, "src", content, rows, status, at)
+
+    events = [
+        ev("b1", "c1", "DISCOVERED", t), ev("b1", "c1", "STARTED", t + m), ev("b1", "c1", "SUCCESS", t + 2 * m, 10),
+        # same content loaded twice
+        ev("b2", "c1", "DISCOVERED", t), ev("b2", "c1", "STARTED", t + m), ev("b2", "c1", "SUCCESS", t + 2 * m, 5),
+        # stuck for 7 hours
+        ev("b3", "c3", "DISCOVERED", now - dt.timedelta(hours=7)), ev("b3", "c3", "STARTED", now - dt.timedelta(hours=7)),
+        # SUCCESS without a landed row count
+        ev("b4", "c4", "DISCOVERED", t), ev("b4", "c4", "STARTED", t + m), ev("b4", "c4", "SUCCESS", t + 2 * m),
+        # completed before started
+        ev("b5", "c5", "DISCOVERED", t), ev("b5", "c5", "SUCCESS", t + 5 * m, 3), ev("b5", "c5", "STARTED", t + 10 * m),
+        # status outside the domain
+        ev("b6", "c6", "DISCOVERED", t), ev("b6", "c6", "DONE", t + m),
+        # registered twice
+        ev("b7", "c7", "DISCOVERED", t), ev("b7", "c7", "DISCOVERED", t + m),
+    ]
+    df = spark.createDataFrame(events, "batch_id string, source_system string, content_sha256 string, "
+                                       "row_count long, status string, event_at timestamp")
+    res = checks.control_gate().run(checks.control_tables(df))
+    got = {r["check_name"]: (r["fail_count"], r["total_count"], r["status"], r["details"]) for r in res.collect()}
+    assert {k: v[0] for k, v in got.items()} == {
+        "ingestion_batches_not_empty": 0, "batch_id_unique": 1, "no_duplicate_successful_batches": 1,
+        "no_stuck_batches": 1, "batch_lifecycle_consistent": 2, "status_in_allowed_domain": 1,
+        "source_systems_registering_batches": 0}
+    assert got["no_duplicate_successful_batches"][1] == 6  # content groups
+    assert got["no_stuck_batches"][2] == "FAIL"  # WARN at a 0 % tolerance
+    assert got["source_systems_registering_batches"][3] == "sources with a SUCCESS batch: src"
+    state = {r["batch_id"]: r for r in control.batch_lifecycle(df).collect()}
+    assert state["b5"]["status"] == "STARTED" and state["b4"]["row_count"] is None and state["b1"]["row_count"] == 10
