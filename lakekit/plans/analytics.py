@@ -165,3 +165,59 @@ def build_reconciliation(published: DataFrame, fact: DataFrame, published_col: s
                       F.count(F.lit(1)).cast("long").alias("result_rows"))
     f = fact.agg(F.sum("trip_count").cast("long").alias("gold_trip_count"))
     return p.crossJoin(f)  # two one-row aggregates
+
+
+# --- spot checks: the top published cell of each question, recomputed from the facts ------------------------
+# The target is one row (deterministic full-order top-1), broadcast against the fact on its dimension keys, so
+# the recomputation is a filtered scan of the fact with no shuffle of fact rows.
+
+def q1_spot_check(q1: DataFrame, fact: DataFrame, dim_date: DataFrame, dim_hour: DataFrame,
+                  dim_zone: DataFrame) -> DataFrame:
+    """(published_trips, recomputed_trips) for the busiest date × hour × zone cell of Q1."""
+    target = (q1.orderBy(F.col("trip_count").desc(), F.col("pickup_date").asc_nulls_first(),
+                         F.col("pickup_hour").asc_nulls_first(), F.col("pickup_zone_name").asc_nulls_first())
+              .limit(1).select("pickup_date", "pickup_hour", "pickup_zone_name",
+                               F.col("trip_count").alias("published_trips")))
+    keys = (target.join(dim_date.select(F.col("full_date").alias("pickup_date"), "date_key"), "pickup_date")
+            .join(dim_hour.select(F.col("hour_of_day").alias("pickup_hour"), "hour_key"), "pickup_hour"))
+    f = fact.join(F.broadcast(keys), (fact["pickup_date_key"] == keys["date_key"])
+                  & (fact["pickup_hour_key"] == keys["hour_key"]))
+    z = broadcast_if_small(dim_zone.select("zone_key", "zone_name"), 1_000_000)
+    f = f.join(z, f["pickup_zone_key"] == z["zone_key"], "left") \
+        .filter(F.col("zone_name").eqNullSafe(F.col("pickup_zone_name")))
+    recomputed = f.agg(F.sum("trip_count").cast("long").alias("recomputed_trips"))
+    return target.crossJoin(recomputed).select("published_trips", "recomputed_trips")
+
+
+def q2_spot_check(q2: DataFrame, fact: DataFrame, weather_fact: DataFrame, classes: DataFrame) -> DataFrame:
+    """Trips and covered hours of the busiest weather condition × band of Q2, recomputed from both facts
+    (zero when no trip carries the class)."""
+    target = (q2.orderBy(F.col("trip_count").desc(), F.col("weather_condition").asc_nulls_first(),
+                         F.col("precipitation_band").asc_nulls_first())
+              .limit(1).select("weather_condition", "precipitation_band",
+                               F.col("trip_count").alias("published_trips"), "covered_hours"))
+    keys = F.broadcast(target.join(classes.select("weather_condition", "precipitation_band",
+                                                  "weather_classification_key"),
+                                   ["weather_condition", "precipitation_band"]).select("weather_classification_key"))
+    trips = fact.join(keys, fact["pickup_weather_classification_key"] == keys["weather_classification_key"],
+                      "left_semi").agg(F.coalesce(F.sum("trip_count"), F.lit(0)).cast("long").alias("recomputed_trips"))
+    hours = weather_fact.join(keys, "weather_classification_key", "left_semi") \
+        .agg(F.count(F.lit(1)).cast("long").alias("recomputed_hours"))
+    return target.crossJoin(trips).crossJoin(hours).select("published_trips", "recomputed_trips", "covered_hours",
+                                                           "recomputed_hours")
+
+
+def q3_spot_check(q3: DataFrame, fact: DataFrame, dim_zone: DataFrame) -> DataFrame:
+    """Pickups and average fare (summed fare over eligible trips) of the busiest zone of Q3, recomputed."""
+    e = eligibility()
+    target = (q3.filter(F.col("pickup_count") > 0)
+              .orderBy(F.col("pickup_count").desc(), F.col("zone_name").asc_nulls_first()).limit(1)
+              .select("zone_name", F.col("pickup_count").alias("published_pickups"),
+                      F.col("avg_fare_amount_usd").alias("published_avg_fare")))
+    keys = F.broadcast(target.join(dim_zone.select("zone_name", "zone_key"), "zone_name").select("zone_key"))
+    f = fact.join(keys, fact["pickup_zone_key"] == keys["zone_key"], "left_semi")
+    recomputed = f.agg(F.sum("trip_count").cast("long").alias("recomputed_pickups"),
+                       safe_ratio(eligible_sum("fare_amount_usd", e["fare_eligible"]).cast(MONEY_T),
+                                  eligible_count(e["fare_eligible"]), 2).alias("recomputed_avg_fare"))
+    return target.crossJoin(recomputed).select("published_pickups", "recomputed_pickups", "published_avg_fare",
+                                               "recomputed_avg_fare")

@@ -460,5 +460,50 @@ def as_cte(name: str, query: str) -> str:
     return f"{name} AS ({rest})"
 
 
+SPOT_CTES = f"""
+q1_target AS (
+  SELECT pickup_date, pickup_hour, pickup_zone_name, trip_count AS published_trips FROM q1_result
+  ORDER BY trip_count DESC, pickup_date NULLS FIRST, pickup_hour NULLS FIRST, pickup_zone_name NULLS FIRST LIMIT 1),
+q1_spot AS (
+  SELECT t.published_trips,
+         (SELECT CAST(SUM(f.trip_count) AS BIGINT) FROM fact f
+          JOIN dim_date d ON f.pickup_date_key = d.date_key
+          JOIN dim_hour h ON f.pickup_hour_key = h.hour_key
+          LEFT JOIN dim_zone z ON f.pickup_zone_key = z.zone_key
+          WHERE d.full_date = t.pickup_date AND h.hour_of_day = t.pickup_hour
+            AND z.zone_name IS NOT DISTINCT FROM t.pickup_zone_name) AS recomputed_trips
+  FROM q1_target t),
+q2_target AS (
+  SELECT weather_condition, precipitation_band, trip_count AS published_trips, covered_hours FROM q2_result
+  ORDER BY trip_count DESC, weather_condition NULLS FIRST, precipitation_band NULLS FIRST LIMIT 1),
+q2_keys AS (
+  SELECT c.weather_classification_key FROM q2_target t
+  JOIN dim_wc c ON c.weather_condition = t.weather_condition AND c.precipitation_band = t.precipitation_band),
+q2_spot AS (
+  SELECT t.published_trips,
+         CAST(COALESCE((SELECT SUM(trip_count) FROM fact
+                        WHERE pickup_weather_classification_key IN (SELECT * FROM q2_keys)), 0) AS BIGINT)
+           AS recomputed_trips,
+         t.covered_hours,
+         (SELECT CAST(COUNT(*) AS BIGINT) FROM weather_fact
+          WHERE weather_classification_key IN (SELECT * FROM q2_keys)) AS recomputed_hours
+  FROM q2_target t),
+q3_target AS (
+  SELECT zone_name, pickup_count AS published_pickups, avg_fare_amount_usd AS published_avg_fare FROM q3_result
+  WHERE pickup_count > 0 ORDER BY pickup_count DESC, zone_name NULLS FIRST LIMIT 1),
+q3_spot AS (
+  SELECT t.published_pickups, r.recomputed_pickups, t.published_avg_fare, r.recomputed_avg_fare
+  FROM q3_target t CROSS JOIN (
+    SELECT CAST(SUM(f.trip_count) AS BIGINT) AS recomputed_pickups,
+           {sround("CAST(CAST(SUM(CASE WHEN NOT f.negative_fare_amount_flag THEN f.fare_amount_usd END) "
+                   "AS DECIMAL(38,2)) AS DOUBLE) / CAST(NULLIF(COUNT_IF(NOT f.negative_fare_amount_flag), 0) AS DOUBLE)",
+                   2)} AS recomputed_avg_fare
+    FROM fact f JOIN dim_zone z ON f.pickup_zone_key = z.zone_key
+    WHERE z.zone_name = (SELECT zone_name FROM q3_target)) r),
+q1_by_class AS (
+  SELECT pickup_zone_classification, CAST(SUM(trip_count) AS BIGINT) AS n FROM q1_result
+  GROUP BY pickup_zone_classification)"""
+
 ANALYTICS_CTES = STAR + ",\n" + ",\n".join(
-    [as_cte("q1_result", Q1), as_cte("q2_result", Q2), as_cte("q3_result", Q3)])
+    [as_cte("q1_result", Q1), as_cte("q2_result", Q2), as_cte("q3_result", Q3), as_cte("q2_coverage", COVERAGE)]) \
+    + "," + SPOT_CTES
