@@ -89,3 +89,20 @@ def test_control_gate_planted_lifecycle_anomalies(spark):
     assert got["source_systems_registering_batches"][3] == "sources with a SUCCESS batch: src"
     state = {r["batch_id"]: r for r in control.batch_lifecycle(df).collect()}
     assert state["b5"]["status"] == "STARTED" and state["b4"]["row_count"] is None and state["b1"]["row_count"] == 10
+
+
+def test_lookups_required_and_optional_keys_share_one_pass(spark):
+    fact = spark.createDataFrame(
+        [(1, 10, 100), (2, None, 100), (3, 99, None), (4, 10, 555), (5, 10, 100)],
+        "id int, date_key int, zone_key int")
+    dates = spark.createDataFrame([(10,), (10,), (11,)], "date_key int")  # a repeated key must not fan out
+    zones = spark.createDataFrame([(100,)], "zone_key int")
+    g = checks.Gate("t", "t")
+    g.lookups("required_date", "fact", [("date_key", "dates", "date_key", True)])
+    g.lookups("optional_zone", "fact", [("zone_key", "zones", "zone_key", False)])
+    g.lookups("any", "fact", [("date_key", "dates", "date_key", True), ("zone_key", "zones", "zone_key", False)])
+    g.row_check("odd_ids", "X", "FAIL", 0.0, "fact", "id % 2 = 1")
+    got = {r["check_name"]: (r["fail_count"], r["total_count"])
+           for r in g.run({"fact": fact, "dates": dates, "zones": zones}).collect()}
+    # required: null (id 2) and unmatched (id 3) fail; optional: only the non-null unmatched 555 (id 4)
+    assert got == {"required_date": (2, 5), "optional_zone": (1, 5), "any": (3, 5), "odd_ids": (3, 5)}
