@@ -105,8 +105,10 @@ def raw_trips(t: Tables) -> DataFrame:
 
 def raw_zones(t: Tables) -> DataFrame:
     """Zone snapshot rows (Bronze-shaped) from ``nation`` ⋈ ``region``."""
+    from lakekit.operators.sizing import broadcast_if_small
     n, r = t.nation, t.region
-    return n.join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"], "left").select(
+    r = broadcast_if_small(r.select("r_regionkey", "r_name"), 100_000)  # region names: a size-checked lookup
+    return n.join(r, n["n_regionkey"] == r["r_regionkey"], "left").select(
         F.col("n_nationkey").alias("location_id"),
         F.col("r_name").alias("borough"),
         F.col("n_name").alias("zone"),
