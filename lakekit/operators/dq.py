@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakekit.functions.classify import dq_status
@@ -166,9 +166,10 @@ def with_run(results: DataFrame, run_id: str, executed_at: str | None = None, co
 def gate_status(log: DataFrame) -> DataFrame:
     """Latest run per (layer, dataset) with deterministic tie-break (``executed_at`` desc, ``run_id`` desc) and
     its status counts.  A gate that never ran has no row (callers treat missing as not passed)."""
-    runs = log.select("layer", "dataset", "run_id", "executed_at").distinct()
-    w = Window.partitionBy("layer", "dataset").orderBy(F.col("executed_at").desc(), F.col("run_id").desc())
-    latest = runs.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+    # latest run as an aggregate (max of (executed_at, run_id); nulls order first, so they lose), partially
+    # aggregated per gate before the shuffle instead of a window over the whole history of a gate
+    latest = (log.groupBy("layer", "dataset").agg(F.max(F.struct("executed_at", "run_id")).alias("__latest"))
+              .select("layer", "dataset", "__latest.executed_at", "__latest.run_id"))
     j = latest.join(log.drop("executed_at"), ["layer", "dataset", "run_id"])
     return j.groupBy("layer", "dataset", "executed_at", "run_id").agg(
         F.when(F.count_if(F.col("status") == "FAIL") > 0, "FAIL").otherwise("PASS").alias("status"),

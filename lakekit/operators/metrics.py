@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakekit.operators.sizing import broadcast_if_small
+from lakekit.session import cut_lineage
 
 
 def _c(c) -> Column:
@@ -103,7 +104,9 @@ def global_dense_rank_distributed(df: DataFrame, order_col: str, out: str, desce
                   .withColumn("__pid", F.shiftright(F.col("__mid"), 33))
                   .withColumn("__pos", F.col("__mid") - F.shiftleft(F.col("__pid"), 33) + 1)
                   .drop("__mid"))
-    positioned = positioned.persist()
+    # written once to the shared checkpoint folder: the sampled range bounds and positions must not be
+    # recomputed differently for the counts and the rank lookup if an executor is lost
+    positioned = cut_lineage(positioned, "rank_positions")
     counts = positioned.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.withColumn(
         "__offset", F.coalesce(F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),

@@ -49,6 +49,39 @@ def with_previous(df: DataFrame, series_keys, order_col: str, value_col: str, ou
     return df.withColumn(out, F.lag(value_col).over(w))
 
 
+def lag_distributed(df: DataFrame, keys, order, values: dict[str, str], num_partitions: int | None = None) -> DataFrame:
+    """``LAG(value) OVER (PARTITION BY keys ORDER BY order)`` for every ``value -> out`` pair, safe when one key
+    holds a large share of the rows.
+
+    The rows are range-partitioned on (keys, order), so a hot key is spread over several contiguous partitions
+    instead of one task; the partition id is stored with the rows (written once to the shared checkpoint folder,
+    so a retried task cannot move rows between partitions).  LAG is taken inside each (partition, key) slice,
+    and the first row of a slice takes the last row of the same key in the previous partition — the only place
+    the key can continue from.  ``order`` must make rows unique within a key (e.g. end with an id).
+    """
+    from lakekit.session import cut_lineage
+    keys, order = list(keys), list(order)
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = cut_lineage(df.repartitionByRange(n, *keys, *order).withColumn("__pid", F.spark_partition_id()),
+                         "lag_ranges")
+    w = Window.partitionBy("__pid", *keys).orderBy(*order)
+    sliced = ranged.withColumn("__first", F.row_number().over(w) == 1)
+    for v, out in values.items():
+        sliced = sliced.withColumn(out, F.lag(v).over(w))
+    last = ranged.groupBy("__pid", *keys).agg(
+        F.max_by(F.struct(*[F.col(v).alias(v) for v in values]), F.struct(*order)).alias("__last"))
+    last = last.select((F.col("__pid") + 1).alias("__next_pid"), *[F.col(k).alias(f"__lk_{k}") for k in keys],
+                       "__last")
+    cond = sliced["__pid"] == last["__next_pid"]
+    for k in keys:
+        cond = cond & sliced[k].eqNullSafe(last[f"__lk_{k}"])
+    j = sliced.join(last, cond, "left")
+    return j.select(*[c for c in df.columns],
+                    *[F.when(F.col("__first"), F.col(f"__last.{v}")).otherwise(F.col(out)).alias(out)
+                      for v, out in values.items()])
+
+
 def continuity_report(df: DataFrame, series_keys, utc_col: str, local_col: str, step_seconds: int = 3600) -> DataFrame:
     """One row per series: rows, gaps (step ≠ 1 h), duplicate times, local order violations, first/last time."""
     w = Window.partitionBy(*series_keys).orderBy(utc_col)

@@ -159,3 +159,21 @@ def test_explode_parallel_arrays_and_continuity(spark):
         F.col("t"), F.lit("yyyy-MM-dd'T'HH:mm"))).withColumn("l", F.col("u"))
     rep = continuity_report(s, ["coord"], "u", "l").first()
     assert (rep["rows"], rep["gaps"], rep["duplicate_times"]) == (3, 1, 0)
+
+
+def test_lag_distributed_matches_window_with_hot_key(spark):
+    from pyspark.sql import Window
+    from lakekit.operators.series import lag_distributed
+    rows = [(1, i % 97, i) for i in range(3000)]  # one key with most rows, repeated timestamps
+    rows += [(k, k * 3, 10_000 + k) for k in range(2, 60)] + [(None, 5, 20_000), (None, 1, 20_001), (7, None, 30_000)]
+    df = spark.createDataFrame(rows, "k int, t int, id int")
+    got = lag_distributed(df, ["k"], ["t", "id"], {"t": "prev_t", "id": "prev_id"}, num_partitions=8)
+    w = Window.partitionBy("k").orderBy("t", "id")
+    exp = df.select("*", F.lag("t").over(w).alias("prev_t"), F.lag("id").over(w).alias("prev_id"))
+    assert got.count() == df.count()
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, exp.collect()), key=repr)
+    # the hot key really was spread over several range partitions
+    assert df.repartitionByRange(8, "k", "t", "id").filter("k = 1").rdd.getNumPartitions() == 8
+    spread = df.repartitionByRange(8, "k", "t", "id").select(F.spark_partition_id().alias("p"), "k") \
+        .filter("k = 1").select("p").distinct().count()
+    assert spread > 1
