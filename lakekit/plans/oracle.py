@@ -505,5 +505,6 @@ q1_by_class AS (
   GROUP BY pickup_zone_classification)"""
 
 ANALYTICS_CTES = STAR + ",\n" + ",\n".join(
-    [as_cte("q1_result", Q1), as_cte("q2_result", Q2), as_cte("q3_result", Q3), as_cte("q2_coverage", COVERAGE)]) \
+    [as_cte("q1_result", Q1), as_cte("q2_result", Q2), as_cte("q3_result", Q3), as_cte("q2_coverage", COVERAGE),
+     as_cte("q4_result", Q4)]) \
     + "," + SPOT_CTES
