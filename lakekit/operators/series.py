@@ -1,8 +1,8 @@
 """Time-series operators: parallel-array explode, alignment, continuity, order and DST-bound checks.
 
 The arrays of one document are bounded by the request window (24 per day), so exploding them is a narrow,
-per-row generator; continuity checks use ``LAG`` partitioned by series, and per-date hour counts are a grouped
-aggregate.
+per-row generator; continuity checks use ``LAG`` over range-partitioned series (a long or hot series spans
+several tasks), and per-date hour counts are a grouped aggregate.
 """
 
 from __future__ import annotations
@@ -43,12 +43,6 @@ def expected_hours(start_date, end_date) -> Column:
     return (F.datediff(F.date_add(F.col(end_date), 1), F.col(start_date)) * 24).cast("long")
 
 
-def with_previous(df: DataFrame, series_keys, order_col: str, value_col: str, out: str) -> DataFrame:
-    """``LAG(value) OVER (PARTITION BY series ORDER BY order_col)``."""
-    w = Window.partitionBy(*series_keys).orderBy(order_col)
-    return df.withColumn(out, F.lag(value_col).over(w))
-
-
 def lag_distributed(df: DataFrame, keys, order, values: dict[str, str], num_partitions: int | None = None) -> DataFrame:
     """``LAG(value) OVER (PARTITION BY keys ORDER BY order)`` for every ``value -> out`` pair, safe when one key
     holds a large share of the rows.
@@ -83,14 +77,17 @@ def lag_distributed(df: DataFrame, keys, order, values: dict[str, str], num_part
 
 
 def continuity_report(df: DataFrame, series_keys, utc_col: str, local_col: str, step_seconds: int = 3600) -> DataFrame:
-    """One row per series: rows, gaps (step ≠ 1 h), duplicate times, local order violations, first/last time."""
-    w = Window.partitionBy(*series_keys).orderBy(utc_col)
-    prev_utc = F.lag(utc_col).over(w)
-    prev_local = F.lag(local_col).over(w)
-    step = seconds_between(prev_utc, F.col(utc_col))
-    marked = df.select(*series_keys, utc_col, local_col,
-                       step.alias("__step"), (F.col(local_col) < prev_local).alias("__back"))
-    return marked.groupBy(*series_keys).agg(
+    """One row per series: rows, gaps (step ≠ 1 h), duplicate times, local order violations, first/last time.
+
+    The previous observation comes from :func:`lag_distributed`, so a long series is not sorted in one task.
+    """
+    keys = list(series_keys)
+    lagged = lag_distributed(df.select(*keys, utc_col, local_col), keys, [utc_col, local_col],
+                             {utc_col: "__prev_utc", local_col: "__prev_local"})
+    step = seconds_between(F.col("__prev_utc"), F.col(utc_col))
+    marked = lagged.select(*keys, utc_col, local_col,
+                           step.alias("__step"), (F.col(local_col) < F.col("__prev_local")).alias("__back"))
+    return marked.groupBy(*keys).agg(
         F.count(F.lit(1)).cast("long").alias("rows"),
         F.count_if(F.col("__step").isNotNull() & (F.col("__step") != step_seconds)).cast("long").alias("gaps"),
         F.count_if(F.col("__step") == 0).cast("long").alias("duplicate_times"),
