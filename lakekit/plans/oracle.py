@@ -187,7 +187,17 @@ weather_interior_dates AS (
   WHERE h.local_date > b.lo AND h.local_date < b.hi
 ),
 source_nation AS (SELECT n_nationkey FROM nation),
-source_lineitem AS (SELECT l_orderkey FROM lineitem),
+trip_file_reconciliation AS (
+  SELECT * FROM (
+    SELECT 'lineitem.parquet' AS source_object, COUNT(*) AS source_rows,
+           CAST(SUM(CAST(c.c_acctbal AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS source_fare_total
+    FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+  ) s FULL OUTER JOIN (
+    SELECT source_file AS source_object, COUNT(*) AS bronze_rows,
+           CAST(SUM(CAST(fare_amount_raw AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS bronze_fare_total
+    FROM raw_trips GROUP BY source_file
+  ) b USING (source_object)
+),
 known_codes AS (SELECT * FROM (VALUES {WMO_VALUES}) AS t(weather_code, weather_condition)),
 all_codes AS (
   SELECT weather_code, weather_condition FROM known_codes
