@@ -48,8 +48,8 @@ def s2_json(spark, d):
 
 @register("c9_response_request_metadata", f"""WITH e AS ({EV_DAYS_SQL})
 SELECT day AS requested_start_date,
-       to_json({{'coordinate_id': 'events_city', 'requested_start_date': day, 'requested_end_date': day,
-                'weather_model': 'events_hourly'}}) AS request_parameters,
+       CAST(to_json({{'coordinate_id': 'events_city', 'requested_start_date': day, 'requested_end_date': day,
+                     'weather_model': 'events_hourly'}}) AS VARCHAR) AS request_parameters,
        'events_hourly' AS weather_model FROM e""")
 def c9_request(spark, d):
     docs = _landed_documents(spark, d)
