@@ -15,7 +15,7 @@ from lakekit.plans.catalog import register, star
 from lakekit.plans.catalog_ops import TYPE_MAP_SQL, TABLE_LIST_SQL
 from lakekit.plans.tables import TABLES, Tables
 from lakekit.sources import control
-from lakekit.sources.files import file_bytes_sha256, per_file_totals, scan_parquet_folder
+from lakekit.sources.files import file_bytes_chunked_sha256, per_file_totals, scan_parquet_folder
 from lakekit.sources.store import SnapshotStore
 from lakekit.session import scratch_path
 
@@ -168,7 +168,8 @@ def s4_totals(spark, d):
 def d3_hashes(spark, d):
     run = landing.LandingRun(spark, d)
     run.deliver()
-    h = file_bytes_sha256(spark, run.landing, "*.parquet")
+    # byte ranges hashed in parallel, so a landed file of any size is never read whole by one task
+    h = file_bytes_chunked_sha256(spark, run.landing, "*.parquet")
     return h.select(_period("path").alias("source_period"), "length", "sha256")
 
 

@@ -80,6 +80,54 @@ def file_bytes_sha256(spark: SparkSession, path: str, glob: str | None = None) -
     return reader.load(path).select("path", "length", "modificationTime", F.sha2("content", 256).alias("sha256"))
 
 
+def _local_or_uri(path: str) -> tuple[object, str]:
+    """(pyarrow filesystem, path inside it) for a Hadoop-style URI as Spark reports it."""
+    from pyarrow import fs
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
+    uri = "s3://" + path[len("s3a://"):] if path.startswith("s3a://") else path
+    return fs.FileSystem.from_uri(uri)
+
+
+def file_bytes_chunked_sha256(spark: SparkSession, path: str, glob: str | None = None,
+                              chunk_bytes: int = 64 << 20) -> DataFrame:
+    """Content hash of each file's raw bytes for files of any size: ``(path, length, sha256, chunks)``.
+
+    Files are listed without reading them, split into byte ranges of ``chunk_bytes``, and every range is read and
+    hashed by its own task (``mapInPandas``); a file's hash is SHA-256 over its chunk hashes in order (the plain
+    SHA-256 of the bytes when the file is one chunk).  Equal bytes give equal hashes for the same chunk size.
+    """
+    from pyspark.sql.types import StructType as _ST
+    reader = spark.read.format("binaryFile")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    files = reader.load(path).select("path", "length")  # content is not read when not selected
+    n_chunks = F.greatest(F.lit(1), F.ceil(F.col("length") / F.lit(chunk_bytes)).cast("long"))
+    chunks = files.select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), n_chunks - 1)).alias("idx"))
+    chunks = chunks.repartition(max(1, spark.sparkContext.defaultParallelism), "path", "idx")
+
+    def hash_ranges(batches):
+        import hashlib
+
+        import pandas as pd
+        for pdf in batches:
+            out = []
+            for p, idx in zip(pdf["path"], pdf["idx"]):
+                filesystem, inner = _local_or_uri(p)
+                with filesystem.open_input_file(inner) as f:
+                    f.seek(int(idx) * chunk_bytes)
+                    out.append(hashlib.sha256(f.read(chunk_bytes)).hexdigest())
+            yield pd.DataFrame({"path": pdf["path"], "idx": pdf["idx"], "chunk_sha256": out})
+
+    hashed = chunks.mapInPandas(hash_ranges, _ST.fromDDL("path string, idx long, chunk_sha256 string"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("idx", "chunk_sha256"))), lambda x: x["chunk_sha256"])
+    per_file = hashed.groupBy("path").agg(ordered.alias("__h"))
+    return per_file.join(files, "path").select(
+        "path", "length",
+        F.when(F.size("__h") == 1, F.col("__h")[0]).otherwise(F.sha2(F.array_join("__h", ""), 256)).alias("sha256"),
+        F.size("__h").cast("long").alias("chunks"))
+
+
 def parquet_schema(spark: SparkSession, path: str) -> StructType:
     """Schema of one Parquet file (footer only)."""
     return spark.read.parquet(path).schema
