@@ -6,7 +6,6 @@ where the limit is the feature (top-k reports).
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakekit.functions.digest import delimited_text, row_digest, version_id
