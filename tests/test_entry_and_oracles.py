@@ -55,3 +55,22 @@ def test_query_matches_oracle(spark, duck, name):
     dcols = [d[0] for d in cur.description]
     assert sorted(cols) == sorted(dcols)
     assert s == _rows(dcols, cur.fetchall())
+
+
+@pytest.mark.parametrize("session_tz", ["America/New_York", "Asia/Manila"])
+def test_registered_queries_ignore_session_zone(spark, session_tz):
+    """Wall-clock (NTZ) business times: the same results whatever time zone the cluster's session uses."""
+    import __spark_entry__ as E
+    names = ["q1_activity_by_time_and_zone", "c44_series_continuity", "dq_gate_silver_weather", "c20_trip_weather_map"]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        base = {}
+        for n in names:
+            df = E.queries()[n](spark, SF_SMALL)
+            base[n] = _rows(df.columns, df.collect())
+        spark.conf.set("spark.sql.session.timeZone", session_tz)
+        for n in names:
+            df = E.queries()[n](spark, SF_SMALL)
+            assert _rows(df.columns, df.collect()) == base[n], n
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
