@@ -86,19 +86,31 @@ class Job:
         self._parallel({f"gate_{n}": (lambda n=n: one(n)) for n in names})
 
     def run(self) -> "Job":
-        s = self.s
         branch = None
         if self.landing is not None:
             t0 = time.perf_counter()
             self.landing.deliver()  # source side, not part of the job
             self.setup_times["simulated_source_delivery"] = round(time.perf_counter() - t0, 3)
         t_all = time.perf_counter()
-        if self.landing is not None:
-            # the landed trip files and their control log feed nothing in the star below, so that branch
-            # (load, then the control gate) runs beside the layers and is joined before the job ends
-            branch_pool = ThreadPoolExecutor(max_workers=1)
-            branch = branch_pool.submit(lambda: (self._step("landing_trips", self.landing.load),
-                                                 self._gates(["control"])))
+        branch_pool = ThreadPoolExecutor(max_workers=1)
+        try:
+            if self.landing is not None:
+                # the landed trip files and their control log feed nothing in the star below, so that branch
+                # (load, then the control gate) runs beside the layers and is joined before the job ends
+                branch = branch_pool.submit(lambda: (self._step("landing_trips", self.landing.load),
+                                                     self._gates(["control"])))
+            self._layers()
+            if branch is not None:
+                branch.result()
+        finally:
+            branch_pool.shutdown(wait=True)  # a blocked gate still waits for the branch's running jobs
+        self.total = round(time.perf_counter() - t_all, 3)
+        self.store.append("pipeline_runs", self.run_log())
+        self.store.append("data_quality_results", dq.with_run(self.gate_results(), self.run_id))
+        return self
+
+    def _layers(self) -> None:
+        s = self.s
         self._parallel({"bronze_trips": s.raw_trips, "bronze_zones": lambda: _run(s.raw_zones()),
                         "weather_documents": s.weather_documents})
         self._gates(["bronze_trips", "bronze_zones", "bronze_weather"])
@@ -120,13 +132,6 @@ class Job:
             "q4_fare_efficiency_by_borough": s.q4_result,
         })
         self._gates(["analytics"])
-        if branch is not None:
-            branch.result()
-            branch_pool.shutdown()
-        self.total = round(time.perf_counter() - t_all, 3)
-        self.store.append("pipeline_runs", self.run_log())
-        self.store.append("data_quality_results", dq.with_run(self.gate_results(), self.run_id))
-        return self
 
     def run_log(self) -> DataFrame:
         return self.spark.createDataFrame(self.events, "run_id string, step string, status string, epoch double") \

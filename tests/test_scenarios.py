@@ -63,3 +63,16 @@ def test_revised_month_supersedes_its_old_version(spark):
     target = run.store.read_partitioned("bronze_lineitem")
     assert target.filter(F.date_format("l_shipdate", "yyyy-MM") == latest).count() == kept
     assert target.count() == li.count() - (li.filter(F.date_format("l_shipdate", "yyyy-MM") == latest).count() - kept)
+
+
+def test_job_stops_at_a_blocking_gate_and_joins_the_landing_branch(spark):
+    import pytest
+
+    from lakekit.operators.dq import GateBlocked
+    from lakekit.plans.job import Job
+    job = Job(spark, SF_SMALL, workers=4, enforce_gates=True)
+    with pytest.raises(GateBlocked):
+        job.run()  # the driver data trips the Bronze weather / trip gates
+    steps = {(e[1], e[2]) for e in job.events}
+    assert ("landing_trips", "SUCCESS") in steps and ("gate_control", "SUCCESS") in steps  # branch finished
+    assert not any(name.startswith("silver_") for name, _ in steps)  # nothing downstream of the barrier ran
