@@ -38,6 +38,8 @@ ZONE_OTHER_LABEL = "other_special"
 # Plausible air temperature in degrees C: Bronze -50..60; Silver -90..60 (a null value also fails in Silver).
 BRONZE_TEMPERATURE_RANGE_C = (-50, 60)
 SILVER_TEMPERATURE_RANGE_C = (-90, 60)
+# Units of the hourly weather measures as the response declares them (time, temperature, precipitation, code).
+HOURLY_UNITS = {"time": "iso8601", "temperature_2m": "°C", "precipitation": "mm", "weather_code": "wmo code"}
 # DQ statuses and severities.
 DQ_STATUSES = ["PASS", "WARN", "FAIL", "INFO"]
 # ---------------------------------------------------------------------------------------------------------

@@ -228,9 +228,12 @@ def c23_guard(spark, d):
 # --- C39/C40/C50/D2: gate outcomes, gate state, DQ dashboard ---------------------------------------------------
 
 def _all_gate_results(spark, d):
+    """Every gate's result rows (a few dozen per gate), each written once as its own small table: the dashboards
+    and status views then work on those rows instead of one plan spanning every gate of the star."""
+    from lakekit.session import cut_lineage
     s = star(spark, d)
     tables = checks.gate_tables(s)
-    return dq.union_results(*[make().run(tables) for make in checks.GATES.values()])
+    return dq.union_results(*[cut_lineage(make().run(tables), f"gate_{name}") for name, make in checks.GATES.items()])
 
 
 ALL_GATES_SQL = "\nUNION ALL\n".join(

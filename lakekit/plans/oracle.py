@@ -7,7 +7,7 @@ sides agree only if the semantics agree.  Doubles are divided after exact decima
 
 from __future__ import annotations
 
-from lakekit.functions.classify import PRECIPITATION_BANDS, WMO_CONDITIONS
+from lakekit.functions.classify import HOURLY_UNITS, PRECIPITATION_BANDS, WMO_CONDITIONS
 from lakekit.plans.tables import ZONE_RULE
 
 TZ = "America/New_York"
@@ -30,6 +30,7 @@ def _zone_case(loc: str, borough: str, upper: bool) -> str:
     return "CASE " + " ".join(parts) + " ELSE 'other_special' END"
 
 
+UNITS_STRUCT = ", ".join(f"'{k}': '{v}'" for k, v in HOURLY_UNITS.items())
 WMO_VALUES = ", ".join(f"({k}, '{v}')" for k, v in WMO_CONDITIONS)
 BAND_VALUES = ", ".join(f"('{b}')" for b in PRECIPITATION_BANDS)
 SENTINELS = ", ".join(str(k) for k in ZONE_RULE["sentinels"])
@@ -133,6 +134,7 @@ bronze_weather AS (
           'temperature_2m': list(temperature ORDER BY hour_utc),
           'precipitation': list(precipitation ORDER BY hour_utc),
           'weather_code': list(weather_code ORDER BY hour_utc)}} AS hourly,
+         {{{UNITS_STRUCT}}} AS hourly_units,
          'tpch_events' AS source_system
   FROM ev_hours GROUP BY CAST(hour_utc AS DATE)
 ),

@@ -22,6 +22,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakekit.functions.classify import HOURLY_UNITS
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -135,7 +137,8 @@ def event_hours(t: Tables) -> DataFrame:
 
 def weather_documents(t: Tables) -> DataFrame:
     """One response document per UTC day with the hourly series as parallel arrays (time, temperature,
-    precipitation, code), like an hourly weather API response.  Arrays hold at most 24 entries."""
+    precipitation, code) and the units they are expressed in, like an hourly weather API response.  Arrays hold
+    at most 24 entries."""
     h = event_hours(t).withColumn("day", F.to_date("hour_utc"))
     docs = h.groupBy("day").agg(F.array_sort(F.collect_list(F.struct(
         F.date_format("hour_utc", "yyyy-MM-dd'T'HH:mm").alias("time"), "temperature", "precipitation",
@@ -148,5 +151,6 @@ def weather_documents(t: Tables) -> DataFrame:
         F.struct(F.col("rows.time").alias("time"), F.col("rows.temperature").alias("temperature_2m"),
                  F.col("rows.precipitation").alias("precipitation"),
                  F.col("rows.weather_code").alias("weather_code")).alias("hourly"),
+        F.struct(*[F.lit(v).alias(k) for k, v in HOURLY_UNITS.items()]).alias("hourly_units"),
         F.lit("tpch_events").alias("source_system"),
     )

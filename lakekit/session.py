@@ -26,6 +26,12 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # parquet timestamps without an instant flag are read as wall-clock NTZ
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
+    # a long-lived driver runs many jobs with large plans (the gates span the whole star); keep only recent
+    # execution / job / stage records in the status store so they do not fill the driver heap
+    "spark.sql.ui.retainedExecutions": "50",
+    "spark.ui.retainedJobs": "200",
+    "spark.ui.retainedStages": "200",
+    "spark.ui.retainedTasks": "20000",
 }
 
 

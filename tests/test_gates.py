@@ -7,7 +7,9 @@ from lakekit.plans.trips import bronze_weather_observations
 
 DOC_SCHEMA = ("coordinate_id string, weather_model string, requested_start_date date, requested_end_date date, "
               "hourly struct<time: array<string>, temperature_2m: array<double>, precipitation: array<double>, "
-              "weather_code: array<bigint>>, source_system string")
+              "weather_code: array<bigint>>, source_system string, "
+              "hourly_units struct<time: string, temperature_2m: string, precipitation: string, weather_code: string>")
+UNITS = ("iso8601", "°C", "mm", "wmo code")
 
 
 def _day(d, hours):
@@ -18,18 +20,20 @@ def test_bronze_weather_gate_planted_anomalies(spark):
     full = _day("2024-03-01", range(24))
     docs = [
         # complete, clean day
-        ("c1", "m1", dt.date(2024, 3, 1), dt.date(2024, 3, 1), (full, [5.0] * 24, [0.0] * 24, [0] * 24), "tpch_events"),
+        ("c1", "m1", dt.date(2024, 3, 1), dt.date(2024, 3, 1), (full, [5.0] * 24, [0.0] * 24, [0] * 24), "tpch_events",
+         UNITS),
         # gap 01→03, duplicate 03:00, step back to 02:00, hour outside the window, hot value, negative rain,
         # unlisted code 42, null code
         ("c1", "m1", dt.date(2024, 3, 2), dt.date(2024, 3, 2),
          (_day("2024-03-02", [0, 1, 3, 3, 2]) + ["2024-03-03T05:00"], [1.0, 99.0, 2.0, 2.0, 3.0, 4.0],
-          [0.0, -0.5, 0.0, 0.0, 0.0, 0.0], [0, 1, 42, 3, 3, None]), "tpch_events"),
+          [0.0, -0.5, 0.0, 0.0, 0.0, 0.0], [0, 1, 42, 3, 3, None]), "tpch_events",
+         ("iso8601", "°F", "mm", "wmo code")),  # temperature delivered in Fahrenheit
         # short temperature array, no model
         ("c1", None, dt.date(2024, 3, 4), dt.date(2024, 3, 4),
-         (_day("2024-03-04", [0, 1]), [1.0], [0.0, 0.0], [0, 0]), "tpch_events"),
+         (_day("2024-03-04", [0, 1]), [1.0], [0.0, 0.0], [0, 0]), "tpch_events", UNITS),
         # null code array, wrong source system
         ("c1", "m1", dt.date(2024, 3, 5), dt.date(2024, 3, 5),
-         (_day("2024-03-05", [0]), [1.0], [0.0], None), "other"),
+         (_day("2024-03-05", [0]), [1.0], [0.0], None), "other", UNITS),
     ]
     d = spark.createDataFrame(docs, DOC_SCHEMA)
     events = spark.createDataFrame([(dt.datetime(2024, 3, 1) + dt.timedelta(hours=i, minutes=7),) for i in range(33)],
@@ -45,7 +49,7 @@ def test_bronze_weather_gate_planted_anomalies(spark):
         "precipitation_not_null": 0, "weather_code_not_null": 2, "duplicate_timestamps": 1,
         "timestamp_chronological_order": 1, "temperature_range": 1, "precipitation_non_negative": 1,
         "weather_code_domain": 1, "observation_date_window": 1, "hourly_continuity": 4,
-        "observation_count_measurement": 0,
+        "observation_count_measurement": 0, "hourly_units_expected": 1, "hourly_units_observed": 0,
     }
     assert {k: v[0] for k, v in got.items()} == expected_fail
     assert got["timestamp_not_null"][1] == 33  # observations = positions of the time arrays
