@@ -26,8 +26,11 @@ from lakekit.session import get_spark  # noqa: E402
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    # local mode: the driver JVM is the whole cluster; give it 60 % of physical memory, between 2 and 8 GB
+    phys = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    heap_gb = max(2, min(8, int(phys * 0.6 / 2 ** 30)))
     spark = get_spark(f"local[{cpus}]", app="lakekit-bench", shuffle_partitions=int(cpus) * 2,
-                      conf={"spark.driver.memory": "8g"})
+                      conf={"spark.driver.memory": f"{heap_gb}g"})
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     # gates are evaluated but do not stop the benchmark: on the driver tables the 0.1 % drop-off-before-pickup
     # tolerance is exceeded by design of the data, and the job must still run every step to be timed
