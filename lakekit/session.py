@@ -3,12 +3,13 @@
 Business times are wall-clock ``TIMESTAMP_NTZ``; the session time zone is pinned to UTC so that nothing that
 still consults it (parquet instant columns, ``current_timestamp``) drifts between clusters.  ANSI mode and AQE
 (partition coalescing + skew-join splitting) are on.  ``spark.checkpoint.dir`` is read from the session; a
-scratch directory is only created when the cluster did not name one (tests, local runs).
+scratch directory is only created in local mode; on a cluster the folder must be named.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -61,12 +62,18 @@ def get_spark(master: str | None = None, app: str = "lakekit", shuffle_partition
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster; a scratch folder only when none is configured."""
+    """The shared checkpoint folder named by the cluster; a scratch folder only in local mode when none is configured.
+
+    On a cluster without ``spark.checkpoint.dir`` this raises: a machine-local folder would leave each executor's part
+    of a staged table on its own disk.
+    """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="lakekit-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)
