@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakekit.llm import warc
+from lakekit.llm import packing, token_counts, warc
 from lakekit.llm.common import table
 from lakekit.session import scratch_path
 
@@ -25,7 +27,6 @@ def register(name: str, sql: str | None = None):
 
 
 def _fresh(spark: SparkSession, name: str) -> str:
-    import uuid
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
 
 
@@ -36,3 +37,19 @@ def op7_warc(spark, sf_dir):
     out = warc.arc_to_warc(spark, arc, _fresh(spark, "warc"), min_bytes=0)
     records = warc.with_referred_page(warc.read_warc(spark, out))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+# No SQL: DuckDB has no tokenizer; the tests compare with the library and check the packing against its definition.
+@register("op2_best_fit_packing")
+def op2_packing(spark, sf_dir):
+    pieces = packing.tokenize_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    digested = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(digested).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+# No SQL: DuckDB has no tokenizer; the tests compare with the library.
+@register("op9_token_counts")
+def op9_token_counts(spark, sf_dir):
+    counts = token_counts.count_tokens(table(spark, sf_dir, "documents"), _fresh(spark, "token-counts"),
+                                       public_tokenizers.path("byte_bpe_50k.json"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
