@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakekit.llm import packing, token_counts, warc
+from lakekit.llm import packing, simhash, token_counts, warc
 from lakekit.llm.common import table
 from lakekit.session import scratch_path
 
@@ -53,3 +53,10 @@ def op9_token_counts(spark, sf_dir):
     counts = token_counts.count_tokens(table(spark, sf_dir, "documents"), _fresh(spark, "token-counts"),
                                        public_tokenizers.path("byte_bpe_50k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+# No SQL: DuckDB has no XXH64 with a seed and no closure over bit distances; the tests compare with brute force.
+@register("op4_simhash")
+def op4_simhash(spark, sf_dir):
+    rows = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, max_bits=3)
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
