@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakekit.llm import packing, simhash, token_counts, warc
+from lakekit.llm import decontaminate, packing, simhash, token_counts, toxicity, warc
 from lakekit.llm.common import table
 from lakekit.session import scratch_path
 
@@ -60,3 +60,26 @@ def op9_token_counts(spark, sf_dir):
 def op4_simhash(spark, sf_dir):
     rows = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, max_bits=3)
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# No SQL: the tests compare with a brute-force search for every window.
+@register("op5_decontamination")
+def op5_decontamination(spark, sf_dir):
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
+
+
+def _fold(column):
+    return F.pmod(F.crc32(column.cast("string").cast("binary")), F.lit(5))
+
+
+# No SQL: a trained model; the tests measure held-out accuracy.
+@register("op10_toxicity")
+def op10_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), training=_fold(F.col("id")) != 0)
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", F.coalesce(_fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
