@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakekit.llm import decontaminate, packing, simhash, token_counts, toxicity, warc
+from lakekit.llm import decontaminate, fingerprints, html_extract, packing, simhash, token_counts, toxicity, warc
 from lakekit.llm.common import table
 from lakekit.session import scratch_path
 
@@ -83,3 +83,20 @@ def op10_toxicity(spark, sf_dir):
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", F.coalesce(_fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), "score",
                          F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+# No SQL: DuckDB has no HTML parser; the tests compare with texts built by hand.
+@register("op1_html_extraction")
+def op1_html_extraction(spark, sf_dir):
+    pages = html_extract.extract(table(spark, sf_dir, "pages"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "path")
+
+
+# No SQL: DuckDB has no XXH64 with a seed; the tests compare with a plain version.
+@register("op6_fingerprints")
+def op6_fingerprints(spark, sf_dir):
+    docs = fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+    return docs.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+                       fingerprints.packed("bins").alias("fingerprint"), fingerprints.packed("edited_bins").alias("edited_fingerprint"),
+                       fingerprints.likeness("bins", "edited_bins").alias("near_edited"),
+                       fingerprints.likeness("bins", "next_bins").alias("near_next"))
