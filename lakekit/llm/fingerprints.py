@@ -44,7 +44,9 @@ def with_bins(df: DataFrame, text_col: str, name: str, shingle_words: int = SHIN
     trimmed = F.btrim(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(BLANKS))
     df = df.withColumn(words, F.split(trimmed, r"[\x20\x09-\x0D]+"))
     starts = F.sequence(F.lit(1), F.greatest(F.size(words) - (shingle_words - 1), F.lit(1)))
-    df = df.withColumn(hashes, F.sort_array(F.transform(starts, lambda i: F.xxhash64(F.slice(F.col(words), i, F.lit(shingle_words))))))
+    # words past the end are null, which the hash passes over; slice() would copy all words for each shingle
+    shingle = lambda i: F.xxhash64(*[F.get(F.col(words), i + (k - 1)) for k in range(shingle_words)])
+    df = df.withColumn(hashes, F.sort_array(F.transform(starts, shingle)))
     top = lambda h: F.shiftright(h, 57)  # noqa: E731  -64 to 63, in the order of the signed hashes
     df = df.withColumn(least, F.filter(hashes, lambda h, i: (i == 0) | (top(h) != top(F.get(F.col(hashes), i - 1)))))
     one = F.lit(1).cast("long")
@@ -63,9 +65,9 @@ def with_bins(df: DataFrame, text_col: str, name: str, shingle_words: int = SHIN
     def at(b: Column) -> Column:
         return F.get(value, _below(low, high, b).cast("int")).bitwiseAND(F.lit((1 << BITS) - 1)).cast("int")
 
-    bins = F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)),
-                       lambda i: at(F.when(_occupied(low, high, i), i).otherwise(donor(i))))
-    return df.withColumn(name, bins).drop(words, hashes, least, lo, hi)
+    # first where each bin takes its value from, then the values: as a lambda's variable, a source is found once
+    sources = F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda i: F.when(_occupied(low, high, i), i).otherwise(donor(i)))
+    return df.withColumn(name, F.transform(sources, at)).drop(words, hashes, least, lo, hi)
 
 
 def packed(bins: str) -> Column:
