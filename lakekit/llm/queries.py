@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakekit.llm import decontaminate, fingerprints, html_extract, packing, simhash, token_counts, toxicity, warc
+from lakekit.llm import decontaminate, fingerprints, html_extract, packing, simhash, suffix_dedup, token_counts, toxicity, warc
 from lakekit.llm.common import table
 from lakekit.session import scratch_path
 
@@ -100,3 +100,12 @@ def op6_fingerprints(spark, sf_dir):
                        fingerprints.packed("bins").alias("fingerprint"), fingerprints.packed("edited_bins").alias("edited_fingerprint"),
                        fingerprints.likeness("bins", "edited_bins").alias("near_edited"),
                        fingerprints.likeness("bins", "next_bins").alias("near_next"))
+
+
+# No SQL: every 100-byte string of the table is far too much for DuckDB; the tests compare with brute force.
+@register("op8_suffix_dedup")
+def op8_suffix_dedup(spark, sf_dir):
+    rows = suffix_dedup.dedup(table(spark, sf_dir, "documents"), length=100)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return rows.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
