@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakekit.llm import decontaminate, fingerprints, html_extract, packing, simhash, suffix_dedup, token_counts, toxicity, warc
+from lakekit.llm import decontaminate, fingerprints, html_extract, lm, packing, simhash, suffix_dedup, token_counts, toxicity, warc
 from lakekit.llm.common import table
 from lakekit.session import scratch_path
 
@@ -109,3 +109,9 @@ def op8_suffix_dedup(spark, sf_dir):
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return rows.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# No SQL: a trained model; the tests compare counts and base scores with brute force and check that probabilities add up.
+@register("op3_lm_scoring")
+def op3_lm_scoring(spark, sf_dir):
+    return lm.score(table(spark, sf_dir, "documents"), training=_fold(F.col("id")) != 1)

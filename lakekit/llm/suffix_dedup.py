@@ -333,8 +333,10 @@ def spans_of(marks: bytes, length: int = LENGTH) -> list[tuple[int, int]]:
     return out
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``id_col``, the columns ``keep``, n_bytes, spans (removed byte spans, maximal) and kept (the other bytes)."""
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, keep: tuple[str, ...] = (),
+          prefix: str = "") -> DataFrame:
+    """``id_col``, the columns ``keep``, n_bytes, spans (removed byte spans, maximal) and kept (the other bytes); the last
+    three with ``prefix`` before their names."""
     key = F.coalesce(docs[id_col].cast("long"), F.lit(LAST))
     base = docs.select(docs[id_col].alias("__id"), *[docs[c].alias(f"__keep_{c}") for c in keep], key.alias("id"),
                        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
@@ -369,7 +371,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema if f.name in names)
     out = own.select(*names, "text", "marks", "copy").mapInArrow(
         cut, schema + "n_bytes long, spans array<struct<start: bigint, end: bigint>>, kept binary")
-    return out.select(F.col("__id").alias(id_col), *[F.col(f"__keep_{c}").alias(c) for c in keep], "n_bytes", "spans", "kept")
+    ids = [] if id_col in keep else [F.col("__id").alias(id_col)]
+    return out.select(*ids, *[F.col(f"__keep_{c}").alias(c) for c in keep],
+                      *[F.col(c).alias(prefix + c) for c in ("n_bytes", "spans", "kept")])
 
 
 def _has_repeats(rows: DataFrame) -> bool:
