@@ -3,7 +3,7 @@
 Every byte that belongs to a ``length``-byte string which starts earlier too (in an earlier document, or earlier in the
 same one) is removed; strings are judged on the input.  The steps:
 
-1. Texts that are whole copies of an earlier text are settled by their digest; only first copies go on.
+1. Texts that are whole copies of an earlier text are settled by their digest and count once in what follows.
 2. Each string is represented by its anchor, the ``K``-byte gram of least hash in it, so equal strings have equal anchors
    at equal places.  Anchors whose hash occurs once in all documents start no repeated string and are left out.  Each
    task sends one anchor per hash at most, in blocks, so a frequent gram does not gather its occurrences anywhere.
@@ -82,17 +82,23 @@ def _repeated_anchors(texts: DataFrame, parts: int, length: int) -> DataFrame:
     kind = np.dtype([("hash", "<u8"), ("id", "<i8"), ("h", "<i8"), ("at", "<i4"), ("first", "<i4"), ("last", "<i4")])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = []
+        own: dict[tuple, np.ndarray] = {}  # by text: of the copies in a task the first one stands for all
         for batch in batches:
             for i, h, data in zip(batch.column("id").to_pylist(), batch.column("h").to_pylist(), utf8_values(batch.column("text"))):
-                if len(data) >= length:
-                    hashes, at, first, last = anchors(data, length)
-                    x = np.empty(len(at), kind)
-                    x["hash"], x["id"], x["h"], x["at"], x["first"], x["last"] = hashes, i, h, at, first, last
-                    own.append(x)
+                if len(data) < length:
+                    continue
+                text = (h, len(data), hash(data))
+                if text in own:
+                    own[text]["id"] = min(i, int(own[text]["id"][0]))
+                    continue
+                hashes, at, first, last = anchors(data, length)
+                x = np.empty(len(at), kind)
+                x["hash"], x["id"], x["h"], x["at"], x["first"], x["last"] = hashes, i, h, at, first, last
+                own[text] = x
         if not own:
             return
-        x = np.concatenate(own)
+        x = np.concatenate(list(own.values()))
+        own.clear()
         x = x[np.argsort(x["hash"], kind="stable")]
         _, start, count = np.unique(x["hash"], return_index=True, return_counts=True)
         again = np.repeat(count > 1, count)
@@ -118,8 +124,13 @@ def _repeated_anchors(texts: DataFrame, parts: int, length: int) -> DataFrame:
         found = [np.frombuffer(x, kind) for s, x in zip(sorts, blobs) if s == 2]
         if parts_:
             x, k = np.concatenate(parts_), np.concatenate(known)
-            _, inverse, count = np.unique(x["hash"], return_inverse=True, return_counts=True)
-            found.append(x[(count[inverse] > 1) & ~k])  # those known to repeat are among the others already
+            order = np.lexsort((x["at"], x["h"], x["hash"]))
+            x, k = x[order], k[order]
+            _, start, inverse = np.unique(x["hash"], return_index=True, return_inverse=True)
+            # copies of a text share its hash and the place; another place or text, or a task that knows one, repeats
+            other = np.concatenate(([False], (np.diff(x["hash"]) == 0) & ((np.diff(x["h"]) != 0) | (np.diff(x["at"]) != 0))))
+            again = np.logical_or.reduceat(other | k, start)[inverse]
+            found.append(x[again & ~k])  # those known to repeat are among the others already
         out = np.concatenate(found) if found else np.empty(0, kind)
         out = out[np.lexsort((out["h"], out["id"]))]
         cuts = np.flatnonzero((np.diff(out["id"]) != 0) | (np.diff(out["h"]) != 0)) + 1 if len(out) else []
@@ -263,9 +274,10 @@ def _resolve(group: list[tuple], length: int) -> Iterator[tuple[int, int, int, i
 
 
 def repeated_starts(texts: DataFrame, parts: int, length: int = LENGTH) -> DataFrame:
-    """id, h, marks (pairs of first and last start of repeated strings); texts: id, h, text, no two equal."""
-    prefixes = (texts.filter(F.octet_length("text") >= length).orderBy(F.xxhash64("h")).limit(SAMPLE)
-                .select(F.expr("substring(text, 1 + cast(pmod(xxhash64(h, id), length(text)) as int), 8)").alias("s")).collect())
+    """id, h, marks (pairs of first and last start of repeated strings); texts: id, h, text."""
+    prefix = F.expr("substring(text, 1 + cast(pmod(xxhash64(h, id), length(text)) as int), 8)").alias("s")
+    prefixes = (texts.filter(F.octet_length("text") >= length).select(F.xxhash64("h", "id").alias("o"), prefix)
+                .orderBy("o").limit(SAMPLE).collect())
     sample = sorted(r["s"].encode()[:8] for r in prefixes)  # a bounded, documented sample of prefixes
     splits = sorted({sample[k * len(sample) // parts] for k in range(1, parts)}) if sample else []
     found = _repeated_anchors(texts, parts, length).groupBy("id", "h").agg(F.collect_list("marks").alias("marks"))
@@ -284,7 +296,7 @@ def repeated_starts(texts: DataFrame, parts: int, length: int = LENGTH) -> DataF
                         mine, other = (i, h, at, first, last), least.get(key)
                         if other is None:
                             least[key] = mine
-                        else:  # an equal context in this task: the later one is settled
+                        elif mine[:3] != other[:3]:  # an equal context in this task: the later one is settled
                             if mine[:3] < other[:3]:
                                 least[key], mine = mine, other
                             done[mine[:2]].append(mine[3:])
@@ -342,13 +354,12 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
                        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
     rows = base.withColumn("h", F.xxhash64("text")).withColumn("digest", F.sha2("text", 256))
     firsts = cut_lineage(rows.groupBy("digest").agg(F.min("id").alias("id")), "firsts")
-    settled = cut_lineage(rows.select("id", "digest").join(firsts.withColumnRenamed("id", "least"), "digest")
-                          .filter("id > least").select("id", "digest").distinct(), "copies")
-    texts = (rows.select("id", "h", "digest", "text").join(settled, ["id", "digest"], "left_anti").drop("digest"))
-    single = texts if not _has_repeats(rows) else texts.dropDuplicates(["id", "h"])
+    settled = (rows.select("id", "h", "digest").join(firsts.withColumnRenamed("id", "least"), "digest")
+               .filter("id > least").select("id", "h").distinct().withColumn("copy", F.lit(True)))
     parts = input_partitions(docs.select(text_col), 8 << 20)
-    marks = cut_lineage(repeated_starts(single, parts, length).groupBy("id", "h").agg(F.collect_list("marks").alias("marks")), "marks")
-    own = rows.join(marks, ["id", "h"], "left").join(settled.withColumn("copy", F.lit(True)), ["id", "digest"], "left")
+    marks = repeated_starts(rows.select("id", "h", "text"), parts, length).groupBy("id", "h").agg(F.collect_list("marks").alias("marks"))
+    known = cut_lineage(marks.join(settled, ["id", "h"], "full"), "marks")  # small, so the texts are shuffled once for it
+    own = rows.join(known, ["id", "h"], "left")
     names = ["__id", *[f"__keep_{c}" for c in keep]]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -375,7 +386,3 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     return out.select(*ids, *[F.col(f"__keep_{c}").alias(c) for c in keep],
                       *[F.col(c).alias(prefix + c) for c in ("n_bytes", "spans", "kept")])
 
-
-def _has_repeats(rows: DataFrame) -> bool:
-    """Whether an id comes twice with one text."""
-    return not rows.groupBy("id", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
