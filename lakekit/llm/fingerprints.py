@@ -96,7 +96,7 @@ def with_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     splits = [-float("inf"), *edges, float("inf")]
     if len(splits) > 2:
         dealt = Bucketizer(splits=splits, inputCol="__id", outputCol="__bucket", handleInvalid="keep").transform(
-            rows.withColumn("__id", F.col("id").cast("double")))
+            rows.withColumn("__id", F.coalesce(F.col("id").cast("double"), F.lit(float("inf")))))  # nulls to the last range
         dealt = dealt.withColumn("bucket", F.col("__bucket").cast("int")).drop("__id", "__bucket")
     else:
         dealt = rows.withColumn("bucket", F.lit(0))
