@@ -77,6 +77,43 @@ def anchors(data: bytes, length: int = LENGTH, k: int = K) -> tuple[np.ndarray,
     return hashes[at[first]], at[first], first, last
 
 
+def _of_documents(ids: np.ndarray, hs: np.ndarray, parts: int) -> np.ndarray:
+    """The part that a document's places are gathered in."""
+    mixed = (ids.astype(np.uint64) * np.uint64(_P)) ^ hs.astype(np.uint64)
+    return ((mixed ^ (mixed >> np.uint64(32))) % np.uint64(parts)).astype(np.int64)
+
+
+def _gathered(blocks: DataFrame, fields: tuple[str, ...]) -> DataFrame:
+    """id, h, marks (``fields``, 32-bit each): a row a document from blocks (part, x) that hold many documents' places.
+
+    A task that found places of many documents sends a block a part instead of a row a document.
+    """
+    kind = np.dtype([("id", "<i8"), ("h", "<i8"), *((f, "<i4") for f in fields)])
+    place = np.dtype([(f, "<i4") for f in fields])
+
+    def gather(table: pa.Table) -> pa.Table:
+        x = np.concatenate([np.frombuffer(b, kind) for b in table.column("x").to_pylist()])
+        x = x[np.lexsort((x["h"], x["id"]))]
+        start = np.flatnonzero(np.concatenate(([True], (np.diff(x["id"]) != 0) | (np.diff(x["h"]) != 0))))
+        marks = np.empty(len(x), place)
+        for f in fields:
+            marks[f] = x[f]
+        return pa.table([pa.array(x["id"][start]), pa.array(x["h"][start]),
+                         pa.array([m.tobytes() for m in np.split(marks, start[1:])], pa.binary())], ["id", "h", "marks"])
+
+    return blocks.groupBy("part").applyInArrow(gather, "id long, h long, marks binary")
+
+
+def _dealt(x: np.ndarray, parts: int) -> pa.Table:
+    """part, x: the rows of ``x`` (with id and h) in a block for each part."""
+    part = _of_documents(x["id"], x["h"], parts)
+    order = np.argsort(part, kind="stable")
+    x, part = x[order], part[order]
+    start = np.flatnonzero(np.concatenate(([True], np.diff(part) != 0))) if len(x) else np.empty(0, np.int64)
+    return pa.table([pa.array(part[start], pa.int64()), pa.array([b.tobytes() for b in np.split(x, start[1:])] if len(x) else [], pa.binary())],
+                    ["part", "x"])
+
+
 def _repeated_anchors(texts: DataFrame, parts: int, length: int) -> DataFrame:
     """id, h, marks: anchors (place, first, last: 32-bit) whose hash occurs again; texts: id, h, text."""
     kind = np.dtype([("hash", "<u8"), ("id", "<i8"), ("h", "<i8"), ("at", "<i4"), ("first", "<i4"), ("last", "<i4")])
@@ -132,19 +169,13 @@ def _repeated_anchors(texts: DataFrame, parts: int, length: int) -> DataFrame:
             again = np.logical_or.reduceat(other | k, start)[inverse]
             found.append(x[again & ~k])  # those known to repeat are among the others already
         out = np.concatenate(found) if found else np.empty(0, kind)
-        out = out[np.lexsort((out["h"], out["id"]))]
-        cuts = np.flatnonzero((np.diff(out["id"]) != 0) | (np.diff(out["h"]) != 0)) + 1 if len(out) else []
-        groups = np.split(out, cuts) if len(out) else []
-        marks = [g[["at", "first", "last"]].astype([("at", "<i4"), ("first", "<i4"), ("last", "<i4")]).tobytes() for g in groups]
-        return pa.table([pa.array([int(g["id"][0]) for g in groups], pa.int64()), pa.array([int(g["h"][0]) for g in groups], pa.int64()),
-                         pa.array(marks, pa.binary())], ["id", "h", "marks"])
+        places = np.empty(len(out), [(f, kind[f]) for f in ("id", "h", "at", "first", "last")])
+        for f in places.dtype.names:
+            places[f] = out[f]
+        return _dealt(places, parts)
 
     rows = texts.mapInArrow(emit, "b long, kind int, x binary")
-    return rows.groupBy("b").applyInArrow(confirm, "id long, h long, marks binary")
-
-
-def _mark(first: int, last: int) -> bytes:
-    return _MARK.pack(first, last)
+    return _gathered(rows.groupBy("b").applyInArrow(confirm, "part long, x binary"), ("at", "first", "last"))
 
 
 def shared_prefix(a: bytes, b: bytes, start: int = 0) -> int:
@@ -280,18 +311,19 @@ def repeated_starts(texts: DataFrame, parts: int, length: int = LENGTH) -> DataF
                 .orderBy("o").limit(SAMPLE).collect())
     sample = sorted(r["s"].encode()[:8] for r in prefixes)  # a bounded, documented sample of prefixes
     splits = sorted({sample[k * len(sample) // parts] for k in range(1, parts)}) if sample else []
-    found = _repeated_anchors(texts, parts, length).groupBy("id", "h").agg(F.collect_list("marks").alias("marks"))
+    found = _repeated_anchors(texts, parts, length)
     both = texts.join(found, ["id", "h"])
     place = np.dtype([("at", "<i4"), ("first", "<i4"), ("last", "<i4")])
+    found_kind = np.dtype([("id", "<i8"), ("h", "<i8"), ("first", "<i4"), ("last", "<i4")])
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in byte_slices(batch, "text", 32 << 20):
                 least: dict[tuple, tuple] = {}
                 done = defaultdict(list)
-                for i, h, data, blobs in zip(part.column("id").to_pylist(), part.column("h").to_pylist(),
-                                             utf8_values(part.column("text")), part.column("marks").to_pylist()):
-                    for at, first, last in sorted(np.frombuffer(b"".join(blobs), place).tolist()):
+                for i, h, data, blob in zip(part.column("id").to_pylist(), part.column("h").to_pylist(),
+                                            utf8_values(part.column("text")), part.column("marks").to_pylist()):
+                    for at, first, last in sorted(np.frombuffer(blob, place).tolist()):
                         key = (data[at:first + length + (last - first)], data[first:at], at - last)
                         mine, other = (i, h, at, first, last), least.get(key)
                         if other is None:
@@ -305,33 +337,31 @@ def repeated_starts(texts: DataFrame, parts: int, length: int = LENGTH) -> DataF
                 for e in ordered:
                     dealt[bisect_right(splits, e[0][:8])].append(e)
                 out = [(p, 0, encode_run(x)) for p, x in dealt.items()]
-                out += [((h + i) % parts, 1, struct.pack("<qq", i, h) + b"".join(_mark(*x) for x in own)) for (i, h), own in done.items()]
+                settled = defaultdict(list)
+                for (i, h), own in done.items():
+                    settled[(h + i) % parts] += [(i, h, first, last) for first, last in own]
+                out += [(p, 1, np.array(x, found_kind).tobytes()) for p, x in settled.items()]
                 if out:
                     yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.binary()))], ["p", "kind", "x"])
 
     def combine(table: pa.Table) -> pa.Table:
-        marks = defaultdict(list)
         own = list(zip(table.column("kind").to_pylist(), table.column("x").to_pylist()))
-        for kind, x in own:
-            if kind:
-                marks[struct.unpack_from("<qq", x)].append(x[16:])
+        known = [np.frombuffer(x, found_kind) for kind, x in own if kind]
         group: list[tuple] = []
-
-        def settle() -> None:
-            for i, h, first, last in _resolve(group, length):
-                marks[(i, h)].append(_mark(first, last))
-
+        marks: list[tuple] = []
         for same, e in merge_runs([x for kind, x in own if not kind]):
             if same < K:
-                settle()
+                marks += _resolve(group, length)
                 group.clear()
             group.append(e)
-        settle()
-        keys = list(marks)
-        return pa.table([pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
-                         pa.array([b"".join(marks[k]) for k in keys], pa.binary())], ["id", "h", "marks"])
+            if len(marks) >= 1 << 16:
+                known.append(np.array(marks, found_kind))
+                marks.clear()
+        marks += _resolve(group, length)
+        return _dealt(np.concatenate([*known, np.array(marks, found_kind)]), parts)
 
-    return both.mapInArrow(runs, "p long, kind int, x binary").groupBy("p").applyInArrow(combine, "id long, h long, marks binary")
+    sent = both.mapInArrow(runs, "p long, kind int, x binary")
+    return _gathered(sent.groupBy("p").applyInArrow(combine, "part long, x binary"), ("first", "last"))
 
 
 def spans_of(marks: bytes, length: int = LENGTH) -> list[tuple[int, int]]:
@@ -357,7 +387,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     settled = (rows.select("id", "h", "digest").join(firsts.withColumnRenamed("id", "least"), "digest")
                .filter("id > least").select("id", "h").distinct().withColumn("copy", F.lit(True)))
     parts = input_partitions(docs.select(text_col), 8 << 20)
-    marks = repeated_starts(rows.select("id", "h", "text"), parts, length).groupBy("id", "h").agg(F.collect_list("marks").alias("marks"))
+    marks = repeated_starts(rows.select("id", "h", "text"), parts, length)
     known = cut_lineage(marks.join(settled, ["id", "h"], "full"), "marks")  # small, so the texts are shuffled once for it
     own = rows.join(known, ["id", "h"], "left")
     names = ["__id", *[f"__keep_{c}" for c in keep]]
@@ -367,8 +397,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
         for batch in batches:
             for part in byte_slices(batch, "text"):
                 sizes, spans, kept = [], [], []
-                for data, blobs, copy in zip(utf8_values(part.column("text")), part.column("marks").to_pylist(), part.column("copy").to_pylist()):
-                    own = [(0, len(data))] if copy and len(data) >= length else spans_of(b"".join(blobs or ()), length)
+                for data, blob, copy in zip(utf8_values(part.column("text")), part.column("marks").to_pylist(), part.column("copy").to_pylist()):
+                    own = [(0, len(data))] if copy and len(data) >= length else spans_of(blob or b"", length)
                     left, at = [], 0
                     for a, b in own:
                         left.append(data[at:a])
