@@ -77,6 +77,25 @@ def anchors(data: bytes, length: int = LENGTH, k: int = K) -> tuple[np.ndarray,
     return hashes[at[first]], at[first], first, last
 
 
+def squeeze(data: bytes) -> bytes:
+    """Compressed, with the length before it."""
+    return struct.pack("<q", len(data)) + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def unsqueeze(data: bytes) -> bytes:
+    return pa.decompress(data[8:], struct.unpack_from("<q", data)[0], codec="zstd", asbytes=True)
+
+
+def squeeze_rows(x: np.ndarray) -> bytes:
+    """Records by byte planes, so that high bytes, which are mostly zero, lie together."""
+    return squeeze(np.frombuffer(x.tobytes(), np.uint8).reshape(len(x), x.dtype.itemsize).T.tobytes())
+
+
+def unsqueeze_rows(data: bytes, kind: np.dtype) -> np.ndarray:
+    planes = np.frombuffer(unsqueeze(data), np.uint8).reshape(kind.itemsize, -1)
+    return np.frombuffer(planes.T.tobytes(), kind)
+
+
 def _of_documents(ids: np.ndarray, hs: np.ndarray, parts: int) -> np.ndarray:
     """The part that a document's places are gathered in."""
     mixed = (ids.astype(np.uint64) * np.uint64(_P)) ^ hs.astype(np.uint64)
@@ -92,7 +111,7 @@ def _gathered(blocks: DataFrame, fields: tuple[str, ...]) -> DataFrame:
     place = np.dtype([(f, "<i4") for f in fields])
 
     def gather(table: pa.Table) -> pa.Table:
-        x = np.concatenate([np.frombuffer(b, kind) for b in table.column("x").to_pylist()])
+        x = np.concatenate([unsqueeze_rows(b, kind) for b in table.column("x").to_pylist()])
         x = x[np.lexsort((x["h"], x["id"]))]
         start = np.flatnonzero(np.concatenate(([True], (np.diff(x["id"]) != 0) | (np.diff(x["h"]) != 0))))
         marks = np.empty(len(x), place)
@@ -110,13 +129,13 @@ def _dealt(x: np.ndarray, parts: int) -> pa.Table:
     order = np.argsort(part, kind="stable")
     x, part = x[order], part[order]
     start = np.flatnonzero(np.concatenate(([True], np.diff(part) != 0))) if len(x) else np.empty(0, np.int64)
-    return pa.table([pa.array(part[start], pa.int64()), pa.array([b.tobytes() for b in np.split(x, start[1:])] if len(x) else [], pa.binary())],
+    return pa.table([pa.array(part[start], pa.int64()), pa.array([squeeze_rows(b) for b in np.split(x, start[1:])] if len(x) else [], pa.binary())],
                     ["part", "x"])
 
 
 def _repeated_anchors(texts: DataFrame, parts: int, length: int) -> DataFrame:
     """id, h, marks: anchors (place, first, last: 32-bit) whose hash occurs again; texts: id, h, text."""
-    kind = np.dtype([("hash", "<u8"), ("id", "<i8"), ("h", "<i8"), ("at", "<i4"), ("first", "<i4"), ("last", "<i4")])
+    kind = np.dtype([("hash", "<u8"), ("id", "<i8"), ("h", "<i8"), ("at", "<i4"), ("back", "<i4"), ("more", "<i4")])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: dict[tuple, np.ndarray] = {}  # by text: of the copies in a task the first one stands for all
@@ -130,7 +149,7 @@ def _repeated_anchors(texts: DataFrame, parts: int, length: int) -> DataFrame:
                     continue
                 hashes, at, first, last = anchors(data, length)
                 x = np.empty(len(at), kind)
-                x["hash"], x["id"], x["h"], x["at"], x["first"], x["last"] = hashes, i, h, at, first, last
+                x["hash"], x["id"], x["h"], x["at"], x["back"], x["more"] = hashes, i, h, at, at - first, last - first
                 own[text] = x
         if not own:
             return
@@ -152,13 +171,13 @@ def _repeated_anchors(texts: DataFrame, parts: int, length: int) -> DataFrame:
             yield block((len(rest) + j * 7919) % parts, 2, part)
 
     def block(bucket: int, sort: int, x: np.ndarray) -> pa.RecordBatch:
-        return pa.record_batch([pa.array([bucket]), pa.array([sort], pa.int32()), pa.array([x.tobytes()], pa.binary())], ["b", "kind", "x"])
+        return pa.record_batch([pa.array([bucket]), pa.array([sort], pa.int32()), pa.array([squeeze_rows(x)], pa.binary())], ["b", "kind", "x"])
 
     def confirm(table: pa.Table) -> pa.Table:
-        sorts, blobs = table.column("kind").to_pylist(), table.column("x").to_pylist()
-        parts_ = [np.frombuffer(x, kind) for s, x in zip(sorts, blobs) if s < 2]
-        known = [np.full(len(np.frombuffer(x, kind)), s == 1) for s, x in zip(sorts, blobs) if s < 2]
-        found = [np.frombuffer(x, kind) for s, x in zip(sorts, blobs) if s == 2]
+        blocks = [(s, unsqueeze_rows(x, kind)) for s, x in zip(table.column("kind").to_pylist(), table.column("x").to_pylist())]
+        parts_ = [x for s, x in blocks if s < 2]
+        known = [np.full(len(x), s == 1) for s, x in blocks if s < 2]
+        found = [x for s, x in blocks if s == 2]
         if parts_:
             x, k = np.concatenate(parts_), np.concatenate(known)
             order = np.lexsort((x["at"], x["h"], x["hash"]))
@@ -169,9 +188,10 @@ def _repeated_anchors(texts: DataFrame, parts: int, length: int) -> DataFrame:
             again = np.logical_or.reduceat(other | k, start)[inverse]
             found.append(x[again & ~k])  # those known to repeat are among the others already
         out = np.concatenate(found) if found else np.empty(0, kind)
-        places = np.empty(len(out), [(f, kind[f]) for f in ("id", "h", "at", "first", "last")])
-        for f in places.dtype.names:
-            places[f] = out[f]
+        places = np.empty(len(out), [("id", "<i8"), ("h", "<i8"), ("at", "<i4"), ("first", "<i4"), ("last", "<i4")])
+        places["id"], places["h"], places["at"] = out["id"], out["h"], out["at"]
+        places["first"] = out["at"] - out["back"]
+        places["last"] = places["first"] + out["more"]
         return _dealt(places, parts)
 
     rows = texts.mapInArrow(emit, "b long, kind int, x binary")
@@ -336,20 +356,20 @@ def repeated_starts(texts: DataFrame, parts: int, length: int = LENGTH) -> DataF
                 dealt = defaultdict(list)
                 for e in ordered:
                     dealt[bisect_right(splits, e[0][:8])].append(e)
-                out = [(p, 0, encode_run(x)) for p, x in dealt.items()]
+                out = [(p, 0, squeeze(encode_run(x))) for p, x in dealt.items()]
                 settled = defaultdict(list)
                 for (i, h), own in done.items():
                     settled[(h + i) % parts] += [(i, h, first, last) for first, last in own]
-                out += [(p, 1, np.array(x, found_kind).tobytes()) for p, x in settled.items()]
+                out += [(p, 1, squeeze_rows(np.array(x, found_kind))) for p, x in settled.items()]
                 if out:
                     yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.binary()))], ["p", "kind", "x"])
 
     def combine(table: pa.Table) -> pa.Table:
         own = list(zip(table.column("kind").to_pylist(), table.column("x").to_pylist()))
-        known = [np.frombuffer(x, found_kind) for kind, x in own if kind]
+        known = [unsqueeze_rows(x, found_kind) for kind, x in own if kind]
         group: list[tuple] = []
         marks: list[tuple] = []
-        for same, e in merge_runs([x for kind, x in own if not kind]):
+        for same, e in merge_runs([unsqueeze(x) for kind, x in own if not kind]):
             if same < K:
                 marks += _resolve(group, length)
                 group.clear()
