@@ -22,6 +22,7 @@ from lakekit.llm.common import input_partitions
 BINS = 128
 BITS = 8
 SHINGLE_WORDS = 5
+FIRST_TRIES = 24
 BLANKS = " \t\n\x0b\x0c\r"
 
 
@@ -40,7 +41,7 @@ def _below(lo: Column, hi: Column, b: Column) -> Column:
 
 def with_bins(df: DataFrame, text_col: str, name: str, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """Adds ``name``: for each of the 128 bins the low-order bits of its value (array of int)."""
-    words, hashes, least, lo, hi = (f"__{name}_{x}" for x in ("words", "hashes", "least", "lo", "hi"))
+    words, hashes, least, lo, hi, own = (f"__{name}_{x}" for x in ("words", "hashes", "least", "lo", "hi", "own"))
     trimmed = F.btrim(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(BLANKS))
     df = df.withColumn(words, F.split(trimmed, r"[\x20\x09-\x0D]+"))
     starts = F.sequence(F.lit(1), F.greatest(F.size(words) - (shingle_words - 1), F.lit(1)))
@@ -53,21 +54,28 @@ def with_bins(df: DataFrame, text_col: str, name: str, shingle_words: int = SHIN
     bit_map = lambda ok, at: F.aggregate(
         least, F.lit(0).cast("long"), lambda m, h: F.when(ok(top(h)), m.bitwiseOR(F.call_function("shiftleft", one, (top(h) + at).cast("int")))).otherwise(m))
     df = df.withColumn(lo, bit_map(lambda t: t < 0, 64)).withColumn(hi, bit_map(lambda t: t >= 0, 0))
-    low, high, value = F.col(lo), F.col(hi), F.col(least)
+    low, high = F.col(lo), F.col(hi)
 
-    def donor(i: Column) -> Column:
-        """The first occupied bin in bin i's own order, a full cycle from a hashed start with a hashed odd step."""
-        h = F.xxhash64(i.cast("int"))
-        step, start = h.bitwiseAND(F.lit(126)) + 1, F.shiftright(h, 32).bitwiseAND(F.lit(127))
-        tries = F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda t: (start + step * t).bitwiseAND(F.lit(127)).cast("int"))
-        return F.get(F.filter(tries, lambda b: _occupied(low, high, b)), F.lit(0))
+    def value(i: Column) -> Column:
+        """Bin ``i``'s low-order bits, null where it is empty."""
+        least_hash = F.get(F.col(least), _below(low, high, i).cast("int"))
+        return F.when(_occupied(low, high, i), least_hash.bitwiseAND(F.lit((1 << BITS) - 1)).cast("int"))
 
-    def at(b: Column) -> Column:
-        return F.get(value, _below(low, high, b).cast("int")).bitwiseAND(F.lit((1 << BITS) - 1)).cast("int")
+    df = df.withColumn(own, F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), value))
 
-    # first where each bin takes its value from, then the values: as a lambda's variable, a source is found once
-    sources = F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda i: F.when(_occupied(low, high, i), i).otherwise(donor(i)))
-    return df.withColumn(name, F.transform(sources, at)).drop(words, hashes, least, lo, hi)
+    def tried(h: Column, t) -> Column:
+        """The value at try ``t``: a full cycle of the bins from a hashed start with a hashed odd step."""
+        step, start = h.bitwiseAND(F.lit(126)) + 1, F.shiftright(h, 32)
+        return F.get(F.col(own), (start + step * t).bitwiseAND(F.lit(127)).cast("int"))
+
+    def filled(h: Column, i: Column) -> Column:
+        # coalesce stops at the first occupied bin; the list of the later tries is made only where the first ones fail
+        later = F.transform(F.sequence(F.lit(FIRST_TRIES), F.lit(BINS - 1)), lambda t: tried(h, t))
+        return F.coalesce(F.get(F.col(own), i), *[tried(h, F.lit(t)) for t in range(FIRST_TRIES)],
+                          F.get(F.filter(later, lambda v: v.isNotNull()), F.lit(0)))
+
+    orders = F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda i: F.xxhash64(i.cast("int")))
+    return df.withColumn(name, F.transform(orders, filled)).drop(words, hashes, least, lo, hi, own)
 
 
 def packed(bins: str) -> Column:
