@@ -18,8 +18,18 @@ def json_text(*cols) -> Column:
 
 
 def delimited_text(*cols, sep: str = "|", null_token: str = NULL_TOKEN) -> Column:
-    """``a|b|c`` with every null rendered as ``null_token`` (portable across SQL engines)."""
-    return F.concat_ws(sep, *[F.coalesce(c.cast("string"), F.lit(null_token)) for c in _cols(cols)])
+    """``a|b|c`` with every null rendered as ``null_token`` (portable across SQL engines).
+
+    Different rows have different texts: a backslash, the separator and the first character of ``null_token`` are
+    escaped by a backslash inside values, so a value can neither end a part nor look like a null.
+    """
+    def escaped(c: Column) -> Column:
+        text = c.cast("string")
+        for mark in ("\\", sep, null_token[0]):
+            text = F.replace(text, F.lit(mark), F.lit("\\" + mark))
+        return text
+
+    return F.concat_ws(sep, *[F.coalesce(escaped(c), F.lit(null_token)) for c in _cols(cols)])
 
 
 def row_digest(*cols, mode: str = "json") -> Column:

@@ -22,7 +22,7 @@ class ReconciliationError(RuntimeError):
 def file_fingerprints(rows: DataFrame, digest_cols: list, file_col: str = "source_object",
                       extra_file_cols: list[str] = ()) -> DataFrame:
     """Per landed file: content hash over the multiset of row digests, row count, period parsed from the name."""
-    d = rows.select(file_col, *extra_file_cols, row_digest(*digest_cols, mode="text").alias("row_digest"))
+    d = rows.select(file_col, *extra_file_cols, row_digest(*digest_cols).alias("row_digest"))
     fp = content_fingerprint(d, [file_col, *extra_file_cols])
     return fp.withColumn("source_period", source_period(file_col))
 
@@ -43,11 +43,13 @@ def discover_new(files: DataFrame, batch_state: DataFrame, target_contents: Data
 
 
 def one_file_per_content(new_files: DataFrame, file_col: str = "source_object") -> DataFrame:
-    """Two files with identical content in one run: keep the first name, report the others as duplicates.
+    """Two files with identical content in one run: the first name carries the content, the others are flagged
+    ``duplicate_content`` and name it in ``duplicate_of``; the caller registers only the first and records the rest.
     (Joining rows to batches by content would otherwise fan out.)"""
     first = new_files.groupBy("content_sha256").agg(F.min(file_col).alias("__first"))
-    return new_files.join(first, "content_sha256").withColumn(
-        "duplicate_content", F.col(file_col) != F.col("__first")).drop("__first")
+    repeat = F.col(file_col) != F.col("__first")
+    return new_files.join(first, "content_sha256").withColumn("duplicate_content", repeat).withColumn(
+        "duplicate_of", F.when(repeat, F.col("__first"))).drop("__first")
 
 
 def land(rows: DataFrame, new_files: DataFrame, file_col: str = "source_object",
@@ -73,7 +75,8 @@ def reconcile(new_files: DataFrame, counts: DataFrame, key: str = "batch_id") ->
 
 def reconcile_guard(report: DataFrame) -> None:
     """Raise when any new file's landed rows differ from its source rows (the report is one row per file)."""
-    bad = report.filter("mismatch").limit(20).collect()
-    if bad:
-        raise ReconciliationError(f"{len(bad)} file(s) landed a different row count: "
-                                  + ", ".join(f"{r['batch_id']}: {r['source_rows']} vs {r['landed_rows']}" for r in bad))
+    bad = report.filter("mismatch")
+    n = bad.count()
+    if n:
+        examples = ", ".join(f"{r['batch_id']}: {r['source_rows']} vs {r['landed_rows']}" for r in bad.limit(20).collect())
+        raise ReconciliationError(f"{n} file(s) landed a different row count, for example {examples}")

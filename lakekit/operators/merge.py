@@ -18,14 +18,22 @@ ACTIONS = ["insert", "update", "unchanged", "keep", "delete"]
 def merge_plan(target: DataFrame, source: DataFrame, keys: list[str], compare_cols: list[str],
                update_cols: list[str] | None = None, delete_unmatched: bool = False,
                enabled: bool = True) -> DataFrame:
-    """Every key of either side with its action and the resulting row (columns of ``target``)."""
+    """Every key of either side with its action and the resulting row (columns of ``target``).
+
+    Keys match null-safely.  A key that the source holds more than once raises when the plan runs (it would multiply
+    target rows); the grouping that finds it is on the join's own keys.
+    """
     cols = target.columns
     update_cols = update_cols if update_cols is not None else [c for c in cols if c not in keys]
     t = target.select(*[F.col(c).alias(f"__t_{c}") for c in cols], F.lit(True).alias("__in_t"))
-    s = source.select(*[F.col(c).alias(f"__s_{c}") for c in cols if c in source.columns], F.lit(True).alias("__in_s"))
+    carried = [c for c in cols if c in source.columns and c not in keys]
+    once = F.when(F.col("__n") == 1, F.lit(True)).otherwise(
+        F.raise_error(F.lit("merge source holds a key more than once")).cast("boolean"))
+    s = (source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(c) for c in carried])
+         .select(*[F.col(c).alias(f"__s_{c}") for c in [*keys, *carried]], once.alias("__in_s")))
     cond = None
     for k in keys:
-        c = F.col(f"__t_{k}") == F.col(f"__s_{k}")
+        c = F.col(f"__t_{k}").eqNullSafe(F.col(f"__s_{k}"))
         cond = c if cond is None else cond & c
     j = t.join(s, cond, "full_outer")
     in_t, in_s = F.col("__in_t").isNotNull(), F.col("__in_s").isNotNull()

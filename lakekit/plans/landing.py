@@ -60,13 +60,14 @@ class LandingRun:
         return control.latest_state(ev)
 
     def target_contents(self) -> DataFrame:
-        if not self._target_exists():
-            return self.spark.createDataFrame([], "content_sha256 string")
-        return self.store.read_partitioned("bronze_lineitem").select("content_sha256").distinct()
+        held = self.store.partition_values("bronze_lineitem", "content_sha256")
+        return self.spark.createDataFrame([(c,) for c in held], "content_sha256 string")
 
-    def _target_exists(self) -> bool:
-        fs_path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.store.root}/bronze_lineitem/data")
-        return self.store._fs.exists(fs_path)
+    def drop_unheld(self) -> None:
+        """Drop target contents that no live batch holds: replaced ones, and what a run that died left behind."""
+        live = self.batch_state().filter("status = 'SUCCESS'").select("content_sha256")
+        unheld = self.target_contents().join(live, "content_sha256", "left_anti")
+        self.store.drop_partitions("bronze_lineitem", "content_sha256", [r["content_sha256"] for r in unheld.collect()])
 
     def discover(self) -> DataFrame:
         rows = self.scan()
@@ -79,27 +80,35 @@ class LandingRun:
         return ingest.discover_new(files, self.batch_state(), self.target_contents(), SOURCE_SYSTEM)
 
     def load(self) -> DataFrame:
-        """One incremental run; returns the reconciliation report (one row per new file)."""
+        """One incremental run; returns the reconciliation report (one row per new batch).
+
+        New content lands first; then its batches close and the batches they replace are superseded in one append;
+        only then are replaced rows dropped.  A run that dies leaves the old rows in place, and the next one repeats
+        what was not closed.  A failed run closes its batches as FAILED.  Files that repeat another's content are not
+        registered as batches but listed in the ``duplicate_deliveries`` log.  One load at a time per target.
+        """
         # the new-file list is materialised once per run: it must not be re-derived after the run's own events
-        new = cut_lineage(ingest.one_file_per_content(self.discover(), "raw_uri"), "new_files")
-        # a revised delivery of an object replaces it: supersede the old batch and drop its rows
-        # (matched by source object, not by the new content hash)
-        superseded = cut_lineage(control.supersede(self.batch_state(), new), "superseded")
-        old = [r["content_sha256"] for r in superseded.select("content_sha256").distinct().collect()]
-        if old:
-            self.store.drop_partitions("bronze_lineitem", "content_sha256", old)
-            self.store.append("ingestion_batches", superseded)
-        self.store.append("ingestion_batches", control.batch_events(new.withColumn("target_table", F.lit(None)),
-                                                                    "DISCOVERED", target_table="bronze_lineitem"))
-        self.store.append("ingestion_batches", control.batch_events(new, "STARTED", target_table="bronze_lineitem"))
-        landed = ingest.land(self.scan(), new, "raw_uri")
-        self.store.overwrite_partitions("bronze_lineitem", landed, ["content_sha256"])
-        counts = ingest.landed_counts(self.store.read_partitioned("bronze_lineitem")
-                                      .join(new.select("batch_id"), "batch_id", "left_semi"))
-        report = cut_lineage(ingest.reconcile(new, counts), "reconcile_report")
-        ingest.reconcile_guard(report)
-        self.store.append("ingestion_batches", control.close_with_counts(
-            new.withColumn("target_table", F.lit("bronze_lineitem")), counts))
+        found = cut_lineage(ingest.one_file_per_content(self.discover(), "raw_uri"), "new_files")
+        new = found.filter("not duplicate_content")
+        self.store.append("duplicate_deliveries", found.filter("duplicate_content").select(
+            "source_object", "raw_uri", "content_sha256", "row_count", "duplicate_of"))
+        replaced = cut_lineage(control.supersede(self.batch_state(), new), "superseded")
+        for status in ("DISCOVERED", "STARTED"):
+            self.store.append("ingestion_batches", control.batch_events(new, status, target_table="bronze_lineitem"))
+        try:
+            landed = ingest.land(self.scan(), new, "raw_uri")
+            self.store.overwrite_partitions("bronze_lineitem", landed, ["content_sha256"])
+            own = self.store.read_partitioned("bronze_lineitem", landed.schema).join(
+                new.select("content_sha256", "batch_id"), ["content_sha256", "batch_id"], "left_semi")
+            report = cut_lineage(ingest.reconcile(new, ingest.landed_counts(own)), "reconcile_report")
+            ingest.reconcile_guard(report)
+        except Exception:
+            self.store.append("ingestion_batches", control.batch_events(new, "FAILED", target_table="bronze_lineitem"))
+            raise
+        counts = report.select("batch_id", F.col("landed_rows").alias("row_count"))
+        closed = control.close_with_counts(new.withColumn("target_table", F.lit("bronze_lineitem")), counts)
+        self.store.append("ingestion_batches", closed.unionByName(replaced))
+        self.drop_unheld()
         return report
 
 

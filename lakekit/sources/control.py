@@ -21,9 +21,10 @@ RUN_EVENT_SCHEMA = "run_id string, layer string, status string, event_at timesta
 
 
 def batch_id_for(source_system, content_sha256) -> F.Column:
-    """Deterministic batch id: source system + first 16 hex characters of the content hash."""
+    """Batch id of one attempt: source system, start of the content hash (for readers) and a random part, so two
+    contents never share an id and a reload of the same content is a new batch.  Materialise before use."""
     return F.concat(F.lit("batch_"), F.col(source_system) if isinstance(source_system, str) else source_system,
-                    F.lit("_"), F.substring(F.col(content_sha256), 1, 16))
+                    F.lit("_"), F.substring(F.col(content_sha256), 1, 16), F.lit("_"), F.expr("uuid()"))
 
 
 def batch_events(files: DataFrame, status: str, at_col: str = "event_at", target_table: str | None = None) -> DataFrame:
@@ -84,15 +85,12 @@ def close_with_counts(started: DataFrame, landed_counts: DataFrame, key: str = "
 
 
 def supersede(current: DataFrame, new_batches: DataFrame) -> DataFrame:
-    """SUPERSEDED events for live SUCCESS batches whose source object was delivered again with other content."""
-    live = current.filter(F.col("status") == "SUCCESS").alias("o")
-    n = new_batches.select("source_object", "source_system", F.col("content_sha256").alias("__new"),
-                           F.col("batch_id").alias("__by")).alias("n")
-    j = live.join(n, (F.col("o.source_object") == F.col("n.source_object"))
-                  & (F.col("o.source_system") == F.col("n.source_system"))
-                  & (F.col("o.content_sha256") != F.col("n.__new")))
-    j = j.select("o.*").drop("event_at")
-    return batch_events(j, "SUPERSEDED")
+    """SUPERSEDED events for live SUCCESS batches that a new batch replaces: the same source object delivered again,
+    or the same content loaded again (its rows were lost from the target)."""
+    live = current.filter(F.col("status") == "SUCCESS")
+    hits = [live.join(new_batches.select(*on).distinct(), on, "left_semi").select(*live.columns)
+            for on in (["source_system", "source_object"], ["source_system", "content_sha256"])]
+    return batch_events(hits[0].unionByName(hits[1]).dropDuplicates(["batch_id"]).drop("event_at"), "SUPERSEDED")
 
 
 def run_events(run_id: str, layer: str, status: str, code_revision: str | None = None) -> str:

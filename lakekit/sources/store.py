@@ -1,8 +1,9 @@
-"""Versioned Parquet snapshots with an atomic "current version" pointer, and append-only logs.
+"""Versioned Parquet snapshots committed by write-once markers, and append-only logs.
 
-A table is a folder ``<root>/<name>/``; each write goes to a new ``v=<id>/`` folder and then the small pointer
-file ``_CURRENT`` is replaced, so readers never see a half-written version and a failed write leaves the previous
-version current.  Appends add files to ``<root>/<name>/log/``.  Filesystem calls go through Hadoop's
+A table is a folder ``<root>/<name>/``; each write goes to a new ``v=<id>/`` folder and is then committed by creating
+an empty marker ``_commits/<sequence>.<id>``.  The greatest marker names the current version and no marker is ever
+replaced or removed, so readers see the old version or the new one, and a failed write leaves the old one current.
+Appends add files to ``<root>/<name>/log/``.  Filesystem calls go through Hadoop's
 ``FileSystem`` (works for local, HDFS and object stores), reached from the session.
 """
 
@@ -27,33 +28,20 @@ class SnapshotStore:
     def _table(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _pointer(self, name: str) -> str:
-        return f"{self._table(name)}/_CURRENT"
-
-    def _write_text(self, path: str, text: str) -> None:
-        tmp = self._Path(f"{path}.{uuid.uuid4().hex}.tmp")
-        out = self._fs.create(tmp, True)
-        out.write(bytearray(text.encode()))
-        out.close()
-        target = self._Path(path)
-        if self._fs.exists(target):
-            self._fs.delete(target, False)
-        self._fs.rename(tmp, target)
-
-    def _read_text(self, path: str) -> str | None:
+    def _names(self, path: str) -> list[str]:
         p = self._Path(path)
-        if not self._fs.exists(p):
-            return None
-        stream = self._fs.open(p)
-        reader = self.spark.sparkContext._jvm.java.io.BufferedReader(
-            self.spark.sparkContext._jvm.java.io.InputStreamReader(stream))
-        line = reader.readLine()
-        reader.close()
-        return line
+        return [s.getPath().getName() for s in self._fs.listStatus(p)] if self._fs.exists(p) else []
+
+    def _last_commit(self, name: str) -> tuple[int, str | None]:
+        marks = [m for m in self._names(f"{self._table(name)}/_commits") if m[:1].isdigit()]
+        if not marks:
+            return 0, None
+        sequence, version = max(marks).split(".", 1)
+        return int(sequence), version
 
     # -- snapshots (replace table / insert overwrite) -------------------------------------------------------
     def current_version(self, name: str) -> str | None:
-        return self._read_text(self._pointer(name))
+        return self._last_commit(name)[1]
 
     def exists(self, name: str) -> bool:
         return self.current_version(name) is not None
@@ -65,7 +53,8 @@ class SnapshotStore:
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(f"{self._table(name)}/v={version}")
-        self._write_text(self._pointer(name), version)
+        sequence, _ = self._last_commit(name)
+        self._fs.createNewFile(self._Path(f"{self._table(name)}/_commits/{sequence + 1:012d}.{version}"))
         return version
 
     def read(self, name: str, version: str | None = None) -> DataFrame:
@@ -110,5 +99,12 @@ class SnapshotStore:
             if self._fs.exists(p):
                 self._fs.delete(p, True)
 
-    def read_partitioned(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self._table(name)}/data")
+    def partition_values(self, name: str, column: str) -> list[str]:
+        """Values of a partition column, from the folder names (one name a partition, no file is read)."""
+        head = f"{column}="
+        return [n[len(head):] for n in self._names(f"{self._table(name)}/data") if n.startswith(head)]
+
+    def read_partitioned(self, name: str, schema=None) -> DataFrame:
+        """The table's rows; with a schema, a table whose partitions were all dropped reads as empty."""
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(f"{self._table(name)}/data")

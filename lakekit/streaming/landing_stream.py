@@ -18,7 +18,7 @@ from lakekit.functions.digest import row_digest
 
 def land_micro_batch(batch: DataFrame, digest_cols: list[str], target: str, period_pattern: str) -> None:
     """Fingerprint the files of one micro-batch and overwrite their content partitions in ``target``."""
-    d = batch.select("raw_uri", row_digest(*digest_cols, mode="text").alias("row_digest"))
+    d = batch.select("raw_uri", row_digest(*digest_cols).alias("row_digest"))
     fp = content_fingerprint(d, ["raw_uri"]).select("raw_uri", "content_sha256")
     landed = (batch.join(fp, "raw_uri")  # one row per file in this micro-batch
               .withColumn("source_period", F.nullif(F.regexp_extract("raw_uri", period_pattern, 1), F.lit(""))))

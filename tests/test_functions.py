@@ -78,3 +78,12 @@ def test_dq_status_rule(spark):
                                "sev string, n long, pct double, thr double")
     got = [r[0] for r in df.select(dq_status("sev", "n", "pct", "thr")).collect()]
     assert got == ["INFO", "PASS", "FAIL", "WARN", "FAIL"]
+
+
+def test_delimited_text_tells_all_rows_apart(spark):
+    from lakekit.functions import delimited_text
+    rows = [("a|b", "c"), ("a", "b|c"), (None, "c"), ("<null>", "c"), ("\\<null>", "c"), ("a\\", "b|c"), ("a\\|b", "c")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    assert df.select(delimited_text("x", "y").alias("t")).distinct().count() == len(rows)
+    assert df.sparkSession.createDataFrame([("a", None)], "x string, y string").select(
+        delimited_text("x", "y")).first()[0] == "a|<null>"

@@ -192,3 +192,25 @@ def test_chunked_file_hash_matches_hashlib(spark, tmp_path):
     assert got["b.bin"]["sha256"] == hashlib.sha256(tree.encode()).hexdigest() and got["b.bin"]["chunks"] == 11
     whole = {r["path"].rsplit("/", 1)[-1]: r["sha256"] for r in file_bytes_sha256(spark, str(tmp_path)).collect()}
     assert whole["a.bin"] == got["a.bin"]["sha256"]
+
+
+def test_merge_matches_null_keys_and_refuses_repeated_source_keys(spark):
+    import pytest
+
+    from lakekit.operators import merge
+    target = spark.createDataFrame([(1, "a"), (None, "n")], "k int, v string")
+    source = spark.createDataFrame([(1, "b"), (None, "m")], "k int, v string")
+    got = {r["k"]: (r["v"], r["_merge_action"]) for r in merge.merge_snapshot(target, source, ["k"], ["v"]).collect()}
+    assert got == {1: ("b", "update"), None: ("m", "update")}
+    with pytest.raises(Exception, match="more than once"):
+        merge.merge_counts(merge.merge_plan(target, source.unionByName(source), ["k"], ["v"])).collect()
+
+
+def test_snapshot_store_current_version_is_the_last_commit(spark, tmp_path):
+    from lakekit.sources.store import SnapshotStore
+    store = SnapshotStore(spark, f"file://{tmp_path}/tables")
+    assert store.current_version("t") is None
+    first = store.write("t", spark.range(3))
+    second = store.write("t", spark.range(5))
+    assert store.current_version("t") == second and sorted(store.versions("t")) == sorted([first, second])
+    assert store.read("t").count() == 5 and store.read("t", first).count() == 3

@@ -76,3 +76,62 @@ def test_job_stops_at_a_blocking_gate_and_joins_the_landing_branch(spark):
     steps = {(e[1], e[2]) for e in job.events}
     assert ("landing_trips", "SUCCESS") in steps and ("gate_control", "SUCCESS") in steps  # branch finished
     assert not any(name.startswith("silver_") for name, _ in steps)  # nothing downstream of the barrier ran
+
+
+def _one_month(spark, run):
+    li = Tables(spark, SF_SMALL).lineitem.select(*landing.LINE_COLS) \
+        .withColumn("period", F.date_format("l_shipdate", "yyyy-MM"))
+    month = li.agg(F.min("period").alias("p")).first()["p"]
+    rows = li.filter(F.col("period") == month)
+    return rows, lambda: rows.coalesce(1).write.mode("append").partitionBy("period").parquet(run.landing)
+
+
+def _control_fails(run):
+    from lakekit.plans import checks
+    from lakekit.sources import control
+    ev = run.store.read_log("ingestion_batches", control.BATCH_EVENT_SCHEMA)
+    res = checks.control_gate().run(checks.control_tables(ev)).collect()
+    return {r["check_name"]: r["fail_count"] for r in res if r["fail_count"]}
+
+
+def test_equal_files_are_one_batch_and_a_reload_of_lost_rows_is_a_new_one(spark):
+    run = landing.LandingRun(spark, SF_SMALL)
+    rows, deliver = _one_month(spark, run)
+    deliver()
+    deliver()  # the same rows again under another file name
+    n = rows.count()
+    report = run.load().collect()
+    assert [(r["source_rows"], r["landed_rows"]) for r in report] == [(n, n)]
+    repeats = run.store.read_log("duplicate_deliveries").collect()
+    assert [(r["row_count"], r["duplicate_of"] is not None) for r in repeats] == [(n, True)]
+    assert run.store.read_partitioned("bronze_lineitem").count() == n
+    assert _control_fails(run) == {}
+
+    run.store.drop_partitions("bronze_lineitem", "content_sha256",
+                              run.store.partition_values("bronze_lineitem", "content_sha256"))
+    run.load()  # the target is empty: the content is loaded again
+    assert sorted(r["status"] for r in run.batch_state().collect()) == ["SUCCESS", "SUPERSEDED"]
+    assert run.store.read_partitioned("bronze_lineitem").count() == n
+    assert _control_fails(run) == {}
+
+
+def test_failed_load_closes_as_failed_and_the_next_run_loads(spark, monkeypatch):
+    import pytest
+
+    from lakekit.operators import ingest
+    run = landing.LandingRun(spark, SF_SMALL)
+    rows, deliver = _one_month(spark, run)
+    deliver()
+
+    def broken(report):
+        raise ingest.ReconciliationError("planted")
+
+    with monkeypatch.context() as m:
+        m.setattr(ingest, "reconcile_guard", broken)
+        with pytest.raises(ingest.ReconciliationError):
+            run.load()
+    assert [r["status"] for r in run.batch_state().collect()] == ["FAILED"]
+    run.load()
+    assert sorted(r["status"] for r in run.batch_state().collect()) == ["FAILED", "SUCCESS"]
+    assert run.store.read_partitioned("bronze_lineitem").count() == rows.count()
+    assert _control_fails(run) == {}
