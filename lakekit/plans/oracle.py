@@ -291,6 +291,11 @@ fact AS (
     CAST(t.passenger_count AS DECIMAL(10,2)) AS passenger_count,
     t.trip_distance_miles, t.fare_amount_usd, t.total_amount_usd, t.trip_duration_seconds,
     1 AS trip_count,
+    COALESCE(t.pickup_datetime_local >= TIMESTAMP '1900-01-01 00:00:00'
+             AND t.pickup_datetime_local < TIMESTAMP '9999-01-01 00:00:00', false) AS pickup_in_reporting_window_flag,
+    COALESCE(strftime(t.pickup_datetime_local, '%Y-%m')
+             <> NULLIF(regexp_extract(t.source_file, '([0-9]{{4}}-[0-9]{{2}})', 1), ''), false)
+      AS out_of_source_file_month_flag,
     t.dropoff_before_pickup_flag,
     t.negative_distance_flag AS negative_trip_distance_flag,
     t.negative_fare_flag AS negative_fare_amount_flag,

@@ -90,7 +90,7 @@ def test_control_gate_planted_lifecycle_anomalies(spark):
         "source_systems_registering_batches": 0}
     assert got["no_duplicate_successful_batches"][1] == 6  # content groups
     assert got["no_stuck_batches"][2] == "FAIL"  # WARN at a 0 % tolerance
-    assert got["source_systems_registering_batches"][3] == "sources with a SUCCESS batch: src"
+    assert got["source_systems_registering_batches"][3] == "loaded from: src"
     state = {r["batch_id"]: r for r in control.batch_lifecycle(df).collect()}
     assert state["b5"]["status"] == "STARTED" and state["b4"]["row_count"] is None and state["b1"]["row_count"] == 10
 
