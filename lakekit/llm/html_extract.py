@@ -6,7 +6,12 @@ extracted again from the containers on its host's winning path; pages without su
 
 A block is the text between two block borders; character references are decoded, white space in a block becomes one
 space, blocks are joined by a line feed in page order.  Menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, styles and reader comments are left out by tag, or by a word of the class, id or role.
+scripts, styles and reader comments are left out by tag, or by a class, id or role that consists of such words (and of
+words that say only where it is).  A left-out element counts as part of the page all the same
+
+* if it holds ``main``; or, by name or a form, if it holds an ``article`` and the page has none elsewhere;
+* on pages without either, by name or a form, if it holds more than half of the page's text that is not link text;
+* of reader comments, if nothing else is left.
 
 Defined results: null and empty html give the empty text; pages without a tag are one block; a null url belongs to the
 empty host; unclosed elements end where HTML lets them end, unclosed comments and scripts at the end of the page;
@@ -18,6 +23,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -28,37 +34,86 @@ from lakekit.llm.common import byte_slices
 from lakekit.session import cut_lineage
 
 SKIPPED_TAGS = frozenset("head nav header footer aside form menu dialog select button iframe object figure audio video canvas".split())
+#: of these, what has no page text in it at all
+OPAQUE_TAGS = frozenset("head select button iframe object figure audio video canvas".split())
 OPAQUE = "script|style|noscript|template|textarea|svg|math|title"
 CONTAINERS = frozenset("body main article section div table tbody tr td center".split())
 BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd pre blockquote address figcaption th caption thead tfoot hr details summary".split())
-NOISE = re.compile(r"(?:^|[^a-z])(?:ads?|advert\w*|sponsor\w*|promo\w*|nav\w*|menu\w*|footer|header|masthead|breadcrumbs?|"
+TALK = re.compile(r"comments?|replies|disqus|respond")
+NOISE = re.compile(r"ads?|advert\w*|sponsor\w*|promo\w*|nav\w*|menu\w*|footer|header|masthead|breadcrumbs?|copyright|colophon|"
                    r"sidebar|side|widgets?|related|recommended|share|sharing|social|cookies?|consent|gdpr|notices?|banner|"
-                   r"alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|comments?|replies|disqus|"
-                   r"respond|pagination|pager|skip|hidden)(?![a-z])", re.I)
+                   r"alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|pagination|pager|skip|hidden|" + TALK.pattern)
+#: words beside which a noise word keeps its meaning
+PLACES = frozenset("site page main top bottom left right primary secondary global local box bar block list area container wrapper wrap "
+                   "inner outer section group item items link links button buttons icons form body law info policy message posts "
+                   "articles stories news topics products".split())
+OF_POST = frozenset("post entry article".split())
+PART = re.compile(r"[a-z]+")
 TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({OPAQUE})\b[^>]*+>.*?(?:</\1\s*>|\Z)|<[!?][^>]*+>|"
                    r"<(/?)([a-zA-Z][\w:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][\w:-]*+)([^>]*+)(?:>|\Z)", re.S | re.I)
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 DIGITS = re.compile(r"\d+")
 
 
-def _attributes(raw: str) -> tuple[str, bool]:
-    """Generalised classes, and whether a class, id or role marks noise."""
-    classes, noise = "", False
+@lru_cache(1 << 14)
+def _noise(name: str) -> str:
+    """Of a class, id or role: "" if it marks no noise, "talk" for reader comments, else "name"."""
+    parts = PART.findall(name.lower())
+    marks = [p for p in parts if NOISE.fullmatch(p)]
+    places = PLACES | OF_POST if any(m != "header" for m in marks) else PLACES  # a post's header is its heading
+    if not marks or any(p not in places and p not in marks for p in parts):
+        return ""
+    return "talk" if any(TALK.fullmatch(m) for m in marks) else "name"
+
+
+def _attributes(raw: str) -> tuple[str, str]:
+    """Generalised classes, and what kind of noise a class, id or role marks."""
+    classes, kinds = "", set()
     for k, v in ATTRIBUTE.findall(raw):
-        v = v.strip("\"'")
-        if k.lower() == "class":
+        k, v = k.lower(), v.strip("\"'")
+        if k == "class":
             classes = ".".join(sorted({DIGITS.sub("#", c.lower()) for c in v.split()}))
-        noise = noise or (k.lower() in ("class", "id", "role") and NOISE.search(v) is not None) or k.lower() == "hidden" or (
-            k.lower() == "aria-hidden" and v.lower() == "true")
-    return classes, noise
+        if k in ("class", "id", "role"):
+            kinds.update(map(_noise, v.split()))
+        elif k == "hidden" or v.lower() == "true":
+            kinds.add("name")
+    return classes, "talk" if "talk" in kinds else "name" if "name" in kinds else ""
+
+
+def _left_in(kinds: list[str], landmarks: list[tuple[bool, tuple[int, ...]]], found: list[tuple]) -> set[int]:
+    """The left-out elements that count as part of the page; ``kinds``: why each is left out, ``landmarks``: whether it is
+    main, and the left-out elements around it, of each main and article, ``found``: blocks with the elements around them."""
+    kept = {e for main, around in landmarks if main for e in around}
+    own = any(kept.issuperset(around) for _, around in landmarks)
+    weak = {e for e, kind in enumerate(kinds) if kind in ("name", "form")}
+    if not own:
+        for _, around in landmarks:
+            if weak.union(kept).issuperset(around):
+                kept.update(around)
+                own = True
+    if not own:
+        total, inside = 0, defaultdict(int)
+        for _, text, link_chars, around in found:
+            if weak.issuperset(around):
+                plain = max(0, len(text) - link_chars)
+                total += plain
+                for e in around:
+                    inside[e] += plain
+        kept.update(e for e, n in inside.items() if 2 * n > total)
+        if not any(kept.issuperset(around) for *_, around in found):
+            kept.update(e for e, kind in enumerate(kinds) if kind in ("name", "form", "talk"))
+    return kept
 
 
 def blocks(html: str) -> list[tuple[tuple[str, ...], str, int]]:
     """(container path, text, characters of link text) of each block that is not left out, in page order."""
-    out: list[tuple[tuple[str, ...], str, int]] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, left out, container
+    found: list[tuple[tuple[str, ...], str, int, tuple[int, ...]]] = []
+    stack: list[tuple[str, bool, bool, bool]] = []  # tag, opaque, left out, container
     path: list[str] = []
     text: list[str] = []
+    kinds: list[str] = []
+    around: list[int] = []
+    landmarks: list[tuple[bool, tuple[int, ...]]] = []
     links, skipped, link_chars, at = 0, 0, 0, 0
 
     def flush() -> None:
@@ -66,15 +121,17 @@ def blocks(html: str) -> list[tuple[tuple[str, ...], str, int]]:
         if text:
             own = " ".join(unescape("".join(text)).split())
             if own:
-                out.append((tuple(path), own, link_chars))
+                found.append((tuple(path), own, link_chars, tuple(around)))
             text.clear()
         link_chars = 0
 
     def close(depth: int) -> None:
         nonlocal skipped
         while len(stack) > depth:
-            _, left_out, container = stack.pop()
-            skipped -= left_out
+            _, opaque, left_out, container = stack.pop()
+            skipped -= opaque
+            if left_out:
+                around.pop()
             if container:
                 path.pop()
 
@@ -112,20 +169,27 @@ def blocks(html: str) -> list[tuple[tuple[str, ...], str, int]]:
             elif tag in ("li", "dt", "dd", "td", "th", "tr") and depth is not None and not any(
                     s[0] in ("ul", "ol", "dl", "table") for s in stack[depth:]):
                 close(depth)
-            classes, noise = _attributes(raw) if raw.strip() else ("", False)
+            classes, noise = _attributes(raw) if raw.strip() else ("", "")
+            if tag in ("article", "main") and not skipped and (tag == "main" or not noise):
+                landmarks.append((tag == "main", tuple(around)))
             if tag in ("body", "html", "article", "main"):
-                noise = False
+                noise = ""
             if tag == "hr":
                 continue
-            left_out = noise or tag in SKIPPED_TAGS
+            opaque = tag in OPAQUE_TAGS
+            kind = "" if opaque else noise or "form" if tag == "form" else "tag" if tag in SKIPPED_TAGS else noise
             container = tag in CONTAINERS
-            stack.append((tag, left_out, container))
-            skipped += left_out
+            stack.append((tag, opaque, bool(kind), container))
+            skipped += opaque
+            if kind:
+                around.append(len(kinds))
+                kinds.append(kind)
             if container:
                 path.append(f"{tag}.{classes}" if classes else tag)
     add(html[at:])
     flush()
-    return out
+    kept = _left_in(kinds, landmarks, found) if kinds else set()
+    return [(p, own, n) for p, own, n, inside in found if kept.issuperset(inside)]
 
 
 def path_scores(page: list[tuple[tuple[str, ...], str, int]]) -> dict[str, float]:

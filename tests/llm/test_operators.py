@@ -256,3 +256,19 @@ def test_pipeline_keeps_clean_documents(spark):
     out = corpus_pipeline.run(spark, SF_SMALL)
     assert out.filter("length > 2048 or offset + length > 2048").count() == 0
     assert out.select("doc_id").distinct().count() > 150
+
+
+def _extracted(spark, *htmls, url="http://h/"):
+    df = spark.createDataFrame([(k, url, h) for k, h in enumerate(htmls)], "page_id long, url string, html string")
+    return [r.text for r in sorted(html_extract.extract(df).collect(), key=lambda r: r.page_id)]
+
+
+def test_html_noise_names_are_whole_and_wrappers_stay(spark):
+    body = ("text " * 60).strip()
+    for wrapper in ("class='layout has-sidebar'", "class='header-fixed wrapper'", "class='side-by-side'", "class='sidebar'", "id=header"):
+        assert _extracted(spark, f"<body><div {wrapper}><article><p>{body}</p></article></div></body>") == [body]
+        assert _extracted(spark, f"<body><div {wrapper}><div><p>{body}</p></div><div class='ad'>buy</div></div></body>") == [body]
+        assert _extracted(spark, f"<body><form {wrapper}><main><p>{body}</p></main></form></body>") == [body]
+    talk = "<div id=comments><article class=comment-body><p>" + "talk " * 200 + "</p></article></div>"
+    assert _extracted(spark, f"<body><article><p>{body}</p></article>{talk}<div class='site-footer'><p>{body * 3}</p></div></body>") == [body]
+    assert _extracted(spark, f"<body><div><p>{body}</p></div>{talk}<aside><article><p>teaser</p></article></aside></body>") == [body]
