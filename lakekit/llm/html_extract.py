@@ -2,7 +2,9 @@
 
 Every page scores its containers by the text of their blocks that is not link text, and votes for the best one by its
 generalised path (tags with their classes, digits generalised).  Votes are added up per host in Spark, and each page is
-extracted again from the containers on its host's winning path; pages without such a container use their own best one.
+extracted again from the containers on its host's winning path; pages that have less than half of their scored text
+there use their own best one.  Blocks beside the winning container, at any level around it, belong to the text, too, unless
+they are link text.
 
 A block is the text between two block borders; character references are decoded, white space in a block becomes one
 space, blocks are joined by a line feed in page order.  Menus, headers, footers, sidebars, notices, adverts, forms,
@@ -33,12 +35,12 @@ from pyspark.sql import functions as F
 from lakekit.llm.common import byte_slices
 from lakekit.session import cut_lineage
 
-SKIPPED_TAGS = frozenset("head nav header footer aside form menu dialog select button iframe object figure audio video canvas".split())
+SKIPPED_TAGS = frozenset("head nav header footer aside form menu dialog select button iframe object audio video canvas".split())
 #: of these, what has no page text in it at all
-OPAQUE_TAGS = frozenset("head select button iframe object figure audio video canvas".split())
-OPAQUE = "script|style|noscript|template|textarea|svg|math|title"
+OPAQUE_TAGS = frozenset("head select button iframe object audio video canvas".split())
+OPAQUE = "script|style|noscript|template|textarea|svg|annotation-xml|annotation|title"
 CONTAINERS = frozenset("body main article section div table tbody tr td center".split())
-BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd pre blockquote address figcaption th caption thead tfoot hr details summary".split())
+BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd pre blockquote address figure figcaption th caption thead tfoot hr details summary".split())
 TALK = re.compile(r"comments?|replies|disqus|respond")
 NOISE = re.compile(r"ads?|advert\w*|sponsor\w*|promo\w*|nav\w*|menu\w*|footer|header|masthead|breadcrumbs?|copyright|colophon|"
                    r"sidebar|side|widgets?|related|recommended|share|sharing|social|cookies?|consent|gdpr|notices?|banner|"
@@ -207,10 +209,30 @@ def best_path(page: list[tuple[tuple[str, ...], str, int]]) -> tuple[str, float]
     return max(scores.items(), key=lambda x: (x[1], x[0])) if scores else None
 
 
-def text_at(page: list[tuple[tuple[str, ...], str, int]], path: str) -> str | None:
-    """Blocks inside the containers on ``path``; None if the page has none."""
-    own = [text for p, text, _ in page if not path or (">".join(p) + ">").startswith(path + ">")]
-    return "\n".join(own) if own else None
+def _inside(p: tuple[str, ...], path: str) -> bool:
+    return not path or (">".join(p) + ">").startswith(path + ">")
+
+
+def text_at(page: list[tuple[tuple[str, ...], str, int]], path: str) -> tuple[str, str] | None:
+    """Blocks inside the containers on ``path``, those beside them that are not link text, and the path that holds all of
+    them; None if the page has no block on ``path``."""
+    within = [_inside(p, path) for p, *_ in page]
+    if not any(within):
+        return None
+    first = page[within.index(True)][0]
+    common = first[:next(k for k in range(len(first) + 1) if ">".join(first[:k]) == path)]
+    out = []
+    for (p, text, link_chars), inside in zip(page, within):
+        if inside or 2 * link_chars <= len(text):
+            out.append(text)
+            common = common[:next((k for k, (a, b) in enumerate(zip(common, p)) if a != b), min(len(common), len(p)))]
+    return "\n".join(out), ">".join(common)
+
+
+def holds_most(page: list[tuple[tuple[str, ...], str, int]], path: str) -> bool:
+    """Whether the containers on ``path`` have half or more of the page's scored text."""
+    worth = [(max(0, len(text) - 3 * link_chars), _inside(p, path)) for p, text, link_chars in page]
+    return any(own for _, own in worth) and 2 * sum(n for n, own in worth if own) >= sum(n for n, _ in worth)
 
 
 def _host(url):
@@ -245,12 +267,11 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 texts, paths = [], []
                 for html, path in zip(part.column("html").to_pylist(), part.column("path").to_pylist()):
                     page = blocks(html)
-                    text = text_at(page, path) if path is not None else None
-                    if text is None:
+                    if path is None or not holds_most(page, path):
                         best = best_path(page)
                         path = best[0] if best else None
-                        text = text_at(page, path) if best else ""
-                    texts.append(text or "")
+                    text, path = text_at(page, path) if path is not None else ("", None)
+                    texts.append(text)
                     paths.append(path)
                 yield pa.record_batch([part.column("id"), part.column("url"), pa.array(texts, pa.string()),
                                        pa.array(paths, pa.string())], ["id", "url", "text", "path"])

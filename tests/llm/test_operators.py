@@ -263,6 +263,17 @@ def _extracted(spark, *htmls, url="http://h/"):
     return [r.text for r in sorted(html_extract.extract(df).collect(), key=lambda r: r.page_id)]
 
 
+def test_html_keeps_blocks_beside_the_winning_container(spark):
+    intro, body, other = "intro " * 50, "body " * 200, "other " * 800
+    split = f"<body><ul><li><a href='/'>Start here</a></ul><article><h1>Head</h1><p>{intro}</p><section><p>{body}</p></section></article></body>"
+    plain = f"<body><article><p>{other}</p><section><p>{'short ' * 16}</p></section></article></body>"
+    figure = f"<body><article><p>{body}</p><figure><img src=x><figcaption>Caption</figcaption></figure><p><math><mi>E</mi></math> is</p></article></body>"
+    got = _extracted(spark, split, split, split, plain, figure)
+    assert got[0] == "\n".join(x.strip() for x in ("Head", intro, body))
+    assert got[3] == f"{other.strip()}\n{('short ' * 16).strip()}"
+    assert got[4] == f"{body.strip()}\nCaption\nE is"
+
+
 def test_html_noise_names_are_whole_and_wrappers_stay(spark):
     body = ("text " * 60).strip()
     for wrapper in ("class='layout has-sidebar'", "class='header-fixed wrapper'", "class='side-by-side'", "class='sidebar'", "id=header"):
