@@ -283,3 +283,16 @@ def test_html_noise_names_are_whole_and_wrappers_stay(spark):
     talk = "<div id=comments><article class=comment-body><p>" + "talk " * 200 + "</p></article></div>"
     assert _extracted(spark, f"<body><article><p>{body}</p></article>{talk}<div class='site-footer'><p>{body * 3}</p></div></body>") == [body]
     assert _extracted(spark, f"<body><div><p>{body}</p></div>{talk}<aside><article><p>teaser</p></article></aside></body>") == [body]
+
+
+def test_toxicity_votes_follow_the_lexicon(spark):
+    rng = random.Random(8)
+    text = lambda: [f"word{rng.randrange(40)}" for _ in range(25)]
+    rare = ["".join(rng.choice("bdgkmprstvz") for _ in range(8)) for _ in range(60)]
+    rows = [(i, " ".join(text() + ([rare[i // 5 % 60]] if i % 5 == 0 else []))) for i in range(3000)]
+    df = spark.createDataFrame(rows, EMPTY).repartition(4)
+    labels = df.select("doc_id", (F.col("doc_id") % 5 == 0).cast("int").alias("toxic"))
+    model = toxicity.train(df, labels, F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(4)) != 0)
+    assert len(model.marks) >= 50  # some share a beginning
+    got = {r.doc_id: r.p >= 0.5 for r in toxicity.score(df, model, name="p").collect()}
+    assert got == {i: i % 5 == 0 for i, _ in rows}  # each of 60 words marks 10 rows; some of them have no label
