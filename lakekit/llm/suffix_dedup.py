@@ -12,6 +12,8 @@ same one) is removed; strings are judged on the input.  The steps:
    beyond the prefix that two heads are known to share with the last winner.
 4. Neighbours that share ``K`` bytes form a class.  In it the strings around each anchor are compared exactly, and all
    but the earliest start of each string are marked.
+5. Anchors whose hash occurs more than ``HOT`` times do not meet in a class: tasks keep the earliest start of each of
+   their strings, by its 128-bit digest, and these meet by digest.
 
 Documents are ordered by id (null ids last), equal ids by a hash of their text; rows with equal id and equal text are one
 document and get the same result.  Null is the empty text; texts shorter than ``length`` lose nothing unless nothing
@@ -21,6 +23,7 @@ than once, so it must be re-readable (a table).
 
 from __future__ import annotations
 
+import hashlib
 import struct
 from bisect import bisect_right
 from collections import defaultdict
@@ -38,6 +41,8 @@ LENGTH = 100
 K = 32
 #: bound of the sampled prefixes that cut the suffix order into ranges (rows)
 SAMPLE = 20_000
+#: occurrences of an anchor up to which its class is resolved in one task, and strings a task holds before it sends them
+HOT, HELD = 4096, 400_000
 _P = 0x9E3779B97F4A7C15
 _ENTRY = struct.Struct("<BBBqqiii")  # shared prefix, rest, left length; document, its hash, anchor, first, last start
 _MARK = struct.Struct("<ii")
@@ -133,9 +138,10 @@ def _dealt(x: np.ndarray, parts: int) -> pa.Table:
                     ["part", "x"])
 
 
-def _repeated_anchors(texts: DataFrame, parts: int, length: int) -> DataFrame:
-    """id, h, marks: anchors (place, first, last: 32-bit) whose hash occurs again; texts: id, h, text."""
-    kind = np.dtype([("hash", "<u8"), ("id", "<i8"), ("h", "<i8"), ("at", "<i4"), ("back", "<i4"), ("more", "<i4")])
+def _repeated_anchors(texts: DataFrame, parts: int, length: int, hot: int = HOT) -> tuple[DataFrame, np.ndarray]:
+    """id, h, marks: anchors (place, first, last: 32-bit) whose hash occurs again; and the sorted hashes that occur more
+    than ``hot`` times.  texts: id, h, text."""
+    kind = np.dtype([("hash", "<u8"), ("id", "<i8"), ("h", "<i8"), ("at", "<i4"), ("back", "<i4"), ("more", "<i4"), ("n", "<i4")])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: dict[tuple, np.ndarray] = {}  # by text: of the copies in a task the first one stands for all
@@ -149,7 +155,7 @@ def _repeated_anchors(texts: DataFrame, parts: int, length: int) -> DataFrame:
                     continue
                 hashes, at, first, last = anchors(data, length)
                 x = np.empty(len(at), kind)
-                x["hash"], x["id"], x["h"], x["at"], x["back"], x["more"] = hashes, i, h, at, at - first, last - first
+                x["hash"], x["id"], x["h"], x["at"], x["back"], x["more"], x["n"] = hashes, i, h, at, at - first, last - first, 1
                 own[text] = x
         if not own:
             return
@@ -159,6 +165,7 @@ def _repeated_anchors(texts: DataFrame, parts: int, length: int) -> DataFrame:
         _, start, count = np.unique(x["hash"], return_index=True, return_counts=True)
         again = np.repeat(count > 1, count)
         one = x[start]  # one of each hash meets those of other tasks
+        one["n"] = count
         bucket = (one["hash"] % np.uint64(parts)).astype(np.int64)
         known = count > 1
         order = np.lexsort((known, bucket))
@@ -175,7 +182,7 @@ def _repeated_anchors(texts: DataFrame, parts: int, length: int) -> DataFrame:
 
     def confirm(table: pa.Table) -> pa.Table:
         blocks = [(s, unsqueeze_rows(x, kind)) for s, x in zip(table.column("kind").to_pylist(), table.column("x").to_pylist())]
-        parts_ = [x for s, x in blocks if s < 2]
+        parts_, often = [x for s, x in blocks if s < 2], np.empty(0, np.uint64)
         known = [np.full(len(x), s == 1) for s, x in blocks if s < 2]
         found = [x for s, x in blocks if s == 2]
         if parts_:
@@ -186,16 +193,23 @@ def _repeated_anchors(texts: DataFrame, parts: int, length: int) -> DataFrame:
             # copies of a text share its hash and the place; another place or text, or a task that knows one, repeats
             other = np.concatenate(([False], (np.diff(x["hash"]) == 0) & ((np.diff(x["h"]) != 0) | (np.diff(x["at"]) != 0))))
             again = np.logical_or.reduceat(other | k, start)[inverse]
+            often = x["hash"][start][np.add.reduceat(x["n"].astype(np.int64), start) > hot]
             found.append(x[again & ~k])  # those known to repeat are among the others already
         out = np.concatenate(found) if found else np.empty(0, kind)
         places = np.empty(len(out), [("id", "<i8"), ("h", "<i8"), ("at", "<i4"), ("first", "<i4"), ("last", "<i4")])
         places["id"], places["h"], places["at"] = out["id"], out["h"], out["at"]
         places["first"] = out["at"] - out["back"]
         places["last"] = places["first"] + out["more"]
-        return _dealt(places, parts)
+        sent = _dealt(places, parts)
+        if len(often):
+            sent = pa.concat_tables([sent, pa.table([pa.array([-1], pa.int64()), pa.array([often.tobytes()], pa.binary())], ["part", "x"])])
+        return sent
 
     rows = texts.mapInArrow(emit, "b long, kind int, x binary")
-    return _gathered(rows.groupBy("b").applyInArrow(confirm, "part long, x binary"), ("at", "first", "last"))
+    sent = cut_lineage(rows.groupBy("b").applyInArrow(confirm, "part long, x binary"), "anchors")
+    # at most one hash in ``hot`` anchors
+    often = [np.frombuffer(r["x"], np.uint64) for r in sent.filter("part < 0").collect()]
+    return _gathered(sent.filter("part >= 0"), ("at", "first", "last")), np.sort(np.concatenate([np.empty(0, np.uint64), *often]))
 
 
 def shared_prefix(a: bytes, b: bytes, start: int = 0) -> int:
@@ -324,26 +338,57 @@ def _resolve(group: list[tuple], length: int) -> Iterator[tuple[int, int, int, i
             yield i, h, start, first + len(own) - 1
 
 
-def repeated_starts(texts: DataFrame, parts: int, length: int = LENGTH) -> DataFrame:
+def repeated_starts(texts: DataFrame, parts: int, length: int = LENGTH, hot: int = HOT) -> DataFrame:
     """id, h, marks (pairs of first and last start of repeated strings); texts: id, h, text."""
-    prefix = F.expr("substring(text, 1 + cast(pmod(xxhash64(h, id), length(text)) as int), 8)").alias("s")
+    prefix = F.expr(f"substring(text, 1 + cast(pmod(xxhash64(h, id), length(text)) as int), {K})").alias("s")
     prefixes = (texts.filter(F.octet_length("text") >= length).select(F.xxhash64("h", "id").alias("o"), prefix)
                 .orderBy("o").limit(SAMPLE).collect())
-    sample = sorted(r["s"].encode()[:8] for r in prefixes)  # a bounded, documented sample of prefixes
+    sample = sorted(r["s"].encode()[:K] for r in prefixes)  # a bounded, documented sample of prefixes
     splits = sorted({sample[k * len(sample) // parts] for k in range(1, parts)}) if sample else []
-    found = _repeated_anchors(texts, parts, length)
+    found, often = _repeated_anchors(texts, parts, length, hot)
     both = texts.join(found, ["id", "h"])
     place = np.dtype([("at", "<i4"), ("first", "<i4"), ("last", "<i4")])
     found_kind = np.dtype([("id", "<i8"), ("h", "<i8"), ("first", "<i4"), ("last", "<i4")])
+    string_kind = np.dtype([("d0", "<u8"), ("d1", "<u8"), ("id", "<i8"), ("h", "<i8"), ("at", "<i4")])
+
+    def message(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.binary()))], ["p", "kind", "x"])
+
+    def dealt_strings(earliest: dict[bytes, tuple]) -> list[tuple]:
+        x = np.empty(len(earliest), string_kind)
+        digests = np.frombuffer(b"".join(earliest), np.uint64).reshape(-1, 2)
+        x["d0"], x["d1"] = digests[:, 0], digests[:, 1]
+        x["id"], x["h"], x["at"] = np.array(list(earliest.values()), np.int64).reshape(-1, 3).T
+        p = (x["d0"] % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(p, kind="stable")
+        return [(int(p[o[0]]), 2, squeeze_rows(x[o])) for o in np.split(order, np.flatnonzero(np.diff(p[order])) + 1) if len(o)]
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in byte_slices(batch, "text", 32 << 20):
                 least: dict[tuple, tuple] = {}
                 done = defaultdict(list)
+                earliest: dict[bytes, tuple] = {}  # of strings at frequent anchors
                 for i, h, data, blob in zip(part.column("id").to_pylist(), part.column("h").to_pylist(),
                                             utf8_values(part.column("text")), part.column("marks").to_pylist()):
-                    for at, first, last in sorted(np.frombuffer(blob, place).tolist()):
+                    own = np.sort(np.frombuffer(blob, place))
+                    frequent = np.isin(gram_hashes(data, K)[own["at"]], often) if len(often) else np.zeros(len(own), bool)
+                    for at, first, last in own[frequent].tolist():
+                        for k in range(first, last + 1):
+                            digest, mine = hashlib.blake2b(data[k:k + length], digest_size=16).digest(), (i, h, k)
+                            other = earliest.setdefault(digest, mine)
+                            if mine < other:
+                                earliest[digest], mine, other = mine, other, mine
+                            if mine != other:  # an equal string in this task: the later one is settled
+                                spans = done[mine[:2]]
+                                if spans and spans[-1][1] == mine[2] - 1:
+                                    spans[-1] = (spans[-1][0], mine[2])
+                                else:
+                                    spans.append((mine[2], mine[2]))
+                    if len(earliest) >= HELD:
+                        yield message(dealt_strings(earliest))
+                        earliest = {}
+                    for at, first, last in own[~frequent].tolist():
                         key = (data[at:first + length + (last - first)], data[first:at], at - last)
                         mine, other = (i, h, at, first, last), least.get(key)
                         if other is None:
@@ -355,18 +400,29 @@ def repeated_starts(texts: DataFrame, parts: int, length: int = LENGTH) -> DataF
                 ordered = sorted((right, left, *own) for (right, left, _), own in least.items())
                 dealt = defaultdict(list)
                 for e in ordered:
-                    dealt[bisect_right(splits, e[0][:8])].append(e)
+                    dealt[bisect_right(splits, e[0][:K])].append(e)
                 out = [(p, 0, squeeze(encode_run(x))) for p, x in dealt.items()]
                 settled = defaultdict(list)
                 for (i, h), own in done.items():
                     settled[(h + i) % parts] += [(i, h, first, last) for first, last in own]
                 out += [(p, 1, squeeze_rows(np.array(x, found_kind))) for p, x in settled.items()]
+                out += dealt_strings(earliest)
                 if out:
-                    yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.binary()))], ["p", "kind", "x"])
+                    yield message(out)
 
     def combine(table: pa.Table) -> pa.Table:
         own = list(zip(table.column("kind").to_pylist(), table.column("x").to_pylist()))
-        known = [unsqueeze_rows(x, found_kind) for kind, x in own if kind]
+        known = [unsqueeze_rows(x, found_kind) for kind, x in own if kind == 1]
+        strings = [unsqueeze_rows(x, string_kind) for kind, x in own if kind == 2]
+        if strings:
+            x = np.concatenate(strings)
+            x = x[np.lexsort((x["at"], x["h"], x["id"], x["d1"], x["d0"]))]
+            new = np.concatenate(([True], (np.diff(x["d0"]) != 0) | (np.diff(x["d1"]) != 0)))
+            least = x[np.flatnonzero(new)[np.cumsum(new) - 1]]  # by string; a repeated row has it at the same place
+            x = x[(x["id"] != least["id"]) | (x["h"] != least["h"]) | (x["at"] != least["at"])]
+            later = np.empty(len(x), found_kind)
+            later["id"], later["h"], later["first"], later["last"] = x["id"], x["h"], x["at"], x["at"]
+            known.append(later)
         group: list[tuple] = []
         marks: list[tuple] = []
         for same, e in merge_runs([unsqueeze(x) for kind, x in own if not kind]):
@@ -396,7 +452,7 @@ def spans_of(marks: bytes, length: int = LENGTH) -> list[tuple[int, int]]:
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, keep: tuple[str, ...] = (),
-          prefix: str = "") -> DataFrame:
+          prefix: str = "", hot: int = HOT) -> DataFrame:
     """``id_col``, the columns ``keep``, n_bytes, spans (removed byte spans, maximal) and kept (the other bytes); the last
     three with ``prefix`` before their names."""
     key = F.coalesce(docs[id_col].cast("long"), F.lit(LAST))
@@ -407,7 +463,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     settled = (rows.select("id", "h", "digest").join(firsts.withColumnRenamed("id", "least"), "digest")
                .filter("id > least").select("id", "h").distinct().withColumn("copy", F.lit(True)))
     parts = input_partitions(docs.select(text_col), 8 << 20)
-    marks = repeated_starts(rows.select("id", "h", "text"), parts, length)
+    marks = repeated_starts(rows.select("id", "h", "text"), parts, length, hot)
     known = cut_lineage(marks.join(settled, ["id", "h"], "full"), "marks")  # small, so the texts are shuffled once for it
     own = rows.join(known, ["id", "h"], "left")
     names = ["__id", *[f"__keep_{c}" for c in keep]]

@@ -296,3 +296,25 @@ def test_toxicity_votes_follow_the_lexicon(spark):
     assert len(model.marks) >= 50  # some share a beginning
     got = {r.doc_id: r.p >= 0.5 for r in toxicity.score(df, model, name="p").collect()}
     assert got == {i: i % 5 == 0 for i, _ in rows}  # each of 60 words marks 10 rows; some of them have no label
+
+
+def test_suffix_dedup_frequent_anchors_meet_by_digest(spark):
+    rng = random.Random(9)
+    noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    footer, page = noise(60), noise(260)
+    rows = [(i, noise(150) + footer + noise(150) + (page[i % 7 * 20:] if i % 3 == 0 else "")) for i in range(120)]
+    rows += [(200, "a" * 400), (201, "ba" * 150 + "a" * 300), (202, rows[3][1]), (203, "a" * 400)]
+    seen, expected = set(), {}
+    for i, t in rows:
+        b, gone = t.encode(), bytearray(len(t))
+        for p in range(len(b) - 99):
+            if b[p:p + 100] in seen:
+                gone[p:p + 100] = b"\1" * 100
+            seen.add(b[p:p + 100])
+        expected[i] = bytes(x for x, g in zip(b, gone) if not g)
+    df = spark.createDataFrame([*rows, rows[5]], EMPTY).repartition(6)  # a repeated row is the same document
+    texts = df.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"), "text")
+    _, often = suffix_dedup._repeated_anchors(texts, 4, 100, 30)
+    assert len(often) and set(often.tolist()) & set(suffix_dedup.gram_hashes(footer.encode(), suffix_dedup.K).tolist())
+    for hot in (1, 30, suffix_dedup.HOT):
+        assert {r.doc_id: bytes(r.kept) for r in suffix_dedup.dedup(df, hot=hot).collect()} == expected
