@@ -7,10 +7,11 @@ reads it back as the next one's documents.  All but the last return the columns
 from __future__ import annotations
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from lakekit.llm import decontaminate, packing, simhash, suffix_dedup, toxicity
-from lakekit.llm.common import table
+from lakekit.llm.common import byte_slices, table
 from lakekit.session import cut_lineage
 
 
@@ -32,18 +33,39 @@ def drop_repeated_spans(spark, docs, sf_dir):
     """Texts without the 100-byte strings that an earlier document, or an earlier place, has; characters that a span
     cuts in two go as a whole, and n_chars follows the text."""
     own = docs.columns
-    rows = suffix_dedup.dedup(docs, length=100, keep=tuple(own), prefix="__")
-    text = F.when(F.col("text").isNull(), F.lit(None)).when(F.size("__spans") == 0, F.col("text")).otherwise(_valid_utf8("__kept"))
-    rows = rows.select(*[text.alias("text") if c == "text" else F.col(c) for c in own], F.size("__spans").alias("__cuts"))
+    rows = suffix_dedup.dedup(docs, length=100, keep=tuple(own), prefix="__").select(*own, "__spans")
+
+    def cut(batches):
+        at = own.index("text")
+        for batch in batches:
+            for part in byte_slices(batch, "text"):
+                spans = part.column("__spans").to_pylist()
+                texts = part.column("text").cast(pa.binary()).to_pylist()
+                kept = [_without(t, x) if t is not None and x else t for t, x in zip(texts, spans)]
+                columns = [part.column(c) for c in own]
+                columns[at] = pa.array(kept, pa.binary()).view(pa.string())
+                yield pa.record_batch([*columns, pa.array([len(x) for x in spans], pa.int32())], [*own, "__cuts"])
+
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema)
+    rows = rows.mapInArrow(cut, schema + "__cuts int")
     if "n_chars" in own:
         kind = docs.schema["n_chars"].dataType
         rows = rows.withColumn("n_chars", F.when(F.col("__cuts") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
     return rows.select(*own)
 
 
-def _valid_utf8(column):
-    """Text of bytes, without what is no valid character."""
-    return F.regexp_replace(F.make_valid_utf8(F.col(column).cast("string")), "�", "")
+def _without(data: bytes, spans: list[dict]) -> bytes:
+    """``data`` (UTF-8) without the spans, each widened to the borders of the characters that it cuts in two."""
+    out, at = [], 0
+    for span in spans:
+        a, b = span["start"], span["end"]
+        while a > at and data[a] & 0xC0 == 0x80:
+            a -= 1
+        while b < len(data) and data[b] & 0xC0 == 0x80:
+            b += 1
+        out.append(data[at:a])
+        at = b
+    return b"".join(out) + data[at:]
 
 
 def drop_contaminated(spark, docs, sf_dir):

@@ -318,3 +318,16 @@ def test_suffix_dedup_frequent_anchors_meet_by_digest(spark):
     assert len(often) and set(often.tolist()) & set(suffix_dedup.gram_hashes(footer.encode(), suffix_dedup.K).tolist())
     for hot in (1, 30, suffix_dedup.HOT):
         assert {r.doc_id: bytes(r.kept) for r in suffix_dedup.dedup(df, hot=hot).collect()} == expected
+
+
+def test_pipeline_spans_cut_whole_characters_only(spark):
+    import corpus_pipeline
+    rng = random.Random(10)
+    noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    shared = noise(120)
+    # the bytes of \u00e9 and \u00e8 share their first, those of \u00e9 and \u0129 their last
+    rows = [(1, "x" + shared + "\u00e9 first", 0), (2, "\ufffd own " + shared + "\u00e8 end \ufffd", 0), (3, "\ufffd", 1), (4, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars int")
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.drop_repeated_spans(spark, docs, None).collect()}
+    assert got == {1: (rows[0][1], 0), 2: ("\ufffd own  end \ufffd", 12), 3: ("\ufffd", 1), 4: (None, None)}
+    assert corpus_pipeline._without("a\u00e9b\u00e9c".encode(), [{"start": 2, "end": 5}]) == b"ac"
