@@ -113,7 +113,7 @@ def vote_sets(docs: DataFrame, marks: list[str]) -> DataFrame:
     return rows.groupBy("votes").agg(F.sum("n").alias("n"), F.sum("y").alias("y"))
 
 
-@lru_cache(MEMO_WORDS)
+@lru_cache(1 << 16)
 def _beginnings(word: str) -> tuple[str, ...]:
     return tuple(word[:n] + "-" for n in range(3, min(8, len(word))))
 
@@ -149,6 +149,7 @@ def mine_marks(rows: DataFrame, toxic_share: float) -> list[str]:
         for batch in batches:
             for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist()):
                 (toxic if y else clean).update(_features(text))
+        _beginnings.cache_clear()
         keys = list(toxic.keys() | clean.keys())
         for k in range(0, len(keys), 50_000):
             own = keys[k:k + 50_000]
@@ -186,6 +187,7 @@ def mine_marks(rows: DataFrame, toxic_share: float) -> list[str]:
                 # so that one voter's miss does not decide, the best one that is no part of the first, too
                 named.update(own[:1])
                 named.update([f for f in own[1:] if not base(f).startswith(base(own[0])) and not base(own[0]).startswith(base(f))][:1])
+        _beginnings.cache_clear()  # a worker lives on after its task
         yield pa.record_batch([pa.array(sorted(named), pa.string())], ["feature"])
 
     return sorted(r["feature"] for r in rows.filter("y = 1").mapInArrow(name, "feature string").distinct().collect())
