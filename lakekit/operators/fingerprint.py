@@ -1,15 +1,9 @@
 """Order-free, multiset-exact content fingerprints of groups of rows (files, snapshots, responses).
 
-The fingerprint is SHA-256 over the sorted multiset of row digests, computed in three distributed steps so no
-task ever holds a whole group:
-
-1. ``(group, digest) → n`` — identical rows collapse into one entry with their multiplicity (map-side partial
-   aggregation), so a file made of one repeated row is still one small entry;
-2. per ``(group, digest prefix)`` bucket: SHA-256 of the sorted ``digest×n`` entries (4096 buckets per group with
-   the default 3-hex-character prefix; widen it for very large groups);
-3. per group: SHA-256 of the sorted ``bucket:hash`` list (at most 16^prefix entries).
-
-Reordering rows never changes the value; adding, removing or duplicating one row always does.
+A row's SHA-256 digest is cut into four lanes of 64 bits.  A group's fingerprint is SHA-256 over its row count and the
+exact sum of each lane: addition commutes, so order, splits and partition counts do not matter, and a repeated row adds
+its lanes once more.  Everything is a plain ``sum``: partially aggregated before the shuffle, one row per group and
+task, no list and no bucket count, so a file or snapshot of any size (one hot file included) is never in one task.
 """
 
 from __future__ import annotations
@@ -19,28 +13,28 @@ from pyspark.sql import functions as F
 
 from lakekit.functions.digest import version_id
 
+LANES = 4
+LANE_HEX = 16
+
 
-def _sorted_join(c: Column, sep: str) -> Column:
-    return F.array_join(F.array_sort(F.collect_list(c)), sep)
+def _lane(digest_col: str, i: int) -> Column:
+    """64 bits of a hex digest as an unsigned number; the sum of 10^18 rows fits its decimal sum."""
+    part = F.substring(F.col(digest_col), LANE_HEX * i + 1, LANE_HEX)
+    return F.conv(part, 16, 10).cast("decimal(28,0)")
 
 
-def content_fingerprint(df: DataFrame, group_cols, digest_col: str = "row_digest", prefix_len: int = 3,
-                        out: str = "content_sha256", count_out: str = "row_count", sep: str = ",") -> DataFrame:
+def content_fingerprint(df: DataFrame, group_cols, digest_col: str = "row_digest", out: str = "content_sha256",
+                        count_out: str = "row_count") -> DataFrame:
     """``(group…, content_sha256, row_count)`` for every group of ``df``."""
     g = [group_cols] if isinstance(group_cols, str) else list(group_cols)
-    d = df.groupBy(*g, F.col(digest_col).alias("__d")).agg(F.count(F.lit(1)).alias("__n"))
-    b = (d.groupBy(*g, F.substring("__d", 1, prefix_len).alias("__b"))
-         .agg(F.sha2(_sorted_join(F.concat(F.col("__d"), F.lit("x"), F.col("__n").cast("string")), sep), 256)
-              .alias("__bh"), F.sum("__n").alias("__n")))
-    return (b.groupBy(*g)
-            .agg(F.sha2(_sorted_join(F.concat(F.col("__b"), F.lit(":"), F.col("__bh")), sep), 256).alias(out),
-                 F.sum("__n").cast("long").alias(count_out)))
+    sums = df.groupBy(*g).agg(F.count(F.lit(1)).alias("__n"), *[F.sum(_lane(digest_col, i)).alias(f"__lane{i}") for i in range(LANES)])
+    text = F.concat_ws(":", F.col("__n").cast("string"), *[F.col(f"__lane{i}").cast("string") for i in range(LANES)])
+    return sums.select(*g, F.sha2(text, 256).alias(out), F.col("__n").cast("long").alias(count_out))
 
 
-def snapshot_fingerprint(df: DataFrame, digest_col: str = "row_digest", prefix: str = "v_", prefix_len: int = 3,
-                         n: int = 12) -> DataFrame:
+def snapshot_fingerprint(df: DataFrame, digest_col: str = "row_digest", prefix: str = "v_", n: int = 12) -> DataFrame:
     """One row ``(content_sha256, row_count, version_id)`` for a whole snapshot (e.g. a zone lookup file)."""
-    fp = content_fingerprint(df.withColumn("__all", F.lit(1)), ["__all"], digest_col, prefix_len).drop("__all")
+    fp = content_fingerprint(df.withColumn("__all", F.lit(1)), ["__all"], digest_col).drop("__all")
     return fp.withColumn("version_id", version_id(prefix, "content_sha256", n))
 
 

@@ -27,6 +27,21 @@ def file_fingerprints(rows: DataFrame, digest_cols: list, file_col: str = "sourc
     return fp.withColumn("source_period", source_period(file_col))
 
 
+LEDGER_SCHEMA = "raw_uri string, file_size long, file_modified_time timestamp, content_sha256 string"
+
+
+def unseen_files(listing: DataFrame, ledger: DataFrame, held_contents: DataFrame) -> DataFrame:
+    """Files of a listing that must be opened: those whose path, size and modification time are not in the ledger, or
+    whose content the ledger names but the target does not hold any more.
+
+    ``held_contents`` is ``content_sha256`` of what is loaded (a live batch and rows in the target).  Only names are joined;
+    no file is read.  A file replaced within the same clock tick by one of equal size goes unnoticed.
+    """
+    known = ledger.join(held_contents.distinct(), "content_sha256", "left_semi")
+    return listing.join(known.select("raw_uri", "file_size", "file_modified_time").distinct(),
+                        ["raw_uri", "file_size", "file_modified_time"], "left_anti")
+
+
 def discover_new(files: DataFrame, batch_state: DataFrame, target_contents: DataFrame,
                  source_system: str) -> DataFrame:
     """Files whose content has no SUCCESS batch, or whose content has no rows in the target.

@@ -44,7 +44,7 @@ def schema_signature_frame(spark: SparkSession, schemas: dict[str, StructType])
 
 def schema_fingerprint(schema: StructType) -> str:
     """SHA-256 of the ordered ``name:type`` signature (column metadata only)."""
-    text = ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in schema.fields)
+    text = "|".join(f"{f.name}:{f.dataType.simpleString()}" for f in schema.fields)
     return hashlib.sha256(text.encode()).hexdigest()
 
 
@@ -68,12 +68,47 @@ def schema_drift(signatures: DataFrame) -> DataFrame:
     Empty result = no drift.  Missing columns are filled by a cross product of the (small) metadata sets.
     """
     datasets = signatures.select("dataset").distinct()
-    columns = signatures.select("column_name").distinct()
-    grid = columns.crossJoin(datasets)  # metadata only: columns × files
+    total = datasets.agg(F.count(F.lit(1)).alias("__total"))  # one row
+    per_column = signatures.groupBy("column_name").agg(F.countDistinct("data_type").alias("__types"), F.countDistinct("dataset").alias("__in"))
+    drifting = per_column.crossJoin(F.broadcast(total)).filter("__types > 1 OR __in < __total").select("column_name")
+    grid = drifting.crossJoin(datasets)  # the result's own rows: drifting columns only
     j = grid.join(signatures.select("dataset", "column_name", "data_type"), ["dataset", "column_name"], "left")
-    j = j.withColumn("data_type", F.coalesce("data_type", F.lit("MISSING")))
-    drifting = j.groupBy("column_name").agg(F.countDistinct("data_type").alias("__k")).filter("__k > 1")
-    return j.join(drifting.select("column_name"), "column_name", "left_semi")
+    return j.withColumn("data_type", F.coalesce("data_type", F.lit("MISSING"))).select("dataset", "column_name", "data_type")
+
+
+def drift_verdicts(footers: DataFrame, declared: StructType) -> DataFrame:
+    """One row per column that files or the declared schema have, with a verdict over all files of a folder.
+
+    ``footers`` is :func:`files.parquet_footers`.  A declared column that files lack is ``missing`` and one that files hold in
+    another type ``retyped`` (both fail); a column that is not declared is ``extra`` (reported); else ``ok``.  Grouped
+    counts are compared with the file count, no grid of files and columns is made; a folder without files has no rows.
+    """
+    spark = footers.sparkSession
+    wanted = spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in declared.fields],
+                                   "column_name string, declared_type string")
+    files = footers.agg(F.countDistinct("raw_uri").alias("files"))  # one row
+    held = footers.join(F.broadcast(wanted), "column_name", "left").groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("files_with"),
+        F.count_if(F.col("data_type") != F.col("declared_type")).alias("files_retyped"),
+        F.array_join(F.array_sort(F.collect_set("data_type")), ",").alias("types"))
+    j = held.join(wanted, "column_name", "full_outer").crossJoin(F.broadcast(files)).filter("files > 0")
+    with_it, retyped = F.coalesce("files_with", F.lit(0)), F.coalesce("files_retyped", F.lit(0))
+    verdict = (F.when(F.col("declared_type").isNull(), "extra").when(with_it < F.col("files"), "missing")
+               .when(retyped > 0, "retyped").otherwise("ok"))
+    return j.select("column_name", "declared_type", "types", with_it.cast("long").alias("files_with"),
+                    (F.col("files") - with_it).cast("long").alias("files_without"), retyped.cast("long").alias("files_retyped"),
+                    verdict.alias("verdict"), verdict.isin("missing", "retyped").alias("fails"))
+
+
+def files_off_schema(footers: DataFrame, declared: StructType) -> DataFrame:
+    """``(raw_uri, columns_missing, columns_retyped)`` of the files that lack a declared column or hold it in another type."""
+    spark = footers.sparkSession
+    wanted = spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in declared.fields],
+                                   "column_name string, declared_type string")
+    per_file = footers.join(F.broadcast(wanted), "column_name", "left").groupBy("raw_uri").agg(
+        (F.lit(len(declared.fields)) - F.count("declared_type")).cast("long").alias("columns_missing"),
+        F.count_if(F.col("data_type") != F.col("declared_type")).cast("long").alias("columns_retyped"))
+    return per_file.filter("columns_missing > 0 OR columns_retyped > 0")
 
 
 def per_group_profile(df: DataFrame, group_col: str, date_col: str | None = None,
@@ -89,14 +124,6 @@ def per_group_profile(df: DataFrame, group_col: str, date_col: str | None = None
     return df.groupBy(*g).agg(*aggs)
 
 
-def exact_duplicate_rows(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """One row ``(rows, distinct_rows, duplicate_rows)``; duplicates = rows − distinct rows."""
-    cols = cols or df.columns
-    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
-    return g.agg(F.sum("__n").cast("long").alias("rows"), F.count(F.lit(1)).cast("long").alias("distinct_rows"),
-                 F.sum(F.col("__n") - 1).cast("long").alias("duplicate_rows"))
-
-
 def join_coverage(fact: DataFrame, fk: str, dim: DataFrame, dim_key: str) -> DataFrame:
     """One report row: matched / missing key / unmatched key / fan-out (dimension keys that repeat) and totals.
 

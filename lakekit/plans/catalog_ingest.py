@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakekit.operators import ingest
+from lakekit.operators import ingest, profile
 from lakekit.plans import checks, landing
 from lakekit.plans.catalog import register, star
 from lakekit.plans.catalog_ops import TYPE_MAP_SQL, TABLE_LIST_SQL
 from lakekit.plans.tables import TABLES, Tables
 from lakekit.sources import control
-from lakekit.sources.files import file_bytes_chunked_sha256, per_file_totals, scan_parquet_folder
+from lakekit.sources.files import file_bytes_chunked_sha256, list_files, parquet_footers, per_file_totals, scan_parquet_folder
 from lakekit.sources.store import SnapshotStore
 from lakekit.session import scratch_path
 
@@ -127,8 +127,7 @@ def c5_or(spark, d):
     run = landing.LandingRun(spark, d)
     run.deliver()
     run.load()
-    rows = run.scan()
-    files = ingest.file_fingerprints(rows, landing.LINE_COLS, "raw_uri")
+    files = ingest.file_fingerprints(run.scan(run.opened), landing.LINE_COLS, "raw_uri")
     state, target = run.batch_state(), run.target_contents()
     empty_state = spark.createDataFrame([], control.BATCH_EVENT_SCHEMA)
     empty_target = spark.createDataFrame([], "content_sha256 string")
@@ -175,7 +174,7 @@ def d3_hashes(spark, d):
 
 @register("d4_schema_fingerprints", f"""
 SELECT table_name AS dataset,
-       sha256(string_agg(column_name || ':' || {TYPE_MAP_SQL}, ',' ORDER BY ordinal_position)) AS schema_fingerprint
+       sha256(string_agg(column_name || ':' || {TYPE_MAP_SQL}, '|' ORDER BY ordinal_position)) AS schema_fingerprint
 FROM information_schema.columns WHERE table_name IN ({TABLE_LIST_SQL}) GROUP BY table_name""")
 def d4_fingerprints(spark, d):
     from lakekit.operators.profile import schema_fingerprint
@@ -212,3 +211,88 @@ def k8_delete(spark, d):
     doomed = t.orders.select("o_orderkey").join(t.lineitem.select(F.col("l_orderkey").alias("o_orderkey")),
                                                 "o_orderkey", "left_anti")
     return t.orders.join(doomed, "o_orderkey", "left_anti").select("o_orderkey", "o_orderstatus")
+
+
+# --- I1/C5: the file ledger; D4/D5/D8: footers, drift and file facts on batches ---------------------------------
+
+@register("i1_files_opened_per_run", f"""WITH m AS ({MONTHS_SQL}), n AS (SELECT COUNT(*) AS n FROM m)
+SELECT run, CAST(listed AS BIGINT) AS listed, CAST(opened AS BIGINT) AS opened, CAST(batches AS BIGINT) AS batches FROM (
+  SELECT 'first' AS run, n AS listed, n AS opened, n AS batches FROM n
+  UNION ALL SELECT 'unchanged', n, 0, 0 FROM n
+  UNION ALL SELECT 'renamed copy', n + 1, 1, 0 FROM n
+  UNION ALL SELECT 'rows lost', n + 1, n + 1, n FROM n)""")
+def i1_opened(spark, d):
+    """What each of four runs lists, opens and loads: a first one, one over the same files, one after a month's file came
+    again under another name, and one after the target's rows were lost."""
+    run = landing.LandingRun(spark, d)
+    run.deliver()
+    out = []
+
+    def go(name):
+        report = run.load()
+        out.append((name, list_files(spark, run.landing).count(), len(run.opened), report.count()))
+
+    go("first")
+    go("unchanged")
+    month = run.batch_state().agg(F.min("source_period").alias("p")).first()["p"]
+    spark.read.schema(landing.LINE_SCHEMA).parquet(f"{run.landing}/period={month}").coalesce(1).write.parquet(f"{run.landing}/again/period={month}")
+    go("renamed copy")
+    run.store.drop_partitions("bronze_lineitem", "content_sha256", run.store.partition_values("bronze_lineitem", "content_sha256"))
+    go("rows lost")
+    return spark.createDataFrame(out, "run string, listed long, opened long, batches long")
+
+
+LINE_TYPES = "|".join(f"{f.name}:{f.dataType.simpleString()}" for f in landing.LINE_SCHEMA.fields)
+
+
+@register("d5_batch_file_facts", f"""WITH m AS ({MONTHS_SQL})
+SELECT source_period, sha256('{LINE_TYPES}') AS schema_fingerprint, true AS has_size, true AS has_modified_time,
+       'period=' || source_period AS folder FROM m""")
+def d5_facts(spark, d):
+    run = landing.LandingRun(spark, d)
+    run.deliver()
+    run.load()
+    ev = run.store.read_log("ingestion_batches", control.BATCH_EVENT_SCHEMA).filter("status = 'SUCCESS'")
+    return ev.select("source_period", "schema_fingerprint", (F.col("file_size") > 0).alias("has_size"),
+                     F.col("file_modified_time").isNotNull().alias("has_modified_time"),
+                     F.element_at(F.split("raw_uri", "/"), -2).alias("folder"))
+
+
+def _drifted_run(spark, d):
+    """Monthly deliveries of which the first lacks a column, the second has one more and the third another type."""
+    run = landing.LandingRun(spark, d)
+    run.deliver()
+    li = Tables(spark, d).lineitem.select(*landing.LINE_COLS).withColumn("period", F.date_format("l_shipdate", "yyyy-MM"))
+    months = [r["period"] for r in li.select("period").distinct().orderBy("period").limit(3).collect()]
+    changed = (li.drop("l_tax"), li.withColumn("l_comment", F.lit("new")), li.withColumn("l_quantity", F.col("l_quantity").cast("int")))
+    for month, rows in zip(months, changed):
+        (rows.filter(F.col("period") == month).repartition(1).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("period").parquet(run.landing))
+    return run
+
+
+DECLARED_SQL = "(VALUES " + ", ".join(f"('{f.name}', '{f.dataType.simpleString()}')" for f in landing.LINE_SCHEMA.fields) + ") t(column_name, declared_type)"
+
+
+@register("d8_landing_folder_drift", f"""WITH n AS (SELECT COUNT(*) AS n FROM ({MONTHS_SQL}))
+SELECT column_name, declared_type,
+       CASE WHEN column_name = 'l_quantity' THEN 'double,int' ELSE declared_type END AS types,
+       CAST(CASE WHEN column_name = 'l_tax' THEN n - 1 ELSE n END AS BIGINT) AS files_with,
+       CAST(CASE WHEN column_name = 'l_tax' THEN 1 ELSE 0 END AS BIGINT) AS files_without,
+       CAST(CASE WHEN column_name = 'l_quantity' THEN 1 ELSE 0 END AS BIGINT) AS files_retyped,
+       CASE column_name WHEN 'l_tax' THEN 'missing' WHEN 'l_quantity' THEN 'retyped' ELSE 'ok' END AS verdict,
+       column_name IN ('l_tax', 'l_quantity') AS fails
+FROM n CROSS JOIN {DECLARED_SQL}
+UNION ALL SELECT 'l_comment', NULL, 'string', 1, n - 1, 0, 'extra', false FROM n""")
+def d8_drift(spark, d):
+    run = _drifted_run(spark, d)
+    return profile.drift_verdicts(parquet_footers(list_files(spark, run.landing)), landing.LINE_SCHEMA)
+
+
+@register("d8_drifted_files_batch_state", f"""WITH m AS ({MONTHS_SQL}), r AS (SELECT *, row_number() OVER (ORDER BY source_period) AS k FROM m)
+SELECT source_period, CASE WHEN k IN (1, 3) THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+       CAST(CASE WHEN k IN (1, 3) THEN NULL ELSE n END AS BIGINT) AS row_count FROM r""")
+def d8_state(spark, d):
+    run = _drifted_run(spark, d)
+    run.load()
+    return run.batch_state().select("source_period", "status", "row_count")

@@ -34,16 +34,12 @@ def _line_digest_sql(alias: str = "") -> str:
 
 
 def _fingerprint_sql(source: str, group: str) -> str:
-    """Three-level fingerprint in SQL (mirrors :func:`fingerprint.content_fingerprint`)."""
+    """Sums of the digests' four 64-bit lanes and the row count, hashed (see :func:`fingerprint.content_fingerprint`)."""
+    lanes = " || ':' || ".join(f"CAST(SUM(CAST(CAST('0x' || substr(digest, {16 * i + 1}, 16) AS UBIGINT) AS HUGEINT)) AS VARCHAR)"
+                               for i in range(4))
     return f"""
-d AS (SELECT {group} AS grp, digest, COUNT(*) AS n FROM {source} GROUP BY {group}, digest),
-b AS (SELECT grp, substr(digest, 1, 3) AS bucket,
-             sha256(string_agg(digest || 'x' || CAST(n AS VARCHAR), ',' ORDER BY digest || 'x' || CAST(n AS VARCHAR)))
-               AS bh, SUM(n) AS n
-      FROM d GROUP BY grp, substr(digest, 1, 3)),
-f AS (SELECT grp, sha256(string_agg(bucket || ':' || bh, ',' ORDER BY bucket || ':' || bh)) AS content_sha256,
-             CAST(SUM(n) AS BIGINT) AS row_count
-      FROM b GROUP BY grp)"""
+f AS (SELECT {group} AS grp, sha256(CAST(COUNT(*) AS VARCHAR) || ':' || {lanes}) AS content_sha256, COUNT(*) AS row_count
+      FROM {source} GROUP BY {group})"""
 
 
 # --- C1/C2/A9: row digest and file content fingerprint (one "file" per ship month) -------------------------

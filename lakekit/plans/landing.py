@@ -12,19 +12,25 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType
 
 from lakekit.functions.digest import version_id
 from lakekit.operators import ingest
 from lakekit.plans.tables import Tables
 from lakekit.session import cut_lineage, scratch_path
 from lakekit.sources import control
-from lakekit.sources.files import scan_parquet_folder
+from lakekit.operators import profile
+from lakekit.sources import files
 from lakekit.sources.store import SnapshotStore
 
 SOURCE_SYSTEM = "tpch_lineitem"
 PERIOD_PATTERN = r"period=(\d{4}-\d{2})"
 LINE_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
              "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+# the columns a delivery must hold, as the source declares them
+LINE_SCHEMA = StructType([StructField(n, t) for n, t in zip(
+    LINE_COLS, [LongType(), LongType(), LongType(), IntegerType(), *[DoubleType()] * 4, StringType(), StringType(), TimestampNTZType()])])
+REPORT_SCHEMA = "batch_id string, source_rows long, landed_rows long, mismatch boolean"
 
 
 class LandingRun:
@@ -51,9 +57,16 @@ class LandingRun:
         (rows.repartition(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("period").parquet(self.landing))
 
-    def scan(self) -> DataFrame:
-        rows = scan_parquet_folder(self.spark, self.landing)
-        return rows.drop("period")
+    def unseen(self) -> DataFrame:
+        """Listed files that the ledger does not know or whose content is not held; the listing opens no file."""
+        held = self.batch_state().filter((F.col("status") == "SUCCESS") & (F.col("source_system") == SOURCE_SYSTEM)) \
+            .select("content_sha256").join(self.target_contents(), "content_sha256", "left_semi")
+        ledger = self.store.read_log("file_ledger", ingest.LEDGER_SCHEMA)
+        return ingest.unseen_files(files.list_files(self.spark, self.landing), ledger, held)
+
+    def scan(self, paths: list[str]) -> DataFrame:
+        """Rows of these files under the declared schema."""
+        return files.read_parquet_files(self.spark, paths, LINE_SCHEMA)
 
     def batch_state(self) -> DataFrame:
         ev = self.store.read_log("ingestion_batches", control.BATCH_EVENT_SCHEMA)
@@ -64,31 +77,54 @@ class LandingRun:
         return self.spark.createDataFrame([(c,) for c in held], "content_sha256 string")
 
     def drop_unheld(self) -> None:
-        """Drop target contents that no live batch holds: replaced ones, and what a run that died left behind."""
+        """Drop target contents that no live batch holds: replaced ones, and what a run that died left behind.
+
+        The driver sees the names of the folders to delete, as the file system does."""
         live = self.batch_state().filter("status = 'SUCCESS'").select("content_sha256")
         unheld = self.target_contents().join(live, "content_sha256", "left_anti")
         self.store.drop_partitions("bronze_lineitem", "content_sha256", [r["content_sha256"] for r in unheld.collect()])
 
-    def discover(self) -> DataFrame:
-        rows = self.scan()
-        files = ingest.file_fingerprints(rows, LINE_COLS, "raw_uri", ["source_object"])
-        files = files.withColumn("source_period", F.regexp_extract("raw_uri", PERIOD_PATTERN, 1)) \
-            .withColumn("source_object", F.concat(F.lit("lineitem_"), F.col("source_period"), F.lit(".parquet"))) \
-            .withColumn("source_system", F.lit(SOURCE_SYSTEM)) \
-            .withColumn("source_version_id", version_id("lineitem_", "content_sha256")) \
-            .withColumn("batch_id", control.batch_id_for("source_system", "content_sha256"))
-        return ingest.discover_new(files, self.batch_state(), self.target_contents(), SOURCE_SYSTEM)
+    def described(self, listed: DataFrame) -> DataFrame:
+        """Listed files with their period, object name and source, as a batch names them."""
+        return (listed.withColumn("source_period", F.regexp_extract("raw_uri", PERIOD_PATTERN, 1))
+                .withColumn("source_object", F.concat(F.lit("lineitem_"), F.col("source_period"), F.lit(".parquet")))
+                .withColumn("source_system", F.lit(SOURCE_SYSTEM)))
+
+    def fingerprinted(self, listed: DataFrame, rows: DataFrame) -> DataFrame:
+        """Content hash, row count, version and a fresh batch id of files that were opened."""
+        contents = ingest.file_fingerprints(rows, LINE_COLS, "raw_uri").drop("source_period")
+        return (self.described(listed).join(contents, "raw_uri")
+                .withColumn("source_version_id", version_id("lineitem_", "content_sha256"))
+                .withColumn("batch_id", control.batch_id_for("source_system", "content_sha256")))
 
     def load(self) -> DataFrame:
         """One incremental run; returns the reconciliation report (one row per new batch).
 
-        New content lands first; then its batches close and the batches they replace are superseded in one append;
-        only then are replaced rows dropped.  A run that dies leaves the old rows in place, and the next one repeats
-        what was not closed.  A failed run closes its batches as FAILED.  Files that repeat another's content are not
-        registered as batches but listed in the ``duplicate_deliveries`` log.  One load at a time per target.
+        The landing folder is listed and compared with the ledger; only unseen files are opened, once to hash and once to
+        land them.  Files whose footer lacks a declared column or holds it in another type are closed as FAILED and not
+        read; extra columns are left out.  New content lands first; then its batches close and the batches they replace
+        are superseded in one append; only then are replaced rows dropped.  A run that dies leaves the old rows in place,
+        and the next one repeats what was not closed.  A failed run closes its batches as FAILED.  Files that repeat
+        another's content are not registered as batches but listed in the ``duplicate_deliveries`` log.  One load at a
+        time per target.
         """
+        unseen = cut_lineage(self.unseen(), "unseen_files")
+        footers = cut_lineage(files.parquet_footers(unseen), "footers")
+        off = profile.files_off_schema(footers, LINE_SCHEMA)
+        listed = cut_lineage(unseen.join(files.file_schema_fingerprints(footers), "raw_uri").join(off, "raw_uri", "left"), "listed")
+        rejected = cut_lineage(self.described(listed.filter("columns_missing IS NOT NULL")).withColumn(
+            "batch_id", F.concat(F.lit("batch_rejected_"), F.expr("uuid()"))), "rejected")
+        for status in ("DISCOVERED", "FAILED"):
+            self.store.append("ingestion_batches", control.batch_events(rejected, status, target_table="bronze_lineitem"))
+        listed = listed.filter("columns_missing IS NULL").drop("columns_missing", "columns_retyped")
+        self.opened = [r["raw_uri"] for r in listed.select("raw_uri").collect()]  # names only; Spark's file index holds them too
+        if not self.opened:
+            return self.spark.createDataFrame([], REPORT_SCHEMA)
+        rows = self.scan(self.opened)
         # the new-file list is materialised once per run: it must not be re-derived after the run's own events
-        found = cut_lineage(ingest.one_file_per_content(self.discover(), "raw_uri"), "new_files")
+        contents = cut_lineage(self.fingerprinted(listed, rows), "contents")
+        fresh = ingest.discover_new(contents, self.batch_state(), self.target_contents(), SOURCE_SYSTEM)
+        found = cut_lineage(ingest.one_file_per_content(fresh, "raw_uri"), "new_files")
         new = found.filter("not duplicate_content")
         self.store.append("duplicate_deliveries", found.filter("duplicate_content").select(
             "source_object", "raw_uri", "content_sha256", "row_count", "duplicate_of"))
@@ -96,7 +132,7 @@ class LandingRun:
         for status in ("DISCOVERED", "STARTED"):
             self.store.append("ingestion_batches", control.batch_events(new, status, target_table="bronze_lineitem"))
         try:
-            landed = ingest.land(self.scan(), new, "raw_uri")
+            landed = ingest.land(rows, new, "raw_uri")
             self.store.overwrite_partitions("bronze_lineitem", landed, ["content_sha256"])
             own = self.store.read_partitioned("bronze_lineitem", landed.schema).join(
                 new.select("content_sha256", "batch_id"), ["content_sha256", "batch_id"], "left_semi")
@@ -108,6 +144,7 @@ class LandingRun:
         counts = report.select("batch_id", F.col("landed_rows").alias("row_count"))
         closed = control.close_with_counts(new.withColumn("target_table", F.lit("bronze_lineitem")), counts)
         self.store.append("ingestion_batches", closed.unionByName(replaced))
+        self.store.append("file_ledger", contents.select("raw_uri", "file_size", "file_modified_time", "content_sha256"))
         self.drop_unheld()
         return report
 

@@ -16,8 +16,8 @@ STATUS_ORDER = {"DISCOVERED": 1, "STARTED": 2, "SUCCESS": 3, "FAILED": 3, "SUPER
 
 BATCH_EVENT_SCHEMA = ("batch_id string, source_system string, source_object string, source_period string, "
                       "content_sha256 string, source_version_id string, row_count long, file_size long, "
-                      "target_table string, status string, event_at timestamp, supersedes_batch_id string")
-RUN_EVENT_SCHEMA = "run_id string, layer string, status string, event_at timestamp, code_revision string"
+                      "target_table string, status string, event_at timestamp, supersedes_batch_id string, "
+                      "schema_fingerprint string, raw_uri string, file_modified_time timestamp, request_parameters string")
 
 
 def batch_id_for(source_system, content_sha256) -> F.Column:
@@ -93,13 +93,6 @@ def supersede(current: DataFrame, new_batches: DataFrame) -> DataFrame:
     return batch_events(hits[0].unionByName(hits[1]).dropDuplicates(["batch_id"]).drop("event_at"), "SUPERSEDED")
 
 
-def run_events(run_id: str, layer: str, status: str, code_revision: str | None = None) -> str:
-    """SQL VALUES row for the run log (tiny, built on the driver)."""
-    rev = "NULL" if code_revision is None else f"'{code_revision}'"
-    return f"SELECT '{run_id}' AS run_id, '{layer}' AS layer, '{status}' AS status, current_timestamp() AS event_at, " \
-           f"CAST({rev} AS STRING) AS code_revision"
-
-
 def control_checks_frame(state: DataFrame, events: DataFrame, stuck_hours: int = 6, now_col=None):
     """The control-log checks as one aggregation over current state + one over events:
     duplicate SUCCESS per content, stuck STARTED batches, lifecycle consistency, status domain, batch id

@@ -10,11 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakekit.operators.fingerprint import source_period
-
-FILE_COLUMNS = ["source_object", "raw_uri", "file_size", "file_modified_time"]
-
-
 def with_file_metadata(df: DataFrame) -> DataFrame:
     """Tag each row with its file's name, path, size and modification time."""
     return df.select("*", F.col("_metadata.file_name").alias("source_object"),
@@ -62,22 +57,54 @@ def per_file_totals(df: DataFrame, measure: str | None = None, scale: int = 2, f
     return df.groupBy(file_col).agg(*aggs)
 
 
-def file_inventory(df: DataFrame) -> DataFrame:
-    """One row per landed file: name, path, size, modification time, period parsed from the name, row count."""
-    return (df.groupBy(*FILE_COLUMNS)
-            .agg(F.count(F.lit(1)).cast("long").alias("row_count"))
-            .withColumn("source_period", source_period("source_object")))
+def list_files(spark: SparkSession, folder: str, glob: str = "*.parquet") -> DataFrame:
+    """``(raw_uri, source_object, file_size, file_modified_time)`` of a folder's files, from the listing: no file is opened."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(folder)
+    return listed.select(F.col("_metadata.file_path").alias("raw_uri"), F.col("_metadata.file_name").alias("source_object"),
+                         F.col("_metadata.file_size").alias("file_size"),
+                         F.col("_metadata.file_modification_time").alias("file_modified_time"))
+
+
+def read_parquet_files(spark: SparkSession, paths: list[str], schema: StructType | str) -> DataFrame:
+    """Rows of named Parquet files under a declared schema, tagged with file metadata; no other file is listed or opened."""
+    return with_file_metadata(spark.read.schema(schema).parquet(*paths))
 
 
-def file_bytes_sha256(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """SHA-256 of each file's raw bytes via the ``binaryFile`` source: ``(path, length, modificationTime, sha256)``.
+FOOTER_SCHEMA = "raw_uri string, n_rows long, ordinal int, column_name string, data_type string"
 
-    Each file is one row, hashed by one task (bounded by the file size; Spark's binary reader caps a file at 2 GB).
+
+def parquet_footers(files: DataFrame) -> DataFrame:
+    """One row per file and column, ``(raw_uri, n_rows, ordinal, column_name, data_type)``, read from the files' footers.
+
+    Each task opens the footers of its share of ``files`` (column ``raw_uri``); no row group is read and the driver sees
+    no file.  Types have Spark's names.
     """
-    reader = spark.read.format("binaryFile")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path).select("path", "length", "modificationTime", F.sha2("content", 256).alias("sha256"))
+    spark = files.sparkSession
+    spread = files.select("raw_uri").repartition(spark.sparkContext.defaultParallelism, "raw_uri")
+
+    def read(batches):
+        import pandas as pd
+        import pyarrow.parquet as pq
+        from pyspark.sql.pandas.types import from_arrow_type
+        for pdf in batches:
+            out = []
+            for uri in pdf["raw_uri"]:
+                filesystem, inner = _local_or_uri(uri)
+                with filesystem.open_input_file(inner) as f:
+                    footer = pq.ParquetFile(f)
+                    out += [(uri, footer.metadata.num_rows, i + 1, field.name,
+                             from_arrow_type(field.type, prefer_timestamp_ntz=True).simpleString())
+                            for i, field in enumerate(footer.schema_arrow)]
+            yield pd.DataFrame(out, columns=["raw_uri", "n_rows", "ordinal", "column_name", "data_type"])
+
+    return spread.mapInPandas(read, FOOTER_SCHEMA)
+
+
+def file_schema_fingerprints(footers: DataFrame) -> DataFrame:
+    """``(raw_uri, schema_fingerprint)``: SHA-256 of a file's ``name:type`` list in order (one short list a file)."""
+    fields = F.array_sort(F.collect_list(F.struct("ordinal", F.concat_ws(":", "column_name", "data_type").alias("field"))))
+    return footers.groupBy("raw_uri").agg(F.sha2(F.array_join(F.transform(fields, lambda x: x["field"]), "|"), 256)
+                                          .alias("schema_fingerprint"))
 
 
 def _local_or_uri(path: str) -> tuple[object, str]:
@@ -94,8 +121,8 @@ def file_bytes_chunked_sha256(spark: SparkSession, path: str, glob: str | None =
     """Content hash of each file's raw bytes for files of any size: ``(path, length, sha256, chunks)``.
 
     Files are listed without reading them, split into byte ranges of ``chunk_bytes``, and every range is read and
-    hashed by its own task (``mapInPandas``); a file's hash is SHA-256 over its chunk hashes in order (the plain
-    SHA-256 of the bytes when the file is one chunk).  Equal bytes give equal hashes for the same chunk size.
+    hashed by its own task (``mapInPandas``); a file's hash is SHA-256 over its chunk hashes in order, for files of
+    one chunk as for any other.  Equal bytes give equal hashes for the same chunk size, a fixed part of the definition.
     """
     from pyspark.sql.types import StructType as _ST
     reader = spark.read.format("binaryFile")
@@ -104,7 +131,7 @@ def file_bytes_chunked_sha256(spark: SparkSession, path: str, glob: str | None =
     files = reader.load(path).select("path", "length")  # content is not read when not selected
     n_chunks = F.greatest(F.lit(1), F.ceil(F.col("length") / F.lit(chunk_bytes)).cast("long"))
     chunks = files.select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), n_chunks - 1)).alias("idx"))
-    chunks = chunks.repartition(max(1, spark.sparkContext.defaultParallelism), "path", "idx")
+    chunks = chunks.repartition("path", "idx")
 
     def hash_ranges(batches):
         import hashlib
@@ -124,10 +151,5 @@ def file_bytes_chunked_sha256(spark: SparkSession, path: str, glob: str | None =
     per_file = hashed.groupBy("path").agg(ordered.alias("__h"))
     return per_file.join(files, "path").select(
         "path", "length",
-        F.when(F.size("__h") == 1, F.col("__h")[0]).otherwise(F.sha2(F.array_join("__h", ""), 256)).alias("sha256"),
+        F.sha2(F.array_join("__h", ""), 256).alias("sha256"),
         F.size("__h").cast("long").alias("chunks"))
-
-
-def parquet_schema(spark: SparkSession, path: str) -> StructType:
-    """Schema of one Parquet file (footer only)."""
-    return spark.read.parquet(path).schema
