@@ -12,6 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakekit.functions.digest import row_digest
+from lakekit.operators.fingerprint import content_fingerprint
+from lakekit.session import cut_lineage
+
 ACTIONS = ["insert", "update", "unchanged", "keep", "delete"]
 
 
@@ -75,7 +79,27 @@ def merge_counts(plan: DataFrame) -> DataFrame:
     return plan.groupBy("_merge_action").agg(F.count(F.lit(1)).cast("long").alias("keys"))
 
 
-def replace_with_source(source: DataFrame) -> DataFrame:
-    """``UPDATE SET * / INSERT * / DELETE unmatched`` converges the target to the source: the source is the
-    snapshot (write it as a new version)."""
-    return source
+def converge(store, name: str, source: DataFrame, partition_col: str, digest_cols: list[str] | None = None) -> dict[str, int]:
+    """Make the stored table equal to ``source`` (update all, insert new, delete what is gone), writing changed partitions only.
+
+    The content fingerprint of each partition of ``source`` (sums, one small shuffle) is compared with the stored one from the
+    table's digest log; partitions that differ or are new are overwritten, those that ``source`` no longer has are dropped.
+    An equal source writes nothing, neither rows nor digests.  Digests are logged after the rows, so a run that dies
+    in between writes its partitions again.  ``source`` is read twice; ``partition_col`` must not be null.  Returns counts.
+    """
+    cols = digest_cols or source.columns
+    digests = source.select(F.col(partition_col).cast("string").alias("part"), row_digest(*cols).alias("row_digest"))
+    new = cut_lineage(content_fingerprint(digests, ["part"]), f"{name}-digests")
+    held = store.partition_values(name, partition_col)
+    log = store.read_log(f"{name}_digests", "part string, content_sha256 string, row_count long, at timestamp")
+    present = source.sparkSession.createDataFrame([(v,) for v in held], "held string")
+    old = log.groupBy("part").agg(F.max_by("content_sha256", "at").alias("old")).join(present, F.col("part") == F.col("held"))
+    changed = cut_lineage(new.join(old.select("part", "old"), "part", "left").filter(~F.col("content_sha256").eqNullSafe(F.col("old"))), "changed")
+    gone = [r["held"] for r in present.join(new, F.col("held") == F.col("part"), "left_anti").collect()]  # folder names
+    n = changed.count()
+    if n:
+        rows = source.join(changed.select(F.col("part").alias("__part")), F.col(partition_col).cast("string") == F.col("__part"), "left_semi")
+        store.overwrite_partitions(name, rows, [partition_col])
+        store.append(f"{name}_digests", changed.select("part", "content_sha256", "row_count", F.current_timestamp().alias("at")))
+    store.drop_partitions(name, partition_col, gone)
+    return {"partitions_written": n, "partitions_dropped": len(gone), "partitions_unchanged": new.count() - n}

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakekit.operators.sizing import broadcast_if_small
+from lakekit.operators.sizing import broadcast_if_small, range_count, row_count_at_most
 from lakekit.session import cut_lineage
 
 
@@ -37,19 +37,6 @@ def safe_ratio(num, den, digits: int | None = None, scale: float = 1.0) -> Colum
     return F.round(r, digits) if digits is not None else r
 
 
-def eligible_average(x, eligible, digits: int, scale: float = 1.0) -> Column:
-    return safe_ratio(eligible_sum(x, eligible), eligible_count(eligible), digits, scale)
-
-
-def measure_block(prefix: str, x, eligible, digits: int, scale: float = 1.0,
-                  total_type: str | None = None) -> list[Column]:
-    """total, eligible count and average for one measure, named ``total_<prefix>``, ``trips_with_eligible_…``."""
-    total = eligible_sum(x, eligible)
-    if total_type:
-        total = total.cast(total_type)
-    return [total.alias(f"total_{prefix}"), eligible_count(eligible).alias(f"trips_with_eligible_{prefix}")]
-
-
 def share_of_total(df: DataFrame, col: str, out: str, digits: int = 4, percent: bool = True) -> DataFrame:
     """``ROUND(100 * x / SUM(x) OVER (), digits)`` as a one-row grand total joined back (no single-partition
     window)."""
@@ -62,17 +49,20 @@ def share_of_total(df: DataFrame, col: str, out: str, digits: int = 4, percent:
 
 
 def dense_rank_by(df: DataFrame, order_col: str, out: str, descending: bool = True,
-                  partition_cols: tuple[str, ...] | list[str] = (), max_broadcast_rows: int | None = None) -> DataFrame:
+                  partition_cols: tuple[str, ...] | list[str] = (), max_broadcast_rows: int | None = None,
+                  max_values: int = 1_000_000) -> DataFrame:
     """``DENSE_RANK() OVER ([PARTITION BY p] ORDER BY order_col [DESC])`` without a single-partition sort of
     ``df``: rank the *distinct* (partition, value) pairs, then join the rank back on them (null-safe).
 
     Descending order puts nulls last and ascending puts them first, as Spark SQL does.  The distinct set is the
-    number of different measure values, far below the row count for aggregated outputs; use
-    :func:`global_dense_rank_distributed` when even that set is too large for one task.
+    number of different measure values, far below the row count for aggregated outputs.  A global rank over more than
+    ``max_values`` of them (a bounded count) is taken by :func:`global_dense_rank_distributed`.
     """
     parts = list(partition_cols)
     keys = parts + [order_col]
     distinct = df.select(*keys).distinct()
+    if not parts and row_count_at_most(distinct, max_values) is None:
+        return global_dense_rank_distributed(df, order_col, out, descending)
     order = F.col(order_col).desc_nulls_last() if descending else F.col(order_col).asc_nulls_first()
     w = Window.partitionBy(*parts).orderBy(order) if parts else Window.orderBy(order)
     ranked = distinct.withColumn(out, F.dense_rank().over(w).cast("long"))
@@ -95,8 +85,7 @@ def global_dense_rank_distributed(df: DataFrame, order_col: str, out: str, desce
     row per partition, so it is the only thing broadcast.  The positioned values are materialised once so the
     counts and the positions read the same range partitioning.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or range_count(df)
     key = F.col(order_col).desc_nulls_last() if descending else F.col(order_col).asc_nulls_first()
     distinct = df.select(order_col).distinct()
     positioned = (distinct.repartitionByRange(n, key).sortWithinPartitions(key)

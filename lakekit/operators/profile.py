@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -111,6 +111,26 @@ def files_off_schema(footers: DataFrame, declared: StructType) -> DataFrame:
     return per_file.filter("columns_missing > 0 OR columns_retyped > 0")
 
 
+def file_profile(rows: DataFrame, file_col: str, findings: dict[str, Column], digest: Column) -> DataFrame:
+    """All kinds of per-file counts in one pass: ``(file, kind, value, rows)``.
+
+    ``findings`` maps a kind to a string column whose non-null values are counted per file (a month, an unlisted code, the
+    name of a broken range or of a null column, ...).  Every row becomes its (file, kind, value) counts and one grouped sum
+    adds them up, so there is a single shuffle of the rows' findings; exact repeats are counted on the rows' digests
+    in the same sum.  Kinds ``rows`` and ``duplicate_rows`` (copies beyond the first) are always there.
+    """
+    own = [F.struct(F.lit(k).alias("kind"), v.cast("string").alias("value")) for k, v in findings.items()]
+    row = F.struct(F.lit("__row").alias("kind"), digest.alias("value"))
+    exploded = rows.select(F.col(file_col).alias("__file"), F.explode(F.array(row, *own)).alias("f")).filter("f.value IS NOT NULL")
+    counts = exploded.groupBy("__file", "f.kind", "f.value").agg(F.count(F.lit(1)).alias("n"))
+    is_row = F.col("kind") == "__row"
+    totals = F.array(F.struct(F.lit("rows").alias("kind"), F.lit("").alias("value"), F.col("n").alias("n")),
+                     F.struct(F.lit("duplicate_rows").alias("kind"), F.lit("").alias("value"), (F.col("n") - 1).alias("n")))
+    shown = counts.select("__file", F.explode(F.when(is_row, totals).otherwise(
+        F.array(F.struct("kind", "value", "n")))).alias("f"))
+    return shown.groupBy(F.col("__file").alias(file_col), "f.kind", "f.value").agg(F.sum("f.n").cast("long").alias("rows"))
+
+
 def per_group_profile(df: DataFrame, group_col: str, date_col: str | None = None,
                       period_col: str | None = None) -> DataFrame:
     """Per file / period: rows, min and max of the date column, rows outside the group's period."""

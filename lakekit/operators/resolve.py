@@ -36,16 +36,24 @@ def match_status(source_id: Column, matched: Column, sentinel_ids) -> Column:
             .otherwise(F.lit(UNMATCHED)))
 
 
+def unique_lookup(df: DataFrame, key: str) -> DataFrame:
+    """``df`` without null keys, grouped by ``key``; a key that occurs more than once raises when the plan runs."""
+    rest = [c for c in df.columns if c != key]
+    g = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(c) for c in rest])
+    once = F.when(F.col("__n") == 1, F.col(key)).otherwise(
+        F.raise_error(F.concat(F.lit("lookup key is not unique: "), F.col(key).cast("string"))).cast(df.schema[key].dataType))
+    return g.select(once.alias(key), *rest)
+
+
 def resolve_roles(fact: DataFrame, dim: DataFrame, dim_key: str, roles: dict[str, str], sentinel_ids=(),
                   carry: dict[str, str] | None = None, max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """Role-playing resolution: for each ``role -> fact column`` left-join the same dimension once and add
     ``<role>_zone_match_status`` (plus optional carried dim columns renamed ``<role>_<name>``).
 
-    The dimension's key set is deduplicated before joining, so a duplicated key cannot fan the fact out.
+    A key that the dimension holds more than once raises: it would change the fact's grain.
     """
     carry = carry or {}
-    keys = dim.select(F.col(dim_key).alias("__k"), *[F.col(src).alias(f"__c_{dst}") for dst, src in carry.items()]) \
-        .dropDuplicates(["__k"])
+    keys = unique_lookup(dim.select(F.col(dim_key).alias("__k"), *[F.col(src).alias(f"__c_{dst}") for dst, src in carry.items()]), "__k")
     keys = broadcast_if_small(keys, max_broadcast_rows)
     out = fact
     for role, fact_col in roles.items():
@@ -90,32 +98,3 @@ def resolve_unique(fact: DataFrame, fact_time: Column, series: DataFrame, series
     if time_out is None:
         out = out.drop("__fact_time")
     return out
-
-
-def duplicate_keys(df: DataFrame, keys) -> DataFrame:
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-
-
-def assert_unique_key(df: DataFrame, keys, what: str = "dimension") -> None:
-    """Grain guard: raise when the key repeats (checked on the join's right side before the join)."""
-    dup = duplicate_keys(df, keys).limit(1).count()
-    if dup:
-        raise GuardError(f"{what}: key {keys} is not unique; a join on it would change the grain")
-
-
-def assert_no_nulls(df: DataFrame, required: dict[str, Column], what: str = "fact") -> None:
-    """Required-key guard: one aggregation pass; raise when any required condition has violations."""
-    if not required:
-        return
-    row = df.agg(*[F.count_if(F.coalesce(cond, F.lit(True))).alias(name) for name, cond in required.items()]).first()
-    bad = {k: row[k] for k in required if row[k]}
-    if bad:
-        raise GuardError(f"{what}: required keys did not resolve: {bad}")
-
-
-def assert_same_count(before: DataFrame, after: DataFrame, what: str) -> None:
-    """Grain guard by recount (use sparingly; prefer :func:`assert_unique_key`)."""
-    b, a = before.count(), after.count()
-    if a != b:
-        raise GuardError(f"{what}: row count changed from {b} to {a}")

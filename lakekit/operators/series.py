@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakekit.functions.timeops import seconds_between
+from lakekit.operators.sizing import range_count
 
 
 def explode_parallel_arrays(df: DataFrame, arrays: dict[str, str], keep=(), position: str | None = None) -> DataFrame:
@@ -50,13 +51,13 @@ def lag_distributed(df: DataFrame, keys, order, values: dict[str, str], num_part
     The rows are range-partitioned on (keys, order), so a hot key is spread over several contiguous partitions
     instead of one task; the partition id is stored with the rows (written once to the shared checkpoint folder,
     so a retried task cannot move rows between partitions).  LAG is taken inside each (partition, key) slice,
-    and the first row of a slice takes the last row of the same key in the previous partition — the only place
-    the key can continue from.  ``order`` must make rows unique within a key (e.g. end with an id).
+    and the first row of a slice takes the key's last row of the nearest earlier partition that has one, carried over
+    partitions without rows.  The number of ranges follows the data's size.  ``order`` must make rows unique within a
+    key (e.g. end with an id).
     """
     from lakekit.session import cut_lineage
     keys, order = list(keys), list(order)
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or range_count(df)
     ranged = cut_lineage(df.repartitionByRange(n, *keys, *order).withColumn("__pid", F.spark_partition_id()),
                          "lag_ranges")
     w = Window.partitionBy("__pid", *keys).orderBy(*order)
@@ -65,9 +66,10 @@ def lag_distributed(df: DataFrame, keys, order, values: dict[str, str], num_part
         sliced = sliced.withColumn(out, F.lag(v).over(w))
     last = ranged.groupBy("__pid", *keys).agg(
         F.max_by(F.struct(*[F.col(v).alias(v) for v in values]), F.struct(*order)).alias("__last"))
-    last = last.select((F.col("__pid") + 1).alias("__next_pid"), *[F.col(k).alias(f"__lk_{k}") for k in keys],
-                       "__last")
-    cond = sliced["__pid"] == last["__next_pid"]
+    along = Window.partitionBy(*keys).orderBy("__pid")  # a key's slices: one row a range at most
+    last = last.withColumn("__last", F.lag("__last").over(along))
+    last = last.select(F.col("__pid").alias("__own_pid"), *[F.col(k).alias(f"__lk_{k}") for k in keys], "__last")
+    cond = sliced["__pid"] == last["__own_pid"]
     for k in keys:
         cond = cond & sliced[k].eqNullSafe(last[f"__lk_{k}"])
     j = sliced.join(last, cond, "left")

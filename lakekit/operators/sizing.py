@@ -26,3 +26,12 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
     if row_count_at_most(df, max_rows) is not None:
         return F.broadcast(df)
     return df
+
+
+def range_count(df: DataFrame, bytes_each: int = 64 << 20) -> int:
+    """How many ranges to cut ``df`` into, from the optimizer's size of its plan (exact for a written table); a plan of
+    unknown size gets the session's shuffle count."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= 1 << 60:
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(df.sparkSession.sparkContext.defaultParallelism, size // bytes_each + 1)

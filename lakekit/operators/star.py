@@ -14,6 +14,7 @@ from lakekit.functions.classify import (PRECIPITATION_BANDS, UNKNOWN_CODE, WMO_C
                                         time_of_day_band, zone_classification)
 from lakekit.functions.digest import surrogate_key
 from lakekit.functions.timeops import date_key
+from lakekit.operators.resolve import unique_lookup
 from lakekit.operators.sizing import broadcast_if_small
 
 
@@ -137,7 +138,7 @@ def date_hour_keys(df: DataFrame, roles: dict[str, str], dates: DataFrame, hours
 
 def zone_keys(df: DataFrame, roles: dict[str, str], zones: DataFrame, max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """``<role>_zone_key`` for each ``role -> location id column`` (left join on ``location_id``)."""
-    z = broadcast_if_small(zones.select("location_id", "zone_key").dropDuplicates(["location_id"]), max_broadcast_rows)
+    z = broadcast_if_small(unique_lookup(zones.select("location_id", "zone_key"), "location_id"), max_broadcast_rows)
     out = df
     for role, col in roles.items():
         zz = z.select(F.col("location_id").alias(f"__z_{role}"), F.col("zone_key").alias(f"{role}_zone_key"))

@@ -7,15 +7,21 @@ from the same table (one SUCCESS batch per month with its row count, no new work
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from lakekit.operators import ingest, profile
+from lakekit.functions.digest import row_digest
+from lakekit.operators import ingest, merge, profile
+from lakekit.operators.resolve import GuardError
+from lakekit.operators.responses import land_responses
 from lakekit.plans import checks, landing
 from lakekit.plans.catalog import register, star
 from lakekit.plans.catalog_ops import TYPE_MAP_SQL, TABLE_LIST_SQL
 from lakekit.plans.tables import TABLES, Tables
 from lakekit.sources import control
 from lakekit.sources.files import file_bytes_chunked_sha256, list_files, parquet_footers, per_file_totals, scan_parquet_folder
+from lakekit.plans.trips import StarBuild
 from lakekit.sources.store import SnapshotStore
 from lakekit.session import scratch_path
 
@@ -296,3 +302,186 @@ def d8_state(spark, d):
     run = _drifted_run(spark, d)
     run.load()
     return run.batch_state().select("source_period", "status", "row_count")
+
+
+# --- C47: every profile kind per landed file; K6: converge; C6/C9: keyed responses; F-error: guards ---------------
+
+def _planted_delivery(spark, d):
+    """Monthly files; the first one also holds a repeated row, a row of a far later month and a row with an unlisted code."""
+    run = landing.LandingRun(spark, d)
+    run.deliver()
+    li = Tables(spark, d).lineitem.select(*landing.LINE_COLS).withColumn("period", F.date_format("l_shipdate", "yyyy-MM"))
+    month = li.agg(F.min("period").alias("p")).first()["p"]
+    one = li.filter(F.col("period") == month).orderBy(*landing.LINE_COLS).limit(1)
+    late = one.withColumn("l_shipdate", F.col("l_shipdate") + F.expr("INTERVAL 400 DAYS"))
+    rows = one.unionByName(late).unionByName(one.withColumn("l_returnflag", F.lit("X")))
+    rows.coalesce(1).write.mode("append").partitionBy("period").parquet(run.landing)
+    return run
+
+
+PROFILE_ROWS_SQL = f"""li AS (SELECT {', '.join(landing.LINE_COLS)} FROM lineitem),
+p AS (SELECT min(strftime(l_shipdate, '%Y-%m')) AS p FROM li),
+one AS (SELECT * FROM li WHERE strftime(l_shipdate, '%Y-%m') = (SELECT p FROM p) ORDER BY {', '.join(landing.LINE_COLS)} LIMIT 1),
+landed AS (
+  SELECT strftime(l_shipdate, '%Y-%m') AS source_period, *  FROM li
+  UNION ALL SELECT (SELECT p FROM p), * FROM one
+  UNION ALL SELECT (SELECT p FROM p), * REPLACE (l_shipdate + INTERVAL 400 DAY AS l_shipdate) FROM one
+  UNION ALL SELECT (SELECT p FROM p), * REPLACE ('X' AS l_returnflag) FROM one)"""
+
+
+@register("c47_landed_file_profile", f"""WITH {PROFILE_ROWS_SQL},
+found AS (
+  SELECT source_period, 'rows' AS kind, '' AS value FROM landed
+  UNION ALL SELECT source_period, 'month', strftime(l_shipdate, '%Y-%m') FROM landed
+  UNION ALL SELECT source_period, 'out_of_period', strftime(l_shipdate, '%Y-%m') FROM landed WHERE strftime(l_shipdate, '%Y-%m') <> source_period
+  UNION ALL SELECT source_period, 'unlisted_code', 'l_returnflag=' || l_returnflag FROM landed WHERE l_returnflag NOT IN ('A', 'N', 'R')
+  UNION ALL SELECT source_period, 'out_of_range', 'l_quantity' FROM landed WHERE l_quantity < 1 OR l_quantity > 49
+  UNION ALL SELECT source_period, 'broken_logic', 'discount above tax' FROM landed WHERE l_discount > l_tax
+  UNION ALL SELECT source_period, 'null', 'l_linestatus' FROM landed WHERE l_linestatus IS NULL),
+repeats AS (SELECT source_period, COUNT(*) - 1 AS n FROM landed GROUP BY source_period, {', '.join(landing.LINE_COLS)})
+SELECT source_period, kind, value, CAST(COUNT(*) AS BIGINT) AS rows FROM found GROUP BY ALL
+UNION ALL SELECT source_period, 'duplicate_rows', '', CAST(SUM(n) AS BIGINT) FROM repeats GROUP BY source_period""")
+def c47_profile(spark, d):
+    run = _planted_delivery(spark, d)
+    rows = scan_parquet_folder(spark, run.landing, landing.LINE_SCHEMA).withColumn("source_period", _period())
+    month = F.date_format("l_shipdate", "yyyy-MM")
+    return profile.file_profile(rows, "source_period", {
+        "month": month,
+        "out_of_period": F.when(month != F.col("source_period"), month),
+        "unlisted_code": F.when(~F.col("l_returnflag").isin("A", "N", "R"), F.concat(F.lit("l_returnflag="), "l_returnflag")),
+        "out_of_range": F.when(~F.col("l_quantity").between(1, 49), F.lit("l_quantity")),
+        "broken_logic": F.when(F.col("l_discount") > F.col("l_tax"), F.lit("discount above tax")),
+        "null": F.when(F.col("l_linestatus").isNull(), F.lit("l_linestatus"))}, row_digest(*landing.LINE_COLS))
+
+
+@register("k6_converge_partitions_written", f"""WITH m AS (SELECT COUNT(*) AS n FROM ({MONTHS_SQL}))
+SELECT run, CAST(written AS BIGINT) AS written, CAST(dropped AS BIGINT) AS dropped, CAST(same AS BIGINT) AS unchanged FROM (
+  SELECT 'first' AS run, n AS written, 0 AS dropped, 0 AS same FROM m
+  UNION ALL SELECT 'equal source', 0, 0, n FROM m
+  UNION ALL SELECT 'one value changed', 1, 0, n - 1 FROM m
+  UNION ALL SELECT 'one month gone', 0, 1, n - 1 FROM m)""")
+def k6_written(spark, d):
+    """Partitions that four converging merges of the monthly rows write, drop and leave alone."""
+    store = SnapshotStore(spark, scratch_path(spark, f"store-k6-{uuid.uuid4().hex}"))
+    li = Tables(spark, d).lineitem.select(*landing.LINE_COLS).withColumn("period", F.date_format("l_shipdate", "yyyy-MM"))
+    last = li.agg(F.max("period").alias("p")).first()["p"]
+    revised = li.withColumn("l_tax", F.when(F.col("period") == last, F.col("l_tax") + 1).otherwise(F.col("l_tax")))
+    out = []
+    for name, source in (("first", li), ("equal source", li.repartition(7)), ("one value changed", revised),
+                         ("one month gone", revised.filter(F.col("period") != last))):
+        got = merge.converge(store, "lines", source, "period")
+        out.append((name, got["partitions_written"], got["partitions_dropped"], got["partitions_unchanged"]))
+    return spark.createDataFrame(out, "run string, written long, dropped long, unchanged long")
+
+
+@register("k6_converged_rows", """
+SELECT strftime(l_shipdate, '%Y-%m') AS period, CAST(COUNT(*) AS BIGINT) AS rows, CAST(SUM(CAST(l_tax AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS tax
+FROM lineitem WHERE l_returnflag <> 'R' GROUP BY 1""")
+def k6_rows(spark, d):
+    store = SnapshotStore(spark, scratch_path(spark, f"store-k6-{uuid.uuid4().hex}"))
+    li = Tables(spark, d).lineitem.select(*landing.LINE_COLS).withColumn("period", F.date_format("l_shipdate", "yyyy-MM"))
+    merge.converge(store, "lines", li, "period")
+    merge.converge(store, "lines", li.filter("l_returnflag <> 'R'"), "period")
+    return store.read_partitioned("lines").groupBy(F.date_format("l_shipdate", "yyyy-MM").alias("period")).agg(
+        F.count(F.lit(1)).cast("long").alias("rows"), F.sum(F.col("l_tax").cast("decimal(18,2)")).cast("decimal(38,2)").alias("tax"))
+
+
+RESPONSE_KEYS = ["coordinate_id", "requested_start_date", "requested_end_date", "weather_model"]
+
+
+@register("c6_response_landing_scenarios", """
+WITH n AS (SELECT COUNT(DISTINCT CAST(ts AS DATE)) AS d FROM events)
+SELECT scenario, CAST(content_not_loaded AS BIGINT) AS content_not_loaded, CAST(target_empty AS BIGINT) AS target_empty,
+       CAST(rows_differ AS BIGINT) AS rows_differ, CAST(rows_of_dead_batches AS BIGINT) AS rows_of_dead_batches,
+       CAST(ins AS BIGINT) AS inserted, CAST(upd AS BIGINT) AS updated, CAST(same AS BIGINT) AS unchanged, written FROM (
+  SELECT '1 first load' AS scenario, 1 AS content_not_loaded, 1 AS target_empty, 0 AS rows_differ, 0 AS rows_of_dead_batches,
+         d AS ins, 0 AS upd, 0 AS same, true AS written FROM n
+  UNION ALL SELECT '2 same again', 0, 0, 0, 0, 0, 0, 0, false FROM n
+  UNION ALL SELECT '3 volatile field only', 1, 0, 0, 0, 0, 0, d, false FROM n
+  UNION ALL SELECT '4 revised value', 1, 0, 1, 0, 0, 1, d - 1, true FROM n
+  UNION ALL SELECT '5 demoted batch', 0, 0, 0, d - 1, 0, d - 1, 1, true FROM n
+  UNION ALL SELECT '6 emptied target', 0, 1, 0, 0, d, 0, 0, true FROM n)""")
+def c6_scenarios(spark, d):
+    """Six deliveries of the daily weather responses to one target; what each finds and does."""
+    store = SnapshotStore(spark, scratch_path(spark, f"store-c6-{uuid.uuid4().hex}"))
+    docs = star(spark, d).weather_documents().drop("source_system")
+    first_day = docs.agg(F.min("requested_start_date").alias("d")).first()["d"]
+    at = lambda seconds: docs.withColumn("generationtime_ms", F.lit(seconds))
+    value = F.when(F.col("requested_start_date") == F.lit(first_day), F.col("hourly").withField(
+        "precipitation", F.transform("hourly.precipitation", lambda x: x + 1))).otherwise(F.col("hourly"))
+    revised = at(3.0).withColumn("hourly", value)
+    out = []
+
+    def go(name, delivered):
+        r = land_responses(store, "weather_raw", delivered, RESPONSE_KEYS, ["generationtime_ms"], "hourly_events", "events", name)
+        out.append((name, r["content_not_loaded"], r["target_empty"], r["rows_differ"], r["rows_of_dead_batches"], r["insert"],
+                    r["update"], r["unchanged"], r["written"]))
+
+    go("1 first load", at(1.0))
+    first = control.latest_state(store.read_log("ingestion_batches", control.BATCH_EVENT_SCHEMA))
+    first = spark.createDataFrame(first.collect(), first.schema)  # one batch
+    go("2 same again", at(1.0))
+    go("3 volatile field only", at(2.5))
+    go("4 revised value", revised)
+    store.append("ingestion_batches", control.batch_events(first.drop("event_at"), "SUPERSEDED"))
+    go("5 demoted batch", revised)
+    store.write("weather_raw", store.read("weather_raw").limit(0))
+    go("6 emptied target", revised)
+    return spark.createDataFrame(out, "scenario string, content_not_loaded long, target_empty long, rows_differ long, "
+                                      "rows_of_dead_batches long, inserted long, updated long, unchanged long, written boolean")
+
+
+@register("c9_landed_responses", f"""
+WITH h AS (SELECT CAST(date_trunc('hour', ts) AS DATE) AS day, COUNT(DISTINCT date_trunc('hour', ts)) AS hours FROM events GROUP BY 1)
+SELECT day AS requested_start_date, CAST(hours AS INTEGER) AS hours, 'hourly_events' AS source_system, 'events' AS source_url, 'SUCCESS' AS status,
+       CAST(to_json({{'coordinate_id': 'events_city', 'requested_start_date': (SELECT min(day) FROM h),
+                     'requested_end_date': (SELECT min(day) FROM h), 'weather_model': 'events_hourly'}}) AS VARCHAR) AS request_parameters
+FROM h""")
+def c9_landed(spark, d):
+    """The stored rows with the batch that the log names for them."""
+    store = SnapshotStore(spark, scratch_path(spark, f"store-c9-{uuid.uuid4().hex}"))
+    docs = star(spark, d).weather_documents().drop("source_system").withColumn("generationtime_ms", F.lit(1.0))
+    land_responses(store, "weather_raw", docs, RESPONSE_KEYS, ["generationtime_ms"], "hourly_events", "events", "events.json")
+    state = control.latest_state(store.read_log("ingestion_batches", control.BATCH_EVENT_SCHEMA))
+    rows = store.read("weather_raw").join(state.select("batch_id", "status", "request_parameters"), "batch_id")
+    return rows.select("requested_start_date", F.size("hourly.time").alias("hours"), "source_system", "source_url", "status", "request_parameters")
+
+
+@register("c21_guards_stop_publication", """
+WITH r AS (SELECT COUNT(*) AS n FROM (SELECT 1 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+                                      GROUP BY l.l_orderkey, l.l_linenumber HAVING COUNT(*) > 1))
+SELECT guard, stopped FROM (
+  SELECT 'none broken' AS guard, false AS stopped FROM r UNION ALL SELECT 'quarantine rate', n > 0 FROM r
+  UNION ALL SELECT 'repeated zone key', true FROM r UNION ALL SELECT 'dates missing', true FROM r
+  UNION ALL SELECT 'classifications missing', true FROM r)""")
+def c21_guards(spark, d):
+    """The star's build with nothing broken, and with one violation planted per guard: does it stop?"""
+    from pyspark.errors import PySparkException
+
+    base = star(spark, d)
+    raw, docs = base.raw_trips(), base.weather_documents()
+    out = []
+
+    def stops(name, build, **options):
+        s = StarBuild(spark, d, **options)
+        s.cache |= {"raw_trips": raw, "weather_documents": docs}
+        try:
+            build(s)
+            out.append((name, False))
+        except (GuardError, PySparkException) as e:
+            if isinstance(e, PySparkException) and "lookup key is not unique" not in str(e):
+                raise
+            out.append((name, True))
+
+    def with_table(name, change, then):
+        def build(s):
+            s.cache[name] = change(getattr(s, {"dim_wc": "dim_weather_classification"}.get(name, name))())
+            then(s)
+        return build
+
+    stops("none broken", lambda s: s.materialise())
+    stops("quarantine rate", lambda s: s.decided(), max_quarantine_pct=0.0)
+    stops("repeated zone key", with_table("zones", lambda z: z.unionByName(z), lambda s: s.zone_map()))
+    stops("dates missing", with_table("dim_date", lambda x: x.limit(1), lambda s: s.materialise()))
+    stops("classifications missing", with_table("dim_wc", lambda x: x.limit(0), lambda s: s.weather_fact()))
+    return spark.createDataFrame(out, "guard string, stopped boolean")

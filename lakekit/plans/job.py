@@ -116,8 +116,7 @@ class Job:
         self._gates(["bronze_trips", "bronze_zones", "bronze_weather"])
         self._parallel({"silver_trips": s.decided, "silver_zones": s.zones, "silver_weather": s.weather})
         self._gates(["silver_trips", "silver_zones", "silver_weather"])
-        self._parallel({"trip_zone_map": lambda: _run(s.zone_map()),
-                        "trip_weather_map": lambda: _run(s.weather_map())})
+        self._parallel({"trip_zone_map": s.zone_map, "trip_weather_map": s.weather_map})
         self._gates(["integration"])
         self._parallel({"dim_date": s.dim_date, "dim_zone": s.dim_zone,
                         "dim_weather_classification": s.dim_weather_classification})

@@ -15,7 +15,7 @@ from lakekit.functions.classify import wmo_condition
 from lakekit.functions.digest import row_digest
 from lakekit.functions.flags import trip_quality_flags, two_valued, with_flags
 from lakekit.functions.timeops import local_to_utc, seconds_between, utc_to_local
-from lakekit.operators import dedup, resolve, star
+from lakekit.operators import dedup, guards, resolve, star
 from lakekit.operators.series import explode_parallel_arrays
 from lakekit.operators.sizing import broadcast_if_small
 from lakekit.plans.tables import (LOCAL_TZ, SENTINEL_IDS, ZONE_RULE, Tables, raw_trips, raw_zones,
@@ -23,6 +23,17 @@ from lakekit.plans.tables import (LOCAL_TZ, SENTINEL_IDS, ZONE_RULE, Tables, raw
 
 TRIP_IDENTITY = ["l_orderkey", "l_linenumber"]
 
+# declared columns of the two key maps; a rebuild keeps them whatever the inputs' types
+ZONE_MAP_SCHEMA = {"trip_hash": "string", "pickup_location_id": "int", "dropoff_location_id": "int",
+                   "pickup_zone_match_status": "string", "dropoff_zone_match_status": "string"}
+WEATHER_MAP_SCHEMA = {"trip_hash": "string", "pickup_timestamp_utc": "timestamp_ntz", "pickup_weather_observation_key": "string",
+                      "pickup_weather_match_status": "string"}
+
+
+def declared(df: DataFrame, schema: dict[str, str]) -> DataFrame:
+    """``df`` with exactly the declared columns, in their order and types."""
+    return df.select(*[F.col(c).cast(t).alias(c) for c, t in schema.items()])
+
 
 def silver_typed_trips(raw: DataFrame) -> DataFrame:
     """Identity hash over raw, uncast identity columns; typed projection; wall-clock duration."""
@@ -182,11 +193,16 @@ class StarBuild:
     folder): the Silver trip decision (clean ∪ quarantine in one frame, so both read one computation), the zone
     and weather Silver tables and the dimensions.  The small ones then have exact sizes for broadcast decisions,
     and nothing upstream is recomputed per consumer.  The trip fact stays lazy unless ``materialise`` is called.
+
+    Guards are measured by the jobs that write: the quarantine rate with the trip decision (``max_quarantine_pct``; the
+    played identity repeats by construction, so no rate halts unless asked), unresolved keys and the grain with the facts.
     """
     spark: SparkSession
     sf_dir: str
     tz: str = LOCAL_TZ
     cache: dict = field(default_factory=dict)
+    max_quarantine_pct: float = 100.0
+    measured: dict = field(default_factory=dict)
 
     def __post_init__(self):
         self.t = Tables(self.spark, self.sf_dir)
@@ -200,6 +216,13 @@ class StarBuild:
         from lakekit.session import cut_lineage
         return self._get(name, lambda: cut_lineage(build(), name))
 
+    def _guarded(self, name, build, measures, broken):
+        """A table that is published only if what its write measured breaks no rule."""
+        def make():
+            out, self.measured[name] = guards.write_guarded(build(), name, measures, broken)
+            return out
+        return self._get(name, make)
+
     # Bronze: the landed trip rows are a persisted table, as in the reference
     def raw_trips(self):
         return self._table("raw_trips", lambda: raw_trips(self.t))
@@ -213,8 +236,13 @@ class StarBuild:
 
     # Silver
     def decided(self):
-        return self._table("decided", lambda: dedup.with_collision_count(
-            with_flags(silver_typed_trips(self.raw_trips()), trip_quality_flags()), TRIP_IDENTITY))
+        def too_many(v):
+            rate = dedup.QuarantineRate(v["rows"] - v["quarantined"], v["quarantined"], self.max_quarantine_pct)
+            return [f"quarantine rate {rate.pct:.3f}% exceeds {rate.max_pct}%"] if rate.halted else []
+
+        return self._guarded("decided", lambda: dedup.with_collision_count(
+            with_flags(silver_typed_trips(self.raw_trips()), trip_quality_flags()), TRIP_IDENTITY),
+            {"rows": F.count(F.lit(1)), "quarantined": F.count_if(F.col("collision_count") > 1)}, too_many)
 
     def clean(self):
         return self.decided().filter(F.col("collision_count") == 1).drop("collision_count")
@@ -231,10 +259,10 @@ class StarBuild:
 
     # Integration (narrow key maps)
     def zone_map(self):
-        return self._get("zone_map", lambda: trip_zone_map(self.clean(), self.zones()))
+        return self._table("zone_map", lambda: declared(trip_zone_map(self.clean(), self.zones()), ZONE_MAP_SCHEMA))
 
     def weather_map(self):
-        return self._get("weather_map", lambda: trip_weather_map(self.clean(), self.weather(), self.tz))
+        return self._table("weather_map", lambda: declared(trip_weather_map(self.clean(), self.weather(), self.tz), WEATHER_MAP_SCHEMA))
 
     # Gold
     def dim_date(self):
@@ -256,8 +284,12 @@ class StarBuild:
         return self._table("dim_wc", lambda: star.dim_weather_classification(self.spark, self.weather()))
 
     def weather_fact(self):
-        return self._table("weather_fact", lambda: star.weather_fact(
-            self.weather(), self.dim_date(), self.dim_hour(), self.dim_weather_classification()))
+        return self._guarded("weather_fact", lambda: star.weather_fact(
+            self.weather(), self.dim_date(), self.dim_hour(), self.dim_weather_classification()),
+            {"rows": F.count(F.lit(1)), "no_date": guards.missing("observation_date_key"), "no_hour": guards.missing("observation_hour_key"),
+             "no_class": guards.missing("weather_classification_key")},
+            guards.none_of(no_date="hours without a date key", no_hour="hours without an hour key",
+                           no_class="hours without a weather classification"))
 
     def trip_fact(self):
         return self._get("trip_fact", lambda: trip_fact(self.clean(), self.zones(), self.weather(),
@@ -289,7 +321,20 @@ class StarBuild:
                                                                                         self.dim_zone()))
 
     def materialise(self):
-        """Checkpoint the trip fact too (the analytics all read it)."""
-        from lakekit.session import cut_lineage
-        self.cache["trip_fact"] = cut_lineage(self.trip_fact())
+        """Write the trip fact too (the analytics all read it), guarded: every key resolved, the grain that of the clean trips."""
+        self.decided()  # measures the clean rows
+
+        def broken(v):
+            clean = self.measured["decided"]["rows"] - self.measured["decided"]["quarantined"]
+            faults = guards.none_of(no_date="trips without date keys", no_hour="trips without hour keys",
+                                    no_class="matched trips without a weather classification")(v)
+            return faults + ([f"{v['rows']} fact rows for {clean} clean trips"] if v["rows"] != clean else [])
+
+        fact = self.trip_fact()
+        self.cache["trip_fact"], self.measured["trip_fact"] = guards.write_guarded(fact, "trip_fact", {
+            "rows": F.count(F.lit(1)),
+            "no_date": F.count_if(F.col("pickup_date_key").isNull() | F.col("dropoff_date_key").isNull()),
+            "no_hour": F.count_if(F.col("pickup_hour_key").isNull() | F.col("dropoff_hour_key").isNull()),
+            "no_class": F.count_if((F.col("weather_match_status") == resolve.MATCHED_UNIQUE)
+                                   & F.col("pickup_weather_classification_key").isNull())}, broken)
         return self
