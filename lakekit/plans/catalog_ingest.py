@@ -15,7 +15,7 @@ from lakekit.functions.digest import row_digest
 from lakekit.operators import ingest, merge, profile
 from lakekit.operators.resolve import GuardError
 from lakekit.operators.responses import land_responses
-from lakekit.plans import checks, landing
+from lakekit.plans import checks, landing, oracle
 from lakekit.plans.catalog import register, star
 from lakekit.plans.catalog_ops import TYPE_MAP_SQL, TABLE_LIST_SQL
 from lakekit.plans.tables import TABLES, Tables
@@ -389,8 +389,8 @@ def k6_rows(spark, d):
 RESPONSE_KEYS = ["coordinate_id", "requested_start_date", "requested_end_date", "weather_model"]
 
 
-@register("c6_response_landing_scenarios", """
-WITH n AS (SELECT COUNT(DISTINCT CAST(ts AS DATE)) AS d FROM events)
+@register("c6_response_landing_scenarios", f"""
+WITH n AS (SELECT COUNT(DISTINCT coordinate_id || CAST(CAST(ts AS DATE) AS VARCHAR)) AS d FROM {oracle.OBSERVED})
 SELECT scenario, CAST(content_not_loaded AS BIGINT) AS content_not_loaded, CAST(target_empty AS BIGINT) AS target_empty,
        CAST(rows_differ AS BIGINT) AS rows_differ, CAST(rows_of_dead_batches AS BIGINT) AS rows_of_dead_batches,
        CAST(ins AS BIGINT) AS inserted, CAST(upd AS BIGINT) AS updated, CAST(same AS BIGINT) AS unchanged, written FROM (
@@ -432,10 +432,10 @@ def c6_scenarios(spark, d):
 
 
 @register("c9_landed_responses", f"""
-WITH h AS (SELECT CAST(date_trunc('hour', ts) AS DATE) AS day, COUNT(DISTINCT date_trunc('hour', ts)) AS hours FROM events GROUP BY 1)
+WITH h AS (SELECT CAST(date_trunc('hour', ts) AS DATE) AS day, COUNT(DISTINCT date_trunc('hour', ts)) AS hours, coordinate_id FROM {oracle.OBSERVED} GROUP BY 1, 3)
 SELECT day AS requested_start_date, CAST(hours AS INTEGER) AS hours, 'hourly_events' AS source_system, 'events' AS source_url, 'SUCCESS' AS status,
-       CAST(to_json({{'coordinate_id': 'events_city', 'requested_start_date': (SELECT min(day) FROM h),
-                     'requested_end_date': (SELECT min(day) FROM h), 'weather_model': 'events_hourly'}}) AS VARCHAR) AS request_parameters
+       (SELECT min(CAST(to_json({{'coordinate_id': coordinate_id, 'requested_start_date': day, 'requested_end_date': day,
+                                 'weather_model': 'events_hourly'}}) AS VARCHAR)) FROM h) AS request_parameters
 FROM h""")
 def c9_landed(spark, d):
     """The stored rows with the batch that the log names for them."""

@@ -19,7 +19,7 @@ from lakekit.session import scratch_path
 from lakekit.sources import control
 from lakekit.sources.files import read_csv, read_json_documents
 
-DOC_SCHEMA = ("coordinate_id string, weather_model string, requested_end_date date, source_system string, "
+DOC_SCHEMA = ("weather_model string, requested_end_date date, source_system string, "
               "hourly struct<time: array<string>, temperature_2m: array<double>, precipitation: array<double>, "
               "weather_code: array<bigint>>, generationtime_ms double")
 
@@ -29,12 +29,12 @@ DOC_SCHEMA = ("coordinate_id string, weather_model string, requested_end_date da
 def _landed_documents(spark, d):
     docs = star(spark, d).weather_documents().withColumn("generationtime_ms", F.lit(1.0))
     path = scratch_path(spark, f"weather-json-{uuid.uuid4().hex}")
-    docs.write.partitionBy("requested_start_date").json(path)  # one document per folder → one per file
-    return read_json_documents(spark, path, DOC_SCHEMA + ", requested_start_date date")
+    docs.write.partitionBy("requested_start_date", "coordinate_id").json(path)  # one document per folder → one per file
+    return read_json_documents(spark, path, DOC_SCHEMA + ", requested_start_date date, coordinate_id string")
 
 
-EV_DAYS_SQL = """SELECT CAST(date_trunc('hour', ts) AS DATE) AS day, COUNT(DISTINCT date_trunc('hour', ts)) AS hours,
-       strftime(MIN(date_trunc('hour', ts)), '%Y-%m-%dT%H:%M') AS first_time FROM events GROUP BY 1"""
+EV_DAYS_SQL = f"""SELECT coordinate_id, CAST(date_trunc('hour', ts) AS DATE) AS day, COUNT(DISTINCT date_trunc('hour', ts)) AS hours,
+       strftime(MIN(date_trunc('hour', ts)), '%Y-%m-%dT%H:%M') AS first_time FROM {oracle.OBSERVED} GROUP BY 1, 2"""
 
 
 @register("s2_json_response_documents", f"""WITH e AS ({EV_DAYS_SQL})
@@ -48,7 +48,7 @@ def s2_json(spark, d):
 
 @register("c9_response_request_metadata", f"""WITH e AS ({EV_DAYS_SQL})
 SELECT day AS requested_start_date,
-       CAST(to_json({{'coordinate_id': 'events_city', 'requested_start_date': day, 'requested_end_date': day,
+       CAST(to_json({{'coordinate_id': coordinate_id, 'requested_start_date': day, 'requested_end_date': day,
                      'weather_model': 'events_hourly'}}) AS VARCHAR) AS request_parameters,
        'events_hourly' AS weather_model FROM e""")
 def c9_request(spark, d):
@@ -68,9 +68,9 @@ def c4_identity(spark, d):
                "generationtime_ms"]
     a = fingerprint.response_identity(docs.withColumn("generationtime_ms", F.lit(1.0)), ["generationtime_ms"], payload)
     b = fingerprint.response_identity(docs.withColumn("generationtime_ms", F.lit(2.5)), ["generationtime_ms"], payload)
-    a = a.select("requested_start_date", F.col("content_sha256").alias("ca"), F.col("source_response_version").alias("va"))
-    b = b.select("requested_start_date", F.col("content_sha256").alias("cb"), F.col("source_response_version").alias("vb"))
-    j = a.join(b, "requested_start_date")
+    a = a.select("coordinate_id", "requested_start_date", F.col("content_sha256").alias("ca"), F.col("source_response_version").alias("va"))
+    b = b.select("coordinate_id", "requested_start_date", F.col("content_sha256").alias("cb"), F.col("source_response_version").alias("vb"))
+    j = a.join(b, ["coordinate_id", "requested_start_date"])
     return j.select("requested_start_date", (F.col("ca") != F.col("cb")).alias("content_changed"),
                     (F.col("va") != F.col("vb")).alias("version_changed"))
 

@@ -15,7 +15,7 @@ from lakekit.operators.series import continuity_report, explode_parallel_arrays
 from lakekit.plans import oracle
 from lakekit.plans.catalog import register, star
 from lakekit.plans.oracle import sround, with_star
-from lakekit.plans.tables import TABLES, Tables
+from lakekit.plans.tables import TABLES, Tables, played_pickup
 
 LINE_DIGEST_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
                     "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
@@ -360,10 +360,10 @@ def a11_two_level(spark, d):
         F.round(F.sum("n").cast("double") / F.count(F.lit(1)), 3).alias("avg_orders_per_customer"))
 
 
-@register("a15_sum_hourly_array_sizes", """
+@register("a15_sum_hourly_array_sizes", f"""
 SELECT CAST(COUNT(*) AS BIGINT) AS documents, CAST(SUM(h) AS BIGINT) AS hourly_values
 FROM (SELECT CAST(date_trunc('hour', ts) AS DATE) AS day, COUNT(DISTINCT date_trunc('hour', ts)) AS h
-      FROM events GROUP BY 1)""")
+      FROM {oracle.OBSERVED} GROUP BY coordinate_id, 1)""")
 def a15_sizes(spark, d):
     docs = star(spark, d).weather_documents()
     return docs.agg(F.count(F.lit(1)).cast("long").alias("documents"),
@@ -469,7 +469,7 @@ def p13_scalar(spark, d):
 
 
 @register("c51_source_to_landed_reconciliation", with_star(f""",
-src AS (SELECT strftime(o_orderdate, '%Y-%m') AS period, COUNT(*) AS source_rows,
+src AS (SELECT strftime({oracle.PICKUP}, '%Y-%m') AS period, COUNT(*) AS source_rows,
                SUM(CAST(c_acctbal AS DECIMAL(18,2))) AS source_fare
         FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
         LEFT JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1),
@@ -485,7 +485,7 @@ def c51_recon(spark, d):
     t = Tables(spark, d)
     src = (t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
            .join(t.customer, F.col("o_custkey") == F.col("c_custkey"), "left")
-           .groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("period"))
+           .groupBy(F.date_format(played_pickup(), "yyyy-MM").alias("period"))
            .agg(F.count(F.lit(1)).cast("long").alias("source_rows"),
                 F.sum(F.col("c_acctbal").cast("decimal(18,2)")).cast("decimal(38,2)").alias("source_fare")))
     landed = (star(spark, d).raw_trips().groupBy(F.date_format("pickup_datetime_raw", "yyyy-MM").alias("period"))
@@ -609,9 +609,9 @@ def c44_continuity(spark, d):
                              "observation_timestamp_local")
 
 
-@register("c45_expected_series_volume", """
+@register("c45_expected_series_volume", f"""
 WITH h AS (SELECT CAST(date_trunc('hour', ts) AS DATE) AS day, COUNT(DISTINCT date_trunc('hour', ts)) AS n
-           FROM events GROUP BY 1)
+           FROM {oracle.OBSERVED} GROUP BY coordinate_id, 1)
 SELECT day AS requested_start_date, CAST(n AS INTEGER) AS hourly_values, CAST(24 AS BIGINT) AS expected_values,
        n = 24 AS volume_ok FROM h""")
 def c45_volume(spark, d):
@@ -622,12 +622,12 @@ def c45_volume(spark, d):
         .withColumn("volume_ok", F.col("hourly_values") == F.col("expected_values"))
 
 
-@register("n2_posexplode_hourly_positions", """
+@register("n2_posexplode_hourly_positions", f"""
 SELECT CAST(date_trunc('hour', ts) AS DATE) AS requested_start_date,
-       CAST(dense_rank() OVER (PARTITION BY CAST(date_trunc('hour', ts) AS DATE) ORDER BY date_trunc('hour', ts)) - 1
+       CAST(dense_rank() OVER (PARTITION BY coordinate_id, CAST(date_trunc('hour', ts) AS DATE) ORDER BY date_trunc('hour', ts)) - 1
             AS INTEGER) AS pos,
        strftime(date_trunc('hour', ts), '%Y-%m-%dT%H:%M') AS hourly_time
-FROM events GROUP BY date_trunc('hour', ts)""")
+FROM {oracle.OBSERVED} GROUP BY coordinate_id, date_trunc('hour', ts)""")
 def n2_pos(spark, d):
     docs = star(spark, d).weather_documents()
     return explode_parallel_arrays(docs, {"hourly_time": "hourly.time"}, keep=["requested_start_date"], position="pos")

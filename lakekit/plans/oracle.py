@@ -8,7 +8,7 @@ sides agree only if the semantics agree.  Doubles are divided after exact decima
 from __future__ import annotations
 
 from lakekit.functions.classify import HOURLY_UNITS, PRECIPITATION_BANDS, WMO_CONDITIONS
-from lakekit.plans.tables import ZONE_RULE
+from lakekit.plans.tables import REPORTING_WINDOW, ZONE_RULE
 
 TZ = "America/New_York"
 
@@ -37,7 +37,9 @@ SENTINELS = ", ".join(str(k) for k in ZONE_RULE["sentinels"])
 
 
 def utc(ts: str) -> str:
-    return f"timezone('UTC', timezone('{TZ}', {ts}))"
+    """UTC of a local time; of the two instants of the hour that autumn repeats, the earlier one."""
+    u = f"timezone('UTC', timezone('{TZ}', {ts}))"
+    return f"CASE WHEN {local(f'({u} - INTERVAL 1 HOUR)')} = {ts} THEN {u} - INTERVAL 1 HOUR ELSE {u} END"
 
 
 def local(ts: str) -> str:
@@ -49,15 +51,25 @@ def sround(expr: str, digits: int) -> str:
     return f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
 
 
+# How the driver tables play trips and observations (see tables.py), in SQL
+_DAY = "date_diff('day', DATE '1995-01-01', CAST(o.o_orderdate AS DATE))"
+PICKUP = (f"CASE WHEN o.o_orderkey % 97 <> 0 THEN CAST(CASE WHEN {_DAY} % 2 = 0 THEN DATE '2024-02-28' + CAST({_DAY} // 2 % 18 AS INTEGER) "
+          f"ELSE DATE '2024-10-29' + CAST({_DAY} // 2 % 19 AS INTEGER) END AS TIMESTAMP) "
+          "+ to_seconds((o.o_orderkey * 7919 + l.l_linenumber * 104729) % 86400) END")
+DROPOFF = f"({PICKUP}) + to_minutes(date_diff('day', CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE)))"
+_PLAYED = "* REPLACE (ts + CASE WHEN day(ts) < 16 THEN INTERVAL 60 DAY ELSE INTERVAL 290 DAY END AS ts)"
+OBSERVED = (f"(SELECT 'events_city' AS coordinate_id, {_PLAYED} FROM events "
+            f"UNION ALL SELECT 'events_airport', {_PLAYED} FROM events WHERE day(ts) = 5)")
+
 # The whole star as CTEs; unused ones are pruned by the engine.
 STAR = f"""
 raw_trips AS (
   SELECT l.l_orderkey, l.l_linenumber,
          CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) AS vendor_id,
-         o.o_orderdate AS pickup_datetime_local,
-         l.l_shipdate AS dropoff_datetime_local,
-         c.c_nationkey AS pickup_location_id,
-         s.s_nationkey AS dropoff_location_id,
+         {PICKUP} AS pickup_datetime_local,
+         {DROPOFF} AS dropoff_datetime_local,
+         CASE WHEN o.o_custkey % 83 = 0 THEN NULL WHEN o.o_custkey % 79 = 0 THEN 99 ELSE c.c_nationkey END AS pickup_location_id,
+         CASE WHEN (l.l_orderkey + l.l_linenumber) % 53 = 0 THEN NULL WHEN (l.l_orderkey + l.l_linenumber) % 59 = 0 THEN 98 ELSE s.s_nationkey END AS dropoff_location_id,
          CAST(round(l.l_tax * 100) AS INTEGER) AS passenger_count,
          CAST(l.l_quantity AS DECIMAL(18,3)) AS trip_distance_miles,
          CAST(c.c_acctbal AS DECIMAL(18,2)) AS fare_amount_usd,
@@ -116,19 +128,19 @@ dim_zone AS (
   FROM zones
 ),
 ev AS (
-  SELECT event_id, ts, event_type, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+  SELECT coordinate_id, event_id, ts, event_type, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
          date_trunc('hour', ts) AS hour_utc
-  FROM events
+  FROM {OBSERVED}
 ),
 ev_hours AS (
-  SELECT hour_utc,
+  SELECT coordinate_id, hour_utc,
          {sround('CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DOUBLE) / COUNT(*)', 3)} AS temperature,
          CAST(count_if(event_type = 'error') * 0.5 AS DOUBLE) AS precipitation,
          CAST(arg_max(k, (ts, event_id)) AS BIGINT) AS weather_code
-  FROM ev GROUP BY hour_utc
+  FROM ev GROUP BY coordinate_id, hour_utc
 ),
 bronze_weather AS (
-  SELECT 'events_city' AS coordinate_id, 'events_hourly' AS weather_model,
+  SELECT coordinate_id, 'events_hourly' AS weather_model,
          CAST(hour_utc AS DATE) AS requested_start_date, CAST(hour_utc AS DATE) AS requested_end_date,
          {{'time': list(strftime(hour_utc, '%Y-%m-%dT%H:%M') ORDER BY hour_utc),
           'temperature_2m': list(temperature ORDER BY hour_utc),
@@ -136,14 +148,14 @@ bronze_weather AS (
           'weather_code': list(weather_code ORDER BY hour_utc)}} AS hourly,
          {{{UNITS_STRUCT}}} AS hourly_units,
          'tpch_events' AS source_system
-  FROM ev_hours GROUP BY CAST(hour_utc AS DATE)
+  FROM ev_hours GROUP BY coordinate_id, CAST(hour_utc AS DATE)
 ),
 bronze_weather_obs AS (
-  SELECT 'events_city' AS coordinate_id, 'events_hourly' AS weather_model,
+  SELECT coordinate_id, 'events_hourly' AS weather_model,
          CAST(hour_utc AS DATE) AS requested_start_date, CAST(hour_utc AS DATE) AS requested_end_date,
          strftime(hour_utc, '%Y-%m-%dT%H:%M') AS observation_time, temperature AS temperature_2m, precipitation,
          weather_code, hour_utc AS observation_ts,
-         ROW_NUMBER() OVER (PARTITION BY CAST(hour_utc AS DATE) ORDER BY hour_utc) - 1 AS pos
+         ROW_NUMBER() OVER (PARTITION BY coordinate_id, CAST(hour_utc AS DATE) ORDER BY hour_utc) - 1 AS pos
   FROM ev_hours
 ),
 bronze_weather_rows AS (
@@ -154,10 +166,10 @@ bronze_weather_rows AS (
                    coalesce(observation_time, '<null>')) AS observation_key
   FROM bronze_weather_obs
 ),
-source_events AS (SELECT ts FROM events),
+source_events AS (SELECT coordinate_id, ts FROM {OBSERVED}),
 weather AS (
-  SELECT sha256(concat_ws('|', 'events_city', CAST(hour_utc AS VARCHAR), 'events_hourly')) AS weather_observation_key,
-         'events_city' AS coordinate_id,
+  SELECT sha256(concat_ws('|', coordinate_id, CAST(hour_utc AS VARCHAR), 'events_hourly')) AS weather_observation_key,
+         coordinate_id,
          hour_utc AS observation_timestamp_utc,
          'events_hourly' AS weather_model,
          {local('hour_utc')} AS observation_timestamp_local,
@@ -291,8 +303,8 @@ fact AS (
     CAST(t.passenger_count AS DECIMAL(10,2)) AS passenger_count,
     t.trip_distance_miles, t.fare_amount_usd, t.total_amount_usd, t.trip_duration_seconds,
     1 AS trip_count,
-    COALESCE(t.pickup_datetime_local >= TIMESTAMP '1900-01-01 00:00:00'
-             AND t.pickup_datetime_local < TIMESTAMP '9999-01-01 00:00:00', false) AS pickup_in_reporting_window_flag,
+    COALESCE(t.pickup_datetime_local >= TIMESTAMP '{REPORTING_WINDOW[0]}'
+             AND t.pickup_datetime_local < TIMESTAMP '{REPORTING_WINDOW[1]}', false) AS pickup_in_reporting_window_flag,
     COALESCE(strftime(t.pickup_datetime_local, '%Y-%m')
              <> NULLIF(regexp_extract(t.source_file, '([0-9]{{4}}-[0-9]{{2}})', 1), ''), false)
       AS out_of_source_file_month_flag,

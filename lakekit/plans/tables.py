@@ -4,11 +4,15 @@ Role mapping (one place, so every query and its SQL oracle agree):
 
 * trip row = one ``lineitem`` row joined to its ``orders`` row; the customer gives the pickup location and the
   supplier the drop-off location (role-playing zone dimension).
-* pickup / drop-off wall-clock times = ``o_orderdate`` / ``l_shipdate`` (TIMESTAMP_NTZ).
+* pickup wall-clock time (TIMESTAMP_NTZ) = ``o_orderdate`` folded onto days around the two clock changes of 2024, at a
+  second of the day that the keys give; drop-off = one minute later for each day from ``o_orderdate`` to ``l_shipdate``
+  (so it may precede the pickup).  Every 97th order has no pickup time.
 * trip identity = ``(l_orderkey, l_linenumber)``; repeated pairs are ambiguous duplicates.
 * fare = ``c_acctbal`` (a signed money measure, so the negative-fare eligibility rule is exercised),
   distance = ``l_quantity``, total = ``l_extendedprice``, passengers = ``round(l_tax * 100)`` (0 means missing),
   vendor = first digit of ``o_orderpriority``.
+* pickup location = the customer's nation, drop-off location = the supplier's; some customers and some
+  lines have none or one that the zone snapshot does not list.
 * zone snapshot = ``nation`` ⋈ ``region``: location id = nation key, zone = nation name, borough = service zone =
   region name.  Nation keys 23 and 24 play the two sentinel locations.
 * hourly observation series = ``events`` per UTC hour: temperature = mean event value, precipitation = 0.5 mm per
@@ -19,7 +23,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakekit.functions.classify import HOURLY_UNITS
@@ -28,6 +32,8 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 LOCAL_TZ = "America/New_York"
+# the months that the star reports on
+REPORTING_WINDOW = ("2024-03-01 00:00:00", "2024-12-01 00:00:00")
 
 # Zone classification rule for the driver zone snapshot (ordered: sentinel ids, special boroughs, regular boroughs).
 ZONE_RULE = {
@@ -79,6 +85,22 @@ class Tables:
         return os.path.join(self.sf_dir, f"{name}.parquet")
 
 
+def played_pickup() -> Column:
+    """Pickup time of a lineitem ⋈ orders row (see above)."""
+    k = F.datediff("o_orderdate", F.lit("1995-01-01").cast("date"))
+    half = F.floor(k / 2).cast("int")
+    day = F.when(k % 2 == 0, F.date_add(F.lit("2024-02-28").cast("date"), half % 18)).otherwise(
+        F.date_add(F.lit("2024-10-29").cast("date"), half % 19))
+    second = (F.col("o_orderkey") * 7919 + F.col("l_linenumber") * 104729) % 86400
+    clock = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), second.cast("decimal(18,6)"))
+    return F.when(F.col("o_orderkey") % 97 != 0, day.cast("timestamp_ntz") + clock)
+
+
+def played_dropoff() -> Column:
+    minutes = F.datediff("l_shipdate", "o_orderdate")
+    return played_pickup() + F.make_dt_interval(F.lit(0), F.lit(0), minutes)
+
+
 def raw_trips(t: Tables) -> DataFrame:
     """Trip rows as received (Bronze-shaped): raw values, untouched, plus the landed file's name."""
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "l_tax",
@@ -92,10 +114,12 @@ def raw_trips(t: Tables) -> DataFrame:
     return j.select(
         "l_orderkey", "l_linenumber",
         F.substring("o_orderpriority", 1, 1).cast("int").alias("vendor_id_raw"),
-        F.col("o_orderdate").alias("pickup_datetime_raw"),
-        F.col("l_shipdate").alias("dropoff_datetime_raw"),
-        F.col("c_nationkey").alias("pickup_location_raw"),
-        F.col("s_nationkey").alias("dropoff_location_raw"),
+        played_pickup().alias("pickup_datetime_raw"),
+        played_dropoff().alias("dropoff_datetime_raw"),
+        F.when(F.col("o_custkey") % 83 == 0, None).when(F.col("o_custkey") % 79 == 0, 99).otherwise(F.col("c_nationkey"))
+        .alias("pickup_location_raw"),
+        F.when((F.col("l_orderkey") + F.col("l_linenumber")) % 53 == 0, None).when((F.col("l_orderkey") + F.col("l_linenumber")) % 59 == 0, 98).otherwise(F.col("s_nationkey"))
+        .alias("dropoff_location_raw"),
         F.round(F.col("l_tax") * 100).cast("long").alias("passenger_count_raw"),
         F.col("l_quantity").alias("trip_distance_raw"),
         F.col("c_acctbal").alias("fare_amount_raw"),
@@ -119,32 +143,40 @@ def raw_zones(t: Tables) -> DataFrame:
     )
 
 
+def observed_events(t: Tables) -> DataFrame:
+    """``events`` in the played season, with the place that observed them."""
+    season = F.expr("CASE WHEN day(ts) < 16 THEN INTERVAL '60' DAY ELSE INTERVAL '290' DAY END")
+    e = t.events
+    places = F.when(F.day("ts") == 5, F.array(F.lit("events_city"), F.lit("events_airport"))).otherwise(F.array(F.lit("events_city")))
+    return e.withColumn("coordinate_id", F.explode(places)).withColumn("ts", F.col("ts") + season)
+
+
 def event_hours(t: Tables) -> DataFrame:
-    """Hourly observation aggregates from ``events`` (one row per UTC hour)."""
-    e = t.events.select("event_id", "ts", "event_type", "value",
+    """Hourly observation aggregates (one row per place and UTC hour)."""
+    e = observed_events(t).select("coordinate_id", "event_id", "ts", "event_type", "value",
                         F.get_json_object("props", "$.k").cast("int").alias("k"))
     hour = e["ts"] - F.make_dt_interval(F.lit(0), F.lit(0), F.minute("ts"), F.extract(F.lit("SECOND"), F.col("ts")))
-    return (e.groupBy(hour.alias("hour_utc"))
+    return (e.groupBy("coordinate_id", hour.alias("hour_utc"))
             .agg(F.count(F.lit(1)).alias("n_events"),
                  F.sum(F.col("value").cast("decimal(12,2)")).alias("value_sum"),
                  F.count_if(F.col("event_type") == "error").alias("n_error"),
                  F.max_by("k", F.struct("ts", "event_id")).alias("code"))
-            .select("hour_utc",
+            .select("coordinate_id", "hour_utc",
                     F.round(F.col("value_sum").cast("double") / F.col("n_events"), 3).alias("temperature"),
                     (F.col("n_error") * F.lit(0.5)).cast("double").alias("precipitation"),
                     F.col("code").cast("long").alias("weather_code")))
 
 
 def weather_documents(t: Tables) -> DataFrame:
-    """One response document per UTC day with the hourly series as parallel arrays (time, temperature,
+    """One response document per place and UTC day with the hourly series as parallel arrays (time, temperature,
     precipitation, code) and the units they are expressed in, like an hourly weather API response.  Arrays hold
     at most 24 entries."""
     h = event_hours(t).withColumn("day", F.to_date("hour_utc"))
-    docs = h.groupBy("day").agg(F.array_sort(F.collect_list(F.struct(
+    docs = h.groupBy("coordinate_id", "day").agg(F.array_sort(F.collect_list(F.struct(
         F.date_format("hour_utc", "yyyy-MM-dd'T'HH:mm").alias("time"), "temperature", "precipitation",
         "weather_code"))).alias("rows"))
     return docs.select(
-        F.lit("events_city").alias("coordinate_id"),
+        "coordinate_id",
         F.lit("events_hourly").alias("weather_model"),
         F.col("day").alias("requested_start_date"),
         F.col("day").alias("requested_end_date"),

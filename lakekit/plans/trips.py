@@ -18,7 +18,7 @@ from lakekit.functions.timeops import local_to_utc, seconds_between, utc_to_loca
 from lakekit.operators import dedup, guards, resolve, star
 from lakekit.operators.series import explode_parallel_arrays
 from lakekit.operators.sizing import broadcast_if_small
-from lakekit.plans.tables import (LOCAL_TZ, SENTINEL_IDS, ZONE_RULE, Tables, raw_trips, raw_zones,
+from lakekit.plans.tables import (LOCAL_TZ, REPORTING_WINDOW, SENTINEL_IDS, ZONE_RULE, Tables, raw_trips, raw_zones,
                                   weather_documents)
 
 TRIP_IDENTITY = ["l_orderkey", "l_linenumber"]
@@ -294,7 +294,7 @@ class StarBuild:
     def trip_fact(self):
         return self._get("trip_fact", lambda: trip_fact(self.clean(), self.zones(), self.weather(),
                                                         self.dim_zone(), self.weather_fact(), self.dim_date(),
-                                                        self.dim_hour(), self.tz))
+                                                        self.dim_hour(), self.tz, REPORTING_WINDOW))
 
     # Published analytical results (tables, as in the reference; the analytics gate reads these)
     def q1_result(self):
@@ -330,11 +330,14 @@ class StarBuild:
                                     no_class="matched trips without a weather classification")(v)
             return faults + ([f"{v['rows']} fact rows for {clean} clean trips"] if v["rows"] != clean else [])
 
+        def unresolved(key):  # a time that is there has its keys; trips without a time are kept without
+            return F.count_if((F.col("pickup_datetime_local").isNotNull() & F.col(f"pickup_{key}_key").isNull())
+                              | (F.col("dropoff_datetime_local").isNotNull() & F.col(f"dropoff_{key}_key").isNull()))
+
         fact = self.trip_fact()
         self.cache["trip_fact"], self.measured["trip_fact"] = guards.write_guarded(fact, "trip_fact", {
             "rows": F.count(F.lit(1)),
-            "no_date": F.count_if(F.col("pickup_date_key").isNull() | F.col("dropoff_date_key").isNull()),
-            "no_hour": F.count_if(F.col("pickup_hour_key").isNull() | F.col("dropoff_hour_key").isNull()),
+            "no_date": unresolved("date"), "no_hour": unresolved("hour"),
             "no_class": F.count_if((F.col("weather_match_status") == resolve.MATCHED_UNIQUE)
                                    & F.col("pickup_weather_classification_key").isNull())}, broken)
         return self

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from lakekit.plans import checks
 from lakekit.plans.trips import bronze_weather_observations
 
@@ -37,7 +39,7 @@ def test_bronze_weather_gate_planted_anomalies(spark):
     ]
     d = spark.createDataFrame(docs, DOC_SCHEMA)
     events = spark.createDataFrame([(dt.datetime(2024, 3, 1) + dt.timedelta(hours=i, minutes=7),) for i in range(33)],
-                                   "ts timestamp_ntz")
+                                   "ts timestamp_ntz").withColumn("coordinate_id", F.lit("c1"))
     res = checks.bronze_weather_gate().run({"bronze_weather": d, "bronze_weather_rows": bronze_weather_observations(d),
                                             "source_events": events})
     got = {r["check_name"]: (r["fail_count"], r["total_count"], r["status"]) for r in res.collect()}
