@@ -9,13 +9,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh_name(df: DataFrame, wish: str) -> str:
+    """``wish``, or with underscores in front where ``df`` has a column of that name (case aside)."""
+    taken = {c.lower() for c in df.columns}
+    while wish.lower() in taken:
+        wish = "_" + wish
+    return wish
+
+
 def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Two columns ``id`` (long) and ``text`` (null as empty); every other column, whatever its name, is left out."""
     return df.select(df[id_col].cast("long").alias("id"), F.coalesce(df[text_col].cast("string"), F.lit("")).alias("text"))
