@@ -66,8 +66,8 @@ def shingle_counts(docs: DataFrame, wanted: set[tuple[bytes, ...]]) -> dict[tupl
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, heads = shared.value
         seen = Counter()
-        for batch in batches:
-            for data in utf8_values(batch.column("text")):
+        for part in (part for batch in batches for part in byte_slices(batch, "text")):
+            for data in utf8_values(part.column("text")):
                 seen.update(index[s] for _, s in _places(words(data), index, heads))
         yield pa.record_batch([pa.array(list(seen), pa.int32()), pa.array(list(seen.values()), pa.int64())], ["s", "n"])
 

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.common import byte_slices, utf8_values
+from lakekit.llm.common import byte_slices, fresh_name, utf8_values
 from lakekit.llm.components import components
 from lakekit.session import cut_lineage
 
@@ -170,14 +170,14 @@ def _with_components(rows: DataFrame, max_bits: int, max_list: int) -> DataFrame
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, max_bits: int = 3,
              max_list: int = MAX_LIST) -> DataFrame:
     """``docs`` with one row of each component: the smallest id (null ids last); of equal rows, the first written."""
-    own = docs.columns
-    staged = cut_lineage(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
-    slim = staged.select(F.col(id_col).cast("long").alias("id"), "__row", F.col(text_col).cast("string").alias("text"))
+    own, row = docs.columns, fresh_name(docs, "__row")
+    staged = cut_lineage(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    slim = staged.select(F.col(id_col).cast("long").alias("id"), F.col(row).alias("__row"), F.col(text_col).cast("string").alias("text"))
     rows = cut_lineage(with_fingerprint(slim, "text", shingle_words).drop("text"), "fingerprints")
     order = F.struct(F.col("id").isNull().alias("n"), "id", "__row")
     per_fp = cut_lineage(rows.groupBy("fp").agg(F.min(order).alias("first")), "distinct")
     roots = components(links(per_fp.select("fp"), max_bits, max_list)).withColumnRenamed("node", "fp")
     kept = (per_fp.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("r")).agg(F.min("first").alias("first"))
             .select(F.col("first.__row").alias("__row")))
-    dropped = cut_lineage(rows.select("__row").join(kept, "__row", "left_anti"), "dropped")
-    return staged.join(dropped, "__row", "left_anti").select(*own)
+    dropped = cut_lineage(rows.select("__row").join(kept, "__row", "left_anti").withColumnRenamed("__row", row), "dropped")
+    return staged.join(dropped, row, "left_anti").select(*own)

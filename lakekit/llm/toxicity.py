@@ -24,12 +24,14 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakekit.llm.common import byte_slices
 from lakekit.session import cut_lineage
 
 PATTERNS = ("two marks", "many marks", "very many marks", "masked word")
@@ -41,7 +43,9 @@ MIN_PRECISION = 0.9
 #: rows that a mark needs at least, and the share of marks that may be there by chance at a number of rows
 MIN_ROWS, CHANCE = 3, 0.1
 #: words that a task remembers to have no mark (others are looked up again)
-MEMO_WORDS = 300_000
+MEMO_WORDS = 100_000
+#: distinct features that a task counts before it hands them on, and bytes of text that it decodes at a time
+FLUSH_FEATURES, SLICE = 250_000, 1 << 20
 
 
 @dataclass
@@ -101,10 +105,11 @@ def vote_sets(docs: DataFrame, marks: list[str]) -> DataFrame:
         vote = _voter(marks)
         for batch in batches:
             seen: dict[tuple[int, ...], list[int]] = {}
-            for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist()):
-                own = seen.setdefault(tuple(vote(text)), [0, 0])
-                own[0] += 1
-                own[1] += y
+            for part in byte_slices(batch, "text", SLICE):
+                for text, y in zip(part.column("text").to_pylist(), part.column("y").to_pylist()):
+                    own = seen.setdefault(tuple(vote(text)), [0, 0])
+                    own[0] += 1
+                    own[1] += y
             n, y = zip(*seen.values()) if seen else ((), ())
             yield pa.record_batch([pa.array([list(v) for v in seen], pa.list_(pa.int32())), pa.array(n, pa.int64()), pa.array(y, pa.int64())],
                                   ["votes", "n", "y"])
@@ -113,7 +118,7 @@ def vote_sets(docs: DataFrame, marks: list[str]) -> DataFrame:
     return rows.groupBy("votes").agg(F.sum("n").alias("n"), F.sum("y").alias("y"))
 
 
-@lru_cache(1 << 16)
+@lru_cache(1 << 15)
 def _beginnings(word: str) -> tuple[str, ...]:
     return tuple(word[:n] + "-" for n in range(3, min(8, len(word))))
 
@@ -146,15 +151,23 @@ def mine_marks(rows: DataFrame, toxic_share: float) -> list[str]:
     """Words and word beginnings of high precision that some toxic row of ``rows`` (text, y) names as one of its best two."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         toxic, clean = Counter(), Counter()
+
+        def rows_of() -> Iterator[pa.RecordBatch]:
+            keys = chain(toxic, (x for x in clean if x not in toxic))
+            while own := list(islice(keys, 50_000)):
+                yield pa.record_batch([pa.array(own), pa.array([toxic[x] for x in own], pa.int64()),
+                                       pa.array([clean[x] for x in own], pa.int64())], ["feature", "toxic", "clean"])
+
         for batch in batches:
-            for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist()):
-                (toxic if y else clean).update(_features(text))
+            for part in byte_slices(batch, "text", SLICE):
+                for text, y in zip(part.column("text").to_pylist(), part.column("y").to_pylist()):
+                    (toxic if y else clean).update(_features(text))
+                if len(toxic) + len(clean) > FLUSH_FEATURES:  # the sums are added up in Spark
+                    yield from rows_of()
+                    toxic.clear()
+                    clean.clear()
         _beginnings.cache_clear()
-        keys = list(toxic.keys() | clean.keys())
-        for k in range(0, len(keys), 50_000):
-            own = keys[k:k + 50_000]
-            yield pa.record_batch([pa.array(own), pa.array([toxic[x] for x in own], pa.int64()),
-                                   pa.array([clean[x] for x in own], pa.int64())], ["feature", "toxic", "clean"])
+        yield from rows_of()
 
     counts = rows.mapInArrow(count, "feature string, toxic long, clean long").groupBy("feature").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
@@ -181,12 +194,12 @@ def mine_marks(rows: DataFrame, toxic_share: float) -> list[str]:
         value, named = shared.value, set()
         rank = lambda f: (value[f], "%" not in f, "-" not in f, len(f), f)
         base = lambda f: f.rstrip("%").rstrip("-")
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                own = sorted((f for f in _features(text) if f in value), key=rank, reverse=True)
-                # so that one voter's miss does not decide, the best one that is no part of the first, too
-                named.update(own[:1])
-                named.update([f for f in own[1:] if not base(f).startswith(base(own[0])) and not base(own[0]).startswith(base(f))][:1])
+        texts = (t for batch in batches for part in byte_slices(batch, "text", SLICE) for t in part.column("text").to_pylist())
+        for text in texts:
+            own = sorted((f for f in _features(text) if f in value), key=rank, reverse=True)
+            # so that one voter's miss does not decide, the best one that is no part of the first, too
+            named.update(own[:1])
+            named.update([f for f in own[1:] if not base(f).startswith(base(own[0])) and not base(own[0]).startswith(base(f))][:1])
         _beginnings.cache_clear()  # a worker lives on after its task
         yield pa.record_batch([pa.array(sorted(named), pa.string())], ["feature"])
 
@@ -360,8 +373,9 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "sc
         model = shared.value
         vote = _voter(model.marks) if model.marks else lambda text: []
         for batch in batches:
-            scores = [model.score(vote(t)) for t in batch.column(text_col).to_pylist()]
-            yield pa.record_batch([*batch.columns, pa.array(scores, pa.float64())], [*own, name])
+            for part in byte_slices(batch, text_col, SLICE):
+                scores = [model.score(vote(t)) for t in part.column(text_col).to_pylist()]
+                yield pa.record_batch([*part.columns, pa.array(scores, pa.float64())], [*own, name])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", `{name}` double"
     return docs.mapInArrow(add, schema)
