@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +13,15 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 2 << 20
 
 
+def give_back() -> None:
+    """At the end of a task: hand freed memory back to the system.  A worker lives on after its task, and the next stage's
+    workers and the JVM share the executor's memory with it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.common import byte_slices, fresh_name, utf8_values
+from lakekit.llm.common import byte_slices, fresh_name, give_back, utf8_values
 from lakekit.llm.components import components
 from lakekit.session import cut_lineage
 
@@ -65,6 +65,7 @@ def with_fingerprint(docs: DataFrame, text_col: str, shingle_words: int = 3, nam
             for part in byte_slices(batch, text_col):
                 fps = [fingerprint(x, shingle_words) for x in utf8_values(part.column(text_col))]
                 yield pa.record_batch([*part.columns, pa.array(fps, pa.int64())], [*own, name])
+        give_back()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", `{name}` long"
     return docs.mapInArrow(add, schema)

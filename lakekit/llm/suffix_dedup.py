@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.common import byte_slices, input_partitions, utf8_values
+from lakekit.llm.common import byte_slices, give_back, input_partitions, utf8_values
 from lakekit.session import cut_lineage
 
 LENGTH = 100
@@ -145,8 +145,8 @@ def _repeated_anchors(texts: DataFrame, parts: int, length: int, hot: int = HOT)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: dict[tuple, np.ndarray] = {}  # by text: of the copies in a task the first one stands for all
-        for batch in batches:
-            for i, h, data in zip(batch.column("id").to_pylist(), batch.column("h").to_pylist(), utf8_values(batch.column("text"))):
+        for part in (part for batch in batches for part in byte_slices(batch, "text")):
+            for i, h, data in zip(part.column("id").to_pylist(), part.column("h").to_pylist(), utf8_values(part.column("text"))):
                 if len(data) < length:
                     continue
                 text = (h, len(data), hash(data))
@@ -170,12 +170,16 @@ def _repeated_anchors(texts: DataFrame, parts: int, length: int, hot: int = HOT)
         known = count > 1
         order = np.lexsort((known, bucket))
         cuts = np.flatnonzero(np.diff(bucket[order] * 2 + known[order])) + 1
+        rest = x[again]
+        del x, start, again
         for part in np.split(order, cuts):
             yield block(int(bucket[part[0]]), 1 if known[part[0]] else 0, one[part])
-        rest = x[again]
+        del one, order, bucket, known
         rest = rest[np.argsort(rest["id"], kind="stable")]
         for j, part in enumerate(np.array_split(rest, max(1, len(rest) >> 14))):
             yield block((len(rest) + j * 7919) % parts, 2, part)
+        del rest, part
+        give_back()
 
     def block(bucket: int, sort: int, x: np.ndarray) -> pa.RecordBatch:
         return pa.record_batch([pa.array([bucket]), pa.array([sort], pa.int32()), pa.array([squeeze_rows(x)], pa.binary())], ["b", "kind", "x"])

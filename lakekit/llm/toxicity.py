@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.common import byte_slices
+from lakekit.llm.common import byte_slices, give_back
 from lakekit.session import cut_lineage
 
 PATTERNS = ("two marks", "many marks", "very many marks", "masked word")
@@ -113,6 +113,8 @@ def vote_sets(docs: DataFrame, marks: list[str]) -> DataFrame:
             n, y = zip(*seen.values()) if seen else ((), ())
             yield pa.record_batch([pa.array([list(v) for v in seen], pa.list_(pa.int32())), pa.array(n, pa.int64()), pa.array(y, pa.int64())],
                                   ["votes", "n", "y"])
+        del vote
+        give_back()
 
     rows = docs.select("text", "y").mapInArrow(add, "votes array<int>, n long, y long")
     return rows.groupBy("votes").agg(F.sum("n").alias("n"), F.sum("y").alias("y"))
@@ -168,6 +170,9 @@ def mine_marks(rows: DataFrame, toxic_share: float) -> list[str]:
                     clean.clear()
         _beginnings.cache_clear()
         yield from rows_of()
+        toxic.clear()
+        clean.clear()
+        give_back()
 
     counts = rows.mapInArrow(count, "feature string, toxic long, clean long").groupBy("feature").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
@@ -202,6 +207,7 @@ def mine_marks(rows: DataFrame, toxic_share: float) -> list[str]:
             named.update([f for f in own[1:] if not base(f).startswith(base(own[0])) and not base(own[0]).startswith(base(f))][:1])
         _beginnings.cache_clear()  # a worker lives on after its task
         yield pa.record_batch([pa.array(sorted(named), pa.string())], ["feature"])
+        give_back()
 
     return sorted(r["feature"] for r in rows.filter("y = 1").mapInArrow(name, "feature string").distinct().collect())
 
@@ -376,6 +382,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "sc
             for part in byte_slices(batch, text_col, SLICE):
                 scores = [model.score(vote(t)) for t in part.column(text_col).to_pylist()]
                 yield pa.record_batch([*part.columns, pa.array(scores, pa.float64())], [*own, name])
+        del vote
+        give_back()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", `{name}` double"
     return docs.mapInArrow(add, schema)
