@@ -173,7 +173,7 @@ def weather_documents(t: Tables) -> DataFrame:
     at most 24 entries."""
     h = event_hours(t).withColumn("day", F.to_date("hour_utc"))
     docs = h.groupBy("coordinate_id", "day").agg(F.array_sort(F.collect_list(F.struct(
-        F.date_format("hour_utc", "yyyy-MM-dd'T'HH:mm").alias("time"), "temperature", "precipitation",
+        F.translate(F.substring(F.col("hour_utc").cast("string"), 1, 16), " ", "T").alias("time"), "temperature", "precipitation",
         "weather_code"))).alias("rows"))
     return docs.select(
         "coordinate_id",
