@@ -369,7 +369,7 @@ def repeated_starts(texts: DataFrame, parts: int, length: int = LENGTH, hot: int
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in byte_slices(batch, "text", 32 << 20):
+            for part in byte_slices(batch, "text", 8 << 20):
                 least: dict[tuple, tuple] = {}
                 done = defaultdict(list)
                 earliest: dict[bytes, tuple] = {}  # of strings at frequent anchors
