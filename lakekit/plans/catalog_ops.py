@@ -547,9 +547,15 @@ def c24_dim_date(spark, d):
     return star(spark, d).dim_date()
 
 
-@register("c25_dim_hour", with_star("SELECT * FROM dim_hour"))
+@register("c25_dim_hour", with_star("""
+SELECT h.*, CAST(COUNT(c.trip_hash) AS BIGINT) AS pickups FROM dim_hour h LEFT JOIN clean c ON hour(c.pickup_datetime_local) = h.hour_of_day
+GROUP BY ALL"""))
 def c25_dim_hour(spark, d):
-    return star(spark, d).dim_hour()
+    """The hour dimension with the clean trips that each hour's key resolves."""
+    s = star(spark, d)
+    used = s.clean().groupBy(F.hour("pickup_datetime_local").alias("used_hour")).agg(F.count(F.lit(1)).alias("pickups"))
+    j = s.dim_hour().join(used, F.col("hour_of_day") == F.col("used_hour"), "left").drop("used_hour")
+    return j.withColumn("pickups", F.coalesce("pickups", F.lit(0)).cast("long"))
 
 
 @register("c26_dim_zone", with_star("SELECT * FROM dim_zone"))
