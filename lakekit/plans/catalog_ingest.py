@@ -485,3 +485,79 @@ def c21_guards(spark, d):
     stops("dates missing", with_table("dim_date", lambda x: x.limit(1), lambda s: s.materialise()))
     stops("classifications missing", with_table("dim_wc", lambda x: x.limit(0), lambda s: s.weather_fact()))
     return spark.createDataFrame(out, "guard string, stopped boolean")
+
+
+# --- trips from landed files: provenance on the fact (I2, C30, C31, C51, C55) -----------------------------------
+
+# the month whose file brings a trip: its drop-off's (see TripLandingRun.deliver)
+TRIP_MONTH = "COALESCE(strftime({}.dropoff_datetime_local, '%Y-%m'), '2024-03')"
+IN_FILE = "'trips_' || " + TRIP_MONTH + " || '.parquet'"
+
+
+def landed_star(spark, d):
+    run = landing.TripLandingRun(spark, d)
+    run.deliver()
+    run.load()
+    return run, StarBuild(spark, d, landed=run)
+
+
+@register("c30_trip_fact_provenance", oracle.with_star(f"""
+SELECT f.trip_key, {IN_FILE.format('f')} AS source_file, {TRIP_MONTH.format('f')} AS batch_period, 'SUCCESS' AS batch_status,
+       CAST(1 AS BIGINT) AS control_row_count, true AS version_names_content,
+       COALESCE(strftime(f.pickup_datetime_local, '%Y-%m') <> {TRIP_MONTH.format('f')}, false) AS out_of_source_file_month_flag,
+       f.pickup_in_reporting_window_flag
+FROM fact f"""))
+def c30_provenance(spark, d):
+    """The trip fact over landed files, each trip traced to the batch that brought it and that batch's file version."""
+    run, s = landed_star(spark, d)
+    batches = run.batch_state().select("batch_id", F.col("source_period").alias("batch_period"), F.col("status").alias("batch_status"),
+                                       F.col("content_sha256").alias("batch_content"))
+    fact = s.materialise().trip_fact().join(batches, "batch_id", "left")
+    named = F.col("source_file_version") == F.concat(F.lit("trips_"), F.substring("batch_content", 1, 12))
+    return fact.select("trip_key", "source_file", "batch_period", "batch_status", "control_row_count",
+                       F.coalesce(named, F.lit(False)).alias("version_names_content"),
+                       "out_of_source_file_month_flag", "pickup_in_reporting_window_flag")
+
+
+@register("i2_late_trips_per_file", oracle.with_star(f"""
+SELECT {IN_FILE.format('t')} AS source_file, CAST(COUNT(*) AS BIGINT) AS landed_rows,
+       CAST(COUNT_IF(collision_count = 1) AS BIGINT) AS published_trips,
+       CAST(COUNT_IF(collision_count > 1) AS BIGINT) AS quarantined_trips,
+       CAST(COUNT_IF(collision_count = 1 AND strftime(t.pickup_datetime_local, '%Y-%m') <> {TRIP_MONTH.format('t')}) AS BIGINT) AS late_trips
+FROM decided t GROUP BY 1"""))
+def i2_late(spark, d):
+    """Rows that each file landed, and what became of them: late trips are kept and flagged, ambiguous ones quarantined."""
+    _, s = landed_star(spark, d)
+    count = F.count(F.lit(1)).cast("long")
+    landed = s.raw_trips().groupBy("source_file").agg(count.alias("landed_rows"))
+    held = s.quarantine().groupBy("source_file").agg(count.alias("quarantined_trips"))
+    out = s.trip_fact().groupBy("source_file").agg(count.alias("published_trips"),
+                                                   F.count_if("out_of_source_file_month_flag").cast("long").alias("late_trips"))
+    return landed.join(out, "source_file", "left").join(held, "source_file", "left").na.fill(0)
+
+
+@register("c51_landed_files_reconciliation", oracle.with_star(f""",
+files AS (SELECT {TRIP_MONTH.format('r')} AS period, COUNT(*) AS n,
+                 SUM(CAST(fare_amount_raw AS DECIMAL(18,2))) AS fare FROM raw_trips r GROUP BY 1)
+SELECT scenario, period, CAST(n AS BIGINT) AS source_rows, CAST(CASE WHEN kept THEN n END AS BIGINT) AS landed_rows,
+       CAST(fare AS DECIMAL(38,2)) AS source_fare, CAST(CASE WHEN kept THEN fare END AS DECIMAL(38,2)) AS landed_fare, kept AS reconciled
+FROM (SELECT s.scenario, f.*, s.scenario = 'loaded' OR f.period <> (SELECT MAX(period) FROM files) AS kept
+      FROM files f CROSS JOIN (VALUES ('loaded'), ('last month lost')) s(scenario))"""))
+def c51_landed_files(spark, d):
+    """The delivered files, read again, against the Bronze rows of each file: after the load, and after Bronze lost a file's rows."""
+    run = landing.TripLandingRun(spark, d)
+    run.deliver()
+    run.load()
+    source = per_file_totals(scan_parquet_folder(spark, run.landing, run.schema), "fare_amount_raw").select(
+        _period().alias("period"), F.col("rows").alias("source_rows"), F.col("fare_amount_raw_total").alias("source_fare"))
+    landed = run.store.read_partitioned(run.target)
+    per_file = per_file_totals(landed, "fare_amount_raw").select(
+        _period().alias("period"), F.col("rows").alias("landed_rows"), F.col("fare_amount_raw_total").alias("landed_fare"))
+    last = source.agg(F.max("period").alias("last"))
+    lost = per_file.join(last, F.col("period") == F.col("last"), "left_anti")
+    out = [source.join(side, "period", "full_outer").withColumn("scenario", F.lit(name))
+           for name, side in (("loaded", per_file), ("last month lost", lost))]
+    return out[0].unionByName(out[1]).select(
+        "scenario", "period", "source_rows", "landed_rows", "source_fare", "landed_fare",
+        (F.col("source_rows").eqNullSafe(F.col("landed_rows"))
+         & F.col("source_fare").eqNullSafe(F.col("landed_fare"))).alias("reconciled"))

@@ -133,10 +133,8 @@ def c31_versions(spark, d):
     run = landing.LandingRun(spark, d)
     run.deliver()
     run.load()
-    ev = run.store.read_log("ingestion_batches", control.BATCH_EVENT_SCHEMA).filter(F.col("status") == "SUCCESS")
-    g = ev.groupBy("batch_id").agg(F.max("source_version_id").alias("source_file_version"),
-                                   F.count(F.lit(1)).cast("long").alias("control_row_count"),
-                                   F.max("source_period").alias("source_period"))
+    ev = run.store.read_log("ingestion_batches", control.BATCH_EVENT_SCHEMA)
+    g = control.batch_versions(ev).join(run.batch_state().select("batch_id", "source_period"), "batch_id")
     return g.select("source_period", "control_row_count",
                     F.coalesce(F.col("source_file_version").startswith("lineitem_"), F.lit(False))
                     .alias("version_resolves"))

@@ -16,7 +16,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 
 from lakekit.functions.digest import version_id
 from lakekit.operators import ingest
-from lakekit.plans.tables import Tables
+from lakekit.plans.tables import Tables, raw_trips
 from lakekit.session import cut_lineage, scratch_path
 from lakekit.sources import control
 from lakekit.operators import profile
@@ -33,14 +33,27 @@ LINE_SCHEMA = StructType([StructField(n, t) for n, t in zip(
 REPORT_SCHEMA = "batch_id string, source_rows long, landed_rows long, mismatch boolean"
 
 
+# trip rows as a monthly delivery declares them (the Bronze columns but for what landing adds)
+TRIP_SCHEMA = StructType([StructField(n, t) for n, t in {
+    "l_orderkey": LongType(), "l_linenumber": IntegerType(), "vendor_id_raw": IntegerType(),
+    "pickup_datetime_raw": TimestampNTZType(), "dropoff_datetime_raw": TimestampNTZType(),
+    "pickup_location_raw": IntegerType(), "dropoff_location_raw": IntegerType(), "passenger_count_raw": LongType(),
+    "trip_distance_raw": DoubleType(), "fare_amount_raw": DoubleType(), "total_amount_raw": DoubleType()}.items()])
+
+
 class LandingRun:
     """One landing folder + control log + target, under a fresh run folder."""
 
+    object_name = "lineitem"
+    source_system = SOURCE_SYSTEM
+    target = "bronze_lineitem"
+    schema = LINE_SCHEMA
+
     def __init__(self, spark: SparkSession, sf_dir: str, root: str | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.root = root or scratch_path(spark, f"landing-{uuid.uuid4().hex}")
-        self.landing = f"{self.root}/landing/lineitem"
+        self.landing = f"{self.root}/landing/{self.object_name}"
         self.store = SnapshotStore(spark, f"{self.root}/tables")
 
     def deliver(self) -> None:
@@ -59,21 +72,21 @@ class LandingRun:
 
     def unseen(self) -> DataFrame:
         """Listed files that the ledger does not know or whose content is not held; the listing opens no file."""
-        held = self.batch_state().filter((F.col("status") == "SUCCESS") & (F.col("source_system") == SOURCE_SYSTEM)) \
+        held = self.batch_state().filter((F.col("status") == "SUCCESS") & (F.col("source_system") == self.source_system)) \
             .select("content_sha256").join(self.target_contents(), "content_sha256", "left_semi")
         ledger = self.store.read_log("file_ledger", ingest.LEDGER_SCHEMA)
         return ingest.unseen_files(files.list_files(self.spark, self.landing), ledger, held)
 
     def scan(self, paths: list[str]) -> DataFrame:
         """Rows of these files under the declared schema."""
-        return files.read_parquet_files(self.spark, paths, LINE_SCHEMA)
+        return files.read_parquet_files(self.spark, paths, self.schema)
 
     def batch_state(self) -> DataFrame:
         ev = self.store.read_log("ingestion_batches", control.BATCH_EVENT_SCHEMA)
         return control.latest_state(ev)
 
     def target_contents(self) -> DataFrame:
-        held = self.store.partition_values("bronze_lineitem", "content_sha256")
+        held = self.store.partition_values(self.target, "content_sha256")
         return self.spark.createDataFrame([(c,) for c in held], "content_sha256 string")
 
     def drop_unheld(self) -> None:
@@ -82,19 +95,19 @@ class LandingRun:
         The driver sees the names of the folders to delete, as the file system does."""
         live = self.batch_state().filter("status = 'SUCCESS'").select("content_sha256")
         unheld = self.target_contents().join(live, "content_sha256", "left_anti")
-        self.store.drop_partitions("bronze_lineitem", "content_sha256", [r["content_sha256"] for r in unheld.collect()])
+        self.store.drop_partitions(self.target, "content_sha256", [r["content_sha256"] for r in unheld.collect()])
 
     def described(self, listed: DataFrame) -> DataFrame:
         """Listed files with their period, object name and source, as a batch names them."""
         return (listed.withColumn("source_period", F.regexp_extract("raw_uri", PERIOD_PATTERN, 1))
-                .withColumn("source_object", F.concat(F.lit("lineitem_"), F.col("source_period"), F.lit(".parquet")))
-                .withColumn("source_system", F.lit(SOURCE_SYSTEM)))
+                .withColumn("source_object", F.concat(F.lit(f"{self.object_name}_"), F.col("source_period"), F.lit(".parquet")))
+                .withColumn("source_system", F.lit(self.source_system)))
 
     def fingerprinted(self, listed: DataFrame, rows: DataFrame) -> DataFrame:
         """Content hash, row count, version and a fresh batch id of files that were opened."""
-        contents = ingest.file_fingerprints(rows, LINE_COLS, "raw_uri").drop("source_period")
+        contents = ingest.file_fingerprints(rows, self.schema.names, "raw_uri").drop("source_period")
         return (self.described(listed).join(contents, "raw_uri")
-                .withColumn("source_version_id", version_id("lineitem_", "content_sha256"))
+                .withColumn("source_version_id", version_id(f"{self.object_name}_", "content_sha256"))
                 .withColumn("batch_id", control.batch_id_for("source_system", "content_sha256")))
 
     def load(self) -> DataFrame:
@@ -110,12 +123,12 @@ class LandingRun:
         """
         unseen = cut_lineage(self.unseen(), "unseen_files")
         footers = cut_lineage(files.parquet_footers(unseen), "footers")
-        off = profile.files_off_schema(footers, LINE_SCHEMA)
+        off = profile.files_off_schema(footers, self.schema)
         listed = cut_lineage(unseen.join(files.file_schema_fingerprints(footers), "raw_uri").join(off, "raw_uri", "left"), "listed")
         rejected = cut_lineage(self.described(listed.filter("columns_missing IS NOT NULL")).withColumn(
             "batch_id", F.concat(F.lit("batch_rejected_"), F.expr("uuid()"))), "rejected")
         for status in ("DISCOVERED", "FAILED"):
-            self.store.append("ingestion_batches", control.batch_events(rejected, status, target_table="bronze_lineitem"))
+            self.store.append("ingestion_batches", control.batch_events(rejected, status, target_table=self.target))
         listed = listed.filter("columns_missing IS NULL").drop("columns_missing", "columns_retyped")
         self.opened = [r["raw_uri"] for r in listed.select("raw_uri").collect()]  # names only; Spark's file index holds them too
         if not self.opened:
@@ -123,32 +136,64 @@ class LandingRun:
         rows = self.scan(self.opened)
         # the new-file list is materialised once per run: it must not be re-derived after the run's own events
         contents = cut_lineage(self.fingerprinted(listed, rows), "contents")
-        fresh = ingest.discover_new(contents, self.batch_state(), self.target_contents(), SOURCE_SYSTEM)
+        fresh = ingest.discover_new(contents, self.batch_state(), self.target_contents(), self.source_system)
         found = cut_lineage(ingest.one_file_per_content(fresh, "raw_uri"), "new_files")
         new = found.filter("not duplicate_content")
         self.store.append("duplicate_deliveries", found.filter("duplicate_content").select(
             "source_object", "raw_uri", "content_sha256", "row_count", "duplicate_of"))
         replaced = cut_lineage(control.supersede(self.batch_state(), new), "superseded")
         for status in ("DISCOVERED", "STARTED"):
-            self.store.append("ingestion_batches", control.batch_events(new, status, target_table="bronze_lineitem"))
+            self.store.append("ingestion_batches", control.batch_events(new, status, target_table=self.target))
         try:
             landed = ingest.land(rows, new, "raw_uri")
-            self.store.overwrite_partitions("bronze_lineitem", landed, ["content_sha256"])
-            own = self.store.read_partitioned("bronze_lineitem", landed.schema).join(
+            self.store.overwrite_partitions(self.target, landed, ["content_sha256"])
+            own = self.store.read_partitioned(self.target, landed.schema).join(
                 new.select("content_sha256", "batch_id"), ["content_sha256", "batch_id"], "left_semi")
             report = cut_lineage(ingest.reconcile(new, ingest.landed_counts(own)), "reconcile_report")
             ingest.reconcile_guard(report)
         except Exception:
-            self.store.append("ingestion_batches", control.batch_events(new, "FAILED", target_table="bronze_lineitem"))
+            self.store.append("ingestion_batches", control.batch_events(new, "FAILED", target_table=self.target))
             raise
         counts = report.select("batch_id", F.col("landed_rows").alias("row_count"))
-        closed = control.close_with_counts(new.withColumn("target_table", F.lit("bronze_lineitem")), counts)
+        closed = control.close_with_counts(new.withColumn("target_table", F.lit(self.target)), counts)
         self.store.append("ingestion_batches", closed.unionByName(replaced))
         self.store.append("file_ledger", contents.select("raw_uri", "file_size", "file_modified_time", "content_sha256"))
         self.drop_unheld()
         return report
 
 
+class TripLandingRun(LandingRun):
+    """The landing protocol over monthly trip files, whose Bronze table the star can be built from."""
+
+    object_name = "trips"
+    source_system = "trip_files"
+    target = "bronze_trips"
+    schema = TRIP_SCHEMA
+
+    def deliver(self) -> None:
+        """Write the trips (``tables.raw_trips``) as one file per month of the drop-off, so a trip over a month's end comes late
+        for its pickup; trips without times come with March."""
+        month = F.coalesce(F.date_format("dropoff_datetime_raw", "yyyy-MM"), F.lit("2024-03"))
+        (raw_trips(Tables(self.spark, self.sf_dir)).select(*self.schema.names, month.alias("period"))
+         .repartition("period").write.partitionBy("period").parquet(self.landing))
+
+    def redeliver(self, period: str, keep) -> None:
+        """Deliver a revised version of one month's file, read from the folder: its rows matching ``keep``."""
+        rows = cut_lineage(self.spark.read.schema(self.schema).parquet(f"{self.landing}/period={period}").filter(keep), "revised")
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.landing}/period={period}")
+
+    def landed_trips(self) -> DataFrame:
+        """Bronze trip rows of live batches, with the object, batch and content they came from."""
+        rows = self.store.read_partitioned(self.target, StructType(
+            [*self.schema.fields, *[StructField(c, StringType()) for c in ("raw_uri", "batch_id", "content_sha256")]]))
+        file = F.concat(F.lit(f"{self.object_name}_"), F.regexp_extract("raw_uri", PERIOD_PATTERN, 1), F.lit(".parquet"))
+        return rows.select(*self.schema.names, F.lit(self.source_system).alias("source_system"), file.alias("source_file"),
+                           "batch_id", "content_sha256")
+
+    def batch_versions(self) -> DataFrame:
+        return control.batch_versions(self.store.read_log("ingestion_batches", control.BATCH_EVENT_SCHEMA))
+
+
 def first_load_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest batch state after delivering and loading every monthly file once."""
     run = LandingRun(spark, sf_dir)

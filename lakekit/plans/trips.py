@@ -18,11 +18,15 @@ from lakekit.functions.timeops import local_to_utc, seconds_between, utc_to_loca
 from lakekit.operators import dedup, guards, resolve, star
 from lakekit.operators.series import explode_parallel_arrays
 from lakekit.operators.sizing import broadcast_if_small
+from lakekit.plans.landing import TripLandingRun
 from lakekit.plans.tables import (LOCAL_TZ, REPORTING_WINDOW, SENTINEL_IDS, ZONE_RULE, Tables, raw_trips, raw_zones,
                                   weather_documents)
 
 TRIP_IDENTITY = ["l_orderkey", "l_linenumber"]
 
+# what a trip landed from files also carries
+LINEAGE = ["batch_id", "content_sha256"]
+
 # declared columns of the two key maps; a rebuild keeps them whatever the inputs' types
 ZONE_MAP_SCHEMA = {"trip_hash": "string", "pickup_location_id": "int", "dropoff_location_id": "int",
                    "pickup_zone_match_status": "string", "dropoff_zone_match_status": "string"}
@@ -50,7 +54,7 @@ def silver_typed_trips(raw: DataFrame) -> DataFrame:
         F.col("trip_distance_raw").cast("decimal(18,3)").alias("trip_distance_miles"),
         F.col("fare_amount_raw").cast("decimal(18,2)").alias("fare_amount_usd"),
         F.col("total_amount_raw").cast("decimal(18,2)").alias("total_amount_usd"),
-        "source_system", "source_file",
+        "source_system", "source_file", *[c for c in LINEAGE if c in raw.columns],
     )
 
 
@@ -134,10 +138,13 @@ def trip_weather_map(clean: DataFrame, weather: DataFrame, tz: str = LOCAL_TZ) -
 
 def trip_fact(clean: DataFrame, zones: DataFrame, weather: DataFrame, zone_dim: DataFrame,
               weather_fact: DataFrame, dates: DataFrame, hours: DataFrame, tz: str = LOCAL_TZ,
-              window: tuple[str, str] | None = None) -> DataFrame:
+              window: tuple[str, str] | None = None, versions: DataFrame | None = None) -> DataFrame:
     """Trip fact: zone and weather resolution, role-playing zone keys, the pickup hour's weather class,
     date/hour keys, 9 flags, ``trip_count = 1``.
 
+    With ``versions`` (``control.batch_versions``) trips landed from files also carry their batch, its file version and how
+    often the log closed it; a batch that the log does not know leaves the version null.
+
     The resolution is computed inline with the same operators that build the narrow key maps: every lookup side
     (zones, the per-hour series profile, the weather classes, dates, hours) is bounded by a dimension or a time
     span and is broadcast, so the trip rows are never shuffled here — no trip-sized join on the trip hash.
@@ -154,6 +161,10 @@ def trip_fact(clean: DataFrame, zones: DataFrame, weather: DataFrame, zone_dim:
     base = star.zone_keys(base, {"pickup": "pickup_location_id", "dropoff": "dropoff_location_id"}, zone_dim)
     base = star.date_hour_keys(base, {"pickup": "pickup_datetime_local", "dropoff": "dropoff_datetime_local"},
                                dates, hours)
+    lineage = []
+    if versions is not None:
+        base = base.join(broadcast_if_small(versions, 1_000_000), "batch_id", "left")  # one row per file
+        lineage = ["batch_id", "source_file_version", "control_row_count"]
     period = F.nullif(F.regexp_extract("source_file", r"(\d{4}-\d{2})", 1), F.lit(""))
     lo, hi = window or ("1900-01-01 00:00:00", "9999-01-01 00:00:00")
     return base.select(
@@ -181,7 +192,7 @@ def trip_fact(clean: DataFrame, zones: DataFrame, weather: DataFrame, zone_dim:
         two_valued(F.col("passenger_count") > 8).alias("passenger_count_over_8_flag"),
         "pickup_zone_match_status", "dropoff_zone_match_status",
         F.col("pickup_weather_match_status").alias("weather_match_status"),
-        "source_system", "source_file",
+        "source_system", "source_file", *lineage,
     )
 
 
@@ -203,6 +214,7 @@ class StarBuild:
     cache: dict = field(default_factory=dict)
     max_quarantine_pct: float = 100.0
     measured: dict = field(default_factory=dict)
+    landed: TripLandingRun | None = None  # trips from the Bronze table that this run landed, with their provenance
 
     def __post_init__(self):
         self.t = Tables(self.spark, self.sf_dir)
@@ -225,6 +237,8 @@ class StarBuild:
 
     # Bronze: the landed trip rows are a persisted table, as in the reference
     def raw_trips(self):
+        if self.landed:
+            return self._get("raw_trips", self.landed.landed_trips)
         return self._table("raw_trips", lambda: raw_trips(self.t))
 
     def raw_zones(self):
@@ -294,7 +308,10 @@ class StarBuild:
     def trip_fact(self):
         return self._get("trip_fact", lambda: trip_fact(self.clean(), self.zones(), self.weather(),
                                                         self.dim_zone(), self.weather_fact(), self.dim_date(),
-                                                        self.dim_hour(), self.tz, REPORTING_WINDOW))
+                                                        self.dim_hour(), self.tz, REPORTING_WINDOW, self.batch_versions()))
+
+    def batch_versions(self):
+        return self._get("batch_versions", lambda: self.landed.batch_versions() if self.landed else None)
 
     # Published analytical results (tables, as in the reference; the analytics gate reads these)
     def q1_result(self):
@@ -327,7 +344,8 @@ class StarBuild:
         def broken(v):
             clean = self.measured["decided"]["rows"] - self.measured["decided"]["quarantined"]
             faults = guards.none_of(no_date="trips without date keys", no_hour="trips without hour keys",
-                                    no_class="matched trips without a weather classification")(v)
+                                    no_class="matched trips without a weather classification",
+                                    **({"no_version": "trips whose batch has not exactly one version"} if self.landed else {}))(v)
             return faults + ([f"{v['rows']} fact rows for {clean} clean trips"] if v["rows"] != clean else [])
 
         def unresolved(key):  # a time that is there has its keys; trips without a time are kept without
@@ -335,9 +353,11 @@ class StarBuild:
                               | (F.col("dropoff_datetime_local").isNotNull() & F.col(f"dropoff_{key}_key").isNull()))
 
         fact = self.trip_fact()
+        lineage = {"no_version": F.count_if(F.col("source_file_version").isNull() | ~F.col("control_row_count").eqNullSafe(1)),
+                   "late": F.count_if("out_of_source_file_month_flag")} if self.landed else {}
         self.cache["trip_fact"], self.measured["trip_fact"] = guards.write_guarded(fact, "trip_fact", {
             "rows": F.count(F.lit(1)),
             "no_date": unresolved("date"), "no_hour": unresolved("hour"),
             "no_class": F.count_if((F.col("weather_match_status") == resolve.MATCHED_UNIQUE)
-                                   & F.col("pickup_weather_classification_key").isNull())}, broken)
+                                   & F.col("pickup_weather_classification_key").isNull()), **lineage}, broken)
         return self

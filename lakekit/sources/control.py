@@ -78,6 +78,13 @@ def batch_lifecycle(events: DataFrame, key: str = "batch_id", ts: str = "event_a
         F.max(F.when(F.col("status").isin("SUCCESS", "FAILED"), F.col(ts))).alias("completed_at"))
 
 
+def batch_versions(events: DataFrame) -> DataFrame:
+    """Per loaded batch its file version and how often the log closed it, ``(batch_id, source_file_version,
+    control_row_count)``; a batch whose version the log does not know has none."""
+    return events.filter("status = 'SUCCESS'").groupBy("batch_id").agg(
+        F.max("source_version_id").alias("source_file_version"), F.count(F.lit(1)).cast("long").alias("control_row_count"))
+
+
 def close_with_counts(started: DataFrame, landed_counts: DataFrame, key: str = "batch_id") -> DataFrame:
     """SUCCESS events for started batches, carrying the landed row count (aggregate merged back per batch)."""
     j = started.drop("row_count").join(landed_counts, key, "left")

@@ -138,3 +138,44 @@ def test_played_star_fills_every_class(spark):
     strict = StarBuild(spark, SF_SMALL, max_quarantine_pct=1.0)
     with pytest.raises(GuardError, match="quarantine rate"):
         strict.clean()
+
+
+def test_fact_carries_the_provenance_of_landed_trips(spark):
+    run = landing.TripLandingRun(spark, SF_SMALL)
+    run.deliver()
+    assert run.load().filter("mismatch").count() == 0
+    s = StarBuild(spark, SF_SMALL, landed=run).materialise()
+    plain = StarBuild(spark, SF_SMALL)
+    fact = s.trip_fact()
+    own = [c for c in plain.trip_fact().columns if c not in ("source_system", "source_file", "out_of_source_file_month_flag")]
+    assert fact.select(*own).exceptAll(plain.trip_fact().select(*own)).count() == 0 and fact.count() == plain.trip_fact().count()
+    assert s.measured["trip_fact"]["late"] > 0 and s.measured["trip_fact"]["no_version"] == 0
+    late = fact.filter("out_of_source_file_month_flag")
+    assert late.count() == s.measured["trip_fact"]["late"]
+    assert late.filter(F.concat(F.lit("trips_"), F.date_format("pickup_datetime_local", "yyyy-MM"), F.lit(".parquet")) == F.col("source_file")).count() == 0
+    versions = {(r["batch_id"], r["source_file_version"]) for r in fact.select("batch_id", "source_file_version").distinct().collect()}
+    assert versions == {(r["batch_id"], r["source_version_id"]) for r in run.batch_state().collect()}
+
+    # a batch that the log does not hold, and one that it closed twice, stop publication
+    for change in (lambda v: v.limit(1), lambda v: v.withColumn("control_row_count", F.lit(2))):
+        broken = StarBuild(spark, SF_SMALL, landed=run)
+        broken.cache |= {k: s.cache[k] for k in s.cache if k not in ("trip_fact", "batch_versions")}
+        broken.measured |= s.measured
+        broken.cache["batch_versions"] = change(run.batch_versions())
+        with pytest.raises(GuardError, match="exactly one version"):
+            broken.materialise()
+
+    # a revised month replaces its trips in the fact, under a new batch and version
+    run.redeliver("2024-11", F.col("fare_amount_raw") >= 0)
+    assert run.load().count() == 1
+    again = StarBuild(spark, SF_SMALL, landed=run).materialise().trip_fact()
+    november = again.filter("source_file = 'trips_2024-11.parquet'")
+    assert november.filter("fare_amount_usd < 0").count() == 0 and november.count() > 0
+    assert fact.filter("source_file = 'trips_2024-11.parquet' AND fare_amount_usd < 0").count() > 0
+    new = {r[0] for r in november.select("source_file_version").distinct().collect()}
+    assert len(new) == 1 and not new & {v for _, v in versions}
+    # the other months keep their trips and batches; what joins them was ambiguous with a withdrawn November row
+    before, after = (f.filter("source_file <> 'trips_2024-11.parquet'").select("trip_key", "batch_id") for f in (fact, again))
+    assert before.exceptAll(after).count() == 0
+    joined = after.exceptAll(before)
+    assert joined.join(s.quarantine(), joined["trip_key"] == s.quarantine()["trip_hash"], "left_anti").count() == 0
