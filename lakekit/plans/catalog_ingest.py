@@ -17,6 +17,7 @@ from lakekit.operators.resolve import GuardError
 from lakekit.operators.responses import land_responses
 from lakekit.plans import checks, landing, oracle
 from lakekit.plans.catalog import register, star
+from lakekit.plans.job import Job, run_summary
 from lakekit.plans.catalog_ops import TYPE_MAP_SQL, TABLE_LIST_SQL
 from lakekit.plans.tables import TABLES, Tables
 from lakekit.sources import control
@@ -561,3 +562,25 @@ def c51_landed_files(spark, d):
         "scenario", "period", "source_rows", "landed_rows", "source_fare", "landed_fare",
         (F.col("source_rows").eqNullSafe(F.col("landed_rows"))
          & F.col("source_fare").eqNullSafe(F.col("landed_fare"))).alias("reconciled"))
+
+
+@register("c41_run_log_states", """
+WITH r AS (SELECT COUNT(*) AS n FROM (SELECT 1 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+                                      GROUP BY l.l_orderkey, l.l_linenumber HAVING COUNT(*) > 1))
+SELECT step, CASE WHEN step = 'silver_without_collisions' AND n > 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+       CAST(2 AS BIGINT) AS events, true AS timed
+FROM r CROSS JOIN (VALUES ('bronze_trips'), ('silver_trips'), ('silver_without_collisions')) s(step)""")
+def c41_run_log(spark, d):
+    """The stored run log of three steps over the trips, the last of which stops if any trip is ambiguous."""
+    job = Job(spark, d, landing=False)
+    job._step("bronze_trips", job.s.raw_trips)
+    job._step("silver_trips", job.s.decided)
+    strict = StarBuild(spark, d, max_quarantine_pct=0.0, cache={"raw_trips": job.s.raw_trips()})
+    try:
+        job._step("silver_without_collisions", strict.decided)
+    except GuardError:
+        pass  # the log holds it
+    job.store.append("pipeline_runs", job.run_log())
+    log = job.store.read_log("pipeline_runs")
+    n = log.groupBy("run_id", "step").agg(F.count(F.lit(1)).cast("long").alias("events"))
+    return run_summary(log).join(n, ["run_id", "step"]).select("step", "status", "events", (F.col("seconds") >= 0).alias("timed"))

@@ -26,6 +26,23 @@ def _run(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+RUN_EVENT_SCHEMA = "run_id string, step string, status string, epoch double"
+
+
+def run_summary(log: DataFrame) -> DataFrame:
+    """One row per run and step of the run log: ``(run_id, step, status, started_at, ended_at, seconds)``.
+
+    The status is the last event's, an end before a start of the same moment; a step without an end is STARTED, with no
+    ``ended_at``.  A grouped aggregate; an empty log has no rows.
+    """
+    last = F.struct("event_at", F.col("status") != "STARTED")
+    ended = F.max(F.when(F.col("status") != "STARTED", F.col("event_at")))
+    g = log.groupBy("run_id", "step").agg(F.max_by("status", last).alias("status"),
+                                          F.min(F.when(F.col("status") == "STARTED", F.col("event_at"))).alias("started_at"),
+                                          ended.alias("ended_at"))
+    return g.withColumn("seconds", F.col("ended_at").cast("double") - F.col("started_at").cast("double"))
+
+
 class Job:
     def __init__(self, spark: SparkSession, sf_dir: str, workers: int = 4, enforce_gates: bool = True,
                  root: str | None = None, landing: bool = True):
@@ -86,6 +103,22 @@ class Job:
         self._parallel({f"gate_{n}": (lambda n=n: one(n)) for n in names})
 
     def run(self) -> "Job":
+        """Every step in order; the run log and the gates' results are stored however the run ends."""
+        self._event("job", "STARTED")
+        try:
+            self._all_steps()
+        except Exception:
+            self._event("job", "FAILED")
+            raise
+        else:
+            self._event("job", "SUCCESS")
+        finally:
+            self.store.append("pipeline_runs", self.run_log())
+            if self.results:
+                self.store.append("data_quality_results", dq.with_run(self.gate_results(), self.run_id))
+        return self
+
+    def _all_steps(self) -> None:
         branch = None
         if self.landing is not None:
             t0 = time.perf_counter()
@@ -105,9 +138,6 @@ class Job:
         finally:
             branch_pool.shutdown(wait=True)  # a blocked gate still waits for the branch's running jobs
         self.total = round(time.perf_counter() - t_all, 3)
-        self.store.append("pipeline_runs", self.run_log())
-        self.store.append("data_quality_results", dq.with_run(self.gate_results(), self.run_id))
-        return self
 
     def _layers(self) -> None:
         s = self.s
@@ -133,8 +163,8 @@ class Job:
         self._gates(["analytics"])
 
     def run_log(self) -> DataFrame:
-        return self.spark.createDataFrame(self.events, "run_id string, step string, status string, epoch double") \
-            .withColumn("event_at", F.timestamp_seconds("epoch")).drop("epoch")
+        return self.spark.createDataFrame(self.events, RUN_EVENT_SCHEMA).withColumn(
+            "event_at", F.timestamp_seconds("epoch")).drop("epoch")
 
     def gate_results(self) -> DataFrame:
         return dq.union_results(*self.results)

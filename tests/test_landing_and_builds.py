@@ -6,10 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakekit.functions.digest import row_digest
-from lakekit.operators import fingerprint, merge, metrics, profile, series
+from lakekit.operators import dq, fingerprint, merge, metrics, profile, series
 from lakekit.operators.guards import write_guarded
 from lakekit.operators.resolve import GuardError, resolve_roles
 from lakekit.plans import landing
+from lakekit.plans.job import Job, run_summary
 from lakekit.plans.tables import Tables
 from lakekit.plans.trips import StarBuild, WEATHER_MAP_SCHEMA, ZONE_MAP_SCHEMA
 from lakekit.session import scratch_path
@@ -179,3 +180,20 @@ def test_fact_carries_the_provenance_of_landed_trips(spark):
     assert before.exceptAll(after).count() == 0
     joined = after.exceptAll(before)
     assert joined.join(s.quarantine(), joined["trip_key"] == s.quarantine()["trip_hash"], "left_anti").count() == 0
+
+
+def test_a_blocked_run_keeps_its_log_and_gate_results(spark):
+    job = Job(spark, SF_SMALL, landing=False)
+    with pytest.raises(dq.GateBlocked):
+        job.run()
+    log = job.store.read_log("pipeline_runs")
+    state = {r["step"]: r for r in run_summary(log).collect()}
+    assert state["job"]["status"] == "FAILED" and state["bronze_trips"]["status"] == "SUCCESS"
+    assert any(k.startswith("gate_bronze") and r["status"] == "FAILED" for k, r in state.items())
+    assert not any(k.startswith("silver") for k in state) and all(r["seconds"] >= 0 for r in state.values())
+    results = job.store.read_log("data_quality_results")
+    assert results.filter("status = 'FAIL'").count() > 0
+    assert {r[0] for r in results.select("run_id").distinct().collect()} == {job.run_id}
+    assert run_summary(log.limit(0)).count() == 0
+    open_step = run_summary(log.filter("status = 'STARTED'")).first()
+    assert open_step["status"] == "STARTED" and open_step["ended_at"] is None
