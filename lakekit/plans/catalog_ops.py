@@ -442,6 +442,35 @@ def o5_sample(spark, d):
     return g.orderBy(F.col("n").desc(), "l_orderkey", "l_linenumber").limit(10)
 
 
+@register("o4_top10_dropoff_zones", with_star("""
+SELECT z.zone_name, z.borough, CAST(COUNT(*) AS BIGINT) AS trips
+FROM fact f JOIN dim_zone z ON f.dropoff_zone_key = z.zone_key
+GROUP BY z.zone_name, z.borough ORDER BY trips DESC, z.zone_name, z.borough LIMIT 10"""))
+def o4_top_dropoff(spark, d):
+    s = star(spark, d)
+    arrivals = s.trip_fact().groupBy("dropoff_zone_key").agg(F.count(F.lit(1)).cast("long").alias("n"))
+    zones = s.dim_zone()
+    j = arrivals.join(zones, arrivals["dropoff_zone_key"] == zones["zone_key"])
+    return (j.groupBy("zone_name", "borough").agg(F.sum("n").cast("long").alias("trips"))
+            .orderBy(F.col("trips").desc(), "zone_name", "borough").limit(10))
+
+
+@register("o5_collision_group_members", with_star("""
+, top AS (SELECT trip_hash FROM quarantine GROUP BY trip_hash, l_orderkey, l_linenumber
+         ORDER BY COUNT(*) DESC, l_orderkey, l_linenumber LIMIT 10)
+SELECT q.trip_hash, q.l_orderkey, q.l_linenumber, CAST(q.collision_count AS BIGINT) AS collision_count, q.pickup_datetime_local,
+       q.dropoff_datetime_local, q.pickup_location_id, q.dropoff_location_id, q.fare_amount_usd, q.total_amount_usd
+FROM quarantine q WHERE q.trip_hash IN (SELECT trip_hash FROM top)""".replace("\n, top AS", ",\ntop AS", 1)))
+def o5_members(spark, d):
+    """Every row of the ten largest groups of ambiguous trips, ties by identity."""
+    held = star(spark, d).quarantine()
+    top = (held.select("trip_hash", "l_orderkey", "l_linenumber", "collision_count").distinct()
+           .orderBy(F.col("collision_count").desc(), "l_orderkey", "l_linenumber").limit(10))
+    return held.join(F.broadcast(top.select("trip_hash")), "trip_hash", "left_semi").select(  # ten keys
+        "trip_hash", "l_orderkey", "l_linenumber", F.col("collision_count").cast("long").alias("collision_count"), "pickup_datetime_local",
+        "dropoff_datetime_local", "pickup_location_id", "dropoff_location_id", "fare_amount_usd", "total_amount_usd")
+
+
 # --- P12/P13/J10: predicates and joins -------------------------------------------------------------------------
 
 @register("p12_orders_with_and_without_lines", """
