@@ -4,6 +4,7 @@ import base64
 import hashlib
 import math
 import random
+import time
 import re
 import zlib
 from collections import Counter
@@ -274,6 +275,34 @@ def test_html_keeps_blocks_beside_the_winning_container(spark):
     assert got[4] == f"{body.strip()}\nCaption\nE is"
 
 
+def test_html_votes_of_the_host_decide(spark):
+    """Equal markup: the text beside the winning container stays on the host whose pages have their own text there, and leaves
+    on the host that repeats it; repeated boxes on the winning path leave, copies of a page do not repeat it."""
+    body = [f"own{k} " * 60 for k in range(6)]
+    page = lambda k, note: f"<body><article><p>{body[k]}</p></article><div class=x><p>{note}</p></div></body>"
+    box = "all rights of this text belong to its owners " * 4
+    rows = [(k, "http://fresh/", page(k, f"more of {k} " * 9 if k else box)) for k in range(5)]
+    rows += [(10 + k, "http://stale/", page(k, box)) for k in range(5)]
+    rows += [(20 + k, "http://twin/", page(0, box)) for k in range(5)]
+    rows += [(30 + k, "http://plain/", f"<body><div><p>{box}</p></div><div><p>{body[k]}</p><p>{box}</p></div></body>") for k in range(5)]
+    rows += [(40 + k, "http://few/", page(k, box)) for k in range(2)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    got = {r.page_id: r.text for r in html_extract.extract(df).collect()}
+    tidy = lambda *x: "\n".join(" ".join(t.split()) for t in x)
+    assert all(got[k] == tidy(body[k], f"more of {k} " * 9 if k else box) for k in range(5))
+    assert all(got[10 + k] == tidy(body[k]) for k in range(5))
+    assert all(got[20 + k] == tidy(body[0], box) for k in range(5))
+    assert all(got[30 + k] == tidy(body[k], box) for k in range(5))
+    assert all(got[40 + k] == tidy(body[k], box) for k in range(2))
+
+
+def test_html_nesting_takes_linear_time():
+    for html in ("<div>x" * 100_000, "<div class=ad>x" * 50_000 + "<p>y", "<ul><li>x" * 50_000, "<p>x</div>" * 100_000):
+        start = time.perf_counter()
+        page = html_extract.blocks(html)
+        assert html_extract.best_path(page) and time.perf_counter() - start < 10 and page.blocks
+
+
 def test_html_noise_names_are_whole_and_wrappers_stay(spark):
     body = ("text " * 60).strip()
     for wrapper in ("class='layout has-sidebar'", "class='header-fixed wrapper'", "class='side-by-side'", "class='sidebar'", "id=header"):
