@@ -112,3 +112,24 @@ def test_lookups_required_and_optional_keys_share_one_pass(spark):
            for r in g.run({"fact": fact, "dates": dates, "zones": zones}).collect()}
     # required: null (id 2) and unmatched (id 3) fail; optional: only the non-null unmatched 555 (id 4)
     assert got == {"required_date": (2, 5), "optional_zone": (1, 5), "any": (3, 5), "odd_ids": (3, 5)}
+
+
+def test_one_tally_per_key(spark):
+    """Uniqueness, coverage, intersection and key-set difference on one key read each table once for the key."""
+    a = spark.createDataFrame([(1,), (1,), (2,), (3,), (None,), (None,)], "k int")
+    b = spark.createDataFrame([(1,), (3,), (3,), (4,)], "k int")
+    none = spark.createDataFrame([], "k int")
+    g = checks.Gate("test", "keys")
+    specs = {"unique": checks.Unique("a", ["k"]), "groups": checks.Unique("a", ["k"], group_nulls=True),
+             "unique_b": checks.Unique("b", ["k"]), "shared": checks.Intersect("a", "b", "k"), "lost": checks.KeyDiff("a", "b", "k"),
+             "new": checks.KeyDiff("b", "a", "k"), "unmatched": checks.Unresolved("a", "k", "b", "k"),
+             "unmatched_or_null": checks.Unresolved("a", "k", "b", "k", null_fails=True), "to_none": checks.Unresolved("b", "k", "none", "k"),
+             "empty": checks.Unique("none", ["k"])}
+    for name, spec in specs.items():
+        g.compare(name, "TEST", g.scalar(name, spec), "1")
+    out = g.run({"a": a, "b": b, "none": none})
+    assert {r.check_name: r.fail_count for r in out.collect()} == {
+        "unique": 3, "groups": 2, "unique_b": 1, "shared": 2, "lost": 2, "new": 1, "unmatched": 1, "unmatched_or_null": 3,
+        "to_none": 4, "empty": 0}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") <= 3
