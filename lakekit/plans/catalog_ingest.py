@@ -7,8 +7,10 @@ from the same table (one SUCCESS batch per month with its row count, no new work
 
 from __future__ import annotations
 
+import functools
 import uuid
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakekit.functions.digest import row_digest
@@ -19,12 +21,12 @@ from lakekit.plans import checks, landing, oracle
 from lakekit.plans.catalog import register, star
 from lakekit.plans.job import Job, run_summary
 from lakekit.plans.catalog_ops import TYPE_MAP_SQL, TABLE_LIST_SQL
-from lakekit.plans.tables import TABLES, Tables
+from lakekit.plans.tables import REPORTING_WINDOW, TABLES, Tables
 from lakekit.sources import control
 from lakekit.sources.files import file_bytes_chunked_sha256, list_files, parquet_footers, per_file_totals, scan_parquet_folder
 from lakekit.plans.trips import StarBuild
 from lakekit.sources.store import SnapshotStore
-from lakekit.session import scratch_path
+from lakekit.session import cut_lineage, scratch_path
 
 MONTHS_SQL = "SELECT strftime(l_shipdate, '%Y-%m') AS source_period, COUNT(*) AS n FROM lineitem GROUP BY 1"
 
@@ -565,6 +567,59 @@ def c51_landed_files(spark, d):
          & F.col("source_fare").eqNullSafe(F.col("landed_fare"))).alias("reconciled"))
 
 
+LANDED_SCENARIOS = ("loaded", "batch demoted", "stray rows", "file revised")
+
+
+@register("dq_gate_landed_trips_scenarios", oracle.with_star(f""",
+r AS (SELECT {TRIP_MONTH.format('r')} AS period, pickup_datetime_local < TIMESTAMP '{REPORTING_WINDOW[0]}'
+             OR pickup_datetime_local >= TIMESTAMP '{REPORTING_WINDOW[1]}' AS outside FROM raw_trips r),
+c AS (SELECT COUNT(*) AS n, COUNT(DISTINCT period) AS files, COUNT_IF(outside) AS w,
+             COUNT_IF(period = (SELECT MAX(period) FROM r)) AS last_n, COUNT_IF(outside AND period = (SELECT MAX(period) FROM r)) AS last_w FROM r),
+s AS (SELECT s.scenario, c.*, s.step >= 1 AS demoted, s.step >= 2 AS stray, s.step >= 3 AS revised,
+             n + CASE WHEN s.step >= 2 THEN last_n ELSE 0 END AS total
+      FROM c CROSS JOIN (VALUES ('loaded', 0), ('batch demoted', 1), ('stray rows', 2), ('file revised', 3)) s(scenario, step)),
+x AS (SELECT scenario, 'row_count_not_empty' AS check_name, 'FAIL' AS severity, 0 AS fail_count, 1 AS total_count FROM s
+      UNION ALL SELECT scenario, 'source_schema', 'FAIL', CASE WHEN stray THEN 1 ELSE 0 END, 13 FROM s
+      UNION ALL SELECT scenario, 'provenance_completeness', 'FAIL', 0, total FROM s
+      UNION ALL SELECT scenario, 'source_system_domain', 'FAIL', 0, total FROM s
+      UNION ALL SELECT scenario, 'batch_registered_in_control', 'FAIL',
+                       CASE WHEN stray THEN 2 * last_n WHEN demoted THEN last_n ELSE 0 END, total FROM s
+      UNION ALL SELECT scenario, 'single_content_version', 'FAIL', CASE WHEN stray THEN 1 ELSE 0 END, files FROM s
+      UNION ALL SELECT scenario, 'expected_month_coverage', 'WARN', w + CASE WHEN stray THEN last_w ELSE 0 END, total FROM s
+      UNION ALL SELECT scenario, 'bronze_matches_current_files', 'FAIL', CASE WHEN revised THEN 3 WHEN stray THEN 1 ELSE 0 END, files FROM s)
+SELECT scenario, check_name, CASE WHEN fail_count = 0 THEN 'PASS' WHEN severity = 'FAIL' OR fail_count * 100.0 / total_count > 0.1
+       THEN 'FAIL' ELSE 'WARN' END AS status, CAST(fail_count AS BIGINT) AS fail_count, CAST(total_count AS BIGINT) AS total_count FROM x"""))
+def dq_landed(spark, d):
+    """The gate over landed trips after the load, and after each of three further states of one run: the last month's batch is
+    demoted; its rows lie in Bronze once more under another content and without a column; its file is delivered revised but
+    not loaded."""
+    run = landing.TripLandingRun(spark, d)
+    run.deliver()
+    run.load()
+    state = run.batch_state()
+    last = state.agg(F.max_by("batch_id", "source_period").alias("batch_id"), F.max("source_period").alias("period")).first()  # one row
+
+    def demote():
+        run.store.append("ingestion_batches", control.batch_events(state.filter(F.col("batch_id") == last["batch_id"]).drop("event_at"),
+                                                                   "FAILED"))
+
+    def stray():
+        rows = cut_lineage(run.store.read_partitioned(run.target).filter(F.col("batch_id") == last["batch_id"]), "stray")
+        run.store.overwrite_partitions(run.target, rows.drop("vendor_id_raw").withColumn("content_sha256", F.lit("stray")),
+                                       ["content_sha256"])
+
+    def revise():
+        run.redeliver(last["period"], F.col("l_linenumber") > 1)
+
+    gates = []
+    for name, change in zip(LANDED_SCENARIOS, (None, demote, stray, revise)):
+        if change:
+            change()
+        gate = checks.landed_trips_gate().run(checks.landed_gate_tables(run))
+        gates.append(cut_lineage(gate, "landed_gate").withColumn("scenario", F.lit(name)))  # before the next change
+    return functools.reduce(DataFrame.unionByName, gates).select("scenario", "check_name", "status", "fail_count", "total_count")
+
+
 @register("c41_run_log_states", """
 WITH r AS (SELECT COUNT(*) AS n FROM (SELECT 1 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
                                       GROUP BY l.l_orderkey, l.l_linenumber HAVING COUNT(*) > 1))

@@ -102,6 +102,10 @@ class SnapshotStore:
             with ThreadPoolExecutor(max_workers=min(32, len(values))) as pool:
                 list(pool.map(drop, values))
 
+    def partitioned_path(self, name: str) -> str:
+        """Folder of a partition-overwritten table's files."""
+        return f"{self._table(name)}/data"
+
     def partition_values(self, name: str, column: str) -> list[str]:
         """Values of a partition column, from the folder names (one name a partition, no file is read)."""
         head = f"{column}="
