@@ -167,6 +167,47 @@ def build_reconciliation(published: DataFrame, fact: DataFrame, published_col: s
     return p.crossJoin(f)  # two one-row aggregates
 
 
+# What each build reports when it is done: build -> measure -> (table, aggregate).  Sums are of counts and money, in decimals.
+_GOLD_TRIPS = ("fact", "sum(trip_count)")
+BUILD_MEASURES = {
+    "weather fact": {"silver_rows": ("weather", "count(1)"), "gold_rows": ("weather_fact", "count(1)"),
+                     "unresolved_classification_rows": ("weather_fact", "count_if(weather_classification_key IS NULL)")},
+    "trip fact": {"silver_clean_rows": ("clean", "count(1)"), "gold_trip_count": _GOLD_TRIPS,
+                  "silver_fare_total": ("clean", "sum(fare_amount_usd)"), "gold_fare_total": ("fact", "sum(fare_amount_usd)"),
+                  "null_pickup_zone_keys": ("fact", "count_if(pickup_zone_key IS NULL)"),
+                  "weather_no_match_rows": ("fact", "count_if(weather_match_status = 'no_match')")},
+    "q1": {"analytics_trip_count": ("q1_result", "sum(trip_count)"), "gold_trip_count": _GOLD_TRIPS,
+           "result_rows": ("q1_result", "count(1)"), "rows_with_unresolved_zone": ("q1_result", "count_if(pickup_zone_name IS NULL)")},
+    "q2": {"weather_attributed_trips": ("q2_result", "sum(trip_count)"), "gold_trip_count": _GOLD_TRIPS,
+           "covered_hours": ("q2_result", "sum(covered_hours)"), "gold_weather_hours": ("weather_fact", "count(1)")},
+    "q3": {"analytics_pickups": ("q3_result", "sum(pickup_count)"), "analytics_dropoffs": ("q3_result", "sum(dropoff_count)"),
+           "gold_trip_count": _GOLD_TRIPS,
+           "zones_with_no_activity": ("q3_result", "count_if(pickup_count = 0 AND dropoff_count = 0)")},
+    "q4": {"analytics_trip_count": ("q4_result", "sum(trip_count)"), "gold_trip_count": _GOLD_TRIPS,
+           "result_rows": ("q4_result", "count(1)"),
+           "rows_with_unresolved_borough": ("q4_result", "count_if(pickup_borough IS NULL)")},
+}
+
+
+def build_reports(tables, measures: dict = BUILD_MEASURES) -> DataFrame:
+    """One row per build and measure, ``(build, measure, value)``; each table is aggregated once for all reports that name it.
+
+    Sums over an empty table are null, counts zero.  ``tables``: name to DataFrame.
+    """
+    asked: dict[str, dict[str, str]] = {}  # table -> aggregate -> column
+    for table, sql in {m for report in measures.values() for m in report.values()}:
+        asked.setdefault(table, {})[sql] = ""
+    one = None
+    for t, table in enumerate(sorted(asked)):
+        for i, sql in enumerate(sorted(asked[table])):
+            asked[table][sql] = f"m{t}_{i}"
+        row = tables[table].agg(*[F.expr(sql).cast("decimal(38,2)").alias(name) for sql, name in asked[table].items()])
+        one = row if one is None else one.crossJoin(row)  # one-row aggregates
+    reports = [F.struct(F.lit(build).alias("build"), F.lit(measure).alias("measure"), F.col(asked[table][sql]).alias("value"))
+               for build, report in measures.items() for measure, (table, sql) in report.items()]
+    return one.select(F.inline(F.array(*reports)))
+
+
 # --- spot checks: the top published cell of each question, recomputed from the facts ------------------------
 # The target is one row (deterministic full-order top-1), broadcast against the fact on its dimension keys, so
 # the recomputation is a filtered scan of the fact with no shuffle of fact rows.

@@ -713,6 +713,40 @@ def c37_recon(spark, d):
     return build_reconciliation(q1, s.trip_fact())
 
 
+def _reported(build: str, **measures: str) -> str:
+    return "\nUNION ALL ".join(f"SELECT '{build}' AS build, '{m}' AS measure, CAST(({q}) AS DECIMAL(38,2)) AS value"
+                               for m, q in measures.items())
+
+
+_GOLD = "SELECT SUM(trip_count) FROM fact"
+
+
+@register("c37_build_reports", "WITH " + oracle.ANALYTICS_CTES + "\n" + "\nUNION ALL ".join([
+    _reported("weather fact", silver_rows="SELECT COUNT(*) FROM weather", gold_rows="SELECT COUNT(*) FROM weather_fact",
+              unresolved_classification_rows="SELECT COUNT(*) FROM weather_fact WHERE weather_classification_key IS NULL"),
+    _reported("trip fact", silver_clean_rows="SELECT COUNT(*) FROM decided WHERE collision_count = 1", gold_trip_count=_GOLD,
+              silver_fare_total="SELECT SUM(fare_amount_usd) FROM decided WHERE collision_count = 1",
+              gold_fare_total="SELECT SUM(fare_amount_usd) FROM fact",
+              null_pickup_zone_keys="SELECT COUNT(*) FROM fact WHERE pickup_zone_key IS NULL",
+              weather_no_match_rows="SELECT COUNT(*) FROM fact WHERE weather_match_status = 'no_match'"),
+    _reported("q1", analytics_trip_count="SELECT SUM(trip_count) FROM q1_result", gold_trip_count=_GOLD,
+              result_rows="SELECT COUNT(*) FROM q1_result",
+              rows_with_unresolved_zone="SELECT COUNT(*) FROM q1_result WHERE pickup_zone_name IS NULL"),
+    _reported("q2", weather_attributed_trips="SELECT SUM(trip_count) FROM q2_result", gold_trip_count=_GOLD,
+              covered_hours="SELECT SUM(covered_hours) FROM q2_result", gold_weather_hours="SELECT COUNT(*) FROM weather_fact"),
+    _reported("q3", analytics_pickups="SELECT SUM(pickup_count) FROM q3_result",
+              analytics_dropoffs="SELECT SUM(dropoff_count) FROM q3_result", gold_trip_count=_GOLD,
+              zones_with_no_activity="SELECT COUNT(*) FROM q3_result WHERE pickup_count + dropoff_count = 0"),
+    _reported("q4", analytics_trip_count="SELECT SUM(trip_count) FROM q4_result", gold_trip_count=_GOLD,
+              result_rows="SELECT COUNT(*) FROM q4_result",
+              rows_with_unresolved_borough="SELECT COUNT(*) FROM q4_result WHERE pickup_borough IS NULL")]))
+def c37_reports(spark, d):
+    """The totals that every fact and question build reports next to those of the table it was built from."""
+    from lakekit.plans.analytics import build_reports
+    from lakekit.plans.checks import gate_tables
+    return build_reports(gate_tables(star(spark, d)))
+
+
 @register("c49_dashboard_kpis_from_totals", with_star(f"""
 SELECT CAST(SUM(trip_count) AS BIGINT) AS total_trips,
   {sround("CAST(SUM(CASE WHEN fare_eligible THEN fare_amount_usd END) AS DOUBLE) / CAST(NULLIF(COUNT_IF(fare_eligible), 0) AS DOUBLE)", 2)}
