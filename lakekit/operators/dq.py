@@ -181,6 +181,46 @@ def gate_status(log: DataFrame) -> DataFrame:
         F.max("code_revision").alias("code_revision"))
 
 
+def latest_results(log: DataFrame, status: DataFrame) -> DataFrame:
+    """Result rows of each gate's latest run, as ``status`` (:func:`gate_status`) names it."""
+    return log.join(status.select("layer", "dataset", "run_id"), ["layer", "dataset", "run_id"], "left_semi")
+
+
+def open_issues(log: DataFrame, status: DataFrame) -> DataFrame:
+    """Failed and warned checks of each gate's latest run."""
+    return latest_results(log, status).filter(F.col("status").isin("FAIL", "WARN")).select(
+        "layer", "dataset", "check_name", "check_type", "status", "fail_count", "total_count", "details")
+
+
+def dashboard_charts(log: DataFrame, status: DataFrame) -> DataFrame:
+    """The data-quality dashboard's figures, ``(chart, label, value)``: per chart one row a bar, point or figure.
+
+    Gates whose latest run is older count with that run; ``pass_trend`` has every run of the log.  ``pass_rate_bp`` is passed
+    checks of all that can pass or not (without INFO), in hundredths of a percent, null without any.
+    """
+    n = F.count(F.lit(1)).cast("long")
+
+    def chart(name: str, df: DataFrame, label, value) -> DataFrame:
+        rows = df.groupBy(F.col(label).alias("label")) if label else df.groupBy(F.lit("all").alias("label"))
+        return rows.agg(value.cast("long").alias("value")).select(F.lit(name).alias("chart"), "label", "value")
+
+    failed = latest_results(log, status).filter("status = 'FAIL'")
+    rated = F.sum("checks_run") - F.sum("info_count")
+    rate = F.floor(10000 * F.sum("pass_count") / F.when(rated > 0, rated))
+    return union_results(
+        chart("datasets_validated", status, None, n),
+        chart("pass_trend", log.filter("status = 'PASS'"), "run_id", n),
+        chart("checks_by_layer", status, "layer", F.sum("checks_run")),
+        chart("checks_by_dataset", status, "dataset", F.sum("checks_run")),
+        chart("failures_by_dataset", failed, "dataset", n),
+        chart("failures_by_type", failed, "check_type", n),
+        chart("checks_failed", status, None, F.sum("fail_count")),
+        chart("checks_warned", status, None, F.sum("warn_count")),
+        chart("checks_passed", status, None, F.sum("pass_count")),
+        chart("pass_rate_bp", status, None, rate),
+        chart("latest_run_by_layer", status, "layer", F.unix_seconds(F.max("executed_at"))))
+
+
 def assert_upstream_passed(status: DataFrame, required: list[tuple[str, str]]) -> None:
     """Gate dependency: each ``(layer, dataset)`` must have a latest run with status PASS (never-run ≠ pass)."""
     rows = {(r["layer"], r["dataset"]): r["status"] for r in status.select("layer", "dataset", "status").collect()}

@@ -270,6 +270,44 @@ def c50_dashboard(spark, d):
                                               F.sum("fail_count").cast("long").alias("failing_rows"))
 
 
+def _two_runs(spark, d):
+    """A results log of two runs: the first of every gate, a later one of all but Analytics; with the status of each gate."""
+    res = _all_gate_results(spark, d)
+    log = dq.with_run(res, "run_1", "2026-01-01 00:00:00").unionByName(
+        dq.with_run(res.filter("layer <> 'analytics'"), "run_2", "2026-01-02 00:00:00"))
+    return log, dq.gate_status(log)
+
+
+_CHARTS = {  # chart -> (label, rows, value)
+    "datasets_validated": ("'all'", "(SELECT DISTINCT layer, dataset FROM r)", "COUNT(*)"),
+    "pass_trend": ("run_id", "(SELECT status, 'run_1' AS run_id FROM r UNION ALL SELECT status, 'run_2' FROM r WHERE layer <> 'analytics')"
+                   " WHERE status = 'PASS'", "COUNT(*)"),
+    "checks_by_layer": ("layer", "r", "COUNT(*)"), "checks_by_dataset": ("dataset", "r", "COUNT(*)"),
+    "failures_by_dataset": ("dataset", "r WHERE status = 'FAIL'", "COUNT(*)"),
+    "failures_by_type": ("check_type", "r WHERE status = 'FAIL'", "COUNT(*)"),
+    "checks_failed": ("'all'", "r", "COUNT_IF(status = 'FAIL')"), "checks_warned": ("'all'", "r", "COUNT_IF(status = 'WARN')"),
+    "checks_passed": ("'all'", "r", "COUNT_IF(status = 'PASS')"),
+    "pass_rate_bp": ("'all'", "r", "10000 * COUNT_IF(status = 'PASS') // COUNT_IF(status <> 'INFO')"),
+    "latest_run_by_layer": ("layer", "r", "MAX(epoch(CASE WHEN layer = 'analytics' THEN TIMESTAMP '2026-01-01 00:00:00' "
+                                          "ELSE TIMESTAMP '2026-01-02 00:00:00' END))"),
+}
+
+
+@register("c50_dq_dashboard_charts", f"WITH r AS ({ALL_GATES_SQL})\n" + "\nUNION ALL ".join(
+    f"SELECT '{chart}' AS chart, {label} AS label, CAST({value} AS BIGINT) AS value FROM {rows} GROUP BY 2"
+    for chart, (label, rows, value) in _CHARTS.items()))
+def c50_charts(spark, d):
+    """Every figure of the data-quality dashboard over two runs of the gates."""
+    return dq.dashboard_charts(*_two_runs(spark, d))
+
+
+@register("c50_dq_open_issues", f"""WITH r AS ({ALL_GATES_SQL})
+SELECT layer, dataset, check_name, check_type, status, fail_count, total_count FROM r WHERE status IN ('FAIL', 'WARN')""")
+def c50_issues(spark, d):
+    """Failed and warned checks of each gate's latest run, over two runs of the gates."""
+    return dq.open_issues(*_two_runs(spark, d)).drop("details")
+
+
 @register("c40_upstream_gate_dependency", f"""WITH r AS ({ALL_GATES_SQL}),
 s AS (SELECT layer, dataset, COUNT_IF(status = 'FAIL') = 0 AS passed FROM r GROUP BY layer, dataset),
 req AS (SELECT * FROM (VALUES ('silver', 'trips'), ('silver', 'zones'), ('silver', 'weather_hourly'),

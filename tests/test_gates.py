@@ -133,3 +133,26 @@ def test_one_tally_per_key(spark):
         "to_none": 4, "empty": 0}
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LogicalRDD") + plan.count("LocalRelation") <= 3
+
+
+def test_dashboard_reads_each_gates_latest_run(spark):
+    from lakekit.operators import dq
+    cols = ("run_id string, executed_at timestamp, layer string, dataset string, check_name string, check_type string, status string, "
+            "fail_count long, total_count long, details string, code_revision string")
+    row = lambda run, layer, check, status, kind="RANGE": (
+        run, dt.datetime(2026, 1, int(run[1:])), layer, "d", check, kind, status, int(status in ("FAIL", "WARN")), 4, None, None)
+    log = spark.createDataFrame([row("r1", "bronze", "a", "FAIL"), row("r1", "gold", "a", "WARN"), row("r1", "gold", "b", "PASS"),
+                                 row("r2", "bronze", "a", "PASS"), row("r2", "bronze", "b", "FAIL", "UNIQUE"),
+                                 row("r2", "bronze", "c", "INFO")], cols)
+    status = dq.gate_status(log)
+    got = {(r.chart, r.label): r.value for r in dq.dashboard_charts(log, status).collect()}
+    day = lambda k: int(dt.datetime(2026, 1, k, tzinfo=dt.timezone.utc).timestamp())
+    latest = {k: got.pop(("latest_run_by_layer", k)) for k in ("bronze", "gold")}
+    assert latest["bronze"] - latest["gold"] == day(2) - day(1)
+    assert got == {("datasets_validated", "all"): 2, ("pass_trend", "r1"): 1, ("pass_trend", "r2"): 1, ("checks_by_layer", "bronze"): 3,
+                   ("checks_by_layer", "gold"): 2, ("checks_by_dataset", "d"): 5, ("failures_by_dataset", "d"): 1,
+                   ("failures_by_type", "UNIQUE"): 1, ("checks_failed", "all"): 1, ("checks_warned", "all"): 1,
+                   ("checks_passed", "all"): 2, ("pass_rate_bp", "all"): 5000}
+    assert {(r.layer, r.check_name) for r in dq.open_issues(log, status).collect()} == {("bronze", "b"), ("gold", "a")}
+    empty = dq.dashboard_charts(log.limit(0), dq.gate_status(log.limit(0)))
+    assert empty.count() == 0
