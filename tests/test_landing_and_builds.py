@@ -1,6 +1,8 @@
 """Landing by ledger, footer drift, fingerprints, converging merges, response landing, guards and non-empty classes."""
 
 import datetime as dt
+import hashlib
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -31,6 +33,24 @@ def test_fingerprint_is_a_plain_sum(spark):
     assert not {r["content_sha256"] for r in base.collect()} & {r["content_sha256"] for r in other.collect()}  # all three changed
 
 
+def test_sorted_fingerprint_hashes_the_digests_themselves(spark):
+    rows = spark.range(0, 3000).select((F.col("id") % 3).alias("file"), row_digest(F.col("id") % 700).alias("row_digest"))
+    got = {r["file"]: (r["content_sha256"], r["row_count"]) for r in fingerprint.sorted_fingerprint(rows.repartition(7), ["file"]).collect()}
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    for file in range(3):
+        counts = Counter(r["row_digest"] for r in rows.filter(F.col("file") == file).collect())
+        parts = {}
+        for digest, n in counts.items():
+            parts.setdefault(digest[:3], []).append(f"{digest}x{n}")
+        joined = ",".join(sorted(f"{b}:{sha(','.join(sorted(x)))}" for b, x in parts.items()))
+        assert got[file] == (sha(joined), 1000)
+    # the lanes' sums of these two sets of digests are equal
+    lane = lambda *x: "".join(f"{v:016x}" for v in x)
+    sets = [("a", lane(1, 5, 7, 9)), ("a", lane(3, 5, 7, 9)), ("b", lane(2, 5, 7, 9)), ("b", lane(2, 5, 7, 9))]
+    got = fingerprint.sorted_fingerprint(spark.createDataFrame(sets, "file string, row_digest string"), "file").collect()
+    assert len({r["content_sha256"] for r in got}) == 2
+
+
 @pytest.fixture(scope="module")
 def two_months(spark):
     li = Tables(spark, SF_SMALL).lineitem.select(*landing.LINE_COLS).withColumn("period", F.date_format("l_shipdate", "yyyy-MM"))
