@@ -1,6 +1,7 @@
 """Incremental-load scenarios on the driver tables (sf0.001): increments equal one combined load, a re-run
 finds no new work and changes nothing, a revised month replaces its old version."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakekit.plans import landing
@@ -135,3 +136,47 @@ def test_failed_load_closes_as_failed_and_the_next_run_loads(spark, monkeypatch)
     assert sorted(r["status"] for r in run.batch_state().collect()) == ["FAILED", "SUCCESS"]
     assert run.store.read_partitioned("bronze_lineitem").count() == rows.count()
     assert _control_fails(run) == {}
+
+
+def test_quarantine_rate_stops_before_a_trip_row_is_written(spark, monkeypatch):
+    from lakekit.operators.resolve import GuardError
+    from lakekit.plans import trips
+
+    rows = [(1, 1), (1, 1), (2, 1), (None, 3), (None, 3)]
+    raw = spark.createDataFrame([(k, n, *[None] * 9, "s", "f") for k, n in rows], ", ".join(
+        f"{f.name} {f.dataType.simpleString()}" for f in trips.TripLandingRun.schema.fields) + ", source_system string, source_file string")
+    star = trips.StarBuild(spark, SF_SMALL, cache={"raw_trips": raw})
+    assert sorted(r["collision_count"] for r in star.decided().collect()) == [1, 2, 2, 2, 2]
+    assert star.decided().columns[-1] == "collision_count"
+    assert star.measured["decided"] == {"rows": 5, "quarantined": 4}
+    typed = []
+    monkeypatch.setattr(trips, "silver_typed_trips", typed.append)
+    with pytest.raises(GuardError, match="decided is not published: quarantine rate 80"):
+        trips.StarBuild(spark, SF_SMALL, cache={"raw_trips": raw}, max_quarantine_pct=1.0).decided()
+    assert not typed
+
+
+def test_guards_share_the_silver_they_do_not_plant(spark, monkeypatch):
+    import __spark_entry__ as E
+    from lakekit.operators import dedup
+
+    calls, own = [], dedup.with_collision_count
+    monkeypatch.setattr(dedup, "with_collision_count", lambda *a: calls.append(1) or own(*a))
+    got = {r["guard"]: r["stopped"] for r in E.queries()["c21_guards_stop_publication"](spark, SF_SMALL).collect()}
+    assert len(got) == 5 and not got["none broken"] and got["repeated zone key"] and got["dates missing"]
+    assert len(calls) == 1
+
+
+def test_trip_lines_are_shuffled_by_their_order_only(spark):
+    from lakekit.plans.tables import Tables, raw_trips
+
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = raw_trips(Tables(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    at = next(i for i, line in enumerate(plan) if "Exchange hashpartitioning(o_custkey" in line)
+    depth = plan[at].index("Exchange")
+    below = [line for line in plan[at + 1:at + 1 + next((i for i, x in enumerate(plan[at + 1:]) if x.find("- ") + 2 <= depth and "- " in x), len(plan))]]
+    assert below and not any("l_linenumber" in line for line in below)
