@@ -156,3 +156,15 @@ def test_dashboard_reads_each_gates_latest_run(spark):
     assert {(r.layer, r.check_name) for r in dq.open_issues(log, status).collect()} == {("bronze", "b"), ("gold", "a")}
     empty = dq.dashboard_charts(log.limit(0), dq.gate_status(log.limit(0)))
     assert empty.count() == 0
+
+
+def test_tally_counts_digests_as_bytes_beside_other_texts(spark):
+    digest = "ab" * 32
+    same_bytes = "\u00ab" * 16  # another text, 32 bytes long
+    left = spark.createDataFrame([(digest,), (digest,), (digest.upper(),), (same_bytes,), ("",), (None,), (None,)], "k string")
+    right = spark.createDataFrame([(digest,), ("b" * 63,)], "k string")
+    specs = [("u", checks.Unique("left", ["k"])), ("g", checks.Unique("left", ["k"], True)),
+             ("i", checks.Intersect("left", "right", "k")), ("d", checks.KeyDiff("left", "right", "k"))]
+    got = checks._tally({"left": left, "right": right}, ("k",), specs)
+    assert got.first().asDict() == {"u": 3, "g": 2, "i": 1, "d": 4}
+    assert "unhex" in got._jdf.queryExecution().optimizedPlan().toString()
