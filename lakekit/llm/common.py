@@ -58,11 +58,16 @@ def utf8_values(col: pa.Array) -> list[bytes]:
     return [x or b"" for x in col.cast(pa.large_binary() if wide else pa.binary()).to_pylist()]
 
 
+def plan_bytes(df: DataFrame) -> int:
+    """The optimizer's size of a plan; 0 if it is unknown (Spark then assumes exabytes)."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return 0 if size >= 1 << 60 else size
+
+
 def input_partitions(df: DataFrame, bytes_each: int = 32 << 20) -> int:
     """Partitions for the rows of ``df`` by the optimizer's size of its plan, at least the session's shuffle count.
 
     A plan whose size is unknown (Spark then assumes exabytes) gets the session's count.
     """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    size = 0 if size >= 1 << 60 else size
+    size = plan_bytes(df)
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(1_000_000, size // bytes_each + 1))

@@ -1,16 +1,18 @@
 """LM scoring by a hashed maximum-entropy model with a class-factored softmax.
 
 A text is its words (ASCII letters in lower case) and one end token.  The model gives
-P(word | history) = P(class | history) P(symbol | class) P(word | symbol):
+P(word | history) = P(class | history) P(symbol | class, history) P(word | symbol):
 
 * a symbol is one of the ``HEAD`` most frequent training words or one of ``TAIL`` hash groups of all other words;
 * classes are clusters of symbols that follow similar symbols (k-means on hashed left neighbours, counted over all
-  training tokens);
+  training tokens), of at most ``MEMBERS`` symbols;
 * P(class | history) is a softmax over hashed features: the previous symbol, the one before it (a skip feature) and both
   (an n-gram); its weights are trained by distributed gradient updates: each task takes mini-batch steps over its share
   of the training texts from the shared weights, and the results are averaged, by how often a feature was seen, in Spark;
-* P(symbol | class) and P(word | symbol) are smoothed counts over all training tokens; half a count per symbol or word,
-  and one word more per group, leave room for unseen words.
+* P(symbol | class, history) is a softmax over the members of the class, on the same features hashed with the class, and
+  trained by the same updates; its bias is the logarithm of the members' smoothed counts;
+* P(word | symbol) is a smoothed count over all training tokens; half a count per symbol or word, and one word more per
+  group, leave room for unseen words.
 
 Counts of all words come from Spark and are never collected: the most frequent ones, a bounded number, are broadcast, the
 others meet the texts again by a join of each slice's distinct words.  Model tables have fixed sizes.
@@ -25,7 +27,8 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,15 +36,19 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.common import byte_slices, utf8_values
+from lakekit.llm.common import byte_slices, plan_bytes, utf8_values
 from lakekit.session import cut_lineage
 
-HEAD, TAIL, CLASSES = 4096, 64, 32
+HEAD, TAIL = 4096, 64
+#: classes and the greatest number of symbols in one; near the root of the symbols, so both softmaxes are short
+CLASSES, MEMBERS = 64, 72
 #: words whose counts are broadcast (a fixed bound)
 KNOWN = 1 << 16
 BUCKETS, BLOCK = 1 << 14, 1 << 10
 SYMBOLS, NEIGHBOURS = HEAD + TAIL, 64
 ROUNDS, BATCH, RATE = 2, 8192, 0.3
+#: of the plan's size, what one training task reads at least
+TASK_BYTES = 8 << 20
 END = b""  # no word is empty
 #: texts of a group that meets the counts of its rare words
 GROUP_BYTES = 8 << 20
@@ -74,11 +81,16 @@ def features(one: np.ndarray, two: np.ndarray) -> list[np.ndarray]:
     return [_hashed(one, 1 << 40), _hashed(two, 2 << 40), _hashed(one.astype(np.int64) * (SYMBOLS + 1) + two, 3 << 40)]
 
 
+def member_features(feats: list[np.ndarray], classes: np.ndarray) -> list[np.ndarray]:
+    """The features of a softmax inside a class: each with the class."""
+    return [_hashed(f * CLASSES + classes, (4 + k) << 40) for k, f in enumerate(feats)]
+
+
 def logits(weights: np.ndarray, bias: np.ndarray, feats: list[np.ndarray]) -> np.ndarray:
-    """By token and class, the greatest of a token moved to zero."""
-    z = weights[feats[0]]
-    z += weights[feats[1]]
-    z += weights[feats[2]]
+    """By token and class (or member), the greatest of a token moved to zero."""
+    z = weights.take(feats[0], axis=0)
+    z += weights.take(feats[1], axis=0)
+    z += weights.take(feats[2], axis=0)
     z += bias
     z -= z.max(axis=1, keepdims=True)
     return z
@@ -89,27 +101,36 @@ def log_classes(weights: np.ndarray, bias: np.ndarray, feats: list[np.ndarray])
     return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
 
 
+def log_chosen(weights: np.ndarray, bias: np.ndarray, feats: list[np.ndarray], chosen: np.ndarray) -> np.ndarray:
+    """``log_classes`` of one class (or member) of each token."""
+    z = logits(weights, bias, feats)
+    own = z[np.arange(len(z)), chosen]
+    return own - np.log(np.exp(z, out=z).sum(axis=1))
+
+
 @dataclass
 class Vocabulary:
-    """Bounded tables: counts of the most frequent words, their symbols, counts and distinct words by symbol."""
+    """Bounded tables: the most frequent words' ranks, their symbols and counts' log10; counts and distinct words by symbol."""
 
-    counts: dict[bytes, int]
-    symbols: dict[bytes, int]
+    ranks: dict[bytes, int]
+    symbol_of: np.ndarray
+    logs: np.ndarray
     total: int
     distinct: int
     by_symbol: np.ndarray
     words_in: np.ndarray
 
-    def texts(self, datas: list[bytes]) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
-        """Words by text, symbols of all, starts of the texts."""
-        split = [words(d) for d in datas]
-        get = self.symbols.get
-        flat = [w for own in split for w in own]
-        symbols = np.array([-1 if (s := get(w)) is None else s for w in flat], np.int64)
-        for i in np.flatnonzero(symbols < 0).tolist():
-            symbols[i] = _group(flat[i])
-        starts = np.cumsum([0, *map(len, split[:-1])])
-        return split, symbols, starts
+    def texts(self, datas: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+        """Words of all texts, their ranks (-1: not among the most frequent) and symbols, starts of the texts."""
+        flat, starts = [], []
+        for d in datas:
+            starts.append(len(flat))
+            flat += words(d)
+        ranks = np.fromiter(map(self.ranks.get, flat, repeat(-1)), np.int64, len(flat))
+        symbols = self.symbol_of[ranks]
+        rare = np.flatnonzero(ranks < 0)
+        symbols[rare] = [_group(flat[i]) for i in rare.tolist()]
+        return flat, ranks, symbols, np.array(starts, np.int64)
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -148,7 +169,10 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     words_in[HEAD:] = 0
     for r in tail:
         by_symbol[HEAD + r["g"]], words_in[HEAD + r["g"]] = r["n"], r["v"]
-    return Vocabulary(known, {w: i for i, w in enumerate(head)}, total["n"] or 0, total["v"], by_symbol, words_in)
+    # the last place is what a rank of -1 reads
+    symbol_of = np.array([*range(len(head)), *[_group(w) for w in list(known)[HEAD:]], 0], np.int64)
+    logs = np.array([*[np.log10(n + 0.5) for n in known.values()], 0.0])
+    return Vocabulary({w: i for i, w in enumerate(known)}, symbol_of, logs, total["n"] or 0, total["v"], by_symbol, words_in)
 
 
 def classes_of(docs: DataFrame, vocab: Vocabulary) -> np.ndarray:
@@ -159,7 +183,7 @@ def classes_of(docs: DataFrame, vocab: Vocabulary) -> np.ndarray:
         seen = np.zeros(SYMBOLS * NEIGHBOURS, np.int64)
         for batch in batches:
             for part in byte_slices(batch, "text"):
-                _, symbols, starts = shared.value.texts(utf8_values(part.column("text")))
+                _, _, symbols, starts = shared.value.texts(utf8_values(part.column("text")))
                 one, _ = _history(symbols, starts)
                 seen += np.bincount(symbols * NEIGHBOURS + _hashed(one, 1 << 40) % NEIGHBOURS, minlength=len(seen))
         at = np.flatnonzero(seen)
@@ -175,78 +199,148 @@ def classes_of(docs: DataFrame, vocab: Vocabulary) -> np.ndarray:
     points /= np.linalg.norm(points, axis=1, keepdims=True) + 1e-9
     weight = np.sqrt(vocab.by_symbol + 1)
     centres = points[np.argsort(-vocab.by_symbol, kind="stable")[:CLASSES]].copy()
-    own = np.zeros(SYMBOLS, np.int64)
     for _ in range(15):
         own = (points @ centres.T).argmax(axis=1)
         for c in range(CLASSES):
             if (own == c).any():
                 centres[c] = (points[own == c] * weight[own == c, None]).sum(axis=0)
                 centres[c] /= np.linalg.norm(centres[c]) + 1e-9
+    return _with_room(points @ centres.T, vocab.by_symbol)
+
+
+def _with_room(likeness: np.ndarray, by_symbol: np.ndarray) -> np.ndarray:
+    """Each symbol's likest class that has room, frequent symbols first."""
+    own, room = np.zeros(SYMBOLS, np.int64), np.full(CLASSES, MEMBERS)
+    for s in np.argsort(-by_symbol, kind="stable").tolist():
+        own[s] = np.where(room > 0, likeness[s], -np.inf).argmax()
+        room[own[s]] -= 1
     return own
 
 
-def _steps(weights: np.ndarray, seen: np.ndarray, bias: np.ndarray, feats: list[np.ndarray], target: np.ndarray) -> None:
-    """Mini-batch gradient steps; a bucket moves by the mean gradient of the tokens that have it."""
+def members(class_of: np.ndarray, by_symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each symbol in its class, and by class and place the logarithm of the smoothed count (-inf: no member)."""
+    place, bias = np.zeros(SYMBOLS, np.int64), np.full((CLASSES, MEMBERS), -np.inf, np.float32)
+    for c in range(CLASSES):
+        own = np.flatnonzero(class_of == c)
+        place[own] = np.arange(len(own))
+        n = by_symbol[own] + 0.5
+        bias[c, :len(own)] = np.log(n / n.sum())
+    return place, bias
+
+
+def _steps(weights: np.ndarray, seen: np.ndarray, bias: np.ndarray, feats: list[np.ndarray], target: np.ndarray,
+           classes: np.ndarray | None = None) -> None:
+    """Mini-batch gradient steps; a bucket moves by the mean gradient of the tokens that have it.  With ``classes``, ``bias``
+    has a row for each."""
     for k in range(0, len(target), BATCH):
         own = [f[k:k + BATCH] for f in feats]
         y = target[k:k + BATCH]
-        grad = logits(weights, bias, own)
+        grad = logits(weights, bias if classes is None else bias.take(classes[k:k + BATCH], axis=0), own)
         np.exp(grad, out=grad)
         grad /= grad.sum(axis=1, keepdims=True)
         grad[np.arange(len(y)), y] -= 1
-        by_class = np.ascontiguousarray(grad.T)
         for f in own:
             order = np.argsort(f.astype(np.uint16), kind="stable")  # 16 bits are sorted by radix
             ordered = f[order]
-            first = np.concatenate(([True], ordered[1:] != ordered[:-1]))
-            buckets = ordered[first]
-            place = np.empty(len(f), np.int64)
-            place[order] = np.cumsum(first) - 1
-            n = np.bincount(place)
-            sums = np.stack([np.bincount(place, g, len(buckets)) for g in by_class], axis=1)
-            weights[buckets] -= (RATE / (n + 1.0)[:, None] * sums).astype(np.float32)
+            first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+            buckets, n = ordered[first], np.diff(first, append=len(f))
+            move = _sums(grad, order, first, n)
+            move *= (RATE / (n + 1.0)).astype(np.float32)[:, None]
+            weights[buckets] = np.subtract(weights.take(buckets, axis=0), move, out=move)
             seen[buckets] += n
 
 
-def train_weights(docs: DataFrame, fold: Column, vocab: Vocabulary, class_of: np.ndarray, bias: np.ndarray) -> np.ndarray:
+def _sums(rows: np.ndarray, order: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sums of the ``n`` rows at ``order`` from each ``first`` on: the k-th rows of all at once, the few long ones each at a time."""
+    sums = rows.take(order[first], axis=0)
+    k, left = 1, np.flatnonzero(n > 1)
+    while len(left) > 64:
+        sums[left] += rows.take(order[first[left] + k], axis=0)
+        k += 1
+        left = left[n[left] > k]
+    for i in left.tolist():
+        sums[i] += rows.take(order[first[i] + k:first[i] + n[i]], axis=0).sum(axis=0)
+    return sums
+
+
+@dataclass
+class Model:
+    """Classes, places in them, and the biases and weights of both softmaxes."""
+
+    class_of: np.ndarray
+    place: np.ndarray
+    bias: np.ndarray
+    member_bias: np.ndarray
+    weights: np.ndarray
+    member_weights: np.ndarray
+
+    def log_symbols(self, one: np.ndarray, two: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """log P(symbol | history) of each token."""
+        feats, classes = features(one, two), self.class_of[symbols]
+        inside = log_chosen(self.member_weights, self.member_bias.take(classes, axis=0), member_features(feats, classes), self.place[symbols])
+        return log_chosen(self.weights, self.bias, feats, classes) + inside
+
+    def train(self, seen: np.ndarray, member_seen: np.ndarray, symbols: np.ndarray, starts: np.ndarray) -> None:
+        """Gradient steps of both softmaxes; inside, a token's class is the only one that moves."""
+        feats, classes = features(*_history(symbols, starts)), self.class_of[symbols]
+        _steps(self.weights, seen, self.bias, feats, classes)
+        _steps(self.member_weights, member_seen, self.member_bias, member_features(feats, classes), self.place[symbols], classes)
+
+
+def untrained(vocab: Vocabulary, class_of: np.ndarray) -> Model:
+    size = np.bincount(class_of, weights=vocab.by_symbol, minlength=CLASSES)
+    bias = np.log((size + 0.5) / (size + 0.5).sum()).astype(np.float32)
+    place, member_bias = members(class_of, vocab.by_symbol)
+    return Model(class_of, place, bias, member_bias, np.zeros((BUCKETS, CLASSES), np.float32), np.zeros((BUCKETS, MEMBERS), np.float32))
+
+
+def few_tasks(docs: DataFrame) -> DataFrame:
+    """Small partitions read together: every task sends its weights, so tasks may grow in number with the input only."""
+    size = plan_bytes(docs)
+    return docs.coalesce(max(docs.sparkSession.sparkContext.defaultParallelism, size // TASK_BYTES + 1)) if size else docs
+
+
+def train_weights(docs: DataFrame, fold: Column, vocab: Vocabulary, model: Model) -> Model:
     """``ROUNDS`` distributed updates, each over another part of the training texts (``fold``: its number)."""
     sc = docs.sparkSession.sparkContext
-    weights = np.zeros((BUCKETS, CLASSES), np.float32)
-    shared = sc.broadcast((vocab, class_of, bias))
+    words_of = sc.broadcast(vocab)
     for r in range(ROUNDS):
-        now = sc.broadcast(weights)
+        now = sc.broadcast(model)
 
         def update(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            vocab, class_of, bias = shared.value
-            own, seen = now.value.copy(), np.zeros(BUCKETS, np.int64)
+            start = now.value
+            own = replace(start, weights=start.weights.copy(), member_weights=start.member_weights.copy())
+            seen, member_seen = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
             for batch in batches:
                 for part in byte_slices(batch, "text"):
-                    _, symbols, starts = vocab.texts(utf8_values(part.column("text")))
-                    _steps(own, seen, bias, features(*_history(symbols, starts)), class_of[symbols])
+                    _, _, symbols, starts = words_of.value.texts(utf8_values(part.column("text")))
+                    own.train(seen, member_seen, symbols, starts)
             task = TaskContext.get().partitionId()
-            for b in range(0, BUCKETS, BLOCK):
-                n = seen[b:b + BLOCK].astype(np.float32)
-                if n.any():
-                    yield pa.record_batch([pa.array([b], pa.int32()), pa.array([task % 64], pa.int32()),
-                                           pa.array([np.hstack([n[:, None], n[:, None] * own[b:b + BLOCK]]).tobytes()], pa.binary())],
-                                          ["block", "lane", "x"])
+            for first, table, times in ((0, own.weights, seen), (BUCKETS, own.member_weights, member_seen)):
+                for b in range(0, BUCKETS, BLOCK):
+                    n = times[b:b + BLOCK].astype(np.float32)
+                    if n.any():
+                        yield pa.record_batch([pa.array([first + b], pa.int32()), pa.array([task % 64], pa.int32()),
+                                               pa.array([np.hstack([n[:, None], n[:, None] * table[b:b + BLOCK]]).tobytes()], pa.binary())],
+                                              ["block", "lane", "x"])
 
         def add(table: pa.Table) -> pa.Table:
-            total = np.zeros((BLOCK, CLASSES + 1), np.float64)
+            total = 0.0
             for x in table.column("x"):
-                total += np.frombuffer(x.as_buffer(), np.float32).reshape(total.shape)
+                total = total + np.frombuffer(x.as_buffer(), np.float32).astype(np.float64)
             return pa.table([table.column("block")[:1], table.column("lane")[:1], pa.array([total.astype(np.float32).tobytes()], pa.binary())],
                             ["block", "lane", "x"])
 
         schema = "block int, lane int, x binary"
-        sent = docs.filter(F.pmod(fold, F.lit(ROUNDS)) == r).select("text").mapInArrow(update, schema)
+        sent = few_tasks(docs.filter(F.pmod(fold, F.lit(ROUNDS)) == r).select("text")).mapInArrow(update, schema)
         sums = sent.groupBy("block", "lane").applyInArrow(add, schema).groupBy("block").applyInArrow(add, schema)
-        weights = weights.copy()
+        model = replace(model, weights=model.weights.copy(), member_weights=model.member_weights.copy())
         for row in sums.collect():  # a fixed number of blocks
-            total = np.frombuffer(row["x"], np.float32).reshape(BLOCK, CLASSES + 1)
+            total = np.frombuffer(row["x"], np.float32).reshape(BLOCK, -1)
             at = np.flatnonzero(total[:, 0])
-            weights[row["block"] + at] = total[at, 1:] / total[at, :1]
-    return weights
+            table = model.weights if row["block"] < BUCKETS else model.member_weights
+            table[row["block"] % BUCKETS + at] = total[at, 1:] / total[at, :1]
+    return model
 
 
 def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -260,46 +354,39 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
     counts = cut_lineage(word_counts(learn), "counts")
     vocab = vocabulary(counts)
     class_of = classes_of(learn, vocab)
-    size = np.bincount(class_of, weights=vocab.by_symbol, minlength=CLASSES)
-    members = np.bincount(class_of, minlength=CLASSES)
-    bias = np.log((size + 0.5) / (size + 0.5).sum()).astype(np.float32)
-    weights = train_weights(learn, F.xxhash64("id", "text"), vocab, class_of, bias)
-    in_class = np.log10((vocab.by_symbol + 0.5) / (size + 0.5 * members)[class_of])
+    model = train_weights(learn, F.xxhash64("id", "text"), vocab, untrained(vocab, class_of))
     in_group = np.log10(vocab.by_symbol + 0.5 * (vocab.words_in + 1))  # of the tail; a head word is its symbol
     in_group[:HEAD] = 0
     floor = float(np.log10(vocab.total + 0.5 * (vocab.distinct + 1)))
-    shared = docs.sparkSession.sparkContext.broadcast((vocab, class_of, bias, weights, in_class - in_group))
+    shared = docs.sparkSession.sparkContext.broadcast((vocab, model, in_group))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, class_of, bias, weights, per_symbol = shared.value
-        known, task, n_slice = vocab.counts, TaskContext.get().partitionId(), 0
-        logs = {w: float(np.log10(c + 0.5)) for w, c in known.items()}
+        vocab, trained, in_group = shared.value
+        task, n_slice = TaskContext.get().partitionId(), 0
         for batch in batches:
             for part in byte_slices(batch, "text", GROUP_BYTES):
-                split, symbols, starts = vocab.texts(utf8_values(part.column("text")))
+                flat, ranks, symbols, starts = vocab.texts(utf8_values(part.column("text")))
                 one, two = _history(symbols, starts)
                 gain = np.empty(len(symbols))
                 for k in range(0, len(symbols), 1 << 12):  # as much as stays in a core's cache
                     at = slice(k, k + (1 << 12))
                     s = symbols[at]
-                    z = log_classes(weights, bias, features(one[at], two[at]))
-                    gain[at] = z[np.arange(len(s)), class_of[s]] / np.log(10) + per_symbol[s]
-                model = np.add.reduceat(gain, starts).tolist()
+                    gain[at] = trained.log_symbols(one[at], two[at], s) / np.log(10) - in_group[s]
+                logs = vocab.logs[ranks]  # 0 for a rank of -1, whose place is the last
+                base = np.add.reduceat(logs, starts)
+                # a word of a group of rare ones: its own count, where the broadcast ones have it
+                model = np.add.reduceat(gain + np.where(symbols >= HEAD, logs, 0), starts)
+                rare = np.flatnonzero(ranks < 0)
                 index: dict[bytes, int] = {}
-                refs, found, base, tail = [], [], [], []
-                for own, a in zip(split, starts.tolist()):
-                    ref = [index.setdefault(w, len(index)) for w in own if w not in known]
-                    refs.append(np.array(ref, np.int32).tobytes())
-                    found.append(len(own) - len(ref))
-                    base.append(sum(logs[w] for w in own if w in known))
-                    # words that have a broadcast count but no symbol of their own
-                    tail.append(sum(logs[w] for w, s in zip(own, symbols[a:a + len(own)].tolist()) if s >= HEAD and w in known))
+                ref = np.array([index.setdefault(flat[i], len(index)) for i in rare.tolist()], np.int32)
+                refs = np.split(ref, np.searchsorted(rare, starts[1:]))
+                lengths = np.diff(starts, append=len(flat))
                 g = (task << 24) + n_slice
                 n_slice += 1
-                n = len(split)
+                n = len(starts)
                 yield pa.record_batch([pa.array([g] * n), part.column("id"), part.column("held_out"),
-                                       pa.array([len(x) for x in split], pa.int64()), pa.array(found, pa.int64()), pa.array(base),
-                                       pa.array([m + t for m, t in zip(model, tail)]), pa.array(refs, pa.binary()),
+                                       pa.array(lengths), pa.array(lengths - [len(x) for x in refs]), pa.array(base), pa.array(model),
+                                       pa.array([x.tobytes() for x in refs], pa.binary()),
                                        pa.nulls(n, pa.binary()), pa.nulls(n, pa.int32())], names)
                 own = list(index)
                 for k in range(0, len(own), 50_000):

@@ -229,6 +229,24 @@ def test_language_model(spark, docs, frame):
     assert np.allclose(np.exp(z).sum(axis=1), 1, atol=1e-5)
 
 
+def test_language_model_history_inside_a_class(spark):
+    rows = [(k, t) for k, t in enumerate(["ax bx " * 200, "ay by " * 200] * 20)]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    vocab = lm.vocabulary(lm.word_counts(docs).cache())
+    class_of = np.arange(lm.SYMBOLS) // (lm.SYMBOLS // lm.CLASSES)  # the five tokens are in one class
+    model = lm.train_weights(docs, F.floor(F.col("id") / 2), vocab, lm.untrained(vocab, class_of))
+    ax, bx, ay, by = (vocab.ranks[w] for w in (b"ax", b"bx", b"ay", b"by"))
+    one, two = np.full(lm.SYMBOLS, ax), np.full(lm.SYMBOLS, bx)
+    after = model.log_symbols(one, two, np.arange(lm.SYMBOLS))
+    assert math.isclose(np.exp(after.astype(float)).sum(), 1, abs_tol=1e-4)
+    # both are as frequent, so only the history tells them apart
+    assert after[bx] > after[by] + 0.5
+    other = model.log_symbols(np.full(2, ay), np.full(2, by), np.array([bx, by]))
+    assert other[1] > other[0] + 0.5
+    got = lm._with_room(np.zeros((lm.SYMBOLS, lm.CLASSES)), vocab.by_symbol)
+    assert np.bincount(got).max() == lm.MEMBERS
+
+
 def test_toxicity(spark):
     rng = random.Random(6)
     word = lambda: rng.choice("lorem ipsum dolor sit amet sed".split())
