@@ -557,7 +557,7 @@ def c51_landed_files(spark, d):
     run = landing.TripLandingRun(spark, d)
     run.deliver()
     run.load()
-    source = per_file_totals(scan_parquet_folder(spark, run.landing, run.schema), "fare_amount_raw").select(
+    source = per_file_totals(run.delivered_rows(), "fare_amount_raw").select(
         _period().alias("period"), F.col("rows").alias("source_rows"), F.col("fare_amount_raw_total").alias("source_fare"))
     landed = run.store.read_partitioned(run.target)
     per_file = per_file_totals(landed, "fare_amount_raw").select(

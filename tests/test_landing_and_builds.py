@@ -15,7 +15,7 @@ from lakekit.plans import landing
 from lakekit.plans.job import Job, run_summary
 from lakekit.plans.tables import Tables
 from lakekit.plans.trips import StarBuild, WEATHER_MAP_SCHEMA, ZONE_MAP_SCHEMA
-from lakekit.session import scratch_path
+from lakekit.session import cut_lineage, scratch_path
 from lakekit.sources import files
 from lakekit.sources.store import SnapshotStore
 from tests.conftest import SF_SMALL
@@ -202,6 +202,36 @@ def test_fact_carries_the_provenance_of_landed_trips(spark):
     assert joined.join(s.quarantine(), joined["trip_key"] == s.quarantine()["trip_hash"], "left_anti").count() == 0
 
 
+def test_a_month_in_several_parts_is_one_delivery(spark):
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in small}
+    run = landing.TripLandingRun(spark, SF_SMALL)
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        run.deliver()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    months = run.delivered_rows().select("period").distinct().count()
+    assert files.list_files(spark, run.landing).count() > months  # parts
+    assert run.load().filter("mismatch").count() == 0 and len(run.opened) == months
+    batches = run.batch_state().filter("status = 'SUCCESS'")
+    assert batches.count() == batches.select("source_object").distinct().count() == months
+    landed, source = run.store.read_partitioned(run.target), run.delivered_rows()
+    own = run.schema.names
+    assert landed.count() == source.count() and landed.select(*own).exceptAll(source.select(*own)).count() == 0
+    assert run.load().count() == 0 and run.opened == []
+    month = batches.agg(F.max("source_period")).first()[0]
+    part = cut_lineage(source.filter(F.col("period") == month).select(*own).limit(3), "part")
+    part.coalesce(1).write.mode("append").parquet(f"{run.landing}/period={month}")  # one more part: the month is new
+    assert run.load().count() == 1 and len(run.opened) == 1
+    assert run.store.read_partitioned(run.target).count() == run.delivered_rows().count()
+    part.drop("vendor_id_raw").coalesce(1).write.mode("append").parquet(f"{run.landing}/period={month}")
+    assert run.load().count() == 0 and run.opened == []  # one part lacks a column: the month is refused
+    assert run.batch_state().filter("status = 'FAILED'").count() == 1
+
+
 def test_a_blocked_run_keeps_its_log_and_gate_results(spark):
     job = Job(spark, SF_SMALL, landing=False)
     with pytest.raises(dq.GateBlocked):
