@@ -230,6 +230,7 @@ def _all_gate_results(spark, d):
     and status views then work on those rows instead of one plan spanning every gate of the star."""
     from lakekit.session import cut_lineage
     s = star(spark, d)
+    s.staged_fact()  # before the questions, which read it too
     tables = checks.gate_tables(s)
     return dq.union_results(*[cut_lineage(make().run(tables), f"gate_{name}") for name, make in checks.GATES.items()])
 

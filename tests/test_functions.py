@@ -87,3 +87,15 @@ def test_delimited_text_tells_all_rows_apart(spark):
     assert df.select(delimited_text("x", "y").alias("t")).distinct().count() == len(rows)
     assert df.sparkSession.createDataFrame([("a", None)], "x string, y string").select(
         delimited_text("x", "y")).first()[0] == "a|<null>"
+
+
+def test_seconds_between_is_exact_over_thousands_of_years(spark):
+    rows = [("1900-01-01 00:00:00", "9999-12-31 23:59:59.999999", 255611289599), ("2024-03-10 00:00:00.5", "2024-03-10 05:00:00", 17999),
+            ("2024-03-10 05:00:00", "2024-03-10 00:00:00.5", -17999), (None, "2024-03-10 05:00:00", None)]
+    df = spark.createDataFrame(rows, "a string, b string, s long").selectExpr("CAST(a AS timestamp_ntz) a", "CAST(b AS timestamp_ntz) b", "s")
+    for zone in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            assert df.filter(~seconds_between("a", "b").eqNullSafe(F.col("s"))).count() == 0
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -168,3 +168,49 @@ def test_tally_counts_digests_as_bytes_beside_other_texts(spark):
     got = checks._tally({"left": left, "right": right}, ("k",), specs)
     assert got.first().asDict() == {"u": 3, "g": 2, "i": 1, "d": 4}
     assert "unhex" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def _star_tables(spark, folder):
+    """A few orders with lines, places and hours, under the names of the driver tables."""
+    tables = {
+        "region": ([(0, "ASIA")], "r_regionkey int, r_name string"),
+        "nation": ([(1, "INDIA", 0), (2, "JAPAN", 0)], "n_nationkey int, n_name string, n_regionkey int"),
+        "customer": ([(1, 1, 50.25), (2, 2, -3.5)], "c_custkey long, c_nationkey int, c_acctbal double"),
+        "supplier": ([(1, 2)], "s_suppkey long, s_nationkey int"),
+        "orders": ([(k, 1 + k % 2, f"1995-01-0{k}", "1-URGENT") for k in range(1, 6)],
+                   "o_orderkey long, o_custkey long, o_orderdate string, o_orderpriority string"),
+        "lineitem": ([(k, n, 1, 2.0 * n, 100.0, 0.02, f"1995-01-1{k}") for k in range(1, 6) for n in (1, 2)] + [(5, 2, 1, 9.0, 9.0, 0.0, "1995-01-20")],
+                     "l_orderkey long, l_linenumber int, l_suppkey long, l_quantity double, l_extendedprice double, l_tax double, l_shipdate string"),
+        "events": ([(i, f"2024-01-0{1 + i % 3} 0{i}:10:00", "view", 1.5, '{"k": 1}') for i in range(9)],
+                   "event_id long, ts string, event_type string, value double, props string"),
+    }
+    for name, (rows, schema) in tables.items():
+        df = spark.createDataFrame(rows, schema)
+        for c in {"o_orderdate", "l_shipdate", "ts"} & set(df.columns):
+            df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
+        df.write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_gates_and_questions_read_a_written_fact(spark, tmp_path):
+    from lakekit.plans import checks
+    from lakekit.plans.trips import StarBuild
+
+    folder = _star_tables(spark, tmp_path)
+
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    keyed = StarBuild(spark, folder).trip_fact()
+    assert "Join" in plan(keyed)
+    for stage in (StarBuild.analysis_fact, StarBuild.staged_fact):
+        s = StarBuild(spark, folder)
+        fact = stage(s)
+        assert "Join" not in plan(fact)
+        assert fact.exceptAll(keyed.select(*fact.columns)).count() == 0 and fact.count() == keyed.count() == 9
+        s.q1_result()
+        assert plan(s.analysis_fact()) == plan(fact)  # the questions keyed no second one
+    tables = checks.gate_tables(s)
+    assert tables["fact"] is s.staged_fact()
+    rows = {r["check_name"]: r for r in checks.analytics_gate().run(tables).collect()}
+    assert rows["q1_trips_reconcile_to_gold"]["total_count"] == 9 and rows["q1_spot_check_date_hour_zone"]["fail_count"] == 0
