@@ -99,7 +99,8 @@ def converge(store, name: str, source: DataFrame, partition_col: str, digest_col
     n = changed.count()
     if n:
         rows = source.join(changed.select(F.col("part").alias("__part")), F.col(partition_col).cast("string") == F.col("__part"), "left_semi")
-        store.overwrite_partitions(name, rows, [partition_col])
+        # dealt by partition, a large one over several tasks: not every task writes a file of every partition
+        store.overwrite_partitions(name, rows.hint("rebalance", partition_col), [partition_col])
         store.append(f"{name}_digests", changed.select("part", "content_sha256", "row_count", F.current_timestamp().alias("at")))
     store.drop_partitions(name, partition_col, gone)
     return {"partitions_written": n, "partitions_dropped": len(gone), "partitions_unchanged": new.count() - n}

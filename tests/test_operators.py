@@ -213,3 +213,24 @@ def test_snapshot_store_current_version_is_the_last_commit(spark, tmp_path):
     second = store.write("t", spark.range(5))
     assert store.current_version("t") == second and sorted(store.versions("t")) == sorted([first, second])
     assert store.read("t").count() == 5 and store.read("t", first).count() == 3
+
+
+def test_fingerprint_sums_lanes_exactly_without_a_decimal_a_row(spark):
+    import hashlib
+    d = spark.range(500).select(F.lit("f").alias("file"), F.sha2(F.col("id").cast("string"), 256).alias("row_digest"))
+    d = d.unionByName(spark.createDataFrame([("f", "f" * 64)] * 3 + [("g", "0" * 64)], "file string, row_digest string"))
+    got = {r["file"]: (r["content_sha256"], r["row_count"]) for r in fingerprint.content_fingerprint(d, ["file"]).collect()}
+    for file, rows in (("f", [hashlib.sha256(str(i).encode()).hexdigest() for i in range(500)] + ["f" * 64] * 3), ("g", ["0" * 64])):
+        lanes = [sum(int(x[16 * i:16 * i + 16], 16) for x in rows) for i in range(4)]
+        assert got[file] == (hashlib.sha256(":".join(map(str, [len(rows), *lanes])).encode()).hexdigest(), len(rows))
+    plan = fingerprint.content_fingerprint(d, ["file"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "sum(cast(conv" not in plan and "as decimal(28" not in plan.lower()
+
+
+def test_converge_writes_a_partition_by_as_few_tasks_as_it_needs(spark, tmp_path):
+    from lakekit.sources.store import SnapshotStore
+    store = SnapshotStore(spark, str(tmp_path))
+    rows = spark.range(600, numPartitions=6).select("id", (F.col("id") % 3).cast("string").alias("part"))
+    assert merge.converge(store, "t", rows, "part") == {"partitions_written": 3, "partitions_dropped": 0, "partitions_unchanged": 0}
+    assert len(list(tmp_path.glob("t/data/part=*/*.parquet"))) == 3  # not one by each of six tasks
+    assert store.read_partitioned("t").groupBy("part").count().filter("count = 200").count() == 3
