@@ -43,6 +43,8 @@ K = 32
 SAMPLE = 20_000
 #: occurrences of an anchor up to which its class is resolved in one task, and strings a task holds before it sends them
 HOT, HELD = 4096, 400_000
+#: anchors whose contexts a task sorts at a time (whole ranges)
+SORTED = 1 << 15
 _P = 0x9E3779B97F4A7C15
 _ENTRY = struct.Struct("<BBBqqiii")  # shared prefix, rest, left length; document, its hash, anchor, first, last start
 _MARK = struct.Struct("<ii")
@@ -342,7 +344,7 @@ def _resolve(group: list[tuple], length: int) -> Iterator[tuple[int, int, int, i
             yield i, h, start, first + len(own) - 1
 
 
-def repeated_starts(texts: DataFrame, parts: int, length: int = LENGTH, hot: int = HOT) -> DataFrame:
+def repeated_starts(texts: DataFrame, parts: int, length: int = LENGTH, hot: int = HOT, at_once: int = SORTED) -> DataFrame:
     """id, h, marks (pairs of first and last start of repeated strings); texts: id, h, text."""
     prefix = F.expr(f"substring(text, 1 + cast(pmod(xxhash64(h, id), length(text)) as int), {K})").alias("s")
     prefixes = (texts.filter(F.octet_length("text") >= length).select(F.xxhash64("h", "id").alias("o"), prefix)
@@ -353,6 +355,7 @@ def repeated_starts(texts: DataFrame, parts: int, length: int = LENGTH, hot: int
     both = texts.join(found, ["id", "h"])
     place = np.dtype([("at", "<i4"), ("first", "<i4"), ("last", "<i4")])
     found_kind = np.dtype([("id", "<i8"), ("h", "<i8"), ("first", "<i4"), ("last", "<i4")])
+    anchor_kind = np.dtype([("t", "<i4"), ("p", "<i4"), ("at", "<i4"), ("first", "<i4"), ("last", "<i4")])
     string_kind = np.dtype([("d0", "<u8"), ("d1", "<u8"), ("id", "<i8"), ("h", "<i8"), ("at", "<i4")])
 
     def message(rows: list[tuple]) -> pa.RecordBatch:
@@ -367,14 +370,35 @@ def repeated_starts(texts: DataFrame, parts: int, length: int = LENGTH, hot: int
         order = np.argsort(p, kind="stable")
         return [(int(p[o[0]]), 2, squeeze_rows(x[o])) for o in np.split(order, np.flatnonzero(np.diff(p[order])) + 1) if len(o)]
 
+    def in_order(texts: list[tuple], anchor: np.ndarray, later: list[np.ndarray]) -> Iterator[tuple[int, int, bytes]]:
+        """A run of each range of these anchors, whose ranges are whole; later equal contexts are settled in ``later``."""
+        least: dict[tuple, tuple] = {}
+        done: list[tuple] = []
+        for t, _, at, first, last in anchor.tolist():
+            i, h, data = texts[t]
+            key = (data[at:first + length + (last - first)], data[first:at], at - last)
+            mine, other = (i, h, at, first, last), least.get(key)
+            if other is None:
+                least[key] = mine
+            elif mine[:3] != other[:3]:  # an equal context in this task: the later one is settled
+                if mine[:3] < other[:3]:
+                    least[key], mine = mine, other
+                done.append((*mine[:2], *mine[3:]))
+        later.append(np.array(done, found_kind))
+        dealt = defaultdict(list)
+        for e in sorted((right, left, *own) for (right, left, _), own in least.items()):
+            dealt[bisect_right(splits, e[0][:K])].append(e)
+        for p, x in dealt.items():
+            yield p, 0, squeeze(encode_run(x))
+
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in byte_slices(batch, "text", 8 << 20):
-                least: dict[tuple, tuple] = {}
+                texts = list(zip(part.column("id").to_pylist(), part.column("h").to_pylist(), utf8_values(part.column("text"))))
                 done = defaultdict(list)
                 earliest: dict[bytes, tuple] = {}  # of strings at frequent anchors
-                for i, h, data, blob in zip(part.column("id").to_pylist(), part.column("h").to_pylist(),
-                                            utf8_values(part.column("text")), part.column("marks").to_pylist()):
+                found_here = [np.empty(0, anchor_kind)]
+                for t, ((i, h, data), blob) in enumerate(zip(texts, part.column("marks").to_pylist())):
                     own = np.sort(np.frombuffer(blob, place))
                     frequent = np.isin(gram_hashes(data, K)[own["at"]], often) if len(often) else np.zeros(len(own), bool)
                     for at, first, last in own[frequent].tolist():
@@ -392,27 +416,25 @@ def repeated_starts(texts: DataFrame, parts: int, length: int = LENGTH, hot: int
                     if len(earliest) >= HELD:
                         yield message(dealt_strings(earliest))
                         earliest = {}
-                    for at, first, last in own[~frequent].tolist():
-                        key = (data[at:first + length + (last - first)], data[first:at], at - last)
-                        mine, other = (i, h, at, first, last), least.get(key)
-                        if other is None:
-                            least[key] = mine
-                        elif mine[:3] != other[:3]:  # an equal context in this task: the later one is settled
-                            if mine[:3] < other[:3]:
-                                least[key], mine = mine, other
-                            done[mine[:2]].append(mine[3:])
-                ordered = sorted((right, left, *own) for (right, left, _), own in least.items())
-                dealt = defaultdict(list)
-                for e in ordered:
-                    dealt[bisect_right(splits, e[0][:K])].append(e)
-                out = [(p, 0, squeeze(encode_run(x))) for p, x in dealt.items()]
-                settled = defaultdict(list)
-                for (i, h), own in done.items():
-                    settled[(h + i) % parts] += [(i, h, first, last) for first, last in own]
-                out += [(p, 1, squeeze_rows(np.array(x, found_kind))) for p, x in settled.items()]
+                    x = np.empty(int((~frequent).sum()), anchor_kind)
+                    x["t"], x["at"], x["first"], x["last"] = t, *(own[~frequent][f] for f in ("at", "first", "last"))
+                    x["p"] = [bisect_right(splits, data[at:at + K]) for at in x["at"].tolist()]
+                    found_here.append(x)
+                settled = [np.array([(*d, *span) for d, spans in done.items() for span in spans], found_kind)]
+                # contexts are copies of the text: those of some ranges at a time
+                x = np.concatenate(found_here)
+                x = x[np.argsort(x["p"], kind="stable")]
+                starts = np.flatnonzero(np.concatenate((np.ones(min(1, len(x)), bool), np.diff(x["p"]) != 0)))
+                many = np.flatnonzero(np.diff(starts // at_once)) + 1
+                out = [m for some in np.split(x, starts[many]) for m in in_order(texts, some, settled)]
+                rest = np.concatenate(settled)
+                to = np.mod(rest["h"] + rest["id"], parts)
+                order = np.argsort(to, kind="stable")
+                out += [(int(to[o[0]]), 1, squeeze_rows(rest[o])) for o in np.split(order, np.flatnonzero(np.diff(to[order])) + 1) if len(o)]
                 out += dealt_strings(earliest)
                 if out:
                     yield message(out)
+        give_back()
 
     def combine(table: pa.Table) -> pa.Table:
         own = list(zip(table.column("kind").to_pylist(), table.column("x").to_pylist()))

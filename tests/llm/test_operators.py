@@ -6,11 +6,13 @@ import math
 import random
 import time
 import re
+import struct
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -378,3 +380,34 @@ def test_pipeline_spans_cut_whole_characters_only(spark):
     got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.drop_repeated_spans(spark, docs, None).collect()}
     assert got == {1: (rows[0][1], 0), 2: ("\ufffd own  end \ufffd", 12), 3: ("\ufffd", 1), 4: (None, None)}
     assert corpus_pipeline._without("a\u00e9b\u00e9c".encode(), [{"start": 2, "end": 5}]) == b"ac"
+
+
+def test_suffix_dedup_sorts_contexts_some_ranges_at_a_time(spark):
+    rng = random.Random(11)
+    phrases = ["".join(rng.choice("abcdefgh ") for _ in range(260)) for _ in range(12)]
+    rows = [(i, i * 7 - 50, " ".join(rng.sample(phrases, 4)) + f" {i}") for i in range(30)]
+    texts = spark.createDataFrame(rows, "id long, h long, text string").coalesce(1)
+
+    def starts(at_once):
+        marks = suffix_dedup.repeated_starts(texts, 4, at_once=at_once).collect()
+        return {r.id: {p for first, last in struct.iter_unpack("<ii", r.marks) for p in range(first, last + 1)} for r in marks}
+
+    seen, expected = set(), {}
+    for i, _, text in rows:
+        own = [text[k:k + 100] for k in range(len(text) - 99)]
+        for k, x in enumerate(own):
+            if x in seen or x in own[:k]:
+                expected.setdefault(i, set()).add(k)
+        seen.update(own)
+    assert starts(1) == starts(1 << 20) == expected
+
+
+def test_language_model_reads_words_as_bytes_split_does():
+    texts = [None, "", " a  B\x0bÉ\x1cx\xa0y\n", "\x85z  ", "\t", "new A b"]
+    vocab = lm.Vocabulary({b"a": 0, b"": 1, b"b": 2}, np.array([0, 1, 2, 0]), np.zeros(4), 9, 3, np.zeros(lm.SYMBOLS), np.ones(lm.SYMBOLS))
+    flat = [w for t in texts for w in [*(t or "").encode().lower().split(), b""]]
+    for kind in (pa.string(), pa.large_string()):
+        rare, ranks, symbols, starts = vocab.texts(pa.array(["cut off", *texts], kind)[1:])
+        assert ranks.tolist() == [vocab.ranks.get(w, -1) for w in flat] and rare == [w for w in flat if w not in vocab.ranks]
+        assert symbols.tolist() == [vocab.ranks.get(w, lm._group(w)) for w in flat]
+        assert starts.tolist() == [0, 1, 2, 6, 8, 9]
