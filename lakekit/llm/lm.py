@@ -28,10 +28,11 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
-from itertools import repeat
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,6 +48,8 @@ KNOWN = 1 << 16
 BUCKETS, BLOCK = 1 << 14, 1 << 10
 SYMBOLS, NEIGHBOURS = HEAD + TAIL, 64
 ROUNDS, BATCH, RATE = 2, 8192, 0.3
+#: tokens whose softmax stays in a core's cache
+CACHED = 1 << 10
 #: of the plan's size, what one training task reads at least
 TASK_BYTES = 8 << 20
 END = b""  # no word is empty
@@ -54,8 +57,22 @@ END = b""  # no word is empty
 GROUP_BYTES = 8 << 20
 
 
-def words(data: bytes) -> list[bytes]:
-    return [*data.lower().split(), END]
+def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of a string column (null as empty) in their order, as bytes, and how many each text has; no end tokens."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    flat, offsets = lists.flatten(), lists.offsets.to_numpy()
+    there = pc.greater(pc.binary_length(flat), 0)  # white space at a border leaves an empty piece
+    upto = np.concatenate(([0], np.cumsum(there.to_numpy(zero_copy_only=False))))
+    flat = flat.filter(there)
+    return flat.view(pa.large_binary() if pa.types.is_large_string(flat.type) else pa.binary()), np.diff(upto[offsets])
+
+
+def _values(col: pa.Array) -> list[bytes]:
+    """The values of a binary column without nulls; ``to_pylist`` makes an Arrow scalar of each."""
+    offsets = np.frombuffer(col.buffers()[1], np.int64 if pa.types.is_large_binary(col.type) else np.int32)
+    offsets = offsets[col.offset:col.offset + len(col) + 1].tolist()
+    data = (col.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
+    return [data[a:b] for a, b in zip(offsets, offsets[1:])]
 
 
 def _group(word: bytes) -> int:
@@ -86,9 +103,9 @@ def member_features(feats: list[np.ndarray], classes: np.ndarray) -> list[np.nda
     return [_hashed(f * CLASSES + classes, (4 + k) << 40) for k, f in enumerate(feats)]
 
 
-def logits(weights: np.ndarray, bias: np.ndarray, feats: list[np.ndarray]) -> np.ndarray:
+def logits(weights: np.ndarray, bias: np.ndarray, feats: list[np.ndarray], out: np.ndarray | None = None) -> np.ndarray:
     """By token and class (or member), the greatest of a token moved to zero."""
-    z = weights.take(feats[0], axis=0)
+    z = weights.take(feats[0], axis=0, out=out, mode="clip")  # buckets are never out of range; the default mode copies ``out``
     z += weights.take(feats[1], axis=0)
     z += weights.take(feats[2], axis=0)
     z += bias
@@ -120,17 +137,26 @@ class Vocabulary:
     by_symbol: np.ndarray
     words_in: np.ndarray
 
-    def texts(self, datas: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-        """Words of all texts, their ranks (-1: not among the most frequent) and symbols, starts of the texts."""
-        flat, starts = [], []
-        for d in datas:
-            starts.append(len(flat))
-            flat += words(d)
-        ranks = np.fromiter(map(self.ranks.get, flat, repeat(-1)), np.int64, len(flat))
+    @cached_property
+    def known(self) -> pa.Array:
+        return pa.array(list(self.ranks), pa.binary())
+
+    def texts(self, texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+        """Of all tokens of a string column the ranks (-1: not among the most frequent) and symbols, starts of the texts; first
+        the words of rank -1."""
+        flat, sizes = words(texts)
+        stops = np.cumsum(sizes + 1)
+        is_end = np.zeros(int(stops[-1]) if len(stops) else 0, bool)
+        is_end[stops - 1] = True
+        ranks = np.empty(len(is_end), np.int64)
+        ranks[~is_end] = pc.index_in(flat, self.known.cast(flat.type)).fill_null(-1).to_numpy()
+        ranks[is_end] = self.ranks.get(END, -1)
         symbols = self.symbol_of[ranks]
-        rare = np.flatnonzero(ranks < 0)
-        symbols[rare] = [_group(flat[i]) for i in rare.tolist()]
-        return flat, ranks, symbols, np.array(starts, np.int64)
+        rare = np.empty(int((ranks < 0).sum()), object)
+        rare[is_end[ranks < 0]] = END
+        rare[~is_end[ranks < 0]] = _values(flat.take(pa.array(np.flatnonzero(ranks[~is_end] < 0))))
+        symbols[ranks < 0] = [_group(w) for w in rare]
+        return rare.tolist(), ranks, symbols, stops - sizes - 1
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -140,7 +166,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for part in byte_slices(batch, "text"):
                 for data in utf8_values(part.column("text")):
-                    seen.update(words(data))
+                    seen.update([*data.lower().split(), END])
                 if len(seen) > 300_000:
                     yield from rows(seen)
                     seen = Counter()
@@ -183,7 +209,7 @@ def classes_of(docs: DataFrame, vocab: Vocabulary) -> np.ndarray:
         seen = np.zeros(SYMBOLS * NEIGHBOURS, np.int64)
         for batch in batches:
             for part in byte_slices(batch, "text"):
-                _, _, symbols, starts = shared.value.texts(utf8_values(part.column("text")))
+                _, _, symbols, starts = shared.value.texts(part.column("text"))
                 one, _ = _history(symbols, starts)
                 seen += np.bincount(symbols * NEIGHBOURS + _hashed(one, 1 << 40) % NEIGHBOURS, minlength=len(seen))
         at = np.flatnonzero(seen)
@@ -235,9 +261,12 @@ def _steps(weights: np.ndarray, seen: np.ndarray, bias: np.ndarray, feats: list[
     for k in range(0, len(target), BATCH):
         own = [f[k:k + BATCH] for f in feats]
         y = target[k:k + BATCH]
-        grad = logits(weights, bias if classes is None else bias.take(classes[k:k + BATCH], axis=0), own)
-        np.exp(grad, out=grad)
-        grad /= grad.sum(axis=1, keepdims=True)
+        grad = np.empty((len(y), weights.shape[1]), np.float32)
+        for j in range(0, len(y), CACHED):
+            at = slice(j, j + CACHED)
+            some = logits(weights, bias if classes is None else bias.take(classes[k:k + BATCH][at], axis=0), [f[at] for f in own], grad[at])
+            np.exp(some, out=some)
+            some /= some.sum(axis=1, keepdims=True)
         grad[np.arange(len(y)), y] -= 1
         for f in own:
             order = np.argsort(f.astype(np.uint16), kind="stable")  # 16 bits are sorted by radix
@@ -313,7 +342,7 @@ def train_weights(docs: DataFrame, fold: Column, vocab: Vocabulary, model: Model
             seen, member_seen = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
             for batch in batches:
                 for part in byte_slices(batch, "text"):
-                    _, _, symbols, starts = words_of.value.texts(utf8_values(part.column("text")))
+                    _, _, symbols, starts = words_of.value.texts(part.column("text"))
                     own.train(seen, member_seen, symbols, starts)
             task = TaskContext.get().partitionId()
             for first, table, times in ((0, own.weights, seen), (BUCKETS, own.member_weights, member_seen)):
@@ -365,11 +394,11 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
         task, n_slice = TaskContext.get().partitionId(), 0
         for batch in batches:
             for part in byte_slices(batch, "text", GROUP_BYTES):
-                flat, ranks, symbols, starts = vocab.texts(utf8_values(part.column("text")))
+                rare_words, ranks, symbols, starts = vocab.texts(part.column("text"))
                 one, two = _history(symbols, starts)
                 gain = np.empty(len(symbols))
-                for k in range(0, len(symbols), 1 << 12):  # as much as stays in a core's cache
-                    at = slice(k, k + (1 << 12))
+                for k in range(0, len(symbols), CACHED):
+                    at = slice(k, k + CACHED)
                     s = symbols[at]
                     gain[at] = trained.log_symbols(one[at], two[at], s) / np.log(10) - in_group[s]
                 logs = vocab.logs[ranks]  # 0 for a rank of -1, whose place is the last
@@ -378,9 +407,9 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
                 model = np.add.reduceat(gain + np.where(symbols >= HEAD, logs, 0), starts)
                 rare = np.flatnonzero(ranks < 0)
                 index: dict[bytes, int] = {}
-                ref = np.array([index.setdefault(flat[i], len(index)) for i in rare.tolist()], np.int32)
+                ref = np.array([index.setdefault(w, len(index)) for w in rare_words], np.int32)
                 refs = np.split(ref, np.searchsorted(rare, starts[1:]))
-                lengths = np.diff(starts, append=len(flat))
+                lengths = np.diff(starts, append=len(ranks))
                 g = (task << 24) + n_slice
                 n_slice += 1
                 n = len(starts)
